@@ -1,0 +1,16 @@
+"""Joins whose broadcast side is counted first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_up_to(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df``, known to have ``rows`` rows, or have it shuffled.
+
+    For sides whose size the planner cannot estimate, such as exploded ranges.
+    """
+    return F.broadcast(df) if rows <= limit else df.hint("merge")
