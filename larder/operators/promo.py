@@ -151,7 +151,9 @@ def best_discount(applicable: DataFrame) -> DataFrame:
 def promotion_bridge(parents: DataFrame, promotions: DataFrame, key: str, count: int) -> DataFrame:
     """Attach the first promotion to the first ``count`` rows of ``parents``."""
     first = promotions.agg(F.min("PromotionID")).first()[0]
-    return parents.select(key).orderBy(key).limit(count).withColumn("PromotionID", F.lit(first))
+    return parents.select(key).orderBy(key).limit(count).withColumn(
+        "PromotionID", F.lit(first).cast("bigint")
+    )
 
 
 def combo_units(lines: DataFrame, combo_items: DataFrame, combos: DataFrame) -> DataFrame:

@@ -29,18 +29,22 @@ def _stack(df: DataFrame, rows: list[dict[str, Column]]) -> DataFrame:
     )
 
 
-def check_rules(df: DataFrame, table: str, rules: Mapping[str, str | Column]) -> DataFrame:
-    """TableName, Rule, CheckedRows, Violations; all rules in one pass.
+Rules = Mapping[str, str | Column]
+
+
+def check_rule_sets(df: DataFrame, rules: Mapping[str, Rules]) -> DataFrame:
+    """TableName, Rule, CheckedRows, Violations of several rule sets in one pass.
 
     As with a SQL CHECK, a rule that comes out unknown is not violated.
     """
-    conditions = {
-        name: F.expr(rule) if isinstance(rule, str) else rule for name, rule in rules.items()
-    }
-    names = list(conditions)
+    named = [
+        (table, name, F.expr(rule) if isinstance(rule, str) else rule)
+        for table, group in rules.items()
+        for name, rule in group.items()
+    ]
     counted = df.agg(
         F.count("*").alias("_rows"),
-        *[F.count_if(~conditions[name]).alias(f"_{i}") for i, name in enumerate(names)],
+        *[F.count_if(~rule).alias(f"_{i}") for i, (_, _, rule) in enumerate(named)],
     )
     return _stack(
         counted,
@@ -51,11 +55,16 @@ def check_rules(df: DataFrame, table: str, rules: Mapping[str, str | Column]) ->
                 "CheckedRows": F.col("_rows"),
                 "Violations": F.col(f"_{i}"),
             }
-            for i, name in enumerate(names)
+            for i, (table, name, _) in enumerate(named)
         ],
     )
 
 
+def check_rules(df: DataFrame, table: str, rules: Rules) -> DataFrame:
+    """The rules of one table, checked in one pass."""
+    return check_rule_sets(df, {table: rules})
+
+
 def check_formats(df: DataFrame, table: str, patterns: Mapping[str, str]) -> DataFrame:
     """Values that do not match the pattern of their column."""
     return check_rules(df, table, {name: F.col(name).rlike(p) for name, p in patterns.items()})

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from larder.functions.keys import scattered_item
 from larder.functions.money import DELIVERY_FEE, amount, ratio, sales_tax, total
 from larder.operators.calendar import with_calendar
+from larder.operators.surrogate import dense_ids
 from larder.sources.inline import inline_rows
 
 STORE_DAY = ["LocationID", "OrderDateID"]
@@ -188,13 +189,16 @@ def order_pricing(orders: DataFrame, lines: DataFrame) -> DataFrame:
     its own on that side and an order with very many lines stays cheap.
     """
     sums = lines.groupBy("OrderID").agg(
-        F.sum("Gross").alias("_gross"), F.sum("Discount").alias("_discount")
+        F.sum("Gross").alias("_gross"),
+        F.sum("Discount").alias("_discount"),
+        F.sum("Refund").alias("_refund"),
     )
     subtotal, discount = F.col("SubtotalAmount"), F.col("DiscountAmount")
     priced = (
         orders.join(sums, "OrderID", "left")
         .withColumn("SubtotalAmount", F.coalesce("_gross", F.lit(0)).cast("decimal(22,2)"))
         .withColumn("DiscountAmount", F.round(F.coalesce("_discount", F.lit(0)), 2).cast("decimal(22,2)"))
+        .withColumn("RefundAmount", F.coalesce("_refund", F.lit(0)).cast("decimal(22,2)"))
         .withColumn("TaxAmount", sales_tax(subtotal))
         .withColumn(
             "DeliveryFee",
@@ -211,7 +215,7 @@ def order_pricing(orders: DataFrame, lines: DataFrame) -> DataFrame:
         .withColumn("PaymentStatus", F.lit("Paid"))
         .withColumn("PromotionID", F.lit(None).cast("int"))
     )
-    return priced.drop("_gross", "_discount")
+    return priced.drop("_gross", "_discount", "_refund")
 
 
 def explode_lines(orders: DataFrame, item_count: int) -> DataFrame:
@@ -232,8 +236,8 @@ def price_lines(lines: DataFrame, price_list: DataFrame) -> DataFrame:
 
 
 def payments(orders: DataFrame) -> DataFrame:
-    """One payment per priced order."""
-    return orders.select(
+    """One payment per priced order, numbered in the order of the orders."""
+    paid = orders.select(
         "OrderID",
         F.col("OrderDateID").alias("PaymentDateID"),
         "PaymentMethod",
@@ -241,10 +245,12 @@ def payments(orders: DataFrame) -> DataFrame:
         F.lit("Payment").alias("TransactionType"),
         F.lit("Success").alias("TransactionStatus"),
     )
+    return dense_ids(paid, ["OrderID"], "PaymentTransactionID")
 
 
 def receipts(orders: DataFrame) -> DataFrame:
-    """One receipt per order, on the day of the order."""
-    return orders.select(
+    """One receipt per order, on the day of the order, numbered like the payments."""
+    printed = orders.select(
         "OrderID", F.col("OrderDateID").alias("ReceiptDateID"), F.lit(0).alias("IsReprint")
     )
+    return dense_ids(printed, ["OrderID"], "ReceiptID")

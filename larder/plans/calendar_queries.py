@@ -347,12 +347,12 @@ def _region_counts(spark, sf_dir):
 
 @query(
     "audit_json_extract",
-    """SELECT event_type AS Action, CAST(json_extract_string(props, '$.k') AS INTEGER) AS Field,
+    """SELECT event_type AS Action, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS Field,
            count(*) AS Changes, min(event_id) AS FirstAuditID
     FROM events GROUP BY ALL""",
 )
 def _audit_json_extract(spark, sf_dir):
-    field = F.get_json_object("props", "$.k").cast("int")
+    field = F.get_json_object("props", "$.k").try_cast("int")
     return (
         retail.read(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("Action"), field.alias("Field"))

@@ -1,6 +1,6 @@
 """All named queries."""
 
-from larder.plans import calendar_queries, sales_queries  # noqa: F401
+from larder.plans import calendar_queries, quality_queries, sales_queries, store_queries  # noqa: F401
 from larder.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

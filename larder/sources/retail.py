@@ -122,6 +122,7 @@ def points_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("TransactionID"),
         F.col("user_id").alias("MemberID"),
         F.col("ts").alias("TransactionTime"),
+        date_id(F.to_date("ts")).alias("TransactionDateID"),
         F.when(earns, "Earned").otherwise("Redeemed").alias("TransactionType"),
         F.when(earns, points).otherwise(-points).alias("Points"),
     )
