@@ -48,21 +48,21 @@ def recipe_explosion(lines: DataFrame, recipes: DataFrame) -> DataFrame:
     )
 
 
-def daily_usage(units: DataFrame, recipes: DataFrame) -> DataFrame:
-    """Ingredient use per store, day and ingredient, from units sold per item."""
-    return (
-        units.join(recipes, "ItemID")
-        .groupBy("LocationID", "IngredientID", "OrderDateID")
-        .agg(F.sum(F.col("Units") * F.col("RecipeQuantity")).alias("UsedQuantity"))
-    )
+def daily_usage(lines: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Ingredient use per store, day and ingredient.
 
-
-def daily_cogs(units: DataFrame, costs: DataFrame) -> DataFrame:
-    """Cost of goods sold per store and day."""
+    Recipes travel as one array per item and are exploded right before the
+    aggregation, which combines the exploded rows before its shuffle: a store
+    day has at most as many groups as there are ingredients.
+    """
+    recipes = items.select("ItemID", recipe(F.col("ItemID")).alias("Recipe"))
     return (
-        units.join(costs, "ItemID")
-        .groupBy("LocationID", "OrderDateID")
-        .agg(F.sum(F.col("Units") * F.col("UnitCost")).alias("CostOfGoodsSold"))
+        lines.select("OrderID", "LocationID", "ItemID", F.col("Quantity").alias("Units"))
+        .join(orders.select("OrderID", "OrderDateID"), "OrderID")
+        .join(recipes, "ItemID")
+        .select("LocationID", "OrderDateID", "Units", F.inline("Recipe"))
+        .groupBy("LocationID", "IngredientID", "OrderDateID")
+        .agg(F.sum(F.col("Units") * F.col("Quantity")).alias("UsedQuantity"))
     )
 
 

@@ -32,29 +32,27 @@ def ledger(priced: DataFrame) -> DataFrame:
     ).where(F.col("Amount") != 0)
 
 
-def store_profit(
-    net: DataFrame, cogs: DataFrame, labor: DataFrame, expenses: DataFrame
-) -> DataFrame:
+def store_profit(by_store: DataFrame, labor: DataFrame, expenses: DataFrame) -> DataFrame:
     """Net sales less cost of goods, labour and expenses, per store.
 
     Every input is summed per store before the joins, so they meet one row per
     store each.
     """
-    parts = {
-        "NetSales": net,
-        "CostOfGoodsSold": cogs,
-        "TotalLaborCost": labor,
-        "Expenses": expenses,
-    }
-    result = None
-    for name, df in parts.items():
-        part = df.groupBy("LocationID").agg(F.sum(name).alias(name))
-        result = part if result is None else result.join(part, "LocationID", "left")
-    filled = {name: F.coalesce(name, F.lit(0)) for name in parts}
-    return result.withColumns(filled).withColumn(
-        "Profit",
-        F.col("NetSales")
-        - F.col("CostOfGoodsSold")
-        - F.col("TotalLaborCost")
-        - F.col("Expenses"),
+    sales = by_store.groupBy("LocationID").agg(
+        F.sum(F.col("Gross") - F.col("Discount") - F.col("Refund")).alias("NetSales"),
+        F.sum("Cost").alias("CostOfGoodsSold"),
+    )
+    wages = labor.groupBy("LocationID").agg(F.sum("TotalLaborCost").alias("TotalLaborCost"))
+    costs = expenses.groupBy("LocationID").agg(F.sum("Amount").alias("Expenses"))
+    return (
+        sales.join(wages, "LocationID", "left")
+        .join(costs, "LocationID", "left")
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("TotalLaborCost", "Expenses")})
+        .withColumn(
+            "Profit",
+            F.col("NetSales")
+            - F.col("CostOfGoodsSold")
+            - F.col("TotalLaborCost")
+            - F.col("Expenses"),
+        )
     )

@@ -12,6 +12,7 @@ from larder.operators.surrogate import dense_ids
 from larder.sources.inline import inline_rows
 
 STORE_DAY = ["LocationID", "OrderDateID"]
+LINE_AMOUNTS = ["Quantity", "Gross", "Discount", "LineTax", "Refund", "Cost"]
 
 # Channel id, code, name, and the summary column it counts in.
 CHANNELS = [
@@ -33,21 +34,16 @@ PAYMENT_COLUMNS = {
 def store_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order and store, with the sums of its lines there.
 
-    The lines are shuffled once, on the order: the grouping by (order, store)
-    reuses the partitioning of the join. Columns nobody reads are pruned.
+    The columns of ``orders`` are kept; select the needed ones beforehand, as
+    grouping columns are not pruned. The lines are shuffled once, on the order:
+    the grouping reuses the partitioning of the join. Sums nobody reads are
+    pruned.
     """
+    sums = [name for name in LINE_AMOUNTS if name in lines.columns]
     return (
         lines.join(orders, "OrderID")
-        .groupBy("OrderID", "LocationID")
-        .agg(
-            *[
-                F.any_value(name).alias(name)
-                for name in orders.columns
-                if name not in ("OrderID", "LocationID")
-            ],
-            *total("Quantity", "Gross", "Discount", "LineTax", "Refund"),
-            F.count("*").alias("Lines"),
-        )
+        .groupBy(*orders.columns, "LocationID")
+        .agg(*total(*sums), F.count("*").alias("Lines"))
     )
 
 
@@ -131,46 +127,52 @@ def daily_basket_size(by_store: DataFrame) -> DataFrame:
     )
 
 
-def daily_item_units(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Units sold per store, day and item."""
-    return (
-        lines.join(orders.select("OrderID", "OrderDateID"), "OrderID")
-        .groupBy(*STORE_DAY, "ItemID")
-        .agg(F.sum("Quantity").alias("Units"))
+def with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
+    """Add the ingredient cost of each line; an item without a recipe costs nothing.
+
+    Join costs before orders: a later grouping by order can then reuse the
+    partitioning of the order join.
+    """
+    return lines.join(costs.select("ItemID", "UnitCost"), "ItemID", "left").withColumn(
+        "Cost", F.coalesce(F.col("Quantity") * F.col("UnitCost"), F.lit(0))
     )
 
 
-def daily_summary(by_store: DataFrame, labor: DataFrame, cogs: DataFrame) -> DataFrame:
-    """The whole daily store summary in one aggregation of the store orders.
+def daily_cogs(by_store: DataFrame) -> DataFrame:
+    """Cost of goods sold per store and day, from lines that carry their cost."""
+    return by_store.groupBy(*STORE_DAY).agg(F.sum("Cost").alias("CostOfGoodsSold"))
+
+
+def daily_summary(by_store: DataFrame, customers: DataFrame, labor: DataFrame) -> DataFrame:
+    """The whole daily store summary.
 
-    Labour and cost of goods come aggregated to the store day and are joined on
-    it; store days without them count zero.
+    All sums come from one aggregation of the store orders, which combines
+    before its shuffle. Distinct customers come in as their own daily table:
+    counted in the same aggregation they would send every sum through a shuffle
+    on the member as well. All parts are partitioned by store day already, so
+    joining them moves nothing.
     """
     daily = (
         channel_sales(by_store)
         .groupBy(*STORE_DAY)
         .agg(
-            F.count("OrderID").alias("TotalOrders"),
-            F.count_distinct("MemberID").alias("TotalCustomers"),
             F.sum("Gross").alias("GrossSales"),
             F.sum("Discount").alias("Discounts"),
             F.sum("Refund").alias("Refunds"),
             F.sum("Quantity").alias("Items"),
+            F.sum("Cost").alias("CostOfGoodsSold"),
             *channel_columns(),
             *payment_columns(),
         )
     )
     gross = F.col("GrossSales")
-    filled = {
-        name: F.coalesce(F.col(name), F.lit(0))
-        for name in ("TotalLaborHours", "TotalLaborCost", "CostOfGoodsSold")
-    }
     joined = (
-        daily.join(labor, STORE_DAY, "left")
-        .join(cogs, STORE_DAY, "left")
+        daily.join(customers, STORE_DAY)
+        .join(labor, STORE_DAY, "left")
         .withColumns(
             {
-                **filled,
+                "TotalLaborHours": F.coalesce("TotalLaborHours", F.lit(0.0)),
+                "TotalLaborCost": F.coalesce("TotalLaborCost", F.lit(0)),
                 "NetSales": gross - F.col("Discounts") - F.col("Refunds"),
                 "TaxCollected": sales_tax(gross),
                 "AverageOrderValue": ratio(gross, F.col("TotalOrders")),

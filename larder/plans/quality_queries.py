@@ -128,7 +128,8 @@ def _dq_checks(spark, sf_dir):
         )
         for tables, df in _checked_tables(spark, sf_dir).items()
     ]
-    dated = store_orders(spark, sf_dir).withColumn("OrderDate", date_of_id(F.col("OrderDateID")))
+    dated = store_orders(spark, sf_dir, "ChannelID", "PaymentMethod")
+    dated = dated.withColumn("OrderDate", date_of_id(F.col("OrderDateID")))
     dated = dated.withColumn("DayOfWeek", iso_weekday(F.col("OrderDate")))
     parts.append(quality.check_rules(dated, "ord.StoreOrders", _DOMAIN_RULES))
     return quality.union_all(parts)

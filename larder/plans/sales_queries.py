@@ -10,8 +10,13 @@ from larder.plans.registry import query
 from larder.sources import retail
 
 
-def store_orders(spark, sf_dir):
-    return sales.store_orders(retail.order_lines(spark, sf_dir), retail.orders(spark, sf_dir))
+def store_orders(spark, sf_dir, *attributes, cost=False):
+    """Store orders with the date and the named attributes of their order."""
+    lines = retail.order_lines(spark, sf_dir)
+    if cost:
+        lines = sales.with_cost(lines, inventory.item_costs(retail.items(spark, sf_dir)))
+    orders = retail.orders(spark, sf_dir).select("OrderID", "OrderDateID", *attributes)
+    return sales.store_orders(lines, orders)
 
 
 def employees(spark, sf_dir):
@@ -29,11 +34,8 @@ def daily_labor(spark, sf_dir):
     return labor.daily_labor(shifts(spark, sf_dir), employees(spark, sf_dir))
 
 
-def daily_cogs(spark, sf_dir):
-    units = sales.daily_item_units(
-        retail.order_lines(spark, sf_dir), retail.orders(spark, sf_dir)
-    )
-    return inventory.daily_cogs(units, inventory.item_costs(retail.items(spark, sf_dir)))
+def daily_customers(spark, sf_dir):
+    return sales.daily_customers(store_orders(spark, sf_dir, "MemberID"))
 
 
 @query(
@@ -58,7 +60,7 @@ def _daily_sales(spark, sf_dir):
     FROM store_orders GROUP BY LocationID, OrderDateID""",
 )
 def _daily_customers(spark, sf_dir):
-    return sales.daily_customers(store_orders(spark, sf_dir))
+    return daily_customers(spark, sf_dir)
 
 
 _PIVOT = """
@@ -80,7 +82,7 @@ _PIVOT = """
     FROM store_orders GROUP BY LocationID, OrderDateID""",
 )
 def _daily_channel_pivot(spark, sf_dir):
-    return sales.daily_channel_pivot(store_orders(spark, sf_dir))
+    return sales.daily_channel_pivot(store_orders(spark, sf_dir, "ChannelID", "PaymentMethod"))
 
 
 @query(
@@ -135,7 +137,7 @@ def _daily_labor(spark, sf_dir):
     FROM cogs""",
 )
 def _daily_cogs(spark, sf_dir):
-    return daily_cogs(spark, sf_dir)
+    return sales.daily_cogs(store_orders(spark, sf_dir, cost=True))
 
 
 @query(
@@ -161,5 +163,7 @@ def _daily_cogs(spark, sf_dir):
 )
 def daily_sales_summary(spark, sf_dir):
     return sales.daily_summary(
-        store_orders(spark, sf_dir), daily_labor(spark, sf_dir), daily_cogs(spark, sf_dir)
+        store_orders(spark, sf_dir, "ChannelID", "PaymentMethod", cost=True),
+        daily_customers(spark, sf_dir),
+        daily_labor(spark, sf_dir),
     )

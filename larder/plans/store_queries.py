@@ -11,7 +11,7 @@ from larder.operators import dimensions, hierarchy, inventory, labor, ledger, lo
 from larder.plans import campaigns as c
 from larder.plans import oracle as o
 from larder.plans.registry import query
-from larder.plans.sales_queries import daily_cogs, daily_labor, employees, shifts, store_orders
+from larder.plans.sales_queries import daily_labor, employees, shifts, store_orders
 from larder.sources import retail
 
 # --- orders and lines ---------------------------------------------------------
@@ -253,15 +253,12 @@ def _hierarchy_closure(spark, sf_dir):
 # --- stock --------------------------------------------------------------------
 
 
-def item_units(spark, sf_dir):
-    return sales.daily_item_units(
-        retail.order_lines(spark, sf_dir), retail.orders(spark, sf_dir)
-    )
-
-
 def daily_usage(spark, sf_dir):
-    recipes = inventory.recipe_items(retail.items(spark, sf_dir))
-    return inventory.daily_usage(item_units(spark, sf_dir), recipes)
+    return inventory.daily_usage(
+        retail.order_lines(spark, sf_dir),
+        retail.orders(spark, sf_dir),
+        retail.items(spark, sf_dir),
+    )
 
 
 _USAGE = f"""{o.ORDERS}, {o.LINES}, {o.RECIPES}, usage AS (
@@ -393,14 +390,10 @@ def _reorder_report(spark, sf_dir):
     FROM net LEFT JOIN goods USING (LocationID) LEFT JOIN staff USING (LocationID)""",
 )
 def _store_pnl(spark, sf_dir):
-    net = store_orders(spark, sf_dir).withColumn(
-        "NetSales", F.col("Gross") - F.col("Discount") - F.col("Refund")
-    )
-    expenses = dimensions.store_expenses(retail.locations(spark, sf_dir)).withColumnRenamed(
-        "Amount", "Expenses"
-    )
     return ledger.store_profit(
-        net, daily_cogs(spark, sf_dir), daily_labor(spark, sf_dir), expenses
+        store_orders(spark, sf_dir, cost=True),
+        daily_labor(spark, sf_dir),
+        dimensions.store_expenses(retail.locations(spark, sf_dir)),
     )
 
 
@@ -488,7 +481,7 @@ def _promo_targets_expand(spark, sf_dir):
 )
 def _promo_applicability(spark, sf_dir):
     applicable = promo.applicable_promotions(
-        store_orders(spark, sf_dir),
+        store_orders(spark, sf_dir, "ChannelID", "OrderSecond"),
         retail.order_lines(spark, sf_dir),
         c.campaigns(spark),
         c.targets(spark),
