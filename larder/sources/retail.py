@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions.dates import date_id
-from larder.functions.money import amount
+from larder.functions.money import amount, from_units, hundredths
 
 # Shifts are dated this many years back, into the period of the orders.
 SHIFT_YEARS_BACK = 27
@@ -63,17 +63,19 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gross = amount("l_extendedprice")
+    """Lines with exact amounts; price, discount and tax hold two decimals each."""
+    cents = hundredths("l_extendedprice")
+    refunded = F.when(F.col("l_returnflag") == "R", cents).otherwise(0)
     return read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("OrderID"),
         F.col("l_linenumber").alias("LineNumber"),
         F.col("l_suppkey").alias("LocationID"),
         F.col("l_partkey").alias("ItemID"),
-        amount("l_quantity").alias("Quantity"),
-        gross.alias("Gross"),
-        (gross * amount("l_discount", 4, 2)).alias("Discount"),
-        (gross * amount("l_tax", 4, 2)).alias("LineTax"),
-        F.when(F.col("l_returnflag") == "R", gross).otherwise(amount(F.lit(0))).alias("Refund"),
+        from_units(hundredths("l_quantity"), 2).alias("Quantity"),
+        from_units(cents, 2).alias("Gross"),
+        from_units(cents * hundredths("l_discount"), 4).alias("Discount"),
+        from_units(cents * hundredths("l_tax"), 4).alias("LineTax"),
+        from_units(refunded, 2).alias("Refund"),
         date_id(F.to_date("l_shipdate")).alias("ShipDateID"),
     )
 
