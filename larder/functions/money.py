@@ -24,9 +24,10 @@ def from_units(units: Column, scale: int) -> Column:
     """Whole units of ``10 ** -scale`` as DECIMAL.
 
     Multiplying in whole numbers and converting once costs half of what casting
-    the DOUBLE factors to DECIMAL does, with the same result.
+    the DOUBLE factors to DECIMAL does, with the same result. The product has 18
+    digits, the most that Spark keeps in a long.
     """
-    return units.cast("decimal(16,0)") * F.lit(Decimal(1).scaleb(-scale))
+    return units.cast(f"decimal({17 - scale},0)") * F.lit(Decimal(1).scaleb(-scale))
 
 
 def zero(scale: int = 2) -> Column:

@@ -42,7 +42,7 @@ def store_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
     sums = [name for name in LINE_AMOUNTS if name in lines.columns]
     return (
         lines.join(orders, "OrderID")
-        .groupBy(*orders.columns, "LocationID")
+        .groupBy(*dict.fromkeys([*orders.columns, "LocationID"]))
         .agg(*total(*sums), F.count("*").alias("Lines"))
     )
 

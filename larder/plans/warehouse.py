@@ -1,0 +1,394 @@
+"""Loaders: each writes its tables to ``{root}/{schema}.{Table}``.
+
+A loader reads what it depends on from the tables already stored, so the order
+of ``build`` is the order of dependency. Table sizes are given as a count or as
+a DataFrame of dense numbers (column ``Number``), for instance the numbered keys
+of an existing table. Large tables are written once and read back by those that
+derive from them.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larder.catalog import schemas
+from larder.functions import keys
+from larder.functions.dates import date_of_id
+from larder.functions.money import amount
+from larder.operators import dimensions as dims
+from larder.operators import inventory, labor, ledger, loyalty, promo, quality, running, sales
+from larder.operators.calendar import calendar, calendar_lookup
+from larder.sources.retail import order_type, payment_method
+from larder.sources.tables import empty_table, read_or_seed, read_table, table_path, write_parquet
+
+Numbers = int | DataFrame
+
+CLOCK_IN, CLOCK_OUT = "09:05:00", "17:02:00"
+PROMOTED_ITEMS, PROMOTED_STORES = 50, 200
+LINES_PER_ORDER = 4
+
+
+def _numbers(spark: SparkSession, size: Numbers) -> DataFrame:
+    return size.select("Number") if isinstance(size, DataFrame) else dims.numbers(spark, size)
+
+
+def _save(df: DataFrame, root: str, table: str, **options) -> DataFrame:
+    """Write a table, catalogued columns first and in their order, and return it."""
+    path = table_path(root, table)
+    known = [c.name for c in schemas.tables().get(table, ()) if c.name in df.columns]
+    write_parquet(df.select(*known, *[c for c in df.columns if c not in known]), path, **options)
+    return df.sparkSession.read.parquet(path)
+
+
+def load_calendar(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    _save(calendar(spark, created=created), root, "dim.Calendar", partition_by="Year")
+
+
+def load_states(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    states = dims.states(spark, created)
+    dims.check_states(states)
+    _save(states, root, "store.States")
+
+
+def load_locations(
+    spark: SparkSession, root: str, stores: Numbers = 200, created: dt.datetime | None = None
+) -> None:
+    numbers = _numbers(spark, stores)
+    state_count = read_table(spark, root, "store.States").count()
+    stored = _save(dims.locations(numbers, state_count, created), root, "store.Locations")
+    dims.check_locations(stored, numbers.count())
+
+
+def load_operating_hours(
+    spark: SparkSession, root: str, created: dt.datetime | None = None
+) -> None:
+    stores = read_table(spark, root, "store.Locations")
+    _save(dims.operating_hours(stores, created), root, "store.OperatingHours")
+
+
+def load_positions(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    _save(dims.positions(spark, created), root, "emp.Positions")
+
+
+def load_employees(
+    spark: SparkSession, root: str, employees: Numbers = 1000, created: dt.datetime | None = None
+) -> None:
+    stores = read_table(spark, root, "store.Locations")
+    people = dims.employees(_numbers(spark, employees), stores, created)
+    _save(people, root, "emp.Employees")
+
+
+def load_schedules(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    """Schedules of 30 days, the time tracked for them, and the payroll."""
+    people = read_table(spark, root, "emp.Employees")
+    first_day = (
+        read_table(spark, root, "dim.Calendar")
+        .where(F.col("Year") >= labor.SCHEDULE_FROM.year)
+        .agg(F.min("CalendarID"))
+        .first()[0]
+    )
+    planned = labor.schedule(
+        people.select("EmployeeID", F.col("PrimaryLocationID").alias("LocationID")), first_day
+    )
+    schedules = _save(dims.stamped(planned, created), root, "emp.Schedules")
+
+    def at(clock: str):
+        day = date_of_id(F.col("ShiftDateID")).cast("string")
+        return F.concat(day, F.lit(f" {clock}")).cast("timestamp_ntz")
+
+    no_time = F.lit(None).cast("timestamp_ntz")
+    tracked = schedules.select(
+        F.col("ScheduleID").alias("TimeTrackingID"),
+        "ScheduleID",
+        "EmployeeID",
+        "LocationID",
+        F.col("ShiftDateID").alias("ClockInDateID"),
+        at(CLOCK_IN).alias("ClockInTime"),
+        at(CLOCK_OUT).alias("ClockOutTime"),
+        no_time.alias("BreakStartTime"),
+        no_time.alias("BreakEndTime"),
+    )
+    time_tracking = _save(dims.stamped(tracked, created), root, "emp.TimeTracking")
+    paid = labor.payroll(time_tracking).select(
+        F.col("EmployeeID").alias("PayrollID"),
+        "EmployeeID",
+        "HoursWorked",
+        "GrossPay",
+        F.lit(None).cast("int").alias("PayrollDateID"),
+    )
+    _save(dims.stamped(paid, created), root, "emp.Payroll")
+
+
+def load_menu(
+    spark: SparkSession, root: str, items: Numbers = 300, created: dt.datetime | None = None
+) -> None:
+    _save(dims.categories(spark, created), root, "menu.Categories")
+    menu = _save(dims.menu_items(_numbers(spark, items), created), root, "menu.Items")
+    _save(dims.ingredients(spark, created), root, "menu.Ingredients")
+    width = len(inventory.INGREDIENTS)
+    recipes = inventory.recipe_items(menu).select(
+        (F.col("ItemID") * width + F.col("IngredientID")).alias("RecipeItemID"),
+        "ItemID",
+        F.col("IngredientID").cast("bigint").alias("IngredientID"),
+        F.col("RecipeQuantity").alias("Quantity"),
+    )
+    _save(dims.stamped(recipes, created), root, "menu.RecipeItems")
+
+
+def load_inventory(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    stores = read_table(spark, root, "store.Locations")
+    stock = dims.inventory_items(read_table(spark, root, "menu.Ingredients"), created)
+    _save(stock, root, "inv.Items")
+    opening = inventory.store_inventory(stores).drop("ItemName").withColumns(
+        {name: F.lit(None).cast("int") for name in ("LastRestockDateID", "LastCountDateID")}
+    )
+    _save(dims.stamped(opening, created), root, "inv.StoreInventory")
+    purchases = inventory.purchase_orders(stores)
+    lines = inventory.purchase_order_items(purchases).select(
+        (F.col("PurchaseOrderID") * inventory.LINES_PER_ORDER + F.col("InventoryItemID")).alias(
+            "PurchaseOrderItemID"
+        ),
+        "PurchaseOrderID",
+        "InventoryItemID",
+        "QuantityOrdered",
+        "QuantityReceived",
+        "UnitPrice",
+        "LineTotal",
+    )
+    stored = _save(dims.stamped(lines, created), root, "inv.PurchaseOrderItems")
+    # the stated total is the sum of the lines
+    totals = stored.groupBy("PurchaseOrderID").agg(F.sum("LineTotal").alias("TotalAmount"))
+    no_id = F.lit(None).cast("int")
+    headers = (
+        purchases.drop("TotalAmount")
+        .join(totals, "PurchaseOrderID")
+        .withColumns(
+            {
+                "OrderDateID": F.lit(1),
+                "ExpectedDeliveryDateID": no_id,
+                "ActualDeliveryDateID": no_id,
+                "OrderedBy": F.lit(1),
+                "ApprovedBy": no_id,
+                "ReceivedBy": no_id,
+            }
+        )
+    )
+    _save(dims.stamped(headers, created), root, "inv.PurchaseOrders")
+
+
+def load_promotions(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    promotions = _save(dims.promotions(spark, created), root, "promo.Promotions")
+    items = promo.promotion_bridge(
+        read_table(spark, root, "menu.Items"), promotions, "ItemID", PROMOTED_ITEMS
+    ).withColumn("PromotionItemID", F.col("ItemID"))
+    _save(dims.stamped(items, created), root, "promo.PromotionItems")
+    stores = promo.promotion_bridge(
+        read_table(spark, root, "store.Locations"), promotions, "LocationID", PROMOTED_STORES
+    ).withColumns({"PromotionStoreID": F.col("LocationID"), "IsActive": F.lit(1)})
+    _save(dims.stamped(stores, created), root, "promo.PromotionStores")
+
+
+def load_loyalty(
+    spark: SparkSession, root: str, members: Numbers = 2000, created: dt.datetime | None = None
+) -> None:
+    _save(dims.loyalty_members(_numbers(spark, members), created), root, "loyalty.Members")
+    _save(dims.rewards(spark, created), root, "loyalty.Rewards")
+
+
+def load_orders(
+    spark: SparkSession, root: str, orders: Numbers = 5_000_000, created: dt.datetime | None = None
+) -> None:
+    """Orders, lines, payments, receipts, feedback, stock movements and ledger.
+
+    Keys are dealt round robin over the stored dimensions. The order header is
+    the sum of its lines.
+    """
+    menu = read_table(spark, root, "menu.Items")
+    channels = read_or_seed(spark, root, "ord.OrderChannels", lambda: dims.order_channels(spark))
+    counts = {
+        "LocationID": read_table(spark, root, "store.Locations").count(),
+        "MemberID": read_table(spark, root, "loyalty.Members").count(),
+        "ChannelID": channels.count(),
+        "OrderDateID": read_table(spark, root, "dim.Calendar").count(),
+    }
+    number = F.col("Number")
+    base = _numbers(spark, orders).select(
+        number.alias("OrderID"),
+        keys.stable_guid("order", number).alias("OrderGUID"),
+        *[
+            keys.round_robin(number, count).cast("int").alias(name)
+            for name, count in counts.items()
+        ],
+        order_type(number).alias("OrderType"),
+        payment_method(number).alias("PaymentMethod"),
+    )
+    lines = sales.price_lines(
+        sales.explode_lines(base.select("OrderID", "LocationID", "OrderDateID"), menu.count())
+        .withColumn("Quantity", F.lit(1)),
+        menu,
+    ).withColumn("OrderItemID", (F.col("OrderID") - 1) * LINES_PER_ORDER + F.col("LineNumber"))
+    items = _save(dims.stamped(lines, created), root, "ord.OrderItems")
+
+    nothing = amount(F.lit(0))
+    priced = sales.order_pricing(
+        base,
+        items.select(
+            "OrderID",
+            F.col("LineTotal").alias("Gross"),
+            nothing.alias("Discount"),
+            nothing.alias("Refund"),
+        ),
+    )
+    headed = (
+        priced.withColumns(
+            {
+                "OrderStatus": F.lit("Completed"),
+                "PaymentDateID": F.col("OrderDateID"),
+                "PreparedBy": F.lit(None).cast("int"),
+                "ProcessedBy": F.lit(None).cast("int"),
+                "PromoCode": F.lit(None).cast("string"),
+            }
+        )
+        .join(
+            calendar_lookup(spark, "CalendarDate", "Year").withColumnRenamed(
+                "CalendarID", "OrderDateID"
+            ),
+            "OrderDateID",
+        )
+        .withColumn("OrderDateTime", F.col("CalendarDate").cast("timestamp_ntz"))
+        .withColumnRenamed("CalendarDate", "OrderDate")
+    )
+    stored = _save(dims.stamped(headed, created), root, "ord.Orders", partition_by="Year")
+
+    payments = sales.payments(stored).withColumn("ProcessedBy", F.lit(None).cast("int"))
+    _save(dims.stamped(payments, created), root, "ord.PaymentTransactions")
+    _save(dims.stamped(sales.receipts(stored), created), root, "ord.Receipts")
+    given = loyalty.feedback(stored).select(
+        F.col("OrderID").alias("FeedbackID"), "OrderID", "MemberID", "OverallRating"
+    )
+    _save(dims.stamped(given, created), root, "ord.OrderFeedback", allow_empty=True)
+    _save(_stock_movements(spark, root, items), root, "inv.InventoryTransactions")
+    entries = ledger.ledger(stored).join(stored.select("OrderID", "LocationID"), "OrderID")
+    kinds = len(ledger.ENTRIES)
+    position = F.array_position(F.array(*[F.lit(e[0]) for e in ledger.ENTRIES]), F.col("EntryType"))
+    booked = entries.withColumn("LedgerID", F.col("OrderID") * kinds + position)
+    _save(
+        dims.stamped(booked.withColumnRenamed("LedgerDateID", "OrderDateID"), created),
+        root,
+        "finance.Ledger",
+    )
+
+
+def _stock_movements(spark: SparkSession, root: str, items: DataFrame) -> DataFrame:
+    """One movement per order line and ingredient, with the stock before and after."""
+    recipes = read_table(spark, root, "menu.RecipeItems").select(
+        "ItemID",
+        F.col("IngredientID").cast("int").alias("InventoryItemID"),
+        F.col("Quantity").alias("RecipeQuantity"),
+    )
+    stock = read_table(spark, root, "inv.StoreInventory").select(
+        "StoreInventoryID", "LocationID", "InventoryItemID", "QuantityOnHand"
+    )
+    used = (
+        items.select("OrderItemID", "OrderID", "LocationID", "OrderDateID", "ItemID", "Quantity")
+        .join(recipes, "ItemID")
+        .join(stock, ["LocationID", "InventoryItemID"])
+        .select(
+            (F.col("OrderItemID") * (len(inventory.INGREDIENTS) + 1) + F.col("InventoryItemID"))
+            .alias("TransactionID"),
+            "StoreInventoryID",
+            F.lit("Usage").alias("TransactionType"),
+            (F.col("Quantity") * F.col("RecipeQuantity")).cast("decimal(14,4)").alias("Quantity"),
+            "QuantityOnHand",
+            F.col("OrderID").alias("OrderIDRef"),
+            F.lit("Sale").alias("ReasonCode"),
+            F.col("OrderDateID").alias("TransactionDateID"),
+            F.lit(None).cast("int").alias("ProcessedBy"),
+        )
+    )
+    moved = running.running_sum(
+        used, ["StoreInventoryID"], ["TransactionDateID", "TransactionID"], "Quantity", "_used"
+    )
+    after = F.col("QuantityOnHand") - F.col("_used")
+    return moved.withColumns(
+        {"QuantityAfter": after, "QuantityBefore": after + F.col("Quantity")}
+    ).drop("_used", "QuantityOnHand")
+
+
+def load_finance(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    """The daily store summary and the store expenses."""
+    orders = read_table(spark, root, "ord.Orders")
+    costs = inventory.item_costs(read_table(spark, root, "menu.Items"))
+    per_order = (
+        sales.with_cost(read_table(spark, root, "ord.OrderItems"), costs)
+        .groupBy("OrderID")
+        .agg(F.sum("Quantity").alias("Quantity"), F.sum("Cost").alias("Cost"))
+    )
+    by_store = orders.select(
+        "OrderID",
+        *sales.STORE_DAY,
+        "MemberID",
+        "ChannelID",
+        "PaymentMethod",
+        F.col("TotalAmount").alias("Gross"),
+        F.col("DiscountAmount").alias("Discount"),
+        F.col("RefundAmount").alias("Refund"),
+    ).join(per_order, "OrderID")
+    people = read_table(spark, root, "emp.Employees").select(
+        "EmployeeID",
+        F.col("PrimaryLocationID").alias("LocationID"),
+        (F.col("HourlyRate") * 100).cast("bigint").alias("HourlyCents"),
+    )
+    wages = labor.daily_labor(
+        read_table(spark, root, "emp.TimeTracking").drop("LocationID"), people
+    )
+    summary = sales.daily_summary(by_store, sales.daily_customers(by_store), wages).withColumns(
+        {name: F.lit(None).cast("int") for name in ("ReconciledBy", "ReconciledDateID")}
+    )
+    _save(dims.stamped(summary, created), root, "finance.DailySalesSummary", partition_by="Year")
+    stores = read_table(spark, root, "store.Locations")
+    _save(dims.store_expenses(stores, created), root, "finance.StoreExpenses")
+
+
+def load_system(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
+    _save(dims.system_configuration(spark, created), root, "dbo.SystemConfiguration")
+    for table in ("dbo.AuditLog", "dbo.ErrorLog"):
+        _save(empty_table(spark, table), root, table, allow_empty=True)
+
+
+def build(
+    spark: SparkSession,
+    root: str,
+    stores: Numbers = 200,
+    employees: Numbers = 1000,
+    items: Numbers = 300,
+    members: Numbers = 2000,
+    orders: Numbers = 5_000_000,
+    created: dt.datetime | None = None,
+) -> None:
+    """Load every table, in order of dependency."""
+    load_calendar(spark, root, created)
+    load_states(spark, root, created)
+    load_locations(spark, root, stores, created)
+    load_operating_hours(spark, root, created)
+    load_positions(spark, root, created)
+    load_employees(spark, root, employees, created)
+    load_schedules(spark, root, created)
+    load_menu(spark, root, items, created)
+    load_inventory(spark, root, created)
+    load_promotions(spark, root, created)
+    load_loyalty(spark, root, members, created)
+    load_orders(spark, root, orders, created)
+    load_finance(spark, root, created)
+    load_system(spark, root, created)
+
+
+def report(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
+    """Check stored tables against the catalogue: TableName, Kind, Subject, Violations."""
+    stored = {table: read_table(spark, root, table) for table in tables}
+    return quality.union_all(
+        [quality.table_report(df, table, stored) for table, df in stored.items()]
+    )

@@ -1,0 +1,129 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from larder.catalog import schemas
+from larder.operators import dimensions as dims
+from larder.plans import warehouse
+from larder.sources import tables
+
+CREATED = dt.datetime(2024, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    numbers = dims.numbers(spark, 7)  # sizes may come as a count or as numbers
+    warehouse.build(
+        spark, root, stores=numbers, employees=11, items=30, members=40, orders=500, created=CREATED
+    )
+    return root
+
+
+@pytest.fixture(scope="module")
+def stored(spark, root):
+    return lambda table: tables.read_table(spark, root, table)
+
+
+EXPECTED_ROWS = {
+    "dim.Calendar": 36891, "store.States": 51, "store.Locations": 7, "store.OperatingHours": 49,
+    "emp.Positions": 4, "emp.Employees": 11, "emp.Schedules": 330, "emp.TimeTracking": 330,
+    "emp.Payroll": 11, "menu.Categories": 4, "menu.Items": 30, "menu.Ingredients": 7,
+    "inv.Items": 7, "inv.StoreInventory": 49, "inv.PurchaseOrders": 21,
+    "inv.PurchaseOrderItems": 63, "promo.Promotions": 2, "promo.PromotionItems": 30,
+    "promo.PromotionStores": 7, "loyalty.Members": 40, "loyalty.Rewards": 2,
+    "ord.OrderChannels": 6, "ord.Orders": 500, "ord.OrderItems": 1250,
+    "ord.PaymentTransactions": 500, "ord.Receipts": 500, "finance.StoreExpenses": 7,
+    "dbo.SystemConfiguration": 1, "dbo.AuditLog": 0, "dbo.ErrorLog": 0,
+}
+
+
+def test_row_counts(stored):
+    assert {t: stored(t).count() for t in EXPECTED_ROWS} == EXPECTED_ROWS
+
+
+def test_catalogue_holds(spark, root):
+    known = [t for t in os.listdir(root) if t in schemas.tables()]
+    assert len(known) == 31
+    wrong = warehouse.report(spark, root, known).where("Violations > 0").collect()
+    # a promotion runs past the calendar, and nobody processes stock movements
+    assert {(r.TableName, r.Subject) for r in wrong} == {
+        ("promo.Promotions", "EndDateID -> dim.Calendar"),
+        ("inv.InventoryTransactions", "ProcessedBy"),
+    }
+
+
+def test_partitioned_by_year(root):
+    for table in ("dim.Calendar", "ord.Orders", "finance.DailySalesSummary"):
+        assert any(name.startswith("Year=") for name in os.listdir(f"{root}/{table}"))
+
+
+def test_order_header_is_the_sum_of_its_lines(stored):
+    sums = stored("ord.OrderItems").groupBy("OrderID").agg(
+        F.sum("LineTotal").alias("s"), F.count("*").alias("n")
+    )
+    joined = stored("ord.Orders").join(sums, "OrderID")
+    wrong = joined.where(
+        "s <> SubtotalAmount OR n <> OrderID % 4 + 1 OR TaxAmount <> round(s * 0.07, 2)"
+        " OR TotalAmount <> s + TaxAmount + DeliveryFee + TipAmount - DiscountAmount"
+        " OR LoyaltyPointsEarned <> floor(s)"
+    )
+    assert joined.count() == 500 and wrong.count() == 0
+
+
+def test_payroll(stored):
+    rows = stored("emp.Payroll").collect()
+    assert all(r.HoursWorked == pytest.approx(30 * 7.95) for r in rows)
+    assert all(float(r.GrossPay) == 3577.5 for r in rows)
+
+
+def test_stock_runs_down(stored):
+    moves = stored("inv.InventoryTransactions").orderBy("TransactionDateID", "TransactionID")
+    stock = {}
+    for r in moves.collect():
+        before = stock.get(r.StoreInventoryID, 200)
+        assert (r.QuantityBefore, r.QuantityAfter) == (before, before - r.Quantity)
+        stock[r.StoreInventoryID] = r.QuantityAfter
+    assert len(stock) > 40
+
+
+def test_purchase_order_totals(stored):
+    lines = stored("inv.PurchaseOrderItems").groupBy("PurchaseOrderID").agg(
+        F.sum("LineTotal").alias("s")
+    )
+    wrong = stored("inv.PurchaseOrders").join(lines, "PurchaseOrderID").where("s <> TotalAmount")
+    assert wrong.count() == 0
+
+
+def test_daily_summary_agrees_with_orders(stored):
+    orders, daily = stored("ord.Orders"), stored("finance.DailySalesSummary")
+    assert daily.agg(F.sum("TotalOrders")).first()[0] == 500
+    assert daily.agg(F.sum("GrossSales")).first()[0] == orders.agg(F.sum("TotalAmount")).first()[0]
+    assert daily.where("GrossSales < 0 OR NetSales < 0 OR CostOfGoodsSold <= 0").count() == 0
+    split = daily.where(
+        "GrossSales <> InStoreSales + DriveThruSales + OnlineSales + DeliverySales"
+        " OR GrossSales <> CashPayments + CardPayments + MobilePayments"
+    )
+    assert split.count() == 0
+
+
+def test_ledger_balances(stored):
+    kinds = {
+        r.EntryType: r.s
+        for r in stored("finance.Ledger").groupBy("EntryType").agg(F.sum("Amount").alias("s")).collect()
+    }
+    total = stored("ord.Orders").agg(F.sum("SubtotalAmount"), F.sum("TotalAmount")).first()
+    assert (kinds["Revenue"], kinds["Payment"]) == tuple(total)
+    assert stored("finance.Ledger").groupBy("LedgerID").count().where("count > 1").count() == 0
+
+
+def test_channels_are_seeded_once(spark, root, stored):
+    again = tables.read_or_seed(spark, root, "ord.OrderChannels", lambda: 1 / 0)
+    assert again.count() == 6
+
+
+def test_feedback(stored):
+    given = stored("ord.OrderFeedback")
+    assert given.where("OverallRating NOT BETWEEN 1 AND 5").count() == 0
