@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.functions.keys import PURCHASE_ORDER_NUMBER, business_key
 from larder.functions.money import amount
 from larder.functions.recipes import INGREDIENTS, recipe, recipe_cost
+from larder.operators.running import HOT_ROWS, running_sum
 
 # Unit cost, stock levels and purchase orders of an inventory item.
 UNIT_COST = Decimal("1.00")
@@ -85,6 +86,32 @@ def running_stock(usage: DataFrame, opening: Column) -> DataFrame:
     )
 
 
+def line_usage(lines: DataFrame, recipes: DataFrame) -> DataFrame:
+    """One row per line and ingredient of its item, with the quantity used."""
+    return (
+        lines.join(recipes, "ItemID")
+        .withColumn("Quantity", F.col("Quantity") * F.col("RecipeQuantity"))
+        .drop("RecipeQuantity")
+    )
+
+
+def stock_movements(
+    usage: DataFrame, keys: list[str], order: list[str], opening: Column, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The stock before and after each use.
+
+    ``keys`` name a stock and ``order`` the sequence of its movements; rows that
+    tie in all of ``order`` must use the same quantity. A stock with very many
+    movements is summed range by range.
+    """
+    after = opening - F.col("_used")
+    return (
+        running_sum(usage, keys, order, "Quantity", "_used", hot_rows)
+        .withColumns({"QuantityAfter": after, "QuantityBefore": after + F.col("Quantity")})
+        .drop("_used")
+    )
+
+
 def ingredient_array() -> Column:
     return F.array(
         *[

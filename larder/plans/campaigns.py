@@ -45,7 +45,7 @@ TARGETS = [
 ]
 TARGET_TYPES = "PromotionID bigint, ItemID bigint, Category string, ComboID bigint"
 
-LOCAL_CAMPAIGN = 6
+LOCAL_CAMPAIGNS = [6]
 COMBO_SPAN = 50
 COMBO_OFFSETS = (0, 7, 21)
 
@@ -59,9 +59,10 @@ def targets(spark: SparkSession) -> DataFrame:
 
 
 def campaign_stores(locations: DataFrame) -> DataFrame:
-    """The local campaign runs in the stores with an odd number."""
+    """Local campaigns run in the stores with an odd number."""
+    local = F.explode(F.array(*[F.lit(key).cast("bigint") for key in LOCAL_CAMPAIGNS]))
     return locations.where(F.col("LocationID") % 2 == 1).select(
-        F.lit(LOCAL_CAMPAIGN).cast("bigint").alias("PromotionID"), "LocationID"
+        local.alias("PromotionID"), "LocationID"
     )
 
 

@@ -295,6 +295,36 @@ def _inventory_running_stock(spark, sf_dir):
     return inventory.running_stock(daily_usage(spark, sf_dir), opening)
 
 
+@query(
+    "inventory_transactions",
+    f"""WITH {o.ORDERS}, {o.LINES}, {o.RECIPES}, used AS (
+      SELECT l.LocationID, r.IngredientID, l.OrderID, l.LineNumber, l.ItemID, o.OrderDateID,
+             l.Quantity * r.RecipeQuantity AS Used
+      FROM lines l JOIN ord o USING (OrderID) JOIN recipes r USING (ItemID)),
+    running AS (
+      SELECT *, {_OPENING} - sum(Used) OVER (
+               PARTITION BY LocationID, IngredientID
+               ORDER BY OrderDateID, OrderID, LineNumber, ItemID, Used ROWS UNBOUNDED PRECEDING)
+             AS After FROM used)
+    SELECT LocationID, IngredientID, OrderID, LineNumber, ItemID, OrderDateID,
+           CAST(Used AS DOUBLE) AS Quantity, CAST(After + Used AS DOUBLE) AS QuantityBefore,
+           CAST(After AS DOUBLE) AS QuantityAfter FROM running""",
+)
+def _inventory_transactions(spark, sf_dir):
+    opening = amount((F.col("LocationID") * 37 + F.col("IngredientID") * 101) % 4000 + 5000, 14, 4)
+    lines = retail.order_lines(spark, sf_dir).select(
+        "OrderID", "LineNumber", "LocationID", "ItemID", "Quantity"
+    )
+    dated = lines.join(retail.orders(spark, sf_dir).select("OrderID", "OrderDateID"), "OrderID")
+    recipes = inventory.recipe_items(retail.items(spark, sf_dir))
+    return inventory.stock_movements(
+        inventory.line_usage(dated, recipes),
+        ["LocationID", "IngredientID"],
+        ["OrderDateID", "OrderID", "LineNumber", "ItemID", "Quantity"],
+        opening,
+    )
+
+
 _INGREDIENT_VALUES = o.values(
     [(key, name) for key, (_, name, _) in enumerate(INGREDIENTS, 1)], ["INTEGER", "VARCHAR"]
 )
@@ -467,7 +497,8 @@ def _promo_targets_expand(spark, sf_dir):
         AND (TimeStart IS NULL OR ClockTime >= TimeStart)
         AND (TimeEnd IS NULL OR ClockTime <= TimeEnd)
         AND s.Gross >= coalesce(MinPurchase, 0)
-        AND (p.PromotionID <> {c.LOCAL_CAMPAIGN} OR s.LocationID % 2 = 1)),
+        AND (p.PromotionID NOT IN ({', '.join(map(str, c.LOCAL_CAMPAIGNS))})
+             OR s.LocationID % 2 = 1)),
     priced AS (
       SELECT OrderID, LocationID, PromotionID,
              CASE WHEN Pct IS NOT NULL THEN round(Base * Pct * CAST(0.01 AS DECIMAL(3,2)), 2)

@@ -19,7 +19,7 @@ from larder.functions import keys
 from larder.functions.dates import date_of_id
 from larder.functions.money import amount
 from larder.operators import dimensions as dims
-from larder.operators import inventory, labor, ledger, loyalty, promo, quality, running, sales
+from larder.operators import inventory, labor, ledger, loyalty, promo, quality, sales
 from larder.operators.calendar import calendar, calendar_lookup
 from larder.sources.retail import order_type, payment_method
 from larder.sources.tables import empty_table, read_or_seed, read_table, table_path, write_parquet
@@ -35,12 +35,25 @@ def _numbers(spark: SparkSession, size: Numbers) -> DataFrame:
     return size.select("Number") if isinstance(size, DataFrame) else dims.numbers(spark, size)
 
 
-def _save(df: DataFrame, root: str, table: str, **options) -> DataFrame:
-    """Write a table, catalogued columns first and in their order, and return it."""
+def _save(
+    df: DataFrame,
+    root: str,
+    table: str,
+    partition_by: str | None = None,
+    allow_empty: bool = False,
+) -> DataFrame:
+    """Write a table, catalogued columns first and in their order, and return it.
+
+    Emptiness is checked on the stored table, so the plan runs only once.
+    """
     path = table_path(root, table)
     known = [c.name for c in schemas.tables().get(table, ()) if c.name in df.columns]
-    write_parquet(df.select(*known, *[c for c in df.columns if c not in known]), path, **options)
-    return df.sparkSession.read.parquet(path)
+    ordered = df.select(*known, *[c for c in df.columns if c not in known])
+    write_parquet(ordered, path, partition_by=partition_by, allow_empty=True)
+    stored = df.sparkSession.read.schema(ordered.schema).parquet(path)
+    if not allow_empty and stored.isEmpty():
+        raise ValueError(f"{table} is empty")
+    return stored
 
 
 def load_calendar(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:
@@ -283,7 +296,7 @@ def load_orders(
 
 
 def _stock_movements(spark: SparkSession, root: str, items: DataFrame) -> DataFrame:
-    """One movement per order line and ingredient, with the stock before and after."""
+    """Movements of the stored stock by the stored recipes."""
     recipes = read_table(spark, root, "menu.RecipeItems").select(
         "ItemID",
         F.col("IngredientID").cast("int").alias("InventoryItemID"),
@@ -292,30 +305,27 @@ def _stock_movements(spark: SparkSession, root: str, items: DataFrame) -> DataFr
     stock = read_table(spark, root, "inv.StoreInventory").select(
         "StoreInventoryID", "LocationID", "InventoryItemID", "QuantityOnHand"
     )
-    used = (
-        items.select("OrderItemID", "OrderID", "LocationID", "OrderDateID", "ItemID", "Quantity")
-        .join(recipes, "ItemID")
-        .join(stock, ["LocationID", "InventoryItemID"])
-        .select(
-            (F.col("OrderItemID") * (len(inventory.INGREDIENTS) + 1) + F.col("InventoryItemID"))
-            .alias("TransactionID"),
-            "StoreInventoryID",
-            F.lit("Usage").alias("TransactionType"),
-            (F.col("Quantity") * F.col("RecipeQuantity")).cast("decimal(14,4)").alias("Quantity"),
-            "QuantityOnHand",
-            F.col("OrderID").alias("OrderIDRef"),
-            F.lit("Sale").alias("ReasonCode"),
-            F.col("OrderDateID").alias("TransactionDateID"),
-            F.lit(None).cast("int").alias("ProcessedBy"),
-        )
+    lines = items.select(
+        "OrderItemID", "OrderID", "LocationID", "OrderDateID", "ItemID", "Quantity"
     )
-    moved = running.running_sum(
-        used, ["StoreInventoryID"], ["TransactionDateID", "TransactionID"], "Quantity", "_used"
+    used = inventory.line_usage(lines, recipes).join(stock, ["LocationID", "InventoryItemID"])
+    moved = inventory.stock_movements(
+        used, ["StoreInventoryID"], ["OrderDateID", "OrderItemID"], F.col("QuantityOnHand")
+    )
+    width = len(inventory.INGREDIENTS) + 1
+    return moved.select(
+        (F.col("OrderItemID") * width + F.col("InventoryItemID")).alias("TransactionID"),
+        "StoreInventoryID",
+        F.lit("Usage").alias("TransactionType"),
+        *[
+            F.col(name).cast("decimal(14,4)").alias(name)
+            for name in ("Quantity", "QuantityBefore", "QuantityAfter")
+        ],
+        F.col("OrderID").alias("OrderIDRef"),
+        F.lit("Sale").alias("ReasonCode"),
+        F.col("OrderDateID").alias("TransactionDateID"),
+        F.lit(None).cast("int").alias("ProcessedBy"),
     )
-    after = F.col("QuantityOnHand") - F.col("_used")
-    return moved.withColumns(
-        {"QuantityAfter": after, "QuantityBefore": after + F.col("Quantity")}
-    ).drop("_used", "QuantityOnHand")
 
 
 def load_finance(spark: SparkSession, root: str, created: dt.datetime | None = None) -> None:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_written: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,7 +30,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the scratch folder that nobody else uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process made; returns how many there were.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(path.getFileSystem(hadoop).delete(path, True))
+    return dropped
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -34,7 +34,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_plan_spreads(spark, name):
     plan = QUERIES[name].run(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:

@@ -15,10 +15,13 @@ SPLIT_SOON = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    # a skewed partition is split by the tasks that wrote it, so there must be several
+    "spark.sql.files.maxPartitionBytes": "64k",
+    "spark.sql.files.openCostInBytes": "1k",
 }
 NAMES = [
     "daily_sales", "daily_customers", "daily_channel_pivot", "daily_sales_summary", "daily_cogs",
-    "order_pricing", "line_price_lookup", "recipe_explosion", "inventory_running_stock",
+    "inventory_transactions", "order_pricing", "line_price_lookup", "recipe_explosion", "inventory_running_stock",
     "promo_applicability", "points_running_balance", "payroll", "member_lifetime",
     "feedback_by_store", "dq_foreign_keys", "dq_unique", "calendar_role_join", "surrogate_key",
     "payment_transactions", "store_pnl", "distinct_keys", "ledger_unpivot", "region_counts",
