@@ -96,17 +96,22 @@ def line_usage(lines: DataFrame, recipes: DataFrame) -> DataFrame:
 
 
 def stock_movements(
-    usage: DataFrame, keys: list[str], order: list[str], opening: Column, hot_rows: int = HOT_ROWS
+    usage: DataFrame,
+    keys: list[str],
+    order: list[str],
+    opening: Column,
+    hot_rows: int = HOT_ROWS,
+    sized: DataFrame | None = None,
 ) -> DataFrame:
     """The stock before and after each use.
 
     ``keys`` name a stock and ``order`` the sequence of its movements; rows that
     tie in all of ``order`` must use the same quantity. A stock with very many
-    movements is summed range by range.
+    movements is summed range by range; ``sized`` is passed on to find those.
     """
     after = opening - F.col("_used")
     return (
-        running_sum(usage, keys, order, "Quantity", "_used", hot_rows)
+        running_sum(usage, keys, order, "Quantity", "_used", hot_rows, sized)
         .withColumns({"QuantityAfter": after, "QuantityBefore": after + F.col("Quantity")})
         .drop("_used")
     )

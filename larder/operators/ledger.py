@@ -32,13 +32,13 @@ def ledger(priced: DataFrame) -> DataFrame:
     ).where(F.col("Amount") != 0)
 
 
-def store_profit(by_store: DataFrame, labor: DataFrame, expenses: DataFrame) -> DataFrame:
+def store_profit(lines: DataFrame, labor: DataFrame, expenses: DataFrame) -> DataFrame:
     """Net sales less cost of goods, labour and expenses, per store.
 
     Every input is summed per store before the joins, so they meet one row per
-    store each.
+    store each. Lines know their store, so the orders are not read.
     """
-    sales = by_store.groupBy("LocationID").agg(
+    sales = lines.groupBy("LocationID").agg(
         F.sum(F.col("Gross") - F.col("Discount") - F.col("Refund")).alias("NetSales"),
         F.sum("Cost").alias("CostOfGoodsSold"),
     )

@@ -26,6 +26,7 @@ def running_sum(
     value: str,
     out: str,
     hot_rows: int = HOT_ROWS,
+    sized: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row, per ``keys`` in ``order``.
 
@@ -33,16 +34,23 @@ def running_sum(
     rows is one window group. The rows of larger keys are cut into ranges of the
     sort order; each range is summed by itself and starts from the total of the
     ranges before it. The hot keys are at most ``rows / hot_rows`` in number.
+
+    Where counting ``df`` is dear, ``sized`` may stand in for it: a frame with
+    some of the keys and at least as many rows for each as ``df`` has.
     """
+    counted = df if sized is None else sized
+    by = [key for key in keys if key in counted.columns]
     hot = materialize(
-        df.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys), "hot-keys"
+        counted.groupBy(*by).count().where(F.col("count") > hot_rows).select(*by), "hot-keys"
     )
     if hot.isEmpty():
         return _summed(df, keys, order, value, out)
-    cold = df.join(F.broadcast(hot), keys, "left_anti")
-    large = df.join(F.broadcast(hot), keys, "left_semi")
-    return _summed(cold, keys, order, value, out).unionByName(
-        _summed_by_range(large, keys, order, value, out)
+    cold = df.join(F.broadcast(hot), by, "left_anti")
+    large = df.join(F.broadcast(hot), by, "left_semi")
+    return (
+        _summed(cold, keys, order, value, out)
+        .select(*df.columns, out)
+        .unionByName(_summed_by_range(large, keys, order, value, out))
     )
 
 

@@ -13,7 +13,7 @@ from larder.operators.surrogate import assign_round_robin, dense_ids
 from larder.plans import oracle as o
 from larder.plans.registry import query
 from larder.sources import retail
-from larder.sources.scratch import fresh_path
+from larder.sources.scratch import fresh_path, materialize
 from larder.sources.tables import write_parquet
 
 
@@ -85,16 +85,21 @@ def _range_facts(spark, sf_dir):
 
 
 def _dated_calendar(spark, facts, id_column, counted, corrected):
-    """The calendar over the days the facts span, with the number of facts per day."""
-    per_day = facts.groupBy(F.col(id_column).alias("CalendarID")).agg(
-        F.count("*").alias(counted)
+    """The calendar over the days the facts span, with the number of facts per day.
+
+    The facts are read once: the counts per day, at most one row per calendar
+    day, are stored and also give the span.
+    """
+    per_day = materialize(
+        facts.groupBy(F.col(id_column).alias("CalendarID")).agg(F.count("*").alias(counted)),
+        "per-day",
     )
-    span = facts.agg(
-        F.min(date_of_id(F.col(id_column))).alias("first"),
-        F.max(date_of_id(F.col(id_column))).alias("last"),
+    span = per_day.agg(
+        date_of_id(F.min("CalendarID")).alias("first"),
+        date_of_id(F.max("CalendarID")).alias("last"),
     ).first()
     days = calendar(spark, span["first"], span["last"], corrected).drop("CreatedDate")
-    return days.join(per_day, "CalendarID", "left").withColumn(
+    return days.join(F.broadcast(per_day), "CalendarID", "left").withColumn(
         counted, F.coalesce(counted, F.lit(0).cast("bigint"))
     )
 

@@ -10,11 +10,14 @@ from larder.plans.registry import query
 from larder.sources import retail
 
 
+def costed_lines(spark, sf_dir):
+    costs = inventory.item_costs(retail.items(spark, sf_dir))
+    return sales.with_cost(retail.order_lines(spark, sf_dir), costs)
+
+
 def store_orders(spark, sf_dir, *attributes, cost=False):
     """Store orders with the date and the named attributes of their order."""
-    lines = retail.order_lines(spark, sf_dir)
-    if cost:
-        lines = sales.with_cost(lines, inventory.item_costs(retail.items(spark, sf_dir)))
+    lines = costed_lines(spark, sf_dir) if cost else retail.order_lines(spark, sf_dir)
     orders = retail.orders(spark, sf_dir).select("OrderID", "OrderDateID", *attributes)
     return sales.store_orders(lines, orders)
 

@@ -11,7 +11,13 @@ from larder.operators import dimensions, hierarchy, inventory, labor, ledger, lo
 from larder.plans import campaigns as c
 from larder.plans import oracle as o
 from larder.plans.registry import query
-from larder.plans.sales_queries import daily_labor, employees, shifts, store_orders
+from larder.plans.sales_queries import (
+    costed_lines,
+    daily_labor,
+    employees,
+    shifts,
+    store_orders,
+)
 from larder.sources import retail
 
 # --- orders and lines ---------------------------------------------------------
@@ -322,6 +328,9 @@ def _inventory_transactions(spark, sf_dir):
         ["LocationID", "IngredientID"],
         ["OrderDateID", "OrderID", "LineNumber", "ItemID", "Quantity"],
         opening,
+        # a line moves each ingredient at most once, so a store's lines bound the
+        # movements of each of its stocks and are much cheaper to count
+        sized=lines.select("LocationID"),
     )
 
 
@@ -421,7 +430,7 @@ def _reorder_report(spark, sf_dir):
 )
 def _store_pnl(spark, sf_dir):
     return ledger.store_profit(
-        store_orders(spark, sf_dir, cost=True),
+        costed_lines(spark, sf_dir),
         daily_labor(spark, sf_dir),
         dimensions.store_expenses(retail.locations(spark, sf_dir)),
     )

@@ -69,6 +69,16 @@ def test_hot_key_is_cut_into_several_ranges(spark, movements, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_hot_keys_may_be_found_in_a_cheaper_frame(spark, movements):
+    rows, df = movements
+    wide = df.withColumn("part", F.col("id") % 2)
+    got = running_sum(wide, ["k", "part"], ["t", "id"], "v", "b", 1000, sized=df.select("k"))
+    expected = {}
+    for part in (0, 1):
+        expected |= balances([r for r in rows if r[2] % 2 == part])
+    assert {r.id: r.b for r in got.collect()} == expected
+
+
 def test_running_sum_keeps_null_keys_and_values(spark):
     rows = [(None, 1, 1, 5), (None, 2, 2, None), (1, 1, 3, None), (1, 2, 4, 2), (1, 3, 5, 3)]
     df = spark.createDataFrame(rows, "k int, t int, id int, v bigint")
