@@ -31,10 +31,19 @@ PAYMENT_COLUMNS = {
 }
 
 
+def dated_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines with the date and other columns of their order.
+
+    Enough for daily sums, which add up lines as well as orders. The next
+    grouping is by store and day, so a hot order is split without extra cost.
+    """
+    return lines.join(orders, "OrderID")
+
+
 def store_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order and store, with the sums of its lines there.
 
-    The columns of ``orders`` are kept; select the needed ones beforehand, as
+    For results that count orders. The columns of ``orders`` are kept; select the needed ones beforehand, as
     grouping columns are not pruned. The lines are shuffled once, on the order:
     the grouping reuses the partitioning of the join. Sums nobody reads are
     pruned.
@@ -70,14 +79,14 @@ def daily_customers(by_store: DataFrame) -> DataFrame:
     )
 
 
-def channel_sales(by_store: DataFrame) -> DataFrame:
-    """Tag each store order with the summary column of its channel."""
+def channel_sales(dated: DataFrame) -> DataFrame:
+    """Tag each row with the summary column of its channel."""
     channels = inline_rows(
-        by_store.sparkSession,
+        dated.sparkSession,
         [(key, column) for key, _, _, column in CHANNELS],
         "ChannelID int, ChannelColumn string",
     )
-    return by_store.join(F.broadcast(channels), "ChannelID", "left")
+    return dated.join(F.broadcast(channels), "ChannelID", "left")
 
 
 def _sum_where(condition: Column, value: str) -> Column:
@@ -97,19 +106,19 @@ def payment_columns() -> list[Column]:
     ]
 
 
-def daily_channel_pivot(by_store: DataFrame) -> DataFrame:
+def daily_channel_pivot(dated: DataFrame) -> DataFrame:
     """Sales by channel and by payment method as columns, per store and day."""
     return (
-        channel_sales(by_store)
+        channel_sales(dated)
         .groupBy(*STORE_DAY)
         .agg(*channel_columns(), *payment_columns())
     )
 
 
-def daily_net_sales(by_store: DataFrame) -> DataFrame:
+def daily_net_sales(dated: DataFrame) -> DataFrame:
     """Gross sales less discounts and refunds, per store and day."""
     return (
-        by_store.groupBy(*STORE_DAY)
+        dated.groupBy(*STORE_DAY)
         .agg(
             F.sum("Gross").alias("GrossSales"),
             F.sum("Discount").alias("Discounts"),
@@ -128,32 +137,28 @@ def daily_basket_size(by_store: DataFrame) -> DataFrame:
 
 
 def with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
-    """Add the ingredient cost of each line; an item without a recipe costs nothing.
-
-    Join costs before orders: a later grouping by order can then reuse the
-    partitioning of the order join.
-    """
+    """Add the ingredient cost of each line; an item without a recipe costs nothing."""
     return lines.join(costs.select("ItemID", "UnitCost"), "ItemID", "left").withColumn(
         "Cost", F.coalesce(F.col("Quantity") * F.col("UnitCost"), F.lit(0))
     )
 
 
-def daily_cogs(by_store: DataFrame) -> DataFrame:
+def daily_cogs(dated: DataFrame) -> DataFrame:
     """Cost of goods sold per store and day, from lines that carry their cost."""
-    return by_store.groupBy(*STORE_DAY).agg(F.sum("Cost").alias("CostOfGoodsSold"))
+    return dated.groupBy(*STORE_DAY).agg(F.sum("Cost").alias("CostOfGoodsSold"))
 
 
-def daily_summary(by_store: DataFrame, customers: DataFrame, labor: DataFrame) -> DataFrame:
+def daily_summary(dated: DataFrame, customers: DataFrame, labor: DataFrame) -> DataFrame:
     """The whole daily store summary.
 
-    All sums come from one aggregation of the store orders, which combines
-    before its shuffle. Distinct customers come in as their own daily table:
+    All sums come from one aggregation of the dated lines, which combines before
+    its shuffle. Orders and distinct customers come in as their own daily table:
     counted in the same aggregation they would send every sum through a shuffle
-    on the member as well. All parts are partitioned by store day already, so
-    joining them moves nothing.
+    on order and member as well. All parts are partitioned by store day already,
+    so joining them moves nothing.
     """
     daily = (
-        channel_sales(by_store)
+        channel_sales(dated)
         .groupBy(*STORE_DAY)
         .agg(
             F.sum("Gross").alias("GrossSales"),

@@ -15,11 +15,20 @@ def costed_lines(spark, sf_dir):
     return sales.with_cost(retail.order_lines(spark, sf_dir), costs)
 
 
-def store_orders(spark, sf_dir, *attributes, cost=False):
+def _dated_orders(spark, sf_dir, attributes):
+    return retail.orders(spark, sf_dir).select("OrderID", "OrderDateID", *attributes)
+
+
+def store_orders(spark, sf_dir, *attributes):
     """Store orders with the date and the named attributes of their order."""
+    lines = retail.order_lines(spark, sf_dir)
+    return sales.store_orders(lines, _dated_orders(spark, sf_dir, attributes))
+
+
+def dated_lines(spark, sf_dir, *attributes, cost=False):
+    """Lines with the date and the named attributes of their order."""
     lines = costed_lines(spark, sf_dir) if cost else retail.order_lines(spark, sf_dir)
-    orders = retail.orders(spark, sf_dir).select("OrderID", "OrderDateID", *attributes)
-    return sales.store_orders(lines, orders)
+    return sales.dated_lines(lines, _dated_orders(spark, sf_dir, attributes))
 
 
 def employees(spark, sf_dir):
@@ -85,7 +94,7 @@ _PIVOT = """
     FROM store_orders GROUP BY LocationID, OrderDateID""",
 )
 def _daily_channel_pivot(spark, sf_dir):
-    return sales.daily_channel_pivot(store_orders(spark, sf_dir, "ChannelID", "PaymentMethod"))
+    return sales.daily_channel_pivot(dated_lines(spark, sf_dir, "ChannelID", "PaymentMethod"))
 
 
 @query(
@@ -97,7 +106,7 @@ def _daily_channel_pivot(spark, sf_dir):
     FROM store_orders GROUP BY LocationID, OrderDateID""",
 )
 def _daily_net_sales(spark, sf_dir):
-    return sales.daily_net_sales(store_orders(spark, sf_dir))
+    return sales.daily_net_sales(dated_lines(spark, sf_dir))
 
 
 @query(
@@ -140,7 +149,7 @@ def _daily_labor(spark, sf_dir):
     FROM cogs""",
 )
 def _daily_cogs(spark, sf_dir):
-    return sales.daily_cogs(store_orders(spark, sf_dir, cost=True))
+    return sales.daily_cogs(dated_lines(spark, sf_dir, cost=True))
 
 
 @query(
@@ -166,7 +175,7 @@ def _daily_cogs(spark, sf_dir):
 )
 def daily_sales_summary(spark, sf_dir):
     return sales.daily_summary(
-        store_orders(spark, sf_dir, "ChannelID", "PaymentMethod", cost=True),
+        dated_lines(spark, sf_dir, "ChannelID", "PaymentMethod", cost=True),
         daily_customers(spark, sf_dir),
         daily_labor(spark, sf_dir),
     )
