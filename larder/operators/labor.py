@@ -41,7 +41,7 @@ def shifts(punches: DataFrame, years_back: int = 0) -> DataFrame:
 
 def hours_worked(worked: DataFrame, now: dt.datetime) -> DataFrame:
     """Minutes and hours of each shift; an open shift runs until ``now``."""
-    until = F.coalesce(F.col("ClockOutTime"), F.lit(now).cast("timestamp_ntz"))
+    until = F.coalesce(F.col("ClockOutTime"), F.lit(str(now)).cast("timestamp_ntz"))
     minutes = minutes_between(F.col("ClockInTime"), until)
     return worked.withColumn("TotalMinutes", minutes).withColumn(
         "TotalHoursWorked", F.col("TotalMinutes").cast("double") / F.lit(60.0)

@@ -75,7 +75,8 @@ def _day_applies(date: Column) -> Column:
 
 
 def _time_applies(second: Column) -> Column:
-    clock = F.date_format(F.timestamp_seconds(second), "HH:mm:ss")
+    hours, minutes = F.floor(second / 3600), F.floor(second % 3600 / 60)
+    clock = F.format_string("%02d:%02d:%02d", hours, minutes, second % 60)
     start, end = F.col("ApplicableTimeStart"), F.col("ApplicableTimeEnd")
     return (start.isNull() | (clock >= start)) & (end.isNull() | (clock <= end))
 

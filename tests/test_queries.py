@@ -57,3 +57,18 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert re.search(r"PartitionFilters: \[isnotnull\(Year#\d+\), \(Year#\d+ = 1997\)\]", plan)
     _, plan = scans("active_only_semi")
     assert "LessThanOrEqual(p_size,40)" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["hours_worked", "payroll", "promo_applicability", "daily_sales", "points_running_balance",
+     "calendar_dim", "partitioned_year_prune"],
+)
+def test_results_do_not_depend_on_the_time_zone(spark, con, name):
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "America/New_York")
+    try:
+        assert compare(QUERIES[name].run(spark, SF_DIR), con, QUERIES[name].sql) is None
+    finally:
+        spark.conf.set(zone, before)
