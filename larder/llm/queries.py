@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import pii, quality, toxicity, urls
+from larder.llm import lines, mixing, pii, quality, toxicity, urls
 from larder.llm.registry import QUERIES, query
 from larder.sources.retail import read
 
@@ -26,6 +27,18 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages")).drop("score")
 
 
+@query("op7_line_dedup", lines.SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op10_mixing", mixing.mix_sql())
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mix(read(spark, sf_dir, "documents"))
+    names = {"mix_topic": "topic", "mix_tokens": "tokens", "mix_probability": "probability", "mix_weight": "weight"}
+    return drawn.select("doc_id", "source", "lang", *[F.col(old).alias(new) for old, new in names.items()])
