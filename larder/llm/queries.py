@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import ann, lines, mixing, pii, quality, toxicity, urls
+from larder.llm import ann, lines, mixing, pii, quality, substrings, toxicity, urls
 from larder.llm.registry import QUERIES, query
 from larder.sources.retail import read
 
@@ -22,6 +22,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(read(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op4_nearest")
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"))
