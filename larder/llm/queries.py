@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import ann, lines, mixing, pii, quality, substrings, toxicity, urls
+from larder.llm import ann, jaccard, lines, mixing, pii, quality, substrings, toxicity, urls
 from larder.llm.registry import QUERIES, query
 from larder.sources.retail import read
 
@@ -32,6 +32,11 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"))
 
 
+@query("op5_jaccard_join", jaccard.SQL)
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 @query("op6_url_filter")
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages")).drop("score")
