@@ -77,8 +77,10 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs``, later repeated runs deleted from ``text``, and n_lines and n_removed."""
+def line_dedup(
+    docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
+    """All columns of ``docs``, later repeated runs deleted from ``text``, and two counts of lines: before, and deleted."""
     text = text_of(docs)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *content_key(docs, text), text.alias("_text"))
     gone = repeated(docs, min_words)
@@ -88,7 +90,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     new_text = F.when(F.col("_gone").isNull(), F.col("_row")["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[(new_text if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns],
-        F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.size(lines).cast("long").alias(counts[0]), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(counts[1]),
     )
 
 

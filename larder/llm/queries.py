@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import ann, jaccard, lines, mixing, pii, quality, substrings, toxicity, urls
+from larder.llm import ann, benchmark, jaccard, lines, mixing, pii, quality, substrings, toxicity, urls
 from larder.llm.registry import QUERIES, query
 from larder.sources.retail import read
 
@@ -47,6 +47,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "leaked", "leaked_item", "leaked_overlap", "leaked_items")
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -148,17 +148,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), hel
     return Model(spots, weights[spots], float(weights[-1] + shift), s.bits)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``score``, one row for each row of ``docs``."""
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the score as ``name``, one row for each row of ``docs``."""
     kept = docs.select(*[docs[f"`{name}`"] for name in keep], F.lower(text_of(docs)).alias("_lowered"))
-    fields = kept.select(*[F.col(f"`{name}`") for name in keep], F.lit(0.0).alias("score"))
+    fields = kept.select(*[F.col(f"`{name}`") for name in keep], F.lit(0.0).alias(name))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [sent.value.scores(data, offsets) for _, _, data, offsets in tx.chunks(batch.column(len(keep)))]
             found = pa.array(np.concatenate(parts) if parts else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], found], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], found], names=[*keep, name])
 
     return kept.mapInArrow(run, fields.schema)
 
