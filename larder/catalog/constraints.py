@@ -8,33 +8,115 @@ from larder.catalog import schemas
 
 CALENDAR = "dim.Calendar"
 
-# Which table a column refers to, by column name. Every ``...DateID`` refers to
-# the calendar; the first column of a table is its own key, not a reference.
-REFERENCE_BY_COLUMN = {
-    **dict.fromkeys(["StateID"], "store.States"),
-    **dict.fromkeys(["LocationID", "PrimaryLocationID", "FavoriteLocationID"], "store.Locations"),
-    **dict.fromkeys(["PositionID"], "emp.Positions"),
-    **dict.fromkeys(
-        [
-            "EmployeeID", "SupervisorEmployeeID", "FranchiseOwnerID", "DriverID", "ApprovedBy",
-            "OrderedBy", "ReceivedBy", "PreparedBy", "ProcessedBy", "RespondedBy", "ReconciledBy",
-            "RecordedBy",
-        ],
-        "emp.Employees",
-    ),
-    **dict.fromkeys(["CategoryID", "ParentCategoryID"], "menu.Categories"),
-    **dict.fromkeys(["ItemID"], "menu.Items"),
-    **dict.fromkeys(["ComboID"], "menu.ComboMeals"),
-    **dict.fromkeys(["CustomizationOptionID"], "menu.CustomizationOptions"),
-    **dict.fromkeys(["PromotionID"], "promo.Promotions"),
-    **dict.fromkeys(["MemberID"], "loyalty.Members"),
-    **dict.fromkeys(["ChannelID"], "ord.OrderChannels"),
-    **dict.fromkeys(["OrderID"], "ord.Orders"),
-    **dict.fromkeys(["OrderItemID"], "ord.OrderItems"),
-    **dict.fromkeys(["InventoryItemID"], "inv.Items"),
-    **dict.fromkeys(["StoreInventoryID"], "inv.StoreInventory"),
-    **dict.fromkeys(["PurchaseOrderID"], "inv.PurchaseOrders"),
-}
+# Table, column, and the table it refers to by its primary key.
+REFERENCES = [
+    ("store.Locations", "StateID", "store.States"),
+    ("store.Locations", "OpeningDateID", "dim.Calendar"),
+    ("store.Locations", "ClosingDateID", "dim.Calendar"),
+    ("store.Locations", "FranchiseOwnerID", "emp.Employees"),
+    ("store.OperatingHours", "LocationID", "store.Locations"),
+    ("store.OperatingHours", "EffectiveDateID", "dim.Calendar"),
+    ("store.OperatingHours", "ExpiryDateID", "dim.Calendar"),
+    ("emp.Employees", "StateID", "store.States"),
+    ("emp.Employees", "HireDateID", "dim.Calendar"),
+    ("emp.Employees", "TerminationDateID", "dim.Calendar"),
+    ("emp.Employees", "PositionID", "emp.Positions"),
+    ("emp.Employees", "PrimaryLocationID", "store.Locations"),
+    ("emp.Employees", "SupervisorEmployeeID", "emp.Employees"),
+    ("emp.Schedules", "EmployeeID", "emp.Employees"),
+    ("emp.Schedules", "LocationID", "store.Locations"),
+    ("emp.Schedules", "ShiftDateID", "dim.Calendar"),
+    ("emp.Schedules", "ApprovedBy", "emp.Employees"),
+    ("emp.TimeTracking", "EmployeeID", "emp.Employees"),
+    ("emp.TimeTracking", "LocationID", "store.Locations"),
+    ("emp.TimeTracking", "ClockInDateID", "dim.Calendar"),
+    ("emp.TimeTracking", "ClockOutDateID", "dim.Calendar"),
+    ("emp.TimeTracking", "ApprovedBy", "emp.Employees"),
+    ("menu.Categories", "ParentCategoryID", "menu.Categories"),
+    ("menu.Items", "CategoryID", "menu.Categories"),
+    ("menu.Items", "LaunchDateID", "dim.Calendar"),
+    ("menu.Items", "DiscontinuedDateID", "dim.Calendar"),
+    ("menu.ItemCustomizations", "ItemID", "menu.Items"),
+    ("menu.ItemCustomizations", "CustomizationOptionID", "menu.CustomizationOptions"),
+    ("menu.ComboMeals", "LaunchDateID", "dim.Calendar"),
+    ("menu.ComboMeals", "ExpiryDateID", "dim.Calendar"),
+    ("menu.ComboItems", "ComboID", "menu.ComboMeals"),
+    ("menu.ComboItems", "ItemID", "menu.Items"),
+    ("promo.Promotions", "StartDateID", "dim.Calendar"),
+    ("promo.Promotions", "EndDateID", "dim.Calendar"),
+    ("promo.PromotionItems", "PromotionID", "promo.Promotions"),
+    ("promo.PromotionItems", "ItemID", "menu.Items"),
+    ("promo.PromotionItems", "CategoryID", "menu.Categories"),
+    ("promo.PromotionItems", "ComboID", "menu.ComboMeals"),
+    ("promo.PromotionStores", "PromotionID", "promo.Promotions"),
+    ("promo.PromotionStores", "LocationID", "store.Locations"),
+    ("loyalty.Members", "StateID", "store.States"),
+    ("loyalty.Members", "EnrollmentDateID", "dim.Calendar"),
+    ("loyalty.Members", "FavoriteLocationID", "store.Locations"),
+    ("loyalty.Members", "DeactivationDateID", "dim.Calendar"),
+    ("loyalty.PointsTransactions", "MemberID", "loyalty.Members"),
+    ("loyalty.PointsTransactions", "OrderID", "ord.Orders"),
+    ("loyalty.PointsTransactions", "PromotionID", "promo.Promotions"),
+    ("loyalty.PointsTransactions", "ExpiryDateID", "dim.Calendar"),
+    ("loyalty.PointsTransactions", "TransactionDateID", "dim.Calendar"),
+    ("loyalty.Rewards", "ItemID", "menu.Items"),
+    ("loyalty.Rewards", "StartDateID", "dim.Calendar"),
+    ("loyalty.Rewards", "EndDateID", "dim.Calendar"),
+    ("ord.Orders", "LocationID", "store.Locations"),
+    ("ord.Orders", "ChannelID", "ord.OrderChannels"),
+    ("ord.Orders", "MemberID", "loyalty.Members"),
+    ("ord.Orders", "OrderDateID", "dim.Calendar"),
+    ("ord.Orders", "PaymentDateID", "dim.Calendar"),
+    ("ord.Orders", "PreparedBy", "emp.Employees"),
+    ("ord.Orders", "ProcessedBy", "emp.Employees"),
+    ("ord.Orders", "EstimatedReadyDateID", "dim.Calendar"),
+    ("ord.Orders", "ActualReadyDateID", "dim.Calendar"),
+    ("ord.Orders", "PickupDateID", "dim.Calendar"),
+    ("ord.Orders", "DriverID", "emp.Employees"),
+    ("ord.Orders", "DeliveryDateID", "dim.Calendar"),
+    ("ord.Orders", "PromotionID", "promo.Promotions"),
+    ("ord.OrderItems", "OrderID", "ord.Orders"),
+    ("ord.OrderItems", "ItemID", "menu.Items"),
+    ("ord.OrderItems", "ComboID", "menu.ComboMeals"),
+    ("ord.OrderItemCustomizations", "OrderItemID", "ord.OrderItems"),
+    ("ord.OrderItemCustomizations", "CustomizationOptionID", "menu.CustomizationOptions"),
+    ("ord.PaymentTransactions", "OrderID", "ord.Orders"),
+    ("ord.PaymentTransactions", "PaymentDateID", "dim.Calendar"),
+    ("ord.PaymentTransactions", "SettlementDateID", "dim.Calendar"),
+    ("ord.PaymentTransactions", "ProcessedBy", "emp.Employees"),
+    ("ord.OrderFeedback", "OrderID", "ord.Orders"),
+    ("ord.OrderFeedback", "MemberID", "loyalty.Members"),
+    ("ord.OrderFeedback", "RespondedBy", "emp.Employees"),
+    ("ord.OrderFeedback", "ResponseDateID", "dim.Calendar"),
+    ("inv.StoreInventory", "LocationID", "store.Locations"),
+    ("inv.StoreInventory", "InventoryItemID", "inv.Items"),
+    ("inv.StoreInventory", "LastRestockDateID", "dim.Calendar"),
+    ("inv.StoreInventory", "LastCountDateID", "dim.Calendar"),
+    ("inv.InventoryTransactions", "StoreInventoryID", "inv.StoreInventory"),
+    ("inv.InventoryTransactions", "OrderID", "ord.Orders"),
+    ("inv.InventoryTransactions", "TransactionDateID", "dim.Calendar"),
+    ("inv.InventoryTransactions", "ProcessedBy", "emp.Employees"),
+    ("inv.PurchaseOrders", "LocationID", "store.Locations"),
+    ("inv.PurchaseOrders", "OrderDateID", "dim.Calendar"),
+    ("inv.PurchaseOrders", "ExpectedDeliveryDateID", "dim.Calendar"),
+    ("inv.PurchaseOrders", "ActualDeliveryDateID", "dim.Calendar"),
+    ("inv.PurchaseOrders", "OrderedBy", "emp.Employees"),
+    ("inv.PurchaseOrders", "ApprovedBy", "emp.Employees"),
+    ("inv.PurchaseOrders", "ReceivedBy", "emp.Employees"),
+    ("inv.PurchaseOrderItems", "PurchaseOrderID", "inv.PurchaseOrders"),
+    ("inv.PurchaseOrderItems", "InventoryItemID", "inv.Items"),
+    ("finance.DailySalesSummary", "LocationID", "store.Locations"),
+    ("finance.DailySalesSummary", "SalesDateID", "dim.Calendar"),
+    ("finance.DailySalesSummary", "ReconciledBy", "emp.Employees"),
+    ("finance.DailySalesSummary", "ReconciledDateID", "dim.Calendar"),
+    ("finance.StoreExpenses", "LocationID", "store.Locations"),
+    ("finance.StoreExpenses", "ExpenseDateID", "dim.Calendar"),
+    ("finance.StoreExpenses", "ApprovedBy", "emp.Employees"),
+    ("finance.StoreExpenses", "RecordedBy", "emp.Employees"),
+    ("finance.Ledger", "LedgerDateID", "dim.Calendar"),
+    ("finance.Ledger", "LocationID", "store.Locations"),
+    ("finance.Ledger", "OrderID", "ord.Orders"),
+]
 
 # Unique columns other than primary keys and GUIDs.
 UNIQUE_COLUMNS = {
@@ -101,17 +183,7 @@ class Reference:
 
 def references(table: str | None = None) -> list[Reference]:
     """The foreign keys of one table, or of all."""
-    found = []
-    for name in [table] if table else schemas.tables():
-        for column in schemas.columns(name)[1:]:
-            parent = (
-                CALENDAR
-                if column.name.endswith("DateID")
-                else REFERENCE_BY_COLUMN.get(column.name)
-            )
-            if parent:
-                found.append(Reference(name, column.name, parent))
-    return found
+    return [Reference(*row) for row in REFERENCES if table in (None, row[0])]
 
 
 def unique_keys(table: str) -> list[tuple[str, ...]]:

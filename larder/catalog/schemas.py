@@ -1,4 +1,4 @@
-"""Typed table schemas built from the column lists."""
+"""Table schemas read from the column lists."""
 
 from __future__ import annotations
 
@@ -8,10 +8,9 @@ from functools import cache
 
 from pyspark.sql import types as T
 
-from larder.catalog.columns import BY_SCHEMA
+from larder.catalog.columns import TABLES
 
-_ENTRY = re.compile(r"(?P<name>\w+)(:(?P<type>[\w(),]+))?(=(?P<default>\w+))?(?P<null>\?)?$")
-_FLAG = re.compile(r"(Is|Has|Contains|Requires)[A-Z0-9]")
+_COLUMN = re.compile(r"(?P<name>\w+) (?P<type>[\w(),]+)(?P<mandatory> not null)?( default (?P<default>.+))?$")
 
 
 @dataclass(frozen=True)
@@ -22,33 +21,17 @@ class Column:
     default: str | None
 
 
-def _type_of(name: str) -> str:
-    """Type by naming rule, for a column whose list entry gives none."""
-    if name.endswith("GUID"):
-        return "string"
-    if _FLAG.match(name) or name.endswith("ID"):
-        return "int"
-    if name.endswith("Date"):
-        return "timestamp"
-    return "string"
-
-
-def _parse(entry: str) -> Column:
-    part = _ENTRY.match(entry)
+def _column(line: str) -> Column:
+    part = _COLUMN.match(line.strip())
     if part is None:
-        raise ValueError(f"bad column entry: {entry}")
-    name = part["name"]
-    return Column(name, part["type"] or _type_of(name), part["null"] is not None, part["default"])
+        raise ValueError(f"bad column: {line}")
+    return Column(part["name"], part["type"], part["mandatory"] is None, part["default"])
 
 
 @cache
 def tables() -> dict[str, tuple[Column, ...]]:
     """``schema.Table`` -> columns, for every catalogued table."""
-    return {
-        f"{schema}.{table}": tuple(_parse(entry) for entry in text.split())
-        for schema, group in BY_SCHEMA.items()
-        for table, text in group.items()
-    }
+    return {name: tuple(_column(line) for line in text.strip().splitlines()) for name, text in TABLES.items()}
 
 
 def columns(table: str) -> tuple[Column, ...]:
@@ -73,18 +56,5 @@ def required_columns(table: str) -> list[str]:
 
 
 def defaults(table: str) -> dict[str, str]:
-    """Column -> SQL text of its default.
-
-    Besides the literals of the column lists, a GUID defaults to a new one and
-    a mandatory record timestamp to the current time.
-    """
-    found = {}
-    for column in columns(table):
-        if column.default is not None:
-            literal = column.default
-            found[column.name] = literal if literal.isdigit() else f"'{literal}'"
-        elif column.name.endswith("GUID"):
-            found[column.name] = "uuid()"
-        elif column.type == "timestamp" and column.name.endswith("Date") and not column.nullable:
-            found[column.name] = "current_timestamp()"
-    return found
+    """Column -> SQL text of its default."""
+    return {c.name: c.default for c in columns(table) if c.default is not None}

@@ -14,9 +14,6 @@ PURCHASE_ORDER_NUMBER = "PO-%06d"
 MEMBER_NUMBER = "MBR-%07d"
 PHONE_NUMBER = "(555)%03d-%04d"
 
-# Fixed value: the multiplier that scatters an order's lines over the menu.
-LINE_MULTIPLIER = 131071
-
 
 def business_key(pattern: str, number: Column) -> Column:
     """The formatted key. Numbers wider than the pattern keep all their digits."""
@@ -39,16 +36,6 @@ def round_robin(sequence: Column, count: int | Column) -> Column:
     return (sequence % count) + 1
 
 
-def scattered_item(order_id: Column, line: Column, item_count: Column | int) -> Column:
-    """Item number of an order line.
-
-    Reducing the order id first leaves the result unchanged and keeps the
-    product in range for any order id.
-    """
-    count = F.lit(item_count) if isinstance(item_count, int) else item_count
-    return ((order_id % count) * LINE_MULTIPLIER + line) % count + 1
-
-
 def hash_number(*parts: Column) -> Column:
     """A non-negative number below 2**32, equal wherever md5 is."""
     text = F.concat_ws("-", *[p.cast("string") for p in parts])

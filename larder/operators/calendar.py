@@ -13,6 +13,7 @@ from larder.functions.dates import (
     calendar_attributes,
     corrected_attributes,
     date_id,
+    date_of_id,
 )
 
 
@@ -20,8 +21,8 @@ def days(spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CA
     """One row per day from ``start`` to ``end``: CalendarID, CalendarDate."""
     if spark is None:
         raise ValueError("SparkSession cannot be None")
-    if start < CALENDAR_START or end < start:
-        raise ValueError("the calendar runs forward from its first day")
+    if end < start:
+        raise ValueError("the calendar runs forward")
     day = F.date_add(F.lit(start), F.col("id").cast("int"))
     return spark.range((end - start).days + 1).select(
         date_id(day).alias("CalendarID"), day.alias("CalendarDate")
@@ -53,18 +54,12 @@ def calendar(
     )
 
 
-def calendar_lookup(spark: SparkSession, *names: str) -> DataFrame:
-    """Id and some attributes of the whole calendar, ready to broadcast.
+def with_calendar(facts: DataFrame, id_column: str, role: str, *names: str) -> DataFrame:
+    """Add calendar attributes of one date role, named ``{role}{attribute}``.
 
-    The calendar has a fixed number of days, which bounds the broadcast.
+    Ids count days, so the attributes follow from the id: no join, and a date
+    before or after the stored calendar keeps its own. A NULL id has NULLs.
     """
-    return F.broadcast(calendar(spark).select("CalendarID", *names))
-
-
-def with_calendar(facts: DataFrame, id_column: str, role: str, *names: str) -> DataFrame:
-    """Add calendar attributes of one date role, named ``{role}{attribute}``."""
-    lookup = calendar_lookup(facts.sparkSession, *names).select(
-        F.col("CalendarID").alias(id_column),
-        *[F.col(name).alias(f"{role}{name}") for name in names],
-    )
-    return facts.join(lookup, id_column, "inner")
+    date = date_of_id(F.col(id_column))
+    known = {"CalendarDate": date, **calendar_attributes(date)}
+    return facts.withColumns({f"{role}{name}": known[name] for name in names})

@@ -1,7 +1,8 @@
-"""Recipe explosion, stock movements, purchase orders and reordering."""
+"""Recipe explosion, stock movements, restocking and reordering."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,16 +10,13 @@ from pyspark.sql import functions as F
 
 from larder.functions.keys import PURCHASE_ORDER_NUMBER, business_key
 from larder.functions.money import amount
-from larder.functions.recipes import INGREDIENTS, recipe, recipe_cost
-from larder.operators.running import HOT_ROWS, running_sum
+from larder.functions.recipes import INGREDIENT_IDS, INGREDIENTS, recipe, recipe_cost
+from larder.operators.running import running_sum
 
-# Unit cost, stock levels and purchase orders of an inventory item.
+# Unit cost and reorder levels of an inventory item.
 UNIT_COST = Decimal("1.00")
 REORDER_QUANTITY = 50
-QUANTITY_ON_HAND, MINIMUM_QUANTITY, MAXIMUM_QUANTITY = 200, 10, 1000
-ORDERS_PER_STORE, LINES_PER_ORDER = 3, 3
-STATED_ORDER_TOTAL = Decimal("1000.00")
-SMALLEST_ORDER, LARGEST_ORDER = 50, 200
+MINIMUM_QUANTITY = 10
 
 STORE_INGREDIENT = ["LocationID", "IngredientID"]
 
@@ -52,19 +50,28 @@ def recipe_explosion(lines: DataFrame, recipes: DataFrame) -> DataFrame:
 def daily_usage(lines: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Ingredient use per store, day and ingredient.
 
-    Recipes travel as one array per item and are exploded right before the
-    aggregation, which combines the exploded rows before its shuffle: a store
-    day has at most as many groups as there are ingredients.
+    The ingredients are fixed, so a recipe is a column of quantities per
+    ingredient: lines are summed as they are, one sum per ingredient, and only
+    the sums of a store day become rows.
     """
-    recipes = items.select("ItemID", recipe(F.col("ItemID")).alias("Recipe"))
-    return (
+    chosen = recipe(F.col("ItemID"))
+    quantities = {f"_q{k}": F.get(F.filter(chosen, _uses(k)), F.lit(0))["Quantity"] for k in INGREDIENT_IDS}
+    recipes = items.select("ItemID", *[q.alias(name) for name, q in quantities.items()])
+    sums = (
         lines.select("OrderID", "LocationID", "ItemID", F.col("Quantity").alias("Units"))
         .join(orders.select("OrderID", "OrderDateID"), "OrderID")
         .join(recipes, "ItemID")
-        .select("LocationID", "OrderDateID", "Units", F.inline("Recipe"))
-        .groupBy("LocationID", "IngredientID", "OrderDateID")
-        .agg(F.sum(F.col("Units") * F.col("Quantity")).alias("UsedQuantity"))
+        .groupBy("LocationID", "OrderDateID")
+        .agg(*[F.sum(F.col("Units") * F.col(name)).alias(name) for name in quantities])
     )
+    rows = F.array(*[
+        F.struct(F.lit(k).alias("IngredientID"), F.col(f"_q{k}").alias("UsedQuantity")) for k in INGREDIENT_IDS
+    ])
+    return sums.select("LocationID", "OrderDateID", F.inline(rows)).where(F.col("UsedQuantity").isNotNull())
+
+
+def _uses(ingredient: int) -> Callable[[Column], Column]:
+    return lambda part: part["IngredientID"] == ingredient
 
 
 def running_stock(usage: DataFrame, opening: Column) -> DataFrame:
@@ -100,18 +107,15 @@ def stock_movements(
     keys: list[str],
     order: list[str],
     opening: Column,
-    hot_rows: int = HOT_ROWS,
-    sized: DataFrame | None = None,
 ) -> DataFrame:
     """The stock before and after each use.
 
     ``keys`` name a stock and ``order`` the sequence of its movements; rows that
-    tie in all of ``order`` must use the same quantity. A stock with very many
-    movements is summed range by range; ``sized`` is passed on to find those.
+    tie in all of ``order`` must use the same quantity.
     """
     after = opening - F.col("_used")
     return (
-        running_sum(usage, keys, order, "Quantity", "_used", hot_rows, sized)
+        running_sum(usage, keys, order, "Quantity", "_used")
         .withColumns({"QuantityAfter": after, "QuantityBefore": after + F.col("Quantity")})
         .drop("_used")
     )
@@ -131,58 +135,55 @@ def ingredient_array() -> Column:
     )
 
 
-def store_inventory(locations: DataFrame) -> DataFrame:
-    """Opening stock of every inventory item in every store.
-
-    The fixed items are exploded inside each store's row: no cross join.
-    """
+def store_items(locations: DataFrame) -> DataFrame:
+    """Every inventory item in every store, exploded inside each store's row: no cross join."""
     return locations.select("LocationID", F.inline(ingredient_array())).select(
         (F.col("LocationID") * len(INGREDIENTS) + F.col("InventoryItemID")).alias("StoreInventoryID"),
         "LocationID",
         "InventoryItemID",
         "ItemName",
-        amount(F.lit(QUANTITY_ON_HAND), 14, 4).alias("QuantityOnHand"),
-        amount(F.lit(MINIMUM_QUANTITY), 14, 4).alias("MinimumQuantity"),
-        amount(F.lit(MAXIMUM_QUANTITY), 14, 4).alias("MaximumQuantity"),
     )
 
 
-def purchase_orders(locations: DataFrame) -> DataFrame:
-    """Three submitted purchase orders per store."""
-    number = F.explode(F.sequence(F.lit(1), F.lit(ORDERS_PER_STORE)))
-    order_id = F.col("LocationID") * ORDERS_PER_STORE + F.col("_number")
-    return locations.select("LocationID", number.alias("_number")).select(
-        order_id.alias("PurchaseOrderID"),
-        business_key(PURCHASE_ORDER_NUMBER, order_id).alias("PurchaseOrderNumber"),
-        "LocationID",
-        F.lit("Submitted").alias("OrderStatus"),
-        F.lit(STATED_ORDER_TOTAL).alias("TotalAmount"),
+def store_stock(locations: DataFrame, usage: DataFrame) -> DataFrame:
+    """Use of every inventory item in every store, also of items never used there."""
+    used = usage.groupBy(*STORE_INGREDIENT).agg(
+        F.sum("UsedQuantity").alias("UsedQuantity"), F.count("*").alias("DaysUsed")
     )
-
-
-def purchase_order_items(purchases: DataFrame) -> DataFrame:
-    """Three lines per purchase order, 50 to 200 units each."""
-    span = LARGEST_ORDER - SMALLEST_ORDER + 1
-    item = F.explode(F.sequence(F.lit(1), F.lit(LINES_PER_ORDER)))
-    units = (F.col("PurchaseOrderID") * 31 + F.col("InventoryItemID") * 17) % span + SMALLEST_ORDER
     return (
-        purchases.withColumn("InventoryItemID", item)
-        .withColumn("QuantityOrdered", units)
-        .withColumn("QuantityReceived", F.lit(0))
-        .withColumn("UnitPrice", F.lit(UNIT_COST))
-        .withColumn("LineTotal", amount("QuantityOrdered", 14, 2) * F.lit(UNIT_COST))
+        store_items(locations)
+        .join(used.withColumnRenamed("IngredientID", "InventoryItemID"), ["LocationID", "InventoryItemID"], "left")
+        .withColumn("UsedQuantity", F.coalesce("UsedQuantity", F.lit(0)))
+        .withColumn("DaysUsed", F.coalesce("DaysUsed", F.lit(0)))
     )
 
 
-def purchase_totals(purchases: DataFrame, lines: DataFrame) -> DataFrame:
-    """Order total as the sum of its lines, and how far the stated total is off."""
-    sums = lines.groupBy("PurchaseOrderID").agg(
-        F.sum("LineTotal").alias("LinesTotal"), F.count("*").alias("Lines")
+def purchase_order_items(usage: DataFrame) -> DataFrame:
+    """What each store has to buy to replace its use: one order per store, whole units."""
+    used = usage.groupBy(*STORE_INGREDIENT).agg(F.sum("UsedQuantity").alias("UsedQuantity"))
+    units = F.ceil("UsedQuantity").cast("bigint")
+    return used.select(
+        F.col("LocationID").alias("PurchaseOrderID"),
+        business_key(PURCHASE_ORDER_NUMBER, F.col("LocationID")).alias("PurchaseOrderNumber"),
+        "LocationID",
+        F.col("IngredientID").alias("InventoryItemID"),
+        "UsedQuantity",
+        units.alias("QuantityOrdered"),
+        F.lit(UNIT_COST).alias("UnitPrice"),
+        (amount(units) * F.lit(UNIT_COST)).alias("LineTotal"),
     )
+
+
+def purchase_totals(lines: DataFrame) -> DataFrame:
+    """Total of each purchase order, the cost of the use it replaces, and the difference."""
     return (
-        purchases.select("PurchaseOrderID", F.col("TotalAmount").alias("StatedTotal"))
-        .join(sums, "PurchaseOrderID", "left")
-        .withColumn("Variance", F.col("LinesTotal") - F.col("StatedTotal"))
+        lines.groupBy("PurchaseOrderID")
+        .agg(
+            F.count("*").alias("Lines"),
+            F.sum("LineTotal").alias("LinesTotal"),
+            F.sum(F.col("UsedQuantity") * F.col("UnitPrice")).alias("UsedCost"),
+        )
+        .withColumn("Variance", F.col("LinesTotal") - F.col("UsedCost"))
     )
 
 
@@ -195,6 +196,7 @@ def reorder_report(stock: DataFrame, usage: DataFrame) -> DataFrame:
         .join(used, STORE_INGREDIENT, "left")
         .withColumn("UsedQuantity", F.coalesce("UsedQuantity", F.lit(0)))
         .withColumn("RemainingQuantity", F.col("QuantityOnHand") - F.col("UsedQuantity"))
+        .withColumn("MinimumQuantity", amount(F.lit(MINIMUM_QUANTITY), 14, 4))
         .where(remaining < F.col("MinimumQuantity"))
         .withColumn("ReorderQuantity", F.lit(REORDER_QUANTITY))
     )

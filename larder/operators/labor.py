@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 from larder.functions.dates import date_id, minutes_between, seconds_between
 from larder.functions.money import amount
 
-# Default shift and hourly pay in cents.
-SHIFT_START, SHIFT_END = "09:00:00", "17:00:00"
-SHIFT_TYPE, BREAK_MINUTES = "Day", 30
+# Hourly pay in cents, and the days of a schedule.
 HOURLY_CENTS = 1500
 SCHEDULE_DAYS = 30
-SCHEDULE_FROM = dt.date(2020, 1, 1)
 
 
 def shifts(punches: DataFrame, years_back: int = 0) -> DataFrame:
@@ -88,26 +85,20 @@ def daily_labor(worked: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def schedule(employees: DataFrame, first_date_id: int, days: int = SCHEDULE_DAYS) -> DataFrame:
-    """A shift for every employee on each of ``days`` consecutive days.
+def attendance(employees: DataFrame, worked: DataFrame, first_date_id: int, last_date_id: int) -> DataFrame:
+    """A row for every employee and day between two days, with the minutes worked.
 
-    The days are exploded inside each row: no cross join and no shuffle.
+    The days are exploded inside each row: no cross join.
     """
-    day = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
-    return (
-        employees.select("EmployeeID", "LocationID", day.alias("_day"))
-        .select(
-            (F.col("EmployeeID") * days + F.col("_day") + 1).alias("ScheduleID"),
-            "EmployeeID",
-            "LocationID",
-            (F.col("_day") + first_date_id).alias("ShiftDateID"),
-            F.lit(SHIFT_START).alias("StartTime"),
-            F.lit(SHIFT_END).alias("EndTime"),
-            F.lit(SHIFT_TYPE).alias("ShiftType"),
-            F.lit(BREAK_MINUTES).alias("BreakMinutes"),
-            F.lit(1).alias("IsApproved"),
-            F.lit(None).cast("int").alias("ApprovedBy"),
-        )
+    day = F.explode(F.sequence(F.lit(first_date_id), F.lit(last_date_id)))
+    planned = employees.select("EmployeeID", "LocationID", day.alias("ShiftDateID"))
+    minutes = worked.select("EmployeeID", F.col("ClockInDateID").alias("ShiftDateID"), "TotalMinutes")
+    return planned.join(minutes, ["EmployeeID", "ShiftDateID"], "left").select(
+        "EmployeeID",
+        "LocationID",
+        "ShiftDateID",
+        F.col("TotalMinutes").isNotNull().cast("int").alias("IsPresent"),
+        F.coalesce("TotalMinutes", F.lit(0)).alias("TotalMinutes"),
     )
 
 

@@ -36,7 +36,7 @@ def store_profit(lines: DataFrame, labor: DataFrame, expenses: DataFrame) -> Dat
     """Net sales less cost of goods, labour and expenses, per store.
 
     Every input is summed per store before the joins, so they meet one row per
-    store each. Lines know their store, so the orders are not read.
+    store each. Pass the lines of known orders, which the daily reports count.
     """
     sales = lines.groupBy("LocationID").agg(
         F.sum(F.col("Gross") - F.col("Discount") - F.col("Refund")).alias("NetSales"),

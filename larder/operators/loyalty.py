@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.keys import hash_number, sampled
 from larder.functions.money import ratio
-from larder.operators.running import HOT_ROWS, running_sum
+from larder.operators.running import running_sum
+from larder.operators.surrogate import assign_round_robin
 
 # Tier and the lifetime spend it starts at.
 TIERS = [("Platinum", 3_000_000), ("Gold", 2_000_000), ("Silver", 1_000_000)]
 LOWEST_TIER = "Bronze"
-FEEDBACK_PER_THOUSAND = 10
+RATING_STEP = 25.0
 
 
-def points_balance(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def points_balance(transactions: DataFrame) -> DataFrame:
     """Balance after each points transaction of a member."""
     return running_sum(
         transactions,
@@ -23,7 +23,6 @@ def points_balance(transactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFra
         ["TransactionTime", "TransactionID"],
         "Points",
         "BalanceAfter",
-        hot_rows,
     )
 
 
@@ -48,27 +47,22 @@ def member_lifetime(members: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def feedback(orders: DataFrame, per_thousand: int = FEEDBACK_PER_THOUSAND) -> DataFrame:
-    """Ratings of 1 to 5 for a sample of the orders; a rerun samples the same orders."""
-    return orders.where(sampled(F.col("OrderID"), per_thousand, "feedback")).withColumn(
-        "OverallRating", (hash_number(F.lit("rating"), F.col("OrderID")) % 5 + 1).cast("int")
+def feedback(ratings: DataFrame) -> DataFrame:
+    """A rating of 1 to 5 from the value of each event: one step per ``RATING_STEP``."""
+    step = F.floor(F.col("Value") / RATING_STEP)
+    rating = (F.greatest(F.least(step, F.lit(4)), F.lit(0)) + 1).cast("int")
+    return ratings.select(
+        "FeedbackID", "MemberID", F.when(F.col("Value").isNotNull(), rating).alias("OverallRating")
     )
 
 
-def feedback_by_store(given: DataFrame, lines: DataFrame) -> DataFrame:
-    """Average rating per store that had a part in a rated order."""
-    visits = (
-        lines.select("OrderID", "LocationID")
-        .join(given.select("OrderID", "OverallRating"), "OrderID")
-        .groupBy("OrderID", "LocationID")
-        .agg(F.any_value("OverallRating").alias("OverallRating"))
+def feedback_by_store(given: DataFrame, stores: DataFrame) -> DataFrame:
+    """Average rating per store, members being dealt to the stores by position."""
+    rated = assign_round_robin(
+        given.where(F.col("OverallRating").isNotNull()), F.col("MemberID"), stores, "LocationID", "LocationID"
     )
     return (
-        visits.groupBy("LocationID")
+        rated.groupBy("LocationID")
         .agg(F.count("*").alias("Responses"), F.sum("OverallRating").alias("_sum"))
-        .select(
-            "LocationID",
-            "Responses",
-            ratio(F.col("_sum"), F.col("Responses")).alias("AverageRating"),
-        )
+        .select("LocationID", "Responses", ratio(F.col("_sum"), F.col("Responses")).alias("AverageRating"))
     )

@@ -5,37 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.dates import CALENDAR_END, calendar_id, date_of_id, iso_weekday
+from larder.functions.dates import date_of_id, iso_weekday
 from larder.functions.money import amount
 from larder.operators.sales import CHANNELS
-from larder.operators.sizing import broadcast_up_to
 
-LAST_DATE_ID = calendar_id(CALENDAR_END)
 
-
-def promotion_days(promotions: DataFrame) -> tuple[DataFrame, int]:
-    """One row per promotion and day it runs, and the number of such rows.
-
-    A promotion without an end runs to the last calendar day.
-    """
-    end = F.least(F.coalesce(F.col("EndDateID"), F.lit(LAST_DATE_ID)), F.lit(LAST_DATE_ID))
-    dated = promotions.withColumn("_end", end).where(F.col("StartDateID") <= F.col("_end"))
-    length = F.col("_end") - F.col("StartDateID") + 1
-    rows = dated.agg(F.coalesce(F.sum(length), F.lit(0))).first()[0]
-    days = dated.withColumn(
-        "OrderDateID", F.explode(F.sequence(F.col("StartDateID"), F.col("_end")))
-    ).drop("_end")
-    return days, rows
+def promotion_days(promotions: DataFrame, last: int) -> DataFrame:
+    """One row per promotion and day it runs, up to the day ``last``, where those without an end stop."""
+    end = F.least(F.coalesce(F.col("EndDateID"), F.lit(last)), F.lit(last))
+    return (
+        promotions.withColumn("_end", end)
+        .where(F.col("StartDateID") <= F.col("_end"))
+        .withColumn("OrderDateID", F.explode(F.sequence(F.col("StartDateID"), F.col("_end"))))
+        .drop("_end")
+    )
 
 
-def running_promotions(facts: DataFrame, promotions: DataFrame) -> DataFrame:
+def running_promotions(facts: DataFrame, promotions: DataFrame, last: int | None = None) -> DataFrame:
     """Join every fact to the promotions that run on its date.
 
-    Intervals become days and the interval join an equi join, which hashes; the
-    days are broadcast only where their counted number is small.
+    Intervals become days and the interval join an equi join, which hashes. The
+    days end with the last fact; pass its date where it is cheaper to find.
     """
-    days, rows = promotion_days(promotions)
-    return facts.join(broadcast_up_to(days, rows), "OrderDateID")
+    if last is None:
+        last = facts.agg(F.max("OrderDateID")).first()[0]
+    days = promotion_days(promotions, 0 if last is None else last)
+    return facts.join(days, "OrderDateID")
 
 
 def promotion_items(targets: DataFrame, items: DataFrame, combo_items: DataFrame) -> DataFrame:
@@ -44,18 +39,13 @@ def promotion_items(targets: DataFrame, items: DataFrame, combo_items: DataFrame
     A target row names an item, a category or a combo; each kind is expanded to
     items by its own join. An item reached twice counts once.
     """
-    rows = targets.count()
     by_item = targets.where(F.col("ItemID").isNotNull()).select("PromotionID", "ItemID")
     by_category = items.select("ItemID", "Category").join(
-        broadcast_up_to(
-            targets.where(F.col("Category").isNotNull()).select("PromotionID", "Category"), rows
-        ),
+        targets.where(F.col("Category").isNotNull()).select("PromotionID", "Category"),
         "Category",
     )
     by_combo = combo_items.select("ComboID", "ItemID").join(
-        broadcast_up_to(
-            targets.where(F.col("ComboID").isNotNull()).select("PromotionID", "ComboID"), rows
-        ),
+        targets.where(F.col("ComboID").isNotNull()).select("PromotionID", "ComboID"),
         "ComboID",
     )
     parts = [df.select("PromotionID", "ItemID") for df in (by_item, by_category, by_combo)]
@@ -63,9 +53,9 @@ def promotion_items(targets: DataFrame, items: DataFrame, combo_items: DataFrame
 
 
 def _channel_applies(channel_id: Column) -> Column:
-    code = F.element_at(F.array(*[F.lit(c) for _, c, _, _ in CHANNELS]), channel_id)
+    code = F.get(F.array(*[F.lit(c) for _, c, _, _ in CHANNELS]), channel_id - 1)
     allowed = F.col("ApplicableChannels")
-    return (allowed == "All") | (F.find_in_set(code, allowed) > 0)
+    return (allowed == "All") | F.coalesce(F.find_in_set(code, allowed) > 0, F.lit(False))
 
 
 def _day_applies(date: Column) -> Column:
@@ -74,11 +64,14 @@ def _day_applies(date: Column) -> Column:
     return (days == "All") | ((days == "Weekends") & weekend) | ((days == "Weekdays") & ~weekend)
 
 
+def _clock_seconds(time: Column) -> Column:
+    part = lambda n: F.split_part(time, F.lit(":"), F.lit(n)).cast("int")
+    return part(1) * 3600 + part(2) * 60 + part(3)
+
+
 def _time_applies(second: Column) -> Column:
-    hours, minutes = F.floor(second / 3600), F.floor(second % 3600 / 60)
-    clock = F.format_string("%02d:%02d:%02d", hours, minutes, second % 60)
-    start, end = F.col("ApplicableTimeStart"), F.col("ApplicableTimeEnd")
-    return (start.isNull() | (clock >= start)) & (end.isNull() | (clock <= end))
+    start, end = F.col("_from"), F.col("_to")
+    return (start.isNull() | (second >= start)) & (end.isNull() | (second <= end))
 
 
 def applicable_promotions(
@@ -88,6 +81,7 @@ def applicable_promotions(
     targets: DataFrame,
     targeted_items: DataFrame,
     promotion_stores: DataFrame,
+    last: int | None = None,
 ) -> DataFrame:
     """Store orders with each promotion that applies to them and its discount.
 
@@ -102,11 +96,13 @@ def applicable_promotions(
     flagged = (
         promotions.join(targeted.withColumn("_targeted", F.lit(True)), "PromotionID", "left")
         .join(restricted.withColumn("_restricted", F.lit(True)), "PromotionID", "left")
+        # clock times are parsed once per promotion and compared as numbers
+        .withColumns({"_from": _clock_seconds(F.col("ApplicableTimeStart")), "_to": _clock_seconds(F.col("ApplicableTimeEnd"))})
     )
     eligible = (
         lines.join(targeted_items, "ItemID").groupBy(*ids).agg(F.sum("Gross").alias("_targets"))
     )
-    candidates = running_promotions(by_store, flagged).where(
+    candidates = running_promotions(by_store, flagged, last).where(
         _channel_applies(F.col("ChannelID"))
         & _day_applies(date_of_id(F.col("OrderDateID")))
         & _time_applies(F.col("OrderSecond"))
@@ -149,12 +145,10 @@ def best_discount(applicable: DataFrame) -> DataFrame:
     )
 
 
-def promotion_bridge(parents: DataFrame, promotions: DataFrame, key: str, count: int) -> DataFrame:
-    """Attach the first promotion to the first ``count`` rows of ``parents``."""
+def promotion_bridge(parents: DataFrame, promotions: DataFrame, key: str) -> DataFrame:
+    """Attach the first promotion to every row of ``parents``."""
     first = promotions.agg(F.min("PromotionID")).first()[0]
-    return parents.select(key).orderBy(key).limit(count).withColumn(
-        "PromotionID", F.lit(first).cast("bigint")
-    )
+    return parents.select(key).withColumn("PromotionID", F.lit(first).cast("bigint"))
 
 
 def combo_units(lines: DataFrame, combo_items: DataFrame, combos: DataFrame) -> DataFrame:

@@ -194,12 +194,26 @@ def table_report(df: DataFrame, table: str, parents: Mapping[str, DataFrame]) ->
     """Everything the catalogue says about one table, checked.
 
     Kind, Subject, Violations: mandatory columns, row rules, unique keys, and
-    references to those parents that are given. Columns a table does not carry
-    are skipped.
+    references to those parents that are given. A column that one of these needs
+    and the table does not carry is a violation of its own.
     """
     present = set(df.columns)
+    needed = [
+        *schemas.required_columns(table),
+        *(c for key in constraints.unique_keys(table) for c in key),
+        *(ref.column for ref in constraints.references(table)),
+        *(c for rule in constraints.checks(table).values() for c in sorted(_columns_of(rule, table))),
+    ]
+    absent = [c for c in dict.fromkeys(needed) if c not in present]
     mandatory = [c for c in schemas.required_columns(table) if c in present]
     parts = []
+    if absent:
+        names = F.explode(F.array(*[F.lit(c) for c in absent]))
+        parts.append(
+            df.sparkSession.range(1).select(
+                F.lit("absent column").alias("Kind"), names.alias("Subject"), F.lit(1).cast("bigint").alias("Violations")
+            )
+        )
     if mandatory:
         parts.append(
             check_not_null(df, table, mandatory).select(

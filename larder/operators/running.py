@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from larder.sources.scratch import materialize
 
-HOT_ROWS = 5_000_000
-
-
 def _summed(df: DataFrame, by: list[str], order: list[str], value: str, out: str) -> DataFrame:
     frame = (
         Window.partitionBy(*by)
@@ -19,44 +16,14 @@ def _summed(df: DataFrame, by: list[str], order: list[str], value: str, out: str
     return df.withColumn(out, F.sum(value).over(frame))
 
 
-def running_sum(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: str,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    sized: DataFrame | None = None,
-) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Sum of ``value`` up to and including each row, per ``keys`` in ``order``.
 
-    ``order`` must identify a row inside its key. A key of up to ``hot_rows``
-    rows is one window group. The rows of larger keys are cut into ranges of the
-    sort order; each range is summed by itself and starts from the total of the
-    ranges before it. The hot keys are at most ``rows / hot_rows`` in number.
-
-    Where counting ``df`` is dear, ``sized`` may stand in for it: a frame with
-    some of the keys and at least as many rows for each as ``df`` has.
+    ``order`` must identify a row inside its key. The rows are stored once, cut
+    into ranges of the sort order, whatever the size of a key; each range is
+    summed by itself and starts from the total of the ranges before it. NULL is
+    a key like any other.
     """
-    counted = df if sized is None else sized
-    by = [key for key in keys if key in counted.columns]
-    hot = materialize(
-        counted.groupBy(*by).count().where(F.col("count") > hot_rows).select(*by), "hot-keys"
-    )
-    if hot.isEmpty():
-        return _summed(df, keys, order, value, out)
-    cold = df.join(F.broadcast(hot), by, "left_anti")
-    large = df.join(F.broadcast(hot), by, "left_semi")
-    return (
-        _summed(cold, keys, order, value, out)
-        .select(*df.columns, out)
-        .unionByName(_summed_by_range(large, keys, order, value, out))
-    )
-
-
-def _summed_by_range(
-    df: DataFrame, keys: list[str], order: list[str], value: str, out: str
-) -> DataFrame:
     cut = materialize(
         df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()),
         "ranges",
@@ -71,17 +38,13 @@ def _summed_by_range(
         .agg(F.sum(value).alias("_total"))
         .withColumn("_before", F.sum("_total").over(earlier))
         .where(F.col("_before").isNotNull())
-        .select(*keys, "_range", "_before")
+        .select(*[F.col(key).alias(f"_of_{key}") for key in keys], F.col("_range").alias("_of_range"), "_before")
     )
     inside = _summed(cut, [*keys, "_range"], order, value, out)
-    return (
-        inside.join(F.broadcast(offsets), [*keys, "_range"], "left")
-        .withColumn(
-            out,
-            F.when(F.col("_before").isNull(), F.col(out)).otherwise(
-                F.coalesce(F.col(out), F.lit(0)) + F.col("_before")
-            ),
-        )
-        .drop("_before", "_range")
-        .select(*df.columns, out)
+    same = F.col("_range") == F.col("_of_range")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    total = F.when(F.col("_before").isNull(), F.col(out)).otherwise(
+        F.coalesce(F.col(out), F.lit(0)) + F.col("_before")
     )
+    return inside.join(F.broadcast(offsets), same, "left").withColumn(out, total).select(*df.columns, out)

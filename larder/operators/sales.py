@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.keys import scattered_item
+from larder.functions.dates import date_of_id, iso_weekday
 from larder.functions.money import DELIVERY_FEE, amount, ratio, sales_tax, total
 from larder.operators.calendar import with_calendar
 from larder.operators.surrogate import dense_ids
@@ -148,31 +148,29 @@ def daily_cogs(dated: DataFrame) -> DataFrame:
     return dated.groupBy(*STORE_DAY).agg(F.sum("Cost").alias("CostOfGoodsSold"))
 
 
-def daily_summary(dated: DataFrame, customers: DataFrame, labor: DataFrame) -> DataFrame:
-    """The whole daily store summary.
+def daily_summary(by_store: DataFrame, labor: DataFrame) -> DataFrame:
+    """The whole daily store summary, from store orders that carry their cost and member.
 
-    All sums come from one aggregation of the dated lines, which combines before
-    its shuffle. Orders and distinct customers come in as their own daily table:
-    counted in the same aggregation they would send every sum through a shuffle
-    on order and member as well. All parts are partitioned by store day already,
-    so joining them moves nothing.
+    Lines meet orders once, and the sums of a store order use the partitioning
+    of that join. They are summed per member of a store day first, so counting
+    orders, counting distinct members and all sums are one pass.
     """
-    daily = (
-        channel_sales(dated)
-        .groupBy(*STORE_DAY)
-        .agg(
-            F.sum("Gross").alias("GrossSales"),
-            F.sum("Discount").alias("Discounts"),
-            F.sum("Refund").alias("Refunds"),
-            F.sum("Quantity").alias("Items"),
-            F.sum("Cost").alias("CostOfGoodsSold"),
-            *channel_columns(),
-            *payment_columns(),
-        )
+    sums = ["Gross", "Discount", "Refund", "Quantity", "Cost"]
+    split = [*CHANNEL_COLUMNS, *PAYMENT_COLUMNS]
+    per_member = (
+        channel_sales(by_store)
+        .groupBy(*STORE_DAY, "MemberID")
+        .agg(F.count("*").alias("_orders"), *total(*sums), *channel_columns(), *payment_columns())
     )
+    daily = per_member.groupBy(*STORE_DAY).agg(
+        F.sum("_orders").alias("TotalOrders"),
+        F.count("MemberID").alias("TotalCustomers"),
+        *total(*sums, *split),
+    )
+    names = {"Gross": "GrossSales", "Discount": "Discounts", "Refund": "Refunds", "Quantity": "Items", "Cost": "CostOfGoodsSold"}
     gross = F.col("GrossSales")
     joined = (
-        daily.join(customers, STORE_DAY)
+        daily.withColumnsRenamed(names)
         .join(labor, STORE_DAY, "left")
         .withColumns(
             {
@@ -225,14 +223,33 @@ def order_pricing(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return priced.drop("_gross", "_discount", "_refund")
 
 
-def explode_lines(orders: DataFrame, item_count: int) -> DataFrame:
-    """Lines of generated orders: order ``k`` has ``k mod 4 + 1`` of them."""
-    if item_count <= 0:
-        raise ValueError("item_count must be positive")
-    order_id = F.col("OrderID")
-    return orders.withColumn(
-        "LineNumber", F.explode(F.sequence(F.lit(1), (order_id % 4 + 1).cast("int")))
-    ).withColumn("ItemID", scattered_item(order_id, F.col("LineNumber"), item_count))
+def line_movements(lines: DataFrame) -> DataFrame:
+    """What every line moves: the units sold, and for a refunded line the same units back.
+
+    The movements are exploded inside the row of their line: no join, no shuffle.
+    """
+    sold = F.struct(F.lit("Sale").alias("Movement"), (-F.col("Quantity")).alias("Units"))
+    back = F.struct(F.lit("Return").alias("Movement"), F.col("Quantity").alias("Units"))
+    movements = F.when(F.col("Refund") > 0, F.array(sold, back)).otherwise(F.array(sold))
+    return lines.select("OrderID", "LineNumber", "LocationID", "ItemID", F.inline(movements))
+
+
+def store_weekdays(stores: DataFrame, lines: DataFrame) -> DataFrame:
+    """The lines every store shipped on each weekday, also on weekdays without any.
+
+    The weekdays are exploded inside each store's row: no cross join.
+    """
+    weekday = F.explode(F.sequence(F.lit(1), F.lit(7)))
+    shipped = lines.groupBy("LocationID", iso_weekday(date_of_id(F.col("ShipDateID"))).alias("DayOfWeek")).agg(
+        F.count("*").alias("Lines")
+    )
+    return (
+        stores.select("LocationID", weekday.alias("DayOfWeek"))
+        .join(shipped, ["LocationID", "DayOfWeek"], "left")
+        .withColumn("Lines", F.coalesce("Lines", F.lit(0)))
+        .withColumn("OperatingHoursID", F.col("LocationID") * 7 + F.col("DayOfWeek"))
+        .withColumn("IsOpen", (F.col("Lines") > 0).cast("int"))
+    )
 
 
 def price_lines(lines: DataFrame, price_list: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.functions import keys
-from larder.functions.dates import CALENDAR_END, date_of_id
+from larder.functions.dates import CALENDAR_END, CALENDAR_START, date_of_id
 from larder.functions.money import amount
 from larder.operators import dimensions
 from larder.operators.calendar import calendar, with_calendar
@@ -58,45 +58,44 @@ def _partitioned_year_prune(spark, sf_dir):
     return spark.read.parquet(path).where(F.col("Year") == _PRUNED_YEAR)
 
 
+_NUMBER_BLOCK = 1000
+
+
 @query(
     "range_facts",
-    f"""WITH n AS (SELECT (SELECT count(*) FROM orders) AS orders,
-                          (SELECT count(*) FROM supplier) AS stores,
-                          (SELECT count(*) FROM customer) AS members,
-                          {o.date_id(f"DATE '{CALENDAR_END}'")} AS days),
-    seq AS (SELECT unnest(range(1, n.orders + 1)) AS OrderSeq, n.* FROM n)
-    SELECT OrderSeq, OrderSeq % stores + 1 AS LocationID, OrderSeq % 4 + 1 AS ChannelID,
-           OrderSeq % members + 1 AS MemberID, OrderSeq % days + 1 AS OrderDateID
-    FROM seq""",
+    f"""WITH present AS (SELECT DISTINCT o_orderkey AS n FROM orders),
+    numbers AS (SELECT unnest(range((SELECT min(n) FROM present), (SELECT max(n) FROM present) + 1)) AS n)
+    SELECT numbers.n // {_NUMBER_BLOCK} AS Block, count(*) AS Numbers, count(present.n) AS Orders,
+           count(*) - count(present.n) AS MissingNumbers
+    FROM numbers LEFT JOIN present USING (n) GROUP BY ALL""",
 )
 def _range_facts(spark, sf_dir):
-    counts = {
-        name: retail.read(spark, sf_dir, table).count()
-        for name, table in (("LocationID", "supplier"), ("MemberID", "customer"))
-    }
-    sequence = F.col("OrderSeq")
-    return dimensions.order_numbers(spark, retail.read(spark, sf_dir, "orders").count()).select(
-        "OrderSeq",
-        keys.round_robin(sequence, counts["LocationID"]).alias("LocationID"),
-        keys.round_robin(sequence, 4).alias("ChannelID"),
-        keys.round_robin(sequence, counts["MemberID"]).alias("MemberID"),
-        keys.round_robin(sequence, dimensions.CALENDAR_DAYS).alias("OrderDateID"),
+    """Order numbers in use and missing, by blocks of numbers between the first and the last."""
+    present = retail.orders(spark, sf_dir).select(F.col("OrderID").alias("id")).distinct()
+    ends = present.agg(F.min("id").alias("first"), F.max("id").alias("last")).first()
+    first, last = (0, -1) if ends["first"] is None else (ends["first"], ends["last"])
+    numbers = spark.range(first, last + 1)
+    return (
+        numbers.join(present.withColumn("_used", F.lit(1)), "id", "left")
+        .groupBy(F.floor(F.col("id") / _NUMBER_BLOCK).alias("Block"))
+        .agg(F.count("*").alias("Numbers"), F.count("_used").alias("Orders"))
+        .withColumn("MissingNumbers", F.col("Numbers") - F.col("Orders"))
     )
 
 
 def _dated_calendar(spark, facts, id_column, counted, corrected):
-    """The calendar over the days the facts span, with the number of facts per day.
+    """The whole calendar, longer where facts lie outside, with the number of facts per day.
 
-    The facts are read once: the counts per day, at most one row per calendar
-    day, are stored and also give the span.
+    The facts are read once: the counts per day, at most one row per day, are
+    stored and also give the span.
     """
     per_day = materialize(
         facts.groupBy(F.col(id_column).alias("CalendarID")).agg(F.count("*").alias(counted)),
         "per-day",
     )
     span = per_day.agg(
-        date_of_id(F.min("CalendarID")).alias("first"),
-        date_of_id(F.max("CalendarID")).alias("last"),
+        F.least(date_of_id(F.min("CalendarID")), F.lit(CALENDAR_START)).alias("first"),
+        F.greatest(date_of_id(F.max("CalendarID")), F.lit(CALENDAR_END)).alias("last"),
     ).first()
     days = calendar(spark, span["first"], span["last"], corrected).drop("CreatedDate")
     return days.join(F.broadcast(per_day), "CalendarID", "left").withColumn(
@@ -140,8 +139,8 @@ def _calendar_sql(dates: str, counted: str, corrected: bool) -> str:
         f"count(f.day) AS {counted}",
     ]
     return f"""WITH facts AS ({dates}),
-    days AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM facts)::TIMESTAMP,
-               (SELECT max(day) FROM facts)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d)
+    days AS (SELECT CAST(unnest(generate_series(least((SELECT min(day) FROM facts), DATE '{CALENDAR_START}')::TIMESTAMP,
+               greatest((SELECT max(day) FROM facts), DATE '{CALENDAR_END}')::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d)
     SELECT {', '.join(columns)}
     FROM days LEFT JOIN facts f ON f.day = days.d GROUP BY d"""
 

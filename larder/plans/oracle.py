@@ -63,13 +63,16 @@ SHIFTS = f"""shifts AS (
          CASE WHEN max(ts) > min(ts) THEN max(ts) END AS ClockOutTime
   FROM events GROUP BY ALL)"""
 
-LABOR = f"""{SHIFTS}, labor AS (
-  SELECT EmployeeID % (SELECT count(*) FROM supplier) AS LocationID,
-         ClockInDateID AS OrderDateID,
+# Employee numbers deal people to the stores in the order of the store keys.
+SEATS = """seats AS (
+  SELECT s_suppkey AS LocationID, row_number() OVER (ORDER BY s_suppkey) - 1 AS Seat FROM supplier)"""
+
+LABOR = f"""{SHIFTS}, {SEATS}, labor AS (
+  SELECT LocationID, ClockInDateID AS OrderDateID,
          sum(coalesce(date_diff('second', ClockInTime, ClockOutTime), 0)) AS Seconds,
          sum(coalesce(date_diff('second', ClockInTime, ClockOutTime), 0)
              * (1500 + EmployeeID % 4 * 250)) AS CostSeconds
-  FROM shifts GROUP BY ALL)"""
+  FROM shifts JOIN seats ON Seat = EmployeeID % (SELECT count(*) FROM supplier) GROUP BY ALL)"""
 
 COGS = """item_cost AS (
   SELECT ItemID, sum(RecipeQuantity * CAST(1 AS DECIMAL(4,2))) AS UnitCost

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.operators import inventory, labor, sales
+from larder.operators.surrogate import assign_round_robin
 from larder.plans import oracle as o
 from larder.plans.registry import query
 from larder.sources import retail
@@ -32,10 +33,11 @@ def dated_lines(spark, sf_dir, *attributes, cost=False):
 
 
 def employees(spark, sf_dir):
-    """The users of the time clock, given stores round robin and a rate."""
-    stores = retail.locations(spark, sf_dir).count()
+    """The users of the time clock, dealt to the stores by position, and a rate."""
     people = retail.punches(spark, sf_dir).select("EmployeeID").distinct()
-    return labor.with_rates(people.withColumn("LocationID", F.col("EmployeeID") % stores))
+    stores = retail.locations(spark, sf_dir)
+    dealt = assign_round_robin(people, F.col("EmployeeID"), stores, "LocationID", "LocationID")
+    return labor.with_rates(dealt)
 
 
 def shifts(spark, sf_dir, years_back=retail.SHIFT_YEARS_BACK):
@@ -174,8 +176,7 @@ def _daily_cogs(spark, sf_dir):
     LEFT JOIN cogs c USING (LocationID, OrderDateID)""",
 )
 def daily_sales_summary(spark, sf_dir):
+    orders = _dated_orders(spark, sf_dir, ("MemberID", "ChannelID", "PaymentMethod"))
     return sales.daily_summary(
-        dated_lines(spark, sf_dir, "ChannelID", "PaymentMethod", cost=True),
-        daily_customers(spark, sf_dir),
-        daily_labor(spark, sf_dir),
+        sales.store_orders(costed_lines(spark, sf_dir), orders), daily_labor(spark, sf_dir)
     )

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.functions.dates import calendar_id
 from larder.functions.money import amount
 from larder.functions.recipes import INGREDIENTS
-from larder.operators import dimensions, hierarchy, inventory, labor, ledger, loyalty, promo, sales
+from larder.operators import hierarchy, inventory, labor, ledger, loyalty, promo, sales
 from larder.plans import campaigns as c
 from larder.plans import oracle as o
 from larder.plans.registry import query
 from larder.plans.sales_queries import (
-    costed_lines,
     daily_labor,
+    dated_lines,
     employees,
     shifts,
     store_orders,
@@ -80,23 +79,22 @@ def _order_pricing(spark, sf_dir):
 
 @query(
     "order_items_explode",
-    """WITH n AS (SELECT count(*) AS items FROM part)
-    SELECT OrderID, LineNumber, (OrderID * 131071 + LineNumber) % items + 1 AS ItemID
-    FROM (SELECT o_orderkey AS OrderID,
-                 CAST(unnest(range(1, o_orderkey % 4 + 2)) AS INTEGER) AS LineNumber FROM orders), n""",
+    f"""WITH {o.LINES}
+    SELECT OrderID, LineNumber, LocationID, ItemID, 'Sale' AS Movement,
+           CAST(-Quantity AS DOUBLE) AS Units FROM lines
+    UNION ALL SELECT OrderID, LineNumber, LocationID, ItemID, 'Return', CAST(Quantity AS DOUBLE)
+      FROM lines WHERE Refund > 0""",
 )
 def _order_items_explode(spark, sf_dir):
-    item_count = retail.items(spark, sf_dir).count()
-    orders = retail.orders(spark, sf_dir).select("OrderID")
-    return sales.explode_lines(orders, item_count)
+    return sales.line_movements(retail.order_lines(spark, sf_dir))
 
 
-_PRICE_LIST_SIZE = 40
+_ACTIVE_SIZE = 40
 
 
-def price_list(spark, sf_dir):
+def active_items(spark, sf_dir):
     """Items on the current menu; the larger sizes have been taken off it."""
-    return retail.items(spark, sf_dir).where(F.col("Size") <= _PRICE_LIST_SIZE)
+    return retail.items(spark, sf_dir).where(F.col("Size") <= _ACTIVE_SIZE)
 
 
 @query(
@@ -105,12 +103,11 @@ def price_list(spark, sf_dir):
     SELECT OrderID, LineNumber, ItemID, CAST(Quantity AS DOUBLE) AS Quantity,
            CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS UnitPrice,
            CAST(round(Quantity * CAST(p_retailprice AS DECIMAL(12,2)), 2) AS DOUBLE) AS LineTotal
-    FROM lines LEFT JOIN (SELECT * FROM part WHERE p_size <= {_PRICE_LIST_SIZE})
-      ON ItemID = p_partkey""",
+    FROM lines LEFT JOIN part ON ItemID = p_partkey""",
 )
 def _line_price_lookup(spark, sf_dir):
     lines = retail.order_lines(spark, sf_dir).select("OrderID", "LineNumber", "ItemID", "Quantity")
-    return sales.price_lines(lines, price_list(spark, sf_dir))
+    return sales.price_lines(lines, retail.items(spark, sf_dir))
 
 
 @query(
@@ -118,7 +115,7 @@ def _line_price_lookup(spark, sf_dir):
     f"""WITH {o.LINES}
     SELECT LocationID, count(*) AS ActiveLines, CAST(sum(Gross) AS DOUBLE) AS ActiveGross
     FROM lines
-    WHERE ItemID IN (SELECT p_partkey FROM part WHERE p_size <= {_PRICE_LIST_SIZE})
+    WHERE ItemID IN (SELECT p_partkey FROM part WHERE p_size <= {_ACTIVE_SIZE})
       AND LocationID IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)
     GROUP BY LocationID""",
 )
@@ -127,7 +124,7 @@ def _active_only_semi(spark, sf_dir):
     return (
         retail.order_lines(spark, sf_dir)
         .join(active_stores, "LocationID", "left_semi")
-        .join(price_list(spark, sf_dir), "ItemID", "left_semi")
+        .join(active_items(spark, sf_dir), "ItemID", "left_semi")
         .groupBy("LocationID")
         .agg(F.count("*").alias("ActiveLines"), F.sum("Gross").alias("ActiveGross"))
     )
@@ -214,29 +211,33 @@ def _payroll(spark, sf_dir):
 
 @query(
     "schedule_grid",
-    f"""WITH people AS (SELECT DISTINCT user_id AS EmployeeID FROM events),
-    grid AS (SELECT EmployeeID, unnest(range(0, {labor.SCHEDULE_DAYS})) AS d FROM people)
-    SELECT EmployeeID * {labor.SCHEDULE_DAYS} + d + 1 AS ScheduleID, EmployeeID,
-           EmployeeID % (SELECT count(*) FROM supplier) AS LocationID,
-           CAST({calendar_id(labor.SCHEDULE_FROM)} + d AS INTEGER) AS ShiftDateID,
-           '09:00:00' AS StartTime, '17:00:00' AS EndTime, 'Day' AS ShiftType,
-           30 AS BreakMinutes, 1 AS IsApproved, CAST(NULL AS INTEGER) AS ApprovedBy
-    FROM grid""",
+    f"""WITH {o.SHIFTS}, {o.SEATS}, people AS (SELECT DISTINCT user_id AS EmployeeID FROM events),
+    days AS (SELECT CAST(unnest(range((SELECT min(ClockInDateID) FROM shifts),
+                                      (SELECT max(ClockInDateID) FROM shifts) + 1)) AS INTEGER) AS d)
+    SELECT p.EmployeeID, LocationID, d AS ShiftDateID,
+           CAST(s.EmployeeID IS NOT NULL AS INTEGER) AS IsPresent,
+           coalesce(date_diff('minute', ClockInTime, coalesce(ClockOutTime, {o.RUN_TIMESTAMP})), 0)
+             AS TotalMinutes
+    FROM people p JOIN seats ON Seat = p.EmployeeID % (SELECT count(*) FROM supplier)
+    CROSS JOIN days LEFT JOIN shifts s ON s.EmployeeID = p.EmployeeID AND ClockInDateID = d""",
 )
 def _schedule_grid(spark, sf_dir):
-    return labor.schedule(employees(spark, sf_dir), calendar_id(labor.SCHEDULE_FROM))
+    worked = labor.hours_worked(shifts(spark, sf_dir), retail.RUN_TIME)
+    span = worked.agg(F.min("ClockInDateID").alias("first"), F.max("ClockInDateID").alias("last")).first()
+    return labor.attendance(employees(spark, sf_dir), worked, span["first"], span["last"])
 
 
 @query(
     "operating_hours_grid",
-    """SELECT LocationID * 7 + DayOfWeek AS OperatingHoursID, LocationID,
-           CAST(DayOfWeek AS INTEGER) AS DayOfWeek, '08:00:00' AS OpenTime, '22:00:00' AS CloseTime,
-           0 AS IsHoliday, CAST(NULL AS VARCHAR) AS HolidayName, 1 AS EffectiveDateID,
-           CAST(NULL AS INTEGER) AS ExpiryDateID
-    FROM (SELECT s_suppkey AS LocationID, unnest(range(1, 8)) AS DayOfWeek FROM supplier)""",
+    """SELECT s_suppkey * 7 + k AS OperatingHoursID, s_suppkey AS LocationID,
+           CAST(k AS INTEGER) AS DayOfWeek, coalesce(n, 0) AS Lines,
+           CAST(coalesce(n, 0) > 0 AS INTEGER) AS IsOpen
+    FROM (SELECT s_suppkey, unnest(range(1, 8)) AS k FROM supplier) LEFT JOIN (
+      SELECT l_suppkey, isodow(l_shipdate) AS day, count(*) AS n FROM lineitem GROUP BY ALL)
+      ON l_suppkey = s_suppkey AND day = k""",
 )
 def _operating_hours_grid(spark, sf_dir):
-    return dimensions.operating_hours(retail.locations(spark, sf_dir)).drop("CreatedDate")
+    return sales.store_weekdays(retail.locations(spark, sf_dir), retail.order_lines(spark, sf_dir))
 
 
 @query(
@@ -328,9 +329,6 @@ def _inventory_transactions(spark, sf_dir):
         ["LocationID", "IngredientID"],
         ["OrderDateID", "OrderID", "LineNumber", "ItemID", "Quantity"],
         opening,
-        # a line moves each ingredient at most once, so a store's lines bound the
-        # movements of each of its stocks and are much cheaper to count
-        sized=lines.select("LocationID"),
     )
 
 
@@ -341,49 +339,47 @@ _INGREDIENT_VALUES = o.values(
 
 @query(
     "store_inventory_grid",
-    f"""SELECT s_suppkey * 7 + k AS StoreInventoryID, s_suppkey AS LocationID, k AS InventoryItemID,
-           name AS ItemName, CAST(200 AS DOUBLE) AS QuantityOnHand,
-           CAST(10 AS DOUBLE) AS MinimumQuantity, CAST(1000 AS DOUBLE) AS MaximumQuantity
-    FROM supplier, (VALUES {_INGREDIENT_VALUES}) AS i(k, name)""",
+    f"""WITH {_USAGE}, used AS (
+      SELECT LocationID, IngredientID, sum(Used) AS Used, count(*) AS Days FROM usage GROUP BY ALL)
+    SELECT s_suppkey * 7 + k AS StoreInventoryID, s_suppkey AS LocationID, k AS InventoryItemID,
+           name AS ItemName, CAST(coalesce(Used, 0) AS DOUBLE) AS UsedQuantity,
+           coalesce(Days, 0) AS DaysUsed
+    FROM supplier CROSS JOIN (VALUES {_INGREDIENT_VALUES}) AS i(k, name)
+    LEFT JOIN used ON LocationID = s_suppkey AND IngredientID = k""",
 )
 def _store_inventory_grid(spark, sf_dir):
-    return inventory.store_inventory(retail.locations(spark, sf_dir))
+    return inventory.store_stock(retail.locations(spark, sf_dir), daily_usage(spark, sf_dir))
 
 
-_PURCHASES = """po AS (
-  SELECT s_suppkey * 3 + n AS PurchaseOrderID, s_suppkey AS LocationID
-  FROM supplier, (SELECT unnest([1, 2, 3]) AS n)),
-poi AS (
-  SELECT po.*, k AS InventoryItemID, (PurchaseOrderID * 31 + k * 17) % 151 + 50 AS QuantityOrdered
-  FROM po, (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS k))"""
+_PURCHASES = f"""{_USAGE}, poi AS (
+  SELECT LocationID AS PurchaseOrderID, printf('PO-%06d', LocationID) AS PurchaseOrderNumber,
+         LocationID, IngredientID AS InventoryItemID, sum(Used) AS UsedQuantity,
+         CAST(ceil(sum(Used)) AS BIGINT) AS QuantityOrdered
+  FROM usage GROUP BY LocationID, IngredientID)"""
 
 
 @query(
     "purchase_orders",
     f"""WITH {_PURCHASES}
-    SELECT PurchaseOrderID, printf('PO-%06d', PurchaseOrderID) AS PurchaseOrderNumber, LocationID,
-           'Submitted' AS OrderStatus, CAST(1000 AS DOUBLE) AS TotalAmount, InventoryItemID,
-           QuantityOrdered, 0 AS QuantityReceived, CAST(1 AS DOUBLE) AS UnitPrice,
-           CAST(QuantityOrdered AS DOUBLE) AS LineTotal
+    SELECT PurchaseOrderID, PurchaseOrderNumber, LocationID, InventoryItemID,
+           CAST(UsedQuantity AS DOUBLE) AS UsedQuantity, QuantityOrdered,
+           CAST(1 AS DOUBLE) AS UnitPrice, CAST(QuantityOrdered AS DOUBLE) AS LineTotal
     FROM poi""",
 )
 def _purchase_orders(spark, sf_dir):
-    return inventory.purchase_order_items(
-        inventory.purchase_orders(retail.locations(spark, sf_dir))
-    )
+    return inventory.purchase_order_items(daily_usage(spark, sf_dir))
 
 
 @query(
     "po_totals",
     f"""WITH {_PURCHASES}
-    SELECT PurchaseOrderID, CAST(1000 AS DOUBLE) AS StatedTotal,
-           CAST(sum(QuantityOrdered) AS DOUBLE) AS LinesTotal, count(*) AS Lines,
-           CAST(sum(QuantityOrdered) - 1000 AS DOUBLE) AS Variance
+    SELECT PurchaseOrderID, count(*) AS Lines, CAST(sum(QuantityOrdered) AS DOUBLE) AS LinesTotal,
+           CAST(sum(UsedQuantity) AS DOUBLE) AS UsedCost,
+           CAST(sum(QuantityOrdered - UsedQuantity) AS DOUBLE) AS Variance
     FROM poi GROUP BY PurchaseOrderID""",
 )
 def _po_totals(spark, sf_dir):
-    purchases = inventory.purchase_orders(retail.locations(spark, sf_dir))
-    return inventory.purchase_totals(purchases, inventory.purchase_order_items(purchases))
+    return inventory.purchase_totals(inventory.purchase_order_items(daily_usage(spark, sf_dir)))
 
 
 @query(
@@ -403,12 +399,8 @@ def _reorder_report(spark, sf_dir):
     opening = amount(
         (F.col("LocationID") * 37 + F.col("InventoryItemID") * 101) % 4000 + 5000, 14, 4
     )
-    stock = inventory.store_inventory(retail.locations(spark, sf_dir)).withColumn(
-        "QuantityOnHand", opening
-    )
-    return inventory.reorder_report(stock, daily_usage(spark, sf_dir)).drop(
-        "StoreInventoryID", "MaximumQuantity"
-    )
+    stock = inventory.store_items(retail.locations(spark, sf_dir)).withColumn("QuantityOnHand", opening)
+    return inventory.reorder_report(stock, daily_usage(spark, sf_dir)).drop("StoreInventoryID")
 
 
 # --- finance ------------------------------------------------------------------
@@ -421,18 +413,20 @@ def _reorder_report(spark, sf_dir):
             FROM store_orders GROUP BY LocationID),
     goods AS (SELECT LocationID, sum(CostOfGoodsSold) AS g FROM cogs GROUP BY LocationID),
     staff AS (SELECT LocationID, CAST(sum((CostSeconds + 1800) // 3600) AS DECIMAL(18,2))
-                * CAST(0.01 AS DECIMAL(3,2)) AS s FROM labor GROUP BY LocationID)
+                * CAST(0.01 AS DECIMAL(3,2)) AS s FROM labor GROUP BY LocationID),
+    owed AS (SELECT s_suppkey AS LocationID, greatest(CAST(s_acctbal AS DECIMAL(12,2)), 0) AS x FROM supplier)
     SELECT LocationID, CAST(n AS DOUBLE) AS NetSales, CAST(coalesce(g, 0) AS DOUBLE)
            AS CostOfGoodsSold, CAST(coalesce(s, 0) AS DOUBLE) AS TotalLaborCost,
-           CAST(5000 AS DOUBLE) AS Expenses,
-           CAST(n - coalesce(g, 0) - coalesce(s, 0) - 5000 AS DOUBLE) AS Profit
-    FROM net LEFT JOIN goods USING (LocationID) LEFT JOIN staff USING (LocationID)""",
+           CAST(coalesce(x, 0) AS DOUBLE) AS Expenses,
+           CAST(n - coalesce(g, 0) - coalesce(s, 0) - coalesce(x, 0) AS DOUBLE) AS Profit
+    FROM net LEFT JOIN goods USING (LocationID) LEFT JOIN staff USING (LocationID)
+    LEFT JOIN owed USING (LocationID)""",
 )
 def _store_pnl(spark, sf_dir):
     return ledger.store_profit(
-        costed_lines(spark, sf_dir),
+        dated_lines(spark, sf_dir, cost=True),
         daily_labor(spark, sf_dir),
-        dimensions.store_expenses(retail.locations(spark, sf_dir)),
+        retail.store_expenses(spark, sf_dir),
     )
 
 
@@ -527,6 +521,7 @@ def _promo_applicability(spark, sf_dir):
         c.targets(spark),
         targeted_items(spark, sf_dir),
         c.campaign_stores(retail.locations(spark, sf_dir)),
+        retail.orders(spark, sf_dir).agg(F.max("OrderDateID")).first()[0],
     )
     return promo.best_discount(applicable)
 
@@ -534,14 +529,13 @@ def _promo_applicability(spark, sf_dir):
 @query(
     "promo_bridge",
     """SELECT 'item' AS Kind, CAST(1 AS BIGINT) AS PromotionID, p_partkey AS TargetID
-      FROM (SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 50)
-    UNION ALL SELECT 'store', 1, s_suppkey
-      FROM (SELECT s_suppkey FROM supplier ORDER BY s_suppkey LIMIT 200)""",
+      FROM part
+    UNION ALL SELECT 'store', 1, s_suppkey FROM supplier""",
 )
 def _promo_bridge(spark, sf_dir):
     promotions = c.campaigns(spark)
-    items = promo.promotion_bridge(retail.items(spark, sf_dir), promotions, "ItemID", 50)
-    stores = promo.promotion_bridge(retail.locations(spark, sf_dir), promotions, "LocationID", 200)
+    items = promo.promotion_bridge(retail.items(spark, sf_dir), promotions, "ItemID")
+    stores = promo.promotion_bridge(retail.locations(spark, sf_dir), promotions, "LocationID")
     return items.select(
         F.lit("item").alias("Kind"), "PromotionID", F.col("ItemID").alias("TargetID")
     ).unionByName(
@@ -575,7 +569,7 @@ def _combo_expand(spark, sf_dir):
     f"""WITH points AS (
       SELECT event_id AS TransactionID, user_id AS MemberID, ts, event_type,
              {o.date_id('ts')} AS TransactionDateID,
-             CAST(floor(CAST(value AS DECIMAL(12,2))) AS BIGINT)
+             CAST(floor(CAST(value AS DECIMAL(18,2))) AS BIGINT)
                * CASE WHEN event_type IN ('purchase', 'view', 'signup') THEN 1 ELSE -1 END AS Points
       FROM events)
     SELECT TransactionID, MemberID, TransactionDateID,
@@ -608,31 +602,26 @@ def _member_lifetime(spark, sf_dir):
 
 
 FEEDBACK = """feedback AS (
-  SELECT o_orderkey AS OrderID, o_custkey AS MemberID,
-         CAST(CAST('0x' || substr(md5('rating-' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-              % 5 + 1 AS INTEGER) AS OverallRating
-  FROM orders
-  WHERE CAST('0x' || substr(md5('feedback-' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-        % 1000 < 10)"""
+  SELECT event_id AS FeedbackID, user_id AS MemberID,
+         CASE WHEN value IS NOT NULL THEN CAST(greatest(least(floor(value / 25.0), 4), 0) + 1 AS INTEGER) END
+           AS OverallRating
+  FROM events WHERE event_type = 'view')"""
 
 
 @query("order_feedback", f"WITH {FEEDBACK} SELECT * FROM feedback")
 def _order_feedback(spark, sf_dir):
-    return loyalty.feedback(retail.orders(spark, sf_dir)).select(
-        "OrderID", "MemberID", "OverallRating"
-    )
+    return loyalty.feedback(retail.ratings(spark, sf_dir))
 
 
 @query(
     "feedback_by_store",
-    f"""WITH {FEEDBACK}
+    f"""WITH {FEEDBACK}, {o.SEATS}
     SELECT LocationID, count(*) AS Responses,
            CAST(sum(OverallRating) AS DOUBLE) / count(*) AS AverageRating
-    FROM (SELECT DISTINCT l_suppkey AS LocationID, OrderID, OverallRating
-          FROM lineitem JOIN feedback ON l_orderkey = OrderID)
+    FROM feedback JOIN seats ON Seat = MemberID % (SELECT count(*) FROM supplier)
     GROUP BY LocationID""",
 )
 def _feedback_by_store(spark, sf_dir):
     return loyalty.feedback_by_store(
-        loyalty.feedback(retail.orders(spark, sf_dir)), retail.order_lines(spark, sf_dir)
+        loyalty.feedback(retail.ratings(spark, sf_dir)), retail.locations(spark, sf_dir)
     )

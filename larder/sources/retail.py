@@ -43,7 +43,7 @@ def payment_method(order_id: Column) -> Column:
 
 def channel_id(priority: Column) -> Column:
     """Channel of an order from the digit of its priority; the lowest goes to the last channel."""
-    digit = F.substring(priority, 1, 1).cast("int")
+    digit = F.substring(priority, 1, 1).try_cast("int")
     return F.when(digit == 5, 6).otherwise(digit)
 
 
@@ -118,7 +118,7 @@ def punches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole points per event: purchases, views and sign-ups earn, the rest redeems."""
-    points = F.floor(amount("value")).cast("bigint")
+    points = F.floor(amount("value", 18)).cast("bigint")
     earns = F.col("event_type").isin("purchase", "view", "signup")
     return read(spark, sf_dir, "events").select(
         F.col("event_id").alias("TransactionID"),
@@ -128,3 +128,17 @@ def points_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(earns, "Earned").otherwise("Redeemed").alias("TransactionType"),
         F.when(earns, points).otherwise(-points).alias("Points"),
     )
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The views among the events, whose value is what the member thinks of the order."""
+    return read(spark, sf_dir, "events").where(F.col("event_type") == "view").select(
+        F.col("event_id").alias("FeedbackID"), F.col("user_id").alias("MemberID"), F.col("value").alias("Value")
+    )
+
+
+def store_expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a store owes: its account balance, where that is positive."""
+    return locations(spark, sf_dir).select(
+        "LocationID", F.greatest(F.col("Balance"), amount(F.lit(0))).alias("Amount")
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -14,17 +17,18 @@ _written: list[str] = []
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a single-machine session without that setting falls back to a local
-    folder; elsewhere a machine-local folder would lose data with its machine.
+    Only a session whose driver and executors are one process falls back to a
+    local folder, deleted at its end; elsewhere it would be lost with its machine.
     """
     global _local_dir
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="larder-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 

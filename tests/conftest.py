@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import sys
 
 import pytest
@@ -15,6 +16,7 @@ def make_spark() -> SparkSession:
         .appName("larder-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larder-tests-"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")

@@ -53,3 +53,29 @@ def test_struct_type():
     assert schemas.primary_key("inv.Items") == "InventoryItemID"
     with pytest.raises(ValueError):
         schemas.columns("store.Nothing")
+
+
+def test_columns_are_written_out():
+    by_name = {c.name: c for c in schemas.columns("ord.Orders")}
+    assert by_name["OrderID"].type in ("int", "bigint") and not by_name["OrderID"].nullable
+    assert by_name["TotalAmount"].type.startswith("decimal")
+    for table in schemas.tables():
+        names = [c.name for c in schemas.columns(table)]
+        assert len(set(names)) == len(names)
+        for column in schemas.columns(table):
+            T.DataType.fromDDL(column.type)
+            if column.name.endswith("DateID") and column.name != names[0]:
+                assert constraints.Reference(table, column.name, constraints.CALENDAR) in constraints.references(table)
+            if column.name.startswith(("Is", "Has")) and column.name[2:3].isupper():
+                assert column.type == "int"
+
+
+def test_references_by_table():
+    pairs = {(r.child, r.column): r.parent for r in constraints.references()}
+    assert len(pairs) == 106
+    assert pairs["store.Locations", "StateID"] == "store.States"
+    assert pairs["ord.OrderItems", "OrderID"] == "ord.Orders"
+    assert pairs["inv.PurchaseOrderItems", "InventoryItemID"] == "inv.Items"
+    assert pairs["loyalty.Members", "FavoriteLocationID"] == "store.Locations"
+    assert pairs["finance.DailySalesSummary", "SalesDateID"] == "dim.Calendar"
+    assert pairs["emp.Employees", "SupervisorEmployeeID"] == "emp.Employees"

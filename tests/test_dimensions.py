@@ -6,16 +6,11 @@ from pyspark.sql import functions as F
 
 from larder.functions.recipes import recipe, recipe_cost
 from larder.operators import dimensions as dims
-from larder.operators import inventory, labor, quality
+from larder.operators import inventory, labor, loyalty, sales
 
 NOW = dt.datetime(2024, 1, 1)
 
 
-@pytest.fixture(scope="module")
-def stores(spark):
-    return dims.locations(dims.numbers(spark, 60), created=NOW).cache()
-
-
 def test_states(spark):
     states = dims.states(spark, NOW)
     dims.check_states(states)
@@ -40,61 +35,11 @@ def test_state_checks_reject(spark):
         dims.states(None)
 
 
-def test_locations(stores):
-    dims.check_locations(stores, 60)
-    assert len(stores.columns) == 19
-    assert stores.where(~F.col("StoreNumber").rlike(quality.FORMATS["StoreNumber"])).count() == 0
-    assert stores.where(~F.col("ZipCode").rlike(quality.FORMATS["ZipCode"])).count() == 0
-    assert stores.agg(F.min("StateID"), F.max("StateID")).first()[:] == (1, 51)
-    assert stores.select("LocationGUID").distinct().count() == 60
-    with pytest.raises(ValueError):
-        dims.check_locations(stores, 61)
-
-
-@pytest.mark.parametrize("count", [0, -5])
-def test_sizes_must_be_positive(spark, count):
-    with pytest.raises(ValueError):
-        dims.numbers(spark, count)
-
-
-def test_operating_hours(stores):
-    hours = dims.operating_hours(stores, NOW)
-    assert hours.count() == 60 * 7
-    per_store = hours.groupBy("LocationID").agg(F.count_distinct("DayOfWeek").alias("d"))
-    assert per_store.where("d <> 7").count() == 0
-    assert hours.select("OperatingHoursID").distinct().count() == 420
-    assert "Join" not in hours._jdf.queryExecution().executedPlan().toString()
-    for bad in (None, stores.where("false")):
-        with pytest.raises(ValueError):
-            dims.operating_hours(bad)
-
-
 def test_positions_and_menu(spark):
     positions = dims.positions(spark)
     assert positions.count() == 4 and positions.where("MinHourlyRate >= MaxHourlyRate").count() == 0
     assert dims.categories(spark).count() == 4
     assert dims.ingredients(spark).count() == 7
-    items = dims.menu_items(dims.numbers(spark, 300))
-    prices = {r.ItemID: r.BasePrice for r in items.collect()}
-    assert prices == {
-        i: Decimal(str(round(1.99 + (i % 10) * 0.75, 2))).quantize(Decimal("0.01"))
-        for i in range(1, 301)
-    }
-    assert items.where("CategoryID <> (ItemID - 1) % 4 + 1").count() == 0
-
-
-def test_employees(spark, stores):
-    people = dims.employees(dims.numbers(spark, 130), stores, NOW)
-    for unique in ("EmployeeID", "EmployeeNumber", "EmployeeGUID", "Email"):
-        assert people.select(unique).distinct().count() == 130
-    assert people.where("HourlyRate <= 0 OR PositionID NOT BETWEEN 1 AND 4").count() == 0
-    orphans = quality.check_reference(
-        people, "e", "PrimaryLocationID", stores, "s", "LocationID"
-    ).first()
-    assert orphans.OrphanRows == 0
-    assert bytes(people.first().PasswordSalt) == b"salt"
-    with pytest.raises(ValueError):
-        dims.employees(None, stores)
 
 
 def test_small_tables(spark):
@@ -105,9 +50,6 @@ def test_small_tables(spark):
     assert dims.order_channels(spark).count() == 6
     config = dims.system_configuration(spark).first()
     assert (config.ConfigKey, config.ConfigValue) == ("default.tax.rate", "0.07")
-    members = dims.loyalty_members(dims.numbers(spark, 50))
-    assert members.select("MemberNumber").distinct().count() == 50
-    assert members.select("Email").distinct().count() == 50
 
 
 def test_recipes(spark):
@@ -121,17 +63,38 @@ def test_recipes(spark):
     assert [c.c for c in cost.collect()] == [sum(x.Quantity for x in row.r) for row in rows]
 
 
-def test_purchase_orders(stores):
-    purchases = inventory.purchase_orders(stores)
-    lines = inventory.purchase_order_items(purchases)
-    assert purchases.count() == 180 and lines.count() == 540
-    assert lines.where("QuantityOrdered NOT BETWEEN 50 AND 200").count() == 0
-    totals = inventory.purchase_totals(purchases, lines).collect()
-    sums = {}
-    for r in lines.collect():
-        sums[r.PurchaseOrderID] = sums.get(r.PurchaseOrderID, 0) + r.LineTotal
-    assert {r.PurchaseOrderID: r.LinesTotal for r in totals} == sums
-    assert all(r.Variance == r.LinesTotal - 1000 for r in totals)
+def test_restocking_replaces_the_use(spark):
+    usage = spark.createDataFrame(
+        [(1, 1, 10, Decimal("2.5000")), (1, 1, 11, Decimal("1.2000")), (1, 2, 10, Decimal("4.0000")), (7, 3, 10, Decimal("0.1000"))],
+        "LocationID bigint, IngredientID int, OrderDateID int, UsedQuantity decimal(14,4)",
+    )
+    lines = inventory.purchase_order_items(usage)
+    got = {(r.LocationID, r.InventoryItemID): (r.QuantityOrdered, r.LineTotal) for r in lines.collect()}
+    assert got == {(1, 1): (4, Decimal(4)), (1, 2): (4, Decimal(4)), (7, 3): (1, Decimal(1))}
+    totals = {r.PurchaseOrderID: (r.Lines, r.LinesTotal, r.Variance) for r in inventory.purchase_totals(lines).collect()}
+    assert totals == {1: (2, Decimal(8), Decimal("0.3")), 7: (1, Decimal(1), Decimal("0.9"))}
+    stores = spark.createDataFrame([(1,), (7,), (9,)], "LocationID bigint")
+    stock = inventory.store_stock(stores, usage)
+    assert stock.count() == 21
+    assert {(r.LocationID, r.InventoryItemID): (r.UsedQuantity, r.DaysUsed) for r in stock.where("DaysUsed > 0").collect()} == {
+        (1, 1): (Decimal("3.7"), 2), (1, 2): (Decimal(4), 1), (7, 3): (Decimal("0.1"), 1)
+    }
+
+
+def test_use_by_hand(spark):
+    items = spark.createDataFrame([(4,), (5,)], "ItemID bigint")
+    recipes = {r.ItemID: {x.IngredientID: x.Quantity for x in r.r} for r in items.select("ItemID", recipe(F.col("ItemID")).alias("r")).collect()}
+    lines = spark.createDataFrame(
+        [(1, 3, 4, Decimal(2)), (1, 3, 5, Decimal(1)), (2, 3, 4, Decimal(5))],
+        "OrderID bigint, LocationID bigint, ItemID bigint, Quantity decimal(18,2)",
+    )
+    orders = spark.createDataFrame([(1, 8), (2, 8)], "OrderID bigint, OrderDateID int")
+    want = {}
+    for item, units in ((4, 7), (5, 1)):
+        for k, quantity in recipes[item].items():
+            want[k] = want.get(k, 0) + units * quantity
+    got = {r.IngredientID: r.UsedQuantity for r in inventory.daily_usage(lines, orders, items).collect()}
+    assert got == want
 
 
 def test_pay_rounds_half_up(spark):
@@ -157,9 +120,32 @@ def test_shifts_and_hours(spark):
     assert paid[1].GrossPay == Decimal("119.25") and paid[2].GrossPay == 0
 
 
-def test_schedule_has_no_join(spark, stores):
-    people = stores.select(F.col("LocationID").alias("EmployeeID"), "LocationID")
-    plan = labor.schedule(people, 14611)
-    assert plan.count() == 60 * 30
-    assert plan.select("ScheduleID").distinct().count() == 1800
-    assert plan.agg(F.min("ShiftDateID"), F.max("ShiftDateID")).first()[:] == (14611, 14640)
+def test_attendance(spark):
+    people = spark.createDataFrame([(1, 5), (2, 5)], "EmployeeID int, LocationID bigint")
+    worked = spark.createDataFrame([(1, 100, 30), (1, 102, 60)], "EmployeeID int, ClockInDateID int, TotalMinutes bigint")
+    got = {(r.EmployeeID, r.ShiftDateID): (r.IsPresent, r.TotalMinutes) for r in labor.attendance(people, worked, 100, 102).collect()}
+    assert got == {(1, 100): (1, 30), (1, 101): (0, 0), (1, 102): (1, 60), (2, 100): (0, 0), (2, 101): (0, 0), (2, 102): (0, 0)}
+
+
+def test_weekdays_and_movements(spark):
+    stores = spark.createDataFrame([(1,), (2,)], "LocationID bigint")
+    # date 1 is a Tuesday
+    lines = spark.createDataFrame(
+        [(1, 1, 1, 9, 1, Decimal(3), Decimal(0)), (1, 2, 1, 9, 8, Decimal(4), Decimal(7))],
+        "OrderID bigint, LineNumber int, LocationID bigint, ItemID bigint, ShipDateID int, Quantity decimal(18,2), Refund decimal(18,2)",
+    )
+    days = {(r.LocationID, r.DayOfWeek): (r.Lines, r.IsOpen) for r in sales.store_weekdays(stores, lines).collect()}
+    assert len(days) == 14 and days[1, 2] == (2, 1) and sum(n for n, _ in days.values()) == 2
+    moved = [(r.LineNumber, r.Movement, r.Units) for r in sales.line_movements(lines).collect()]
+    assert sorted(moved) == [(1, "Sale", -3), (2, "Return", 4), (2, "Sale", -4)]
+
+
+def test_ratings(spark):
+    given = spark.createDataFrame(
+        [(1, 0, -3.0), (2, 1, 24.9), (3, 2, 25.0), (4, 3, 1e9), (5, 4, None)], "FeedbackID bigint, MemberID bigint, Value double"
+    )
+    rated = loyalty.feedback(given)
+    assert [r.OverallRating for r in rated.orderBy("FeedbackID").collect()] == [1, 1, 2, 5, None]
+    stores = spark.createDataFrame([(10,), (20,), (40,)], "LocationID bigint")
+    got = {r.LocationID: (r.Responses, r.AverageRating) for r in loyalty.feedback_by_store(rated, stores).collect()}
+    assert got == {10: (2, 3.0), 20: (1, 1.0), 40: (1, 2.0)}

@@ -39,10 +39,9 @@ def balances(rows):
     return expected
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1000, 50, 1])
-def test_running_sum_matches_a_plain_loop(movements, hot_rows, coalescing):
+def test_running_sum_matches_a_plain_loop(movements, coalescing):
     rows, df = movements
-    got = running_sum(df, ["k"], ["t", "id"], "v", "balance", hot_rows).collect()
+    got = running_sum(df, ["k"], ["t", "id"], "v", "balance").collect()
     assert len(got) == len(rows)
     assert {r.id: r.balance for r in got} == balances(rows)
 
@@ -60,7 +59,7 @@ def test_hot_key_is_cut_into_several_ranges(spark, movements, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         _, df = movements
-        out = running_sum(df, ["k"], ["t", "id"], "v", "balance", 1000)
+        out = running_sum(df, ["k"], ["t", "id"], "v", "balance")
         ranges = next(stored for label, stored in cut if label == "ranges")
         sizes = [r["count"] for r in ranges.where("k = 1").groupBy("_range").count().collect()]
         assert len(sizes) > 4 and max(sizes) < 1500
@@ -69,10 +68,10 @@ def test_hot_key_is_cut_into_several_ranges(spark, movements, monkeypatch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_hot_keys_may_be_found_in_a_cheaper_frame(spark, movements):
+def test_several_keys(movements):
     rows, df = movements
     wide = df.withColumn("part", F.col("id") % 2)
-    got = running_sum(wide, ["k", "part"], ["t", "id"], "v", "b", 1000, sized=df.select("k"))
+    got = running_sum(wide, ["k", "part"], ["t", "id"], "v", "b")
     expected = {}
     for part in (0, 1):
         expected |= balances([r for r in rows if r[2] % 2 == part])
@@ -82,9 +81,15 @@ def test_hot_keys_may_be_found_in_a_cheaper_frame(spark, movements):
 def test_running_sum_keeps_null_keys_and_values(spark):
     rows = [(None, 1, 1, 5), (None, 2, 2, None), (1, 1, 3, None), (1, 2, 4, 2), (1, 3, 5, 3)]
     df = spark.createDataFrame(rows, "k int, t int, id int, v bigint")
-    for hot_rows in (100, 2):
-        got = running_sum(df, ["k"], ["t", "id"], "v", "b", hot_rows).collect()
-        assert {r.id: r.b for r in got} == {1: 5, 2: 5, 3: None, 4: 2, 5: 5}
+    got = running_sum(df, ["k"], ["t", "id"], "v", "b").collect()
+    assert {r.id: r.b for r in got} == {1: 5, 2: 5, 3: None, 4: 2, 5: 5}
+
+
+def test_hot_null_key(spark, coalescing):
+    rows = [(None if i % 3 else i % 7, i, i, i % 11 - 5) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k int, t int, id int, v bigint").repartition(8)
+    got = running_sum(df, ["k"], ["t", "id"], "v", "b").collect()
+    assert {r.id: r.b for r in got} == balances([(-1 if k is None else k, t, i, v) for k, t, i, v in rows])
 
 
 def test_dense_ids_are_dense_and_ordered(spark, coalescing):
@@ -128,16 +133,6 @@ def test_business_keys_keep_long_numbers(spark):
     assert tuple(row) == ("SF-00007", "SF-1234567", "(555)345-2345", "MBR-0000042")
 
 
-def test_scattered_item_equals_the_plain_formula(spark):
-    ids = [1, 2, 3, 299, 300, 10**6, 5 * 10**6 + 1]
-    df = spark.createDataFrame([(i,) for i in ids], "o bigint")
-    got = df.select("o", keys.scattered_item(F.col("o"), F.lit(3), 300).alias("item")).collect()
-    assert {r.o: r.item for r in got} == {i: (i * 131071 + 3) % 300 + 1 for i in ids}
-    # and stays in range where the plain product would not
-    far = spark.range(1).select(keys.scattered_item(F.lit(9 * 10**18), F.lit(1), 300).alias("i"))
-    assert far.first().i == (9 * 10**18 * 131071 + 1) % 300 + 1
-
-
 def test_stable_guid(spark):
     df = spark.range(1000).select(keys.stable_guid("x", F.col("id")).alias("g"))
     rows = [r.g for r in df.collect()]

@@ -101,13 +101,17 @@ def test_require(spark):
         quality.require(df, rules={"positive": "a > 1"})
 
 
-def test_table_report_skips_absent_columns(spark):
+def test_table_report_names_absent_columns(spark):
     df = inline_rows(spark, [(1, 1, "4.00"), (1, 2, "-1.00")], "OrderID bigint, LocationID int, TotalAmount decimal(12,2)")
     stores = inline_rows(spark, [(1,)], "LocationID int")
     found = quality.table_report(df, "ord.Orders", {"store.Locations": stores}).collect()
     wrong = {(r.Kind, r.Subject) for r in found if r.Violations}
-    assert wrong == {
+    present = {pair for pair in wrong if pair[0] != "absent column"}
+    assert present == {
         ("check", "CHK_Orders_TotalAmount"),
         ("unique", "OrderID"),
         ("reference", "LocationID -> store.Locations"),
     }
+    absent = {subject for kind, subject in wrong if kind == "absent column"}
+    assert {"OrderNumber", "OrderDateID", "SubtotalAmount", "ChannelID"} <= absent
+    assert not absent & {"OrderID", "LocationID", "TotalAmount"}

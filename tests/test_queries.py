@@ -20,7 +20,8 @@ def con():
 def test_query_matches_its_sql(spark, con, name):
     assert name in entry.oracle_sql()
     problem = compare(entry.queries()[name](spark, SF_DIR), con, QUERIES[name].sql)
-    assert problem in (None, "no rows"), problem
+    # nothing runs out of stock in the smallest tables
+    assert problem is None or (name, problem) == ("reorder_report", "no rows"), problem
 
 
 def test_entry(spark):
