@@ -52,8 +52,8 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a scratch Parquet table and read it back.
+def materialize(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` to a scratch Parquet table, of at most ``files`` files, and read it back.
 
     What depends on row placement (partition numbers, generated ids) is fixed
     by the write, so every later reader sees the same values, and a lost
@@ -61,5 +61,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
