@@ -48,7 +48,7 @@ class Settings:
     extra: int = 16
     common: float = 0.001
     shards: int = 4
-    cosine: float = 0.5
+    cosine: float = 0.2
     overlap: float = 0.6
     answer: float = 0.5
     answer_part: float = 0.25
@@ -66,24 +66,41 @@ def segments(firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return firsts[:-1][row] + within * size, row
 
 
-def passages(columns: np.ndarray, firsts: np.ndarray, table: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
-    """(vectors, rows, first words, last words + 1) of all passages; ``table`` has the vector of each column."""
-    begin, row = segments(firsts, size)
-    if not len(begin):
-        none = np.zeros(0, np.int64)
-        return np.zeros((0, table.shape[1]), table.dtype), none, none, none
-    sums = np.add.reduceat(table[columns], begin, axis=0)
-    end = np.minimum(begin + size, firsts[row + 1])
+def passages(
+    columns: np.ndarray, firsts: np.ndarray, table: np.ndarray, weights: np.ndarray, s: Settings
+) -> tuple[np.ndarray, ...]:
+    """(vectors, rows, first words, last words + 1) of the passages that can reach the cosine.
+
+    ``table`` has the vector of each column, zero for columns that no item has.
+    Vectors are divided by the length of the passage's whole TF-IDF vector, which
+    bounds the cosine by the share of the columns with a vector.
+    """
+    begin, row = segments(firsts, s.segment)
+    end = np.minimum(begin + s.segment, firsts[row + 1])
+    known = (table != 0).any(axis=1)
+    squares = weights[columns] ** 2
+    live = np.flatnonzero(known[columns])
+    low, high = np.searchsorted(live, begin), np.searchsorted(live, end)
+    filled = np.flatnonzero(high > low)
+    sums = np.zeros((len(begin), table.shape[1]), table.dtype)
+    found = np.zeros(len(begin))
+    if len(filled):
+        sums[filled] = np.add.reduceat(table[columns[live]], low[filled], axis=0)
+        found[filled] = np.add.reduceat(squares[live], low[filled])
+    total = np.add.reduceat(squares, begin) if len(begin) else np.zeros(0)
     paired = np.zeros(len(row), dtype=bool)
     paired[:-1] = row[1:] == row[:-1]
-    alone = ~paired & np.concatenate([[True], ~paired[:-1]])
+    alone = ~paired & np.concatenate([[True], ~paired[:-1]])[: len(row)]
     keep = np.flatnonzero(paired | alone)
+    after = np.where(paired[keep], keep + 1, -1)
+    join = lambda x: x[keep] + np.where(after >= 0, x[after], 0) if len(x) else x[keep]
+    found, total = join(found), join(total)
+    fits = (found > 0) & (found >= s.cosine**2 * total)
+    keep, after, total = keep[fits], after[fits], total[fits]
     vectors = sums[keep]
-    two = paired[keep]
-    vectors[two] += sums[keep[two] + 1]
-    ends = end[keep]
-    ends[two] = end[keep[two] + 1]
-    return vectors, row[keep], begin[keep], ends
+    two = after >= 0
+    vectors[two] += sums[after[two]]
+    return vectors / np.sqrt(total)[:, None].astype(table.dtype), row[keep], begin[keep], end[np.where(two, after, keep)]
 
 
 def _columns(hashes: np.ndarray, s: Settings) -> np.ndarray:
@@ -133,11 +150,13 @@ def _times(rows: DataFrame, weights: np.ndarray, thin: np.ndarray, gram: bool, s
                 out += np.outer(y, y)
             else:
                 out[own] += np.outer(values, y)
-        return pd.DataFrame({"part": [out.tobytes()]})
+        at = np.flatnonzero(out.any(axis=1))
+        return pd.DataFrame({"at": [at.tobytes()], "part": [out[at].tobytes()]})
 
     total = np.zeros((thin.shape[1] if gram else thin.shape[0], thin.shape[1]))
-    for row in rows.groupBy("shard").applyInPandas(run, "part binary").toLocalIterator():
-        total = total + np.frombuffer(row["part"]).reshape(-1, thin.shape[1])
+    for row in rows.groupBy("shard").applyInPandas(run, "at binary, part binary").toLocalIterator():
+        total[np.frombuffer(row["at"], dtype=np.int64)] += np.frombuffer(row["part"]).reshape(-1, thin.shape[1])
+    sent.destroy()
     return total
 
 
@@ -173,7 +192,7 @@ def _items(rows: list, table: np.ndarray, s: Settings) -> Items:
             ids.append(item_id)
             words.append(hashes)
             vectors.append(table[_columns(hashes, s)].sum(axis=0))
-    return Items(ids, words, _unit(np.array(vectors, dtype=np.float32).reshape(len(ids), -1)))
+    return Items(ids, words, _unit(np.array(vectors, dtype=np.float32).reshape(len(ids), table.shape[1])))
 
 
 def common_subsequence(item: np.ndarray, region: np.ndarray) -> list[int]:
@@ -258,8 +277,7 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
                 _, _, hashes, firsts = tx.words(data, offsets)
                 if not len(hashes) or not len(items.ids):
                     continue
-                vectors, row, begin, end = passages(_columns(hashes, s), firsts, table, s.segment)
-                vectors = _unit(vectors)
+                vectors, row, begin, end = passages(_columns(hashes, s), firsts, table, weights, s)
                 for low in range(0, len(vectors), 4096):
                     near = vectors[low : low + 4096] @ items.vectors.T >= s.cosine
                     for p, k in zip(*np.nonzero(near), strict=True):
