@@ -108,18 +108,22 @@ def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> float:
-    """The score from which the held-out accepted and rejected URLs part best; at most one row per bin is collected."""
+    """The score at which the held-out accepted and rejected URLs part best, midway between the two bins.
+
+    At most one row per bin is collected.
+    """
     bins = (
         scored.groupBy(F.floor(F.col("score") / BIN).alias("bin"))
         .agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
         .orderBy("bin").collect()
     )
     allow, block = sum(r["allow"] for r in bins) or 1, sum(r["block"] for r in bins) or 1
-    best, at, passed = -1.0, 0.0, [0, 0]
+    best, at, passed, last = -1.0, 0.0, [0, 0], None
     for row in bins:
         good = (allow - passed[0]) / allow + passed[1] / block
         if good > best:
-            best, at = good, row["bin"] * BIN
+            best, at = good, (row["bin"] + (row["bin"] if last is None else last + 1)) / 2 * BIN
+        last = row["bin"]
         passed = [passed[0] + row["allow"], passed[1] + row["block"]]
     return at
 
