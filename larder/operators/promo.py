@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import date_of_id, iso_weekday
 from larder.functions.money import amount
+from larder.operators.running import running_sum
 from larder.operators.sales import CHANNELS
 
 
@@ -86,10 +87,12 @@ def applicable_promotions(
     """Store orders with each promotion that applies to them and its discount.
 
     A promotion applies by date, channel, weekday class, time of day and minimum
-    purchase, and in its stores if it lists any. It discounts the items its
-    ``targets`` expand to if it has any, else the whole store order.
+    purchase, and in its stores if it lists any, while it is active, for members
+    where it demands that, and up to its limits of uses. It discounts the items
+    its ``targets`` expand to if it has any, else the whole store order.
     """
     ids = ["OrderID", "LocationID", "PromotionID"]
+    promotions = promotions.where(F.col("IsActive") == 1)
     targeted = targets.select("PromotionID").distinct()
     stores = promotion_stores.select("PromotionID", "LocationID").distinct()
     restricted = stores.select("PromotionID").distinct()
@@ -107,13 +110,14 @@ def applicable_promotions(
         & _day_applies(date_of_id(F.col("OrderDateID")))
         & _time_applies(F.col("OrderSecond"))
         & (F.col("Gross") >= F.coalesce("MinimumPurchaseAmount", F.lit(0)))
+        & ((F.col("RequiresLoyaltyMembership") == 0) | F.col("MemberID").isNotNull())
     )
     base = F.when(F.col("_targeted"), F.coalesce("_targets", F.lit(0))).otherwise(F.col("Gross"))
     discount = F.coalesce(
         F.round(F.col("_base") * F.col("DiscountPercentage") / 100, 2).cast("decimal(22,2)"),
         F.least(F.col("DiscountAmount"), F.col("_base")).cast("decimal(22,2)"),
     )
-    return (
+    applied = (
         candidates.join(
             stores.withColumn("_in_store", F.lit(True)), ["PromotionID", "LocationID"], "left"
         )
@@ -122,8 +126,24 @@ def applicable_promotions(
         .withColumn("_base", base.cast("decimal(22,2)"))
         .withColumn("Discount", discount)
         .where(F.col("Discount") > 0)
-        .select(*ids, "Discount")
     )
+    limited = F.col("MaxUsagePerCustomer").isNotNull() | F.col("MaxTotalUsage").isNotNull()
+    free = applied.where(~limited).select(*ids, "Discount")
+    return free.unionByName(_within_limits(applied.where(limited), ids).select(*ids, "Discount"))
+
+
+def _within_limits(uses: DataFrame, ids: list[str]) -> DataFrame:
+    """The uses that come early enough, counted per promotion and per promotion and member.
+
+    Both counts are running totals over ranges, so no task holds all uses of a promotion.
+    """
+    limits = ["MaxUsagePerCustomer", "MaxTotalUsage"]
+    order = ["OrderDateID", "OrderID", "LocationID"]
+    one = uses.select(*ids, "OrderDateID", "MemberID", "Discount", *limits, F.lit(1).cast("bigint").alias("_one"))
+    counted = running_sum(one, ["PromotionID"], order, "_one", "_nth")
+    counted = running_sum(counted, ["PromotionID", "MemberID"], order, "_one", "_own")
+    early = lambda count, limit: F.col(limit).isNull() | (F.col(count) <= F.col(limit))
+    return counted.where(early("_nth", "MaxTotalUsage") & early("_own", "MaxUsagePerCustomer"))
 
 
 def best_discount(applicable: DataFrame) -> DataFrame:

@@ -16,21 +16,24 @@ def _day(year: int, month: int, day: int) -> int:
 
 
 # id, code, percentage, amount, first day, last day (None: open), channels,
-# weekday class, from, to, minimum purchase
+# weekday class, from, to, minimum purchase, active, members only, uses per
+# member, uses in total
 CAMPAIGNS = [
-    (1, "YEAR-97", "10.00", None, _day(1997, 1, 1), _day(1997, 12, 31), "All", "All", None, None, None),
-    (2, "FIVE-OFF", None, "5.00", _day(1998, 6, 1), None, "All", "Weekdays", None, None, "25.00"),
-    (3, "WEB-15", "15.00", None, _day(1996, 3, 1), _day(1999, 3, 1), "WEB", "All", None, None, "1000.00"),
-    (4, "WEEKEND-20", "20.00", None, _day(1995, 1, 1), _day(1996, 12, 31), "All", "Weekends", None, None, None),
-    (5, "LUNCH", None, "500.00", _day(1995, 6, 1), _day(2000, 6, 1), "MOBILE,WEB", "All", "11:00:00", "14:00:00", "50000.00"),
-    (6, "LOCAL-12", "12.00", None, _day(1996, 1, 1), None, "INSTORE", "Weekdays", None, None, None),
-    (7, "ITEM-25", "25.00", None, _day(1999, 1, 1), _day(2000, 12, 31), "All", "All", None, None, None),
+    (1, "YEAR-97", "10.00", None, _day(1997, 1, 1), _day(1997, 12, 31), "All", "All", None, None, None, 1, 1, 2, None),
+    (2, "FIVE-OFF", None, "5.00", _day(1998, 6, 1), None, "All", "Weekdays", None, None, "25.00", 1, 0, None, None),
+    (3, "WEB-15", "15.00", None, _day(1996, 3, 1), _day(1999, 3, 1), "WEB", "All", None, None, "1000.00", 1, 0, None, 400),
+    (4, "WEEKEND-20", "20.00", None, _day(1995, 1, 1), _day(1996, 12, 31), "All", "Weekends", None, None, None, 1, 0, 1, 300),
+    (5, "LUNCH", None, "500.00", _day(1995, 6, 1), _day(2000, 6, 1), "MOBILE,WEB", "All", "11:00:00", "14:00:00", "50000.00", 1, 0, None, None),
+    (6, "LOCAL-12", "12.00", None, _day(1996, 1, 1), None, "INSTORE", "Weekdays", None, None, None, 1, 0, None, None),
+    (7, "ITEM-25", "25.00", None, _day(1999, 1, 1), _day(2000, 12, 31), "All", "All", None, None, None, 1, 0, None, None),
+    (8, "WITHDRAWN", "90.00", None, _day(1995, 1, 1), None, "All", "All", None, None, None, 0, 0, None, None),
 ]
 CAMPAIGN_TYPES = (
     "PromotionID bigint, PromotionCode string, DiscountPercentage decimal(5,2),"
     " DiscountAmount decimal(8,2), StartDateID int, EndDateID int, ApplicableChannels string,"
     " ApplicableDays string, ApplicableTimeStart string, ApplicableTimeEnd string,"
-    " MinimumPurchaseAmount decimal(8,2)"
+    " MinimumPurchaseAmount decimal(8,2), IsActive int, RequiresLoyaltyMembership int,"
+    " MaxUsagePerCustomer int, MaxTotalUsage int"
 )
 
 # promotion, item, category, combo: exactly one of the last three

@@ -433,10 +433,10 @@ def _store_pnl(spark, sf_dir):
 # --- promotions ---------------------------------------------------------------
 
 CAMPAIGN_VALUES = f"""promos(PromotionID, PromotionCode, Pct, Amt, StartDateID, EndDateID,
-    Channels, Days, TimeStart, TimeEnd, MinPurchase) AS (VALUES {o.values(
+    Channels, Days, TimeStart, TimeEnd, MinPurchase, Active, MembersOnly, PerMember, InTotal) AS (VALUES {o.values(
         c.CAMPAIGNS,
         ['BIGINT', 'VARCHAR', 'DECIMAL(5,2)', 'DECIMAL(8,2)', 'INTEGER', 'INTEGER', 'VARCHAR',
-         'VARCHAR', 'VARCHAR', 'VARCHAR', 'DECIMAL(8,2)'])})"""
+         'VARCHAR', 'VARCHAR', 'VARCHAR', 'DECIMAL(8,2)', 'INTEGER', 'INTEGER', 'INTEGER', 'INTEGER'])})"""
 _TARGET_VALUES = f"""targets(PromotionID, ItemID, Category, ComboID) AS (VALUES {o.values(
     c.TARGETS, ['BIGINT', 'BIGINT', 'VARCHAR', 'BIGINT'])})"""
 _COMBO_ITEMS = """combo_items AS (
@@ -488,7 +488,8 @@ def _promo_targets_expand(spark, sf_dir):
                 WHEN 4 THEN 'WEB' WHEN 5 THEN 'KIOSK' ELSE 'THIRDPARTY' END AS Channel
               FROM store_orders),
     based AS (
-      SELECT s.OrderID, s.LocationID, p.PromotionID, p.Pct, p.Amt,
+      SELECT s.OrderID, s.LocationID, s.OrderDateID, s.MemberID, p.PromotionID, p.Pct, p.Amt,
+             p.PerMember, p.InTotal,
              CASE WHEN p.PromotionID IN (SELECT PromotionID FROM targets) THEN coalesce(Eligible, 0)
                   ELSE s.Gross END AS Base
       FROM clock s JOIN promos p ON s.OrderDateID >= StartDateID
@@ -499,23 +500,30 @@ def _promo_targets_expand(spark, sf_dir):
         AND (Days = 'All' OR (Days = 'Weekends') = (isodow(OrderDate) >= 6))
         AND (TimeStart IS NULL OR ClockTime >= TimeStart)
         AND (TimeEnd IS NULL OR ClockTime <= TimeEnd)
-        AND s.Gross >= coalesce(MinPurchase, 0)
+        AND s.Gross >= coalesce(MinPurchase, 0) AND Active = 1
+        AND (MembersOnly = 0 OR s.MemberID IS NOT NULL)
         AND (p.PromotionID NOT IN ({', '.join(map(str, c.LOCAL_CAMPAIGNS))})
              OR s.LocationID % 2 = 1)),
     priced AS (
-      SELECT OrderID, LocationID, PromotionID,
+      SELECT OrderID, LocationID, PromotionID, OrderDateID, MemberID, PerMember, InTotal,
              CASE WHEN Pct IS NOT NULL THEN round(Base * Pct * CAST(0.01 AS DECIMAL(3,2)), 2)
-                  ELSE least(Amt, Base) END AS Discount FROM based)
+                  ELSE least(Amt, Base) END AS Discount FROM based),
+    used AS (
+      SELECT *, row_number() OVER (PARTITION BY PromotionID ORDER BY OrderDateID, OrderID, LocationID) AS nth,
+             row_number() OVER (PARTITION BY PromotionID, MemberID
+                                ORDER BY OrderDateID, OrderID, LocationID) AS own
+      FROM priced WHERE Discount > 0)
     SELECT OrderID, LocationID, PromotionID, CAST(Discount AS DOUBLE) AS Discount, Promotions
     FROM (SELECT *, count(*) OVER w AS Promotions,
                  row_number() OVER (PARTITION BY OrderID, LocationID
                                     ORDER BY Discount DESC, PromotionID) AS pick
-          FROM priced WHERE Discount > 0 WINDOW w AS (PARTITION BY OrderID, LocationID))
+          FROM used WHERE (InTotal IS NULL OR nth <= InTotal) AND (PerMember IS NULL OR own <= PerMember)
+          WINDOW w AS (PARTITION BY OrderID, LocationID))
     WHERE pick = 1""",
 )
 def _promo_applicability(spark, sf_dir):
     applicable = promo.applicable_promotions(
-        store_orders(spark, sf_dir, "ChannelID", "OrderSecond"),
+        store_orders(spark, sf_dir, "ChannelID", "OrderSecond", "MemberID"),
         retail.order_lines(spark, sf_dir),
         c.campaigns(spark),
         c.targets(spark),

@@ -97,9 +97,9 @@ def test_applicability_rules_one_by_one(spark):
     # date 2 is a Wednesday, date 5 a Saturday; channel 4 is WEB, second 43200 is noon
     orders = inline_rows(
         spark,
-        [(1, 1, 2, 4, 43200, "100.00"), (2, 2, 5, 1, 3600, "40.00")],
+        [(1, 1, 2, 4, 43200, None, "100.00"), (2, 2, 5, 1, 3600, 7, "40.00")],
         "OrderID bigint, LocationID bigint, OrderDateID int, ChannelID int, OrderSecond int,"
-        " Gross decimal(12,2)",
+        " MemberID bigint, Gross decimal(12,2)",
     )
     lines = inline_rows(
         spark, [(1, 1, 7, "60.00"), (1, 1, 8, "40.00"), (2, 2, 8, "40.00")],
@@ -109,10 +109,12 @@ def test_applicability_rules_one_by_one(spark):
     def applied(promotion, targets=(), stores=()):
         base = {
             "pct": "10.00", "amount": None, "start": 1, "end": None, "channels": "All",
-            "days": "All", "from": None, "to": None, "minimum": None,
+            "days": "All", "from": None, "to": None, "minimum": None, "active": 1, "members": 0,
+            "own": None, "total": None,
         } | promotion
         row = (1, "P", base["pct"], base["amount"], base["start"], base["end"], base["channels"],
-               base["days"], base["from"], base["to"], base["minimum"])
+               base["days"], base["from"], base["to"], base["minimum"], base["active"],
+               base["members"], base["own"], base["total"])
         target_rows = inline_rows(spark, list(targets) or [(0, 0, None, None)], TARGET_TYPES)
         wanted = target_rows.where("PromotionID > 0")
         store_rows = inline_rows(
@@ -134,4 +136,10 @@ def test_applicability_rules_one_by_one(spark):
     assert applied({"minimum": "50.00"}) == {1: 10.0}
     assert applied({"pct": None, "amount": "50.00"}) == {1: 50.0, 2: 40.0}
     assert applied({}, stores=[(1, 2)]) == {2: 4.0}
+    assert applied({"active": 0}) == {}
+    assert applied({"members": 1}) == {2: 4.0}
+    assert applied({"total": 1}) == {1: 10.0}
+    assert applied({"own": 1}) == {1: 10.0, 2: 4.0}
+    assert applied({"own": 0}) == {}
+    assert applied({"total": 2, "own": 5}) == {1: 10.0, 2: 4.0}
     assert applied({}, targets=[(1, 7, None, None)]) == {1: 6.0}
