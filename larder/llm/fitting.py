@@ -44,9 +44,11 @@ def labelled_sample(
     return materialize(joined.repartition(shards, "shard"), "sample")
 
 
-def _shard_fit(train: Callable, sent: Broadcast) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _shard_fit(train: Callable, sent: Broadcast, size: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        return train(rows.sort_values(["doc_id", "text"], kind="stable"), sent.value.copy())
+        weights = np.zeros(size)
+        weights[sent.value[0]] = sent.value[1]
+        return train(rows.sort_values(["doc_id", "text"], kind="stable"), weights)
 
     return fit
 
@@ -61,15 +63,17 @@ def average(sample: DataFrame, train: Callable[[pd.DataFrame, np.ndarray], pd.Da
     """
     weights = np.zeros(size)
     for _ in range(rounds):
-        sent = sample.sparkSession.sparkContext.broadcast(weights)
+        heavy = np.flatnonzero(weights)
+        sent = sample.sparkSession.sparkContext.broadcast((heavy, weights[heavy]))
 
         found = (
-            sample.groupBy("shard").applyInPandas(_shard_fit(train, sent), WEIGHTS)
+            sample.groupBy("shard").applyInPandas(_shard_fit(train, sent, size), WEIGHTS)
             .groupBy("spot")
             .agg((F.sum(F.col("weight") * F.col("mass")) / F.sum("mass")).alias("weight"))
             .where("weight <> 0")
             .toPandas()
         )
+        sent.destroy()
         weights = np.zeros(size)
         weights[found["spot"].to_numpy(dtype=int)] = found["weight"].to_numpy(dtype=float)
     return weights
