@@ -7,8 +7,9 @@ the full depth until a pair at the threshold shares a branch in some tree with
 the wanted probability. In a branch, nodes whose whole signatures agree well
 enough (``slack`` standard errors below the threshold) are linked, as a spanning
 forest found by breadth-first search, which passes each node once and never
-lists all pairs. A branch of more than ``branch`` nodes is split; the parts are
-linked through one node each, which can only add candidates.
+lists all pairs. A branch of more than ``branch`` nodes is split; all components
+of its parts are linked to a node that stands for the branch, which can only add
+candidates.
 
 The linked nodes form candidate groups. All pairs within a group are verified on
 the exact shingle sets, in blocks of bounded size; a block hands on the number
@@ -26,6 +27,7 @@ it (null only if it has no other); other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -69,6 +71,13 @@ class Settings:
         return int(self.minima * (t - self.slack * np.sqrt(t * (1 - t) / self.minima)))
 
 
+STEP = 2048
+# sides of so many rows of about a hundred bytes are broadcast; larger ones are shuffled
+BROADCAST_ROWS = 200_000
+# the part of a branch that is not split
+WHOLE = -1
+# rows of a scratch table that one task writes
+TABLE_ROWS = 20_000
 _factors = tx.mix(np.arange(10_001, 10_513, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -174,7 +183,7 @@ def search(brief: np.ndarray, agreement: int) -> list[tuple[int, int]]:
     return links
 
 
-def candidates(sets: DataFrame, s: Settings) -> DataFrame:
+def candidates(sets: DataFrame, s: Settings, files: int) -> DataFrame:
     """(u, v): links between sets that a branch brings together and whose signatures agree."""
     width, prefix = s.depth * 4, s.prefix() * 4
     branches = F.transform(
@@ -182,10 +191,13 @@ def candidates(sets: DataFrame, s: Settings) -> DataFrame:
         lambda t: F.struct(t.cast("short").alias("tree"), F.substring(F.col("paths"), t * width + 1, F.lit(prefix)).alias("branch")),
     )
     rows = sets.select("set", "brief", F.inline(branches))
-    wide = rows.groupBy("tree", "branch").agg(F.count("*").alias("_n"), F.min("set").alias("_head")).where("_n > 1")
-    shared = rows.join(wide, ["tree", "branch"]).withColumn(
-        "part", F.when(F.col("_n") > s.branch, F.pmod(F.xxhash64("set"), F.ceil(F.col("_n") / s.branch))).otherwise(F.lit(0)).cast("int")
-    )
+    large = materialize(rows.groupBy("tree", "branch").agg(F.count("*").alias("_n")).where(F.col("_n") > s.branch), "large", files)
+    known = large.count()
+    if known:
+        parts = F.pmod(F.xxhash64("set"), F.ceil(F.col("_n") / s.branch)).cast("int")
+        rows = rows.join(F.broadcast(large) if known <= BROADCAST_ROWS else large, ["tree", "branch"], "left").withColumn("part", F.coalesce(parts, F.lit(WHOLE)))
+    else:
+        rows = rows.withColumn("part", F.lit(WHOLE))
     keys = ["tree", "branch", "part"]
     agreement = s.agreement()
 
@@ -193,23 +205,26 @@ def candidates(sets: DataFrame, s: Settings) -> DataFrame:
         for table in _grouped(batches, keys):
             bounds = _group_bounds(table, keys)
             sets_, briefs = table.column("set").combine_chunks(), table.column("brief").to_pylist()
-            heads, counts = table.column("_head").combine_chunks(), np.asarray(table.column("_n").combine_chunks())
-            u, v, whole = [], [], []
+            parts, trees, names = (table.column(k).to_pylist() for k in ("part", "tree", "branch"))
+            u, v, whole, centres = [], [], [], []
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if counts[low] > s.branch:
-                    whole.append(low)
+                heads = set(range(low, high))
                 if high - low > 1:
                     brief = np.frombuffer(b"".join(briefs[low:high]), dtype=np.uint8).reshape(high - low, -1)
                     for a, b in search(brief, agreement):
                         u.append(low + a)
                         v.append(low + b)
+                        heads.discard(low + b)
+                if parts[low] != WHOLE:
+                    whole += heads
+                    centres += [hashlib.md5(b"%d:" % trees[low] + names[low]).digest()] * len(heads)
             left, right = sets_.take(pa.array(u, pa.int64())), sets_.take(pa.array(v, pa.int64()))
             if whole:
                 left = pa.concat_arrays([left, sets_.take(pa.array(whole))])
-                right = pa.concat_arrays([right, heads.take(pa.array(whole))])
+                right = pa.concat_arrays([right, pa.array(centres, pa.binary())])
             yield pa.RecordBatch.from_arrays([left, right], names=["u", "v"])
 
-    placed = shared.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "set", "brief", "_head", "_n")
+    placed = rows.select(*keys, "set", "brief").repartition(*keys).sortWithinPartitions(*keys)
     return placed.mapInArrow(run, "u binary, v binary")
 
 
@@ -220,11 +235,13 @@ def common(own: list[np.ndarray], other: list[np.ndarray]) -> Iterator[np.ndarra
     member = np.repeat(np.arange(len(other)), [len(x) for x in other])[order]
     flat = flat[order]
     for values in own:
-        low, high = np.searchsorted(flat, values, "left"), np.searchsorted(flat, values, "right")
-        length = high - low
-        total = int(length.sum())
-        at = np.repeat(low - np.cumsum(length) + length, length) + np.arange(total)
-        yield np.bincount(member[at], minlength=len(other))
+        total = np.zeros(len(other), dtype=np.int64)
+        for part in np.split(values, range(STEP, len(values), STEP)):  # bounds what a set of many common shingles gathers
+            low, high = np.searchsorted(flat, part, "left"), np.searchsorted(flat, part, "right")
+            length = high - low
+            at = np.repeat(low - np.cumsum(length) + length, length) + np.arange(int(length.sum()))
+            total += np.bincount(member[at], minlength=len(other))
+        yield total
 
 
 def verified(texts: DataFrame, groups: DataFrame, s: Settings) -> DataFrame:
@@ -236,6 +253,8 @@ def verified(texts: DataFrame, groups: DataFrame, s: Settings) -> DataFrame:
     sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
     placed = groups.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / s.block).cast("int"))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("set", F.lit(4)), F.col("blocks")).cast("int"))
+    if groups.count() <= BROADCAST_ROWS:
+        placed = F.broadcast(placed)
     wide = texts.join(placed, same_key(texts, placed)).select("root", "set", "copies", "blocks", "own", F.lower("_text").alias("_text"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,19 +339,21 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows = materialize(signed(docs, s), "signatures")
     # null ids last
     key = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_content").alias("content"))
+    files = 8 + rows.count() // TABLE_ROWS
     sets = materialize(
         rows.where("n > 0").groupBy("set").agg(
             F.count("*").alias("copies"), F.min(key).alias("least"), F.any_value("paths").alias("paths"), F.any_value("brief").alias("brief")
         ),
         "sets",
+        files,
     )
-    groups = connected_components(candidates(sets, s))
+    groups = connected_components(candidates(sets, s, files), files)
     nodes = groups.join(sets, groups["node"] == sets["set"]).select(
         "root", "set", "copies", F.col("least.id").alias("_id"), F.col("least.content").alias("_content")
     )
-    found = materialize(verified(texts, materialize(nodes, "nodes"), s), "links")
+    found = materialize(verified(texts, materialize(nodes, "nodes", files), s), "links", 4 * files)
     links = found.where("v is null").groupBy("u").agg(F.sum("links").alias("links"))
-    joined = connected_components(found.where("v is not null").select("u", "v"))
+    joined = connected_components(found.where("v is not null").select("u", "v"), files)
     known = sets.select("set", "copies", "least").join(joined.withColumnRenamed("node", "set"), "set", "left")
     known = known.withColumn("root", F.coalesce("root", "set"))
     heads = known.groupBy("root").agg(F.min("least").alias("keeper"))
