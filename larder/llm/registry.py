@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
+# rows of whole texts that a Python worker and its executor hold at once
+BATCH_ROWS = "1000"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -31,6 +33,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, path) if x)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return tune(spark)
 
 
