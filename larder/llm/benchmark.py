@@ -2,8 +2,10 @@
 
 Passages are windows of two neighbouring segments of ``segment`` words, so they
 overlap by half. Words are hashed to 2 ** bits columns, weighted by the inverse
-frequency of their column over all documents; columns with more than ``common``
-of all words say nothing and weigh nothing. A randomised singular value
+document frequency of their column over all distinct texts, so copies of a text
+do not make its words common; a column of every text still weighs ``floor``.
+Distinct texts are counted in sketches of the texts' hashes, whose size does not
+depend on the number of texts and which copies do not change. A randomised singular value
 decomposition of the TF-IDF rows of the benchmark's passages gives the latent
 space: tasks send products of their rows with a thin matrix, whose size does not
 depend on the number of rows, and the driver orthonormalises the sum. The
@@ -13,7 +15,8 @@ cosine with an item reaches ``cosine`` is a candidate.
 A candidate is confirmed on the words themselves: the longest common subsequence
 of the item and the passage with its surroundings covers ``overlap`` of the item
 (of its weight in inverse frequencies as well as of its words), and ``answer`` of
-the words of its last part, the answer, occur there too. So a paraphrase that
+the words of its last part, the answer, occur there too; an item of which every
+word is found in order needs no more. So a paraphrase that
 drops or changes some words is found, and text that shares the words of the
 language is not.
 
@@ -46,7 +49,8 @@ class Settings:
     bits: int = 13
     rank: int = 128
     extra: int = 16
-    common: float = 0.001
+    floor: float = 0.1
+    registers: int = 128
     shards: int = 4
     cosine: float = 0.2
     overlap: float = 0.6
@@ -107,20 +111,49 @@ def _columns(hashes: np.ndarray, s: Settings) -> np.ndarray:
     return (hashes >> np.uint64(64 - s.bits)).astype(np.int64)
 
 
-def frequencies(texts: DataFrame, s: Settings) -> np.ndarray:
-    """How many words of all texts fall in each column."""
+def _estimates(registers: np.ndarray) -> np.ndarray:
+    """HyperLogLog: the number of distinct hashes behind each row of registers."""
+    m = registers.shape[1]
+    raw = 0.7213 / (1 + 1.079 / m) * m * m / np.exp2(-registers.astype(float)).sum(axis=1)
+    empty = (registers == 0).sum(axis=1)
+    return np.where((raw <= 2.5 * m) & (empty > 0), m * np.log(m / np.maximum(empty, 1)), raw)
+
+
+def frequencies(texts: DataFrame, s: Settings) -> tuple[np.ndarray, float]:
+    """In how many distinct texts each column occurs, and how many there are, by sketches."""
+    size = 1 << s.bits
+    blocks = 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << s.bits, dtype=np.int64)
+        kept = np.zeros((size + blocks) * s.registers, dtype=np.uint8)
         for batch in batches:
-            for _, _, data, offsets in tx.chunks(batch.column(0)):
-                total += np.bincount(_columns(tx.words(data, offsets)[2], s), minlength=len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["k", "n"])
-
-    found = texts.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(1 << s.bits)
-    out[found["k"].to_numpy(dtype=int)] = found["n"].to_numpy(dtype=float)
-    return out
+            names = tx.mix(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64))
+            spot = (names % np.uint64(s.registers)).astype(np.int64)
+            rest = names // np.uint64(s.registers) | np.uint64(1 << 56)
+            rank = (np.log2((rest & (~rest + np.uint64(1))).astype(float)) + 1).astype(np.uint8)
+            np.maximum.at(kept, size * s.registers + spot, rank)
+            for first, _, data, offsets in tx.chunks(batch.column(0)):
+                _, _, hashes, firsts = tx.words(data, offsets)
+                row = first + tx.row_of(firsts, len(hashes))
+                np.maximum.at(kept, _columns(hashes, s) * s.registers + spot[row], rank[row])
+        parts = kept.reshape(blocks, -1)
+        filled = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(filled, pa.int32()), pa.array([parts[k].tobytes() for k in filled], pa.binary())], names=["k", "part"]
+        )
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = np.frombuffer(pdf["part"].iloc[0], dtype=np.uint8)
+        for more in pdf["part"].iloc[1:]:
+            part = np.maximum(part, np.frombuffer(more, dtype=np.uint8))
+        return pd.DataFrame({"k": pdf["k"].iloc[:1], "part": [part.tobytes()]})
+
+    sketched = texts.mapInArrow(run, "k int, part binary")
+    out = np.zeros((blocks, (size // blocks + 1) * s.registers), dtype=np.uint8)
+    for k, part in sketched.groupBy("k").applyInPandas(merge, "k int, part binary").collect():
+        out[k] = np.frombuffer(part, dtype=np.uint8)
+    found = _estimates(out.reshape(-1, s.registers))
+    return np.minimum(found[:size], found[size]), float(found[size])
 
 
 def _rows(pdf: pd.DataFrame, weights: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -233,6 +266,8 @@ def confirm(item: np.ndarray, region: np.ndarray, weight: np.ndarray, s: Setting
     if np.isin(item, region).mean() < s.overlap:
         return 0.0
     places = common_subsequence(item, region)
+    if len(places) == len(item):
+        return 1.0
     share = len(places) / len(item)
     heavy = weight[places].sum() / max(weight.sum(), 1e-12)
     tail = item[-max(1, int(len(item) * s.answer_part)) :]
@@ -251,10 +286,10 @@ def matches(docs: DataFrame, bench: DataFrame, settings: Settings = Settings())
         .select("item_id", "text", F.pmod(F.xxhash64("text", "item_id"), F.lit(s.shards)).cast("int").alias("shard")),
         "items",
     )
-    counts = frequencies(texts.select("_text").unionAll(listed.select(F.col("text").alias("_text"))), s)
-    weights = np.log((counts.sum() + 1) / (counts + 1))
-    weights[counts > s.common * counts.sum()] = 0
-    space = latent_space(listed, weights, s) if counts.sum() else np.zeros((1 << s.bits, s.rank))
+    whole = texts.select("_text").unionAll(listed.select(F.col("text").alias("_text")))
+    counts, distinct = frequencies(whole.select("_text", F.xxhash64("_text")), s)
+    weights = np.maximum(np.log((distinct + 1) / (counts + 1)), s.floor)
+    space = latent_space(listed, weights, s) if counts.any() else np.zeros((1 << s.bits, s.rank))
     table = (weights[:, None] * space).astype(np.float32)
     blocks = max(1, -(-listed.count() // s.items_per_block))
     dealt = listed.withColumn("block", F.pmod(F.xxhash64("item_id", "text", F.lit(8)), F.lit(blocks)))

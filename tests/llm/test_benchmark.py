@@ -57,3 +57,31 @@ def test_whole_table(llm):
     leaked = {r["doc_id"] for r in benchmark.decontaminate(docs, bench).where("leaked").collect()}
     assert leaked == {i for i, t in texts.items() if any(" ".join(x.split()) in " ".join(t.split()) for x in items)}
     assert leaked
+
+
+def made_up(draw, n, parts=3):
+    return " ".join("".join(draw.choice(["an", "er", "th", "on", "ou", "re", "ly", "is"]) for _ in range(parts)) for _ in range(n))
+
+
+def leaked_ids(llm, rows, items):
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    bench = llm.createDataFrame(items, "item_id long, text string")
+    return {r["doc_id"] for r in benchmark.decontaminate(docs, bench).where("leaked").collect()}
+
+
+def test_copies_of_a_leaked_document_do_not_hide_it(llm):
+    draw = random.Random(11)
+    items = [(k, made_up(draw, 38)) for k in range(5)]
+    copied = made_up(draw, 60) + " " + items[0][1] + " " + made_up(draw, 52)
+    rows = [(k, made_up(draw, 300)) for k in range(200)] + [(1000 + k, copied) for k in range(100)]
+    rows += [(2000, made_up(draw, 100) + " " + items[0][1]), (2001, made_up(draw, 80) + " " + items[1][1])]
+    assert leaked_ids(llm, rows, items) == {*range(1000, 1100), 2000, 2001}
+
+
+def test_distinct_texts_are_counted(llm):
+    rows = [("a%d b" % (k % 3000),) for k in range(9000)]
+    texts = llm.createDataFrame(rows, "_text string")
+    from pyspark.sql import functions as F
+
+    counts, distinct = benchmark.frequencies(texts.select("_text", F.xxhash64("_text")), benchmark.Settings())
+    assert abs(distinct - 3000) < 900 and counts.max() == distinct
