@@ -10,7 +10,10 @@ decomposition of the TF-IDF rows of the benchmark's passages gives the latent
 space: tasks send products of their rows with a thin matrix, whose size does not
 depend on the number of rows, and the driver orthonormalises the sum. The
 benchmark is projected and searched in blocks of bounded size; a passage whose
-cosine with an item reaches ``cosine`` is a candidate.
+cosine with an item reaches ``cosine``, times the part of its length that the
+item's own passages keep in the space, is a candidate. What the space holds
+badly is also found without it: a text that shares ``gram`` words in a row with
+an item is a candidate where the two lie over each other.
 
 A candidate is confirmed on the words themselves: the longest common subsequence
 of the item and the passage with its surroundings covers ``overlap`` of the item
@@ -30,7 +33,7 @@ documents clean; repeated rows each get their result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -57,6 +60,7 @@ class Settings:
     answer: float = 0.5
     answer_part: float = 0.25
     least: int = 8
+    gram: int = 5
     items_per_block: int = 20000
     seed: int = 5
 
@@ -202,13 +206,58 @@ def latent_space(rows: DataFrame, weights: np.ndarray, s: Settings) -> np.ndarra
     return thin @ turn[:, np.argsort(-values)[: s.rank]]
 
 
+@dataclass(frozen=True)
+class Grams:
+    """All grams of ``size`` words of some items, sorted, with their items and places; ``seen`` tells by leading bits."""
+
+    size: int
+    values: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+    seen: np.ndarray
+
+    def _leading(self, values: np.ndarray) -> np.ndarray:
+        return (values >> np.uint64(65 - len(self.seen).bit_length())).astype(np.int64)
+
+    def shared(self, hashes: np.ndarray, row: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, items, words at which the items would begin) of all equal grams, about ``most`` at a time."""
+        values = tx.grams(hashes, tuple(range(1, self.size)))
+        at = np.flatnonzero(self.seen[self._leading(values)])
+        at = at[row[at] == row[at + self.size - 1]]
+        low, high = (np.searchsorted(self.values, values[at], side) for side in ("left", "right"))
+        upto = np.cumsum(high - low)
+        first = 0
+        while first < len(at):
+            last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + most, "right")))
+            n = high[first:last] - low[first:last]
+            which = np.arange(n.sum()) + np.repeat(low[first:last] - np.cumsum(n) + n, n)
+            here = np.repeat(at[first:last], n)
+            yield row[here], self.items[which], here - self.places[which]
+            first = last
+
+
+def _grams(words: list[np.ndarray], numbers: list[int], size: int) -> Grams:
+    found = [tx.grams(words[k], tuple(range(1, size))) for k in numbers]
+    values = np.concatenate(found)
+    order = np.argsort(values, kind="stable")
+    grams = Grams(
+        size, values[order], np.repeat(numbers, [len(x) for x in found])[order],
+        np.concatenate([np.arange(len(x)) for x in found])[order],
+        np.zeros(1 << max(16, (16 * len(values)).bit_length()), dtype=bool),
+    )
+    grams.seen[grams._leading(values)] = True
+    return grams
+
+
 @dataclass(frozen=True)
 class Items:
-    """A block of benchmark items: ids, words, and vectors of length one."""
+    """A block of benchmark items: ids, words, vectors of length one, the cosines that make candidates, and grams."""
 
     ids: list
     words: list[np.ndarray]
     vectors: np.ndarray
+    cosines: np.ndarray
+    grams: list[Grams]
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -216,16 +265,45 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
 
 
-def _items(rows: list, table: np.ndarray, s: Settings) -> Items:
-    ids, words, vectors = [], [], []
+def _kept(columns: np.ndarray, table: np.ndarray, weights: np.ndarray, s: Settings) -> float:
+    """The smallest part of its length that a passage of an item keeps in the space."""
+    parts = []
+    for a in range(0, max(len(columns) - s.segment, 1), s.segment):
+        own, count = np.unique(columns[a : a + 2 * s.segment], return_counts=True)
+        parts.append(np.linalg.norm(count @ table[own]) / np.linalg.norm(count * weights[own]))
+    return float(min(parts))
+
+
+def _items(rows: list, table: np.ndarray, weights: np.ndarray, s: Settings) -> Items:
+    ids, words, vectors, cosines = [], [], [], []
     for item_id, text in rows:
         data = np.frombuffer(text.encode(), dtype=np.uint8)
         hashes = tx.words(data, np.array([0, len(data)]))[2]
         if len(hashes) >= s.least:
             ids.append(item_id)
             words.append(hashes)
-            vectors.append(table[_columns(hashes, s)].sum(axis=0))
-    return Items(ids, words, _unit(np.array(vectors, dtype=np.float32).reshape(len(ids), table.shape[1])))
+            columns = _columns(hashes, s)
+            vectors.append(table[columns].sum(axis=0))
+            kept = _kept(columns, table, weights, s)
+            # a vector of rounding errors has no direction; such an item is left to its grams
+            cosines.append(s.cosine * min(kept, 1.0) if kept > 1e-4 else np.inf)
+    grams = [_grams(words, list(range(len(words))), s.gram)] if words else []
+    unit = _unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), table.shape[1]))
+    return Items(ids, words, unit, np.array(cosines, dtype=np.float32), grams)
+
+
+def aligned(row: np.ndarray, item: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, first, last begin) of begins of an item in a row that lie within its length, each once."""
+    if not len(row):
+        return
+    bucket = begin // lengths[item]
+    order = np.lexsort((begin, bucket, item, row))
+    row, item, begin, bucket = row[order], item[order], begin[order], bucket[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (bucket[1:] != bucket[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1
+    yield from zip(row[first].tolist(), item[first].tolist(), begin[first].tolist(), begin[last].tolist(), strict=True)
 
 
 def common_subsequence(item: np.ndarray, region: np.ndarray) -> list[int]:
@@ -296,7 +374,7 @@ def matches(docs: DataFrame, bench: DataFrame, settings: Settings = Settings())
     found = None
     for block in range(blocks):
         rows = [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == block).collect()]
-        part = _search(texts, _items(rows, table, s), table, weights, s)
+        part = _search(texts, _items(rows, table, weights, s), table, weights, s)
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -306,15 +384,30 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, table, weights = sent.value
+        lengths = np.array([len(w) for w in items.words], dtype=np.int64)
+        lowest = replace(s, cosine=float(items.cosines.min(initial=np.inf)))
         for batch in batches:
             out: dict[tuple[int, int], float] = {}
             for first, _, data, offsets in tx.chunks(batch.column(2)):
                 _, _, hashes, firsts = tx.words(data, offsets)
                 if not len(hashes) or not len(items.ids):
                     continue
-                vectors, row, begin, end = passages(_columns(hashes, s), firsts, table, weights, s)
+                of_word = tx.row_of(firsts, len(hashes))
+                for grams in items.grams:
+                    for shared in grams.shared(hashes, of_word):
+                        for r, k, low, high in aligned(*shared, lengths):
+                            if out.get((first + r, k), 0.0) == 1.0:
+                                continue
+                            item = items.words[k]
+                            a, b = max(low - len(item) // 2, firsts[r]), min(high + len(item) * 3 // 2, firsts[r + 1])
+                            share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
+                            if share > out.get((first + r, k), 0.0):
+                                out[first + r, k] = share
+                if lowest.cosine == np.inf:
+                    continue
+                vectors, row, begin, end = passages(_columns(hashes, s), firsts, table, weights, lowest)
                 for low in range(0, len(vectors), 4096):
-                    near = vectors[low : low + 4096] @ items.vectors.T >= s.cosine
+                    near = vectors[low : low + 4096] @ items.vectors.T >= items.cosines
                     for p, k in zip(*np.nonzero(near), strict=True):
                         p = p + low
                         r = int(row[p])

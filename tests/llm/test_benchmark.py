@@ -85,3 +85,21 @@ def test_distinct_texts_are_counted(llm):
 
     counts, distinct = benchmark.frequencies(texts.select("_text", F.xxhash64("_text")), benchmark.Settings())
     assert abs(distinct - 3000) < 900 and counts.max() == distinct
+
+
+def test_recall_with_thousands_of_items(llm):
+    draw = random.Random(5)
+    items = [(k, made_up(draw, 38, 4)) for k in range(2500)]
+    rows = [(k, made_up(draw, 70, 4) + " " + items[k][1] + " " + made_up(draw, 60, 4)) for k in range(0, 2500, 5)]
+    rows += [(10_000 + k, made_up(draw, 150, 4)) for k in range(100)]
+    assert leaked_ids(llm, rows, items) == set(range(0, 2500, 5))
+
+
+def test_items_outside_the_space_are_found_by_their_grams(llm):
+    draw = random.Random(6)
+    items = [(k, made_up(draw, 38)) for k in range(30)]
+    rows = [(k, made_up(draw, 90) + " " + t + " " + made_up(draw, 90)) for k, t in items] + [(100, made_up(draw, 150))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    bench = llm.createDataFrame(items, "item_id long, text string")
+    few = benchmark.decontaminate(docs, bench, benchmark.Settings(rank=1, extra=0, cosine=2.0)).collect()
+    assert {r["doc_id"]: r["leaked_overlap"] for r in few} == {**{k: 1.0 for k, _ in items}, 100: 0.0}
