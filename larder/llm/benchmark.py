@@ -23,8 +23,11 @@ word is found in order needs no more. So a paraphrase that
 drops or changes some words is found, and text that shares the words of the
 language is not.
 
-Cases: null and empty texts are clean; items of fewer than ``least`` words
-cannot be told from ordinary text and are not searched; of several items in a
+Items of fewer than ``least`` words are too short for shares of their words: they
+are found exactly, where all their words follow each other in a text, by the hash
+of their word sequence among the grams of that length in all texts.
+
+Cases: null and empty texts are clean; items without words are not searched; of several items in a
 document the one with the largest share counts, ties to the smaller id; rows of
 an item id that repeats are items of their own; an empty benchmark leaves all
 documents clean; repeated rows each get their result.
@@ -251,7 +254,10 @@ def _grams(words: list[np.ndarray], numbers: list[int], size: int) -> Grams:
 
 @dataclass(frozen=True)
 class Items:
-    """A block of benchmark items: ids, words, vectors of length one, the cosines that make candidates, and grams."""
+    """A block of benchmark items: ids, words, vectors of length one, the cosines that make candidates, and grams.
+
+    Items of fewer than ``least`` words come last; they have grams of their whole length, but no vectors.
+    """
 
     ids: list
     words: list[np.ndarray]
@@ -275,7 +281,7 @@ def _kept(columns: np.ndarray, table: np.ndarray, weights: np.ndarray, s: Settin
 
 
 def _items(rows: list, table: np.ndarray, weights: np.ndarray, s: Settings) -> Items:
-    ids, words, vectors, cosines = [], [], [], []
+    ids, words, vectors, cosines, short = [], [], [], [], []
     for item_id, text in rows:
         data = np.frombuffer(text.encode(), dtype=np.uint8)
         hashes = tx.words(data, np.array([0, len(data)]))[2]
@@ -287,7 +293,12 @@ def _items(rows: list, table: np.ndarray, weights: np.ndarray, s: Settings) -> I
             kept = _kept(columns, table, weights, s)
             # a vector of rounding errors has no direction; such an item is left to its grams
             cosines.append(s.cosine * min(kept, 1.0) if kept > 1e-4 else np.inf)
+        elif len(hashes):
+            short.append((item_id, hashes))
     grams = [_grams(words, list(range(len(words))), s.gram)] if words else []
+    ids, words = ids + [i for i, _ in short], words + [h for _, h in short]
+    for size in sorted({len(h) for _, h in short}):
+        grams.append(_grams(words, [k for k in range(len(vectors), len(words)) if len(words[k]) == size], size))
     unit = _unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), table.shape[1]))
     return Items(ids, words, unit, np.array(cosines, dtype=np.float32), grams)
 
@@ -399,6 +410,9 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
                             if out.get((first + r, k), 0.0) == 1.0:
                                 continue
                             item = items.words[k]
+                            if k >= len(items.vectors):
+                                out[first + r, k] = 1.0
+                                continue
                             a, b = max(low - len(item) // 2, firsts[r]), min(high + len(item) * 3 // 2, firsts[r + 1])
                             share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
                             if share > out.get((first + r, k), 0.0):

@@ -103,3 +103,15 @@ def test_items_outside_the_space_are_found_by_their_grams(llm):
     bench = llm.createDataFrame(items, "item_id long, text string")
     few = benchmark.decontaminate(docs, bench, benchmark.Settings(rank=1, extra=0, cosine=2.0)).collect()
     assert {r["doc_id"]: r["leaked_overlap"] for r in few} == {**{k: 1.0 for k, _ in items}, 100: 0.0}
+
+
+def test_short_items_are_found_exactly(llm):
+    draw = random.Random(8)
+    items = [(1, "Who wrote Emma? Austen"), (2, "capital Peru Lima"), (3, "xyzzy"), (4, "..."), (5, made_up(draw, 30))]
+    rows = [
+        (1, made_up(draw, 60) + " who wrote Emma: AUSTEN. " + made_up(draw, 60)), (2, "capital of Peru Lima"),
+        (3, "The capital, Peru, Lima"), (4, "xyzzy"), (5, "xyzzyx who wrote Emma"), (6, "wrote Emma Austen who"), (7, "... ,"),
+        (8, "the capital"), (9, "Peru Lima"),
+    ]
+    assert leaked_ids(llm, rows, items) == {1, 3, 4}
+    assert leaked_ids(llm, rows, items[:3]) == {1, 3, 4}
