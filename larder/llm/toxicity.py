@@ -130,7 +130,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), held_out: int = 2, folds: int = 4) -> Model:
     """Fit on the labelled documents outside the held-out fold."""
     s = settings
-    sample = labelled_sample(docs, labels, "toxic", folds, held_out, s.per_class, s.shards)
+    sample = labelled_sample(docs, labels, "toxic", folds, held_out, s.per_class, s.shards).withColumn("text", F.lower("text"))
     used = dict(sample.groupBy("label").count().collect())
     whole = dict(
         labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id").cast("long"), folds) != held_out))

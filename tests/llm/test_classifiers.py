@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -61,6 +62,17 @@ def test_labels_of_held_out_rows_do_not_matter(llm):
     assert a == b
 
 
+def test_toxic_words_learned_from_capitals(llm):
+    docs, labels = labelled(llm, shouting, "toxic")
+    rows = [
+        (i, t.upper() if i % 4 == 0 and zlib.crc32(str(i).encode()) % 4 != 2 else t)
+        for i, t in docs.select("doc_id", "text").collect()
+    ]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    held = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert sum(r["predicted"] == r["toxic"] for r in held) >= 0.97 * len(held)
+
+
 @pytest.mark.parametrize("kind", ["toxic", "quality"])
 def test_edges(llm, kind):
     run = toxicity.toxicity if kind == "toxic" else quality.quality
