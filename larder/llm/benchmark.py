@@ -396,6 +396,11 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, table, weights = sent.value
         lengths = np.array([len(w) for w in items.words], dtype=np.int64)
+        held = items.words[: len(items.vectors)]
+        vocabulary = np.unique(np.concatenate([np.zeros(1, np.uint64), *held]))
+        spots = [np.searchsorted(vocabulary, w) for w in held]
+        widest = max((len(w) for w in held), default=0)
+        present = np.zeros(len(vocabulary) + 1, dtype=bool)
         lowest = replace(s, cosine=float(items.cosines.min(initial=np.inf)))
         for batch in batches:
             out: dict[tuple[int, int], float] = {}
@@ -420,18 +425,29 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
                 if lowest.cosine == np.inf:
                     continue
                 vectors, row, begin, end = passages(_columns(hashes, s), firsts, table, weights, lowest)
+                spot = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+                spot[vocabulary[spot] != hashes] = len(vocabulary)
                 for low in range(0, len(vectors), 4096):
                     near = vectors[low : low + 4096] @ items.vectors.T >= items.cosines
-                    for p, k in zip(*np.nonzero(near), strict=True):
+                    for p in np.flatnonzero(near.any(axis=1)).tolist():
+                        picked = np.flatnonzero(near[p])
                         p = p + low
                         r = int(row[p])
-                        if (first + r, k) in out:
-                            continue
-                        item = items.words[k]
-                        a, b = max(begin[p] - len(item), firsts[r]), min(end[p] + len(item), firsts[r + 1])
-                        share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
-                        if share:
-                            out[first + r, k] = share
+                        # no item has more of its words in its own region than in the widest one
+                        around = spot[max(begin[p] - widest, firsts[r]) : min(end[p] + widest, firsts[r + 1])]
+                        present[around] = True
+                        present[-1] = False
+                        parts = [spots[k] for k in picked]
+                        found = np.add.reduceat(present[np.concatenate(parts)], np.cumsum(lengths[picked]) - lengths[picked], dtype=np.int64)
+                        present[around] = False
+                        for k in picked[found >= s.overlap * lengths[picked] - 1e-6].tolist():
+                            if (first + r, k) in out:
+                                continue
+                            item = items.words[k]
+                            a, b = max(begin[p] - len(item), firsts[r]), min(end[p] + len(item), firsts[r + 1])
+                            share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
+                            if share:
+                                out[first + r, k] = share
             where = pa.array([r for r, _ in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
