@@ -4,13 +4,21 @@ Base spans follow fixed formats with their checks (Luhn, number ranges, digit
 counts) and always stay. High-recall generators propose further spans, often
 overlapping the base ones: spelled-out addresses, bracketed dots, phone numbers
 without a country code, grouped card numbers. A candidate that overlaps a base
-span of its kind is a positive example, any other a negative one; gradient
-boosted trees learn from format and context which candidates look like the
-positive ones. Features are small whole numbers, so the training table is the
-count of every distinct feature vector over all documents. On a fold of the
-documents the trees have not seen, each kind gets the lowest threshold at which
-its candidates are right often enough; candidates beyond it that touch no base
-span are added.
+span of its kind is a positive example; one that fails the checks of its kind or
+overlaps a span of another kind is wrong and never added; all others are open,
+as some are real. Gradient boosted trees learn to tell positive examples from
+the rest by format and context, which ranks open candidates by how much they
+look like the positive ones. What gives a base span away is masked first: the
+country code before it, and the signs that stand for ``@``, dots and hyphens.
+Features are small whole numbers, so the training table is the count of every
+distinct feature vector over all documents.
+
+On a fold of the documents the trees have not seen, real spans are taken to
+stand beside base spans in the same ratio at every score. That ratio is the
+smallest one of open candidates to base spans among the best scores that hold
+at least ``half`` of the base spans; open candidates beyond it are look-alikes.
+Each kind gets the lowest score of a base span at which open candidates are
+real often enough; those that reach it and touch no base span are added.
 
 Everything runs as columns of one row, so no document is shuffled: matches and
 the pieces between them come from the same pattern, positions are prefix sums
@@ -68,6 +76,7 @@ class Settings:
     trees: int = 8
     depth: int = 3
     precision: float = 0.95
+    half: float = 0.5
     folds: int = 5
 
 
@@ -166,26 +175,41 @@ def _separator(value: Column) -> Column:
     )
 
 
+def _masked(kind: str, m: Column) -> tuple[Column, Column]:
+    """The value as the base format spells it, and the text before it without a country code."""
+    value, before = m["value"], m["before"]
+    if kind == "email":
+        value = F.regexp_replace(value, r"\x20?[(\[]at[)\]]\x20?", "@")
+        value = F.regexp_replace(value, r"\x20?[(\[]dot[)\]]\x20?", ".")
+    elif kind == "ip":
+        value = F.regexp_replace(value, r"[\[\]()]", "")
+    elif kind == "card":
+        value = F.regexp_replace(value, r"\.", "-")
+    else:
+        before = F.regexp_replace(before, r"\+[0-9]{0,3}[\x20().-]*$", "")
+    return value, before
+
+
 def _described(kind: str) -> Callable[[Column], Column]:
     """A match as a candidate: its span, its features and whether it overlaps base spans."""
 
     def describe(m: Column) -> Column:
-        digits = digits_of(m["value"])
+        value, before = _masked(kind, m)
+        digits = digits_of(value)
         inside = lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])
         covered = F.lit(False)
         for other in KINDS:
             covered = covered | F.exists(f"_base_{other}", inside)
         return F.struct(
             m["start"].alias("start"), m["end"].alias("end"),
-            F.exists(f"_base_{kind}", inside).alias("positive"), covered.alias("covered"),
+            F.exists(f"_base_{kind}", inside).alias("positive"), (~covered & _passes(kind, value)).alias("open"),
             F.lit(KINDS.index(kind)).alias("kind"), F.least(F.length(digits), F.lit(24)).alias("digits"),
-            F.least(F.size(F.split(m["value"], "[^A-Za-z0-9]+")), F.lit(9)).alias("groups"),
-            _separator(m["value"]).alias("separator"), m["value"].contains("(").cast("int").alias("paren"),
-            luhn(digits).cast("int").alias("luhn"),
-            F.regexp_replace(m["value"], r"[\[\]()]", "").rlike(IN_RANGE).cast("int").alias("range"),
-            _side(F.right(m["before"], F.lit(1))).alias("before"), _side(m["after"]).alias("after"),
-            m["before"].rlike(CUES[kind]).cast("int").alias("cue"),
-            F.least(F.length(m["value"]) / 4, F.lit(12)).cast("int").alias("length"),
+            F.least(F.size(F.split(value, "[^A-Za-z0-9]+")), F.lit(9)).alias("groups"),
+            _separator(value).alias("separator"), value.contains("(").cast("int").alias("paren"),
+            luhn(digits).cast("int").alias("luhn"), value.rlike(IN_RANGE).cast("int").alias("range"),
+            _side(F.right(before, F.lit(1))).alias("before"), _side(m["after"]).alias("after"),
+            before.rlike(CUES[kind]).cast("int").alias("cue"),
+            F.least(F.length(value) / 4, F.lit(12)).cast("int").alias("length"),
         )
 
     return describe
@@ -220,16 +244,16 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     rows = with_candidates(with_base(docs, ["doc_id"]))
     fold = (F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(2)), F.lit(s.folds)) == 0).alias("calibrate")
     # as one text per candidate: nested fields of the exploded rows would be pruned through every expression above
-    seen = F.transform("_wide", lambda c: F.concat_ws(",", c["positive"].cast("int"), *[c[f] for f in FEATURES]))
+    seen = F.transform("_wide", lambda c: F.concat_ws(",", F.when(c["positive"], 1).when(c["open"], 2).otherwise(0), *[c[f] for f in FEATURES]))
     told = rows.select(fold, F.explode(seen).alias("seen")).groupBy("calibrate", "seen").agg(F.count("*").alias("n"))
     value = lambda i: F.split("seen", ",")[i].cast("int")
     counted = materialize(
         told.select("calibrate", "n", value(0).alias("positive"), *[value(i + 1).alias(f) for i, f in enumerate(FEATURES)])
         .groupBy("calibrate", *FEATURES)
-        .agg(F.sum(F.expr("if(positive = 1, n, 0)")).alias("yes"), F.sum(F.expr("if(positive = 0, n, 0)")).alias("no")),
+        .agg(*[F.sum(F.expr(f"if(positive = {k}, n, 0)")).alias(name) for name, k in (("yes", 1), ("no", 0), ("open", 2))]),
         "candidates",
     )
-    halves = [counted.select("calibrate", *FEATURES, F.lit(label).cast("double").alias("label"), F.col(name).cast("double").alias("weight")) for name, label in (("yes", 1.0), ("no", 0.0))]
+    halves = [counted.select("calibrate", *FEATURES, F.lit(label).cast("double").alias("label"), weight.cast("double").alias("weight")) for weight, label in ((F.col("yes"), 1.0), (F.col("no") + F.col("open"), 0.0))]
     train = halves[0].unionByName(halves[1]).where("weight > 0 and not calibrate")
     if train.select("label").distinct().count() < 2:
         return Model()
@@ -240,19 +264,33 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     flat = counted.where("calibrate").withColumn("c", F.struct(*FEATURES))
     # at most one row per kind and thousandth
     bins = (
-        flat.groupBy("kind", F.floor(F.expr(score) * 1000).alias("bin")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+        flat.groupBy("kind", F.floor(F.expr(score) * 1000).alias("bin")).agg(F.sum("yes").alias("yes"), F.sum("open").alias("open"))
         .orderBy(F.desc("bin")).collect()
     )
-    thresholds, sums = {}, {}
-    for row in bins:
-        yes, no = sums.get(row["kind"], (0, 0))
-        yes, no = yes + row["yes"], no + row["no"]
-        sums[row["kind"]] = yes, no
-        if yes >= s.precision * (yes + no):
-            thresholds[KINDS[row["kind"]]] = row["bin"] / 1000
+    thresholds = {}
+    for n, kind in enumerate(KINDS):
+        limit = threshold([(r["bin"], r["yes"], r["open"]) for r in bins if r["kind"] == n], s)
+        if limit is not None:
+            thresholds[kind] = limit / 1000
     return Model(score, thresholds)
 
 
+def threshold(bins: list[tuple[int, int, int]], s: Settings) -> int | None:
+    """The bin down to which open candidates are added, from (bin, base spans, open candidates), best bin first."""
+    whole = sum(yes for _, yes, _ in bins)
+    sums, yes, unknown = [], 0, 0
+    for at, more, others in bins:
+        yes, unknown = yes + more, unknown + others
+        if more:
+            sums.append((at, yes, unknown))
+    if not sums:
+        return None
+    ratio = min(unknown / yes for _, yes, unknown in sums if yes >= s.half * whole)
+    # two standard errors, for few candidates
+    fits = [at for at, yes, unknown in sums if s.precision * (unknown - 2 * (unknown + 1) ** 0.5) <= ratio * yes]
+    return min(fits, default=None)
+
+
 def _listed(spans: Column) -> Column:
     """kind:start:end by start, then kind, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -272,7 +310,7 @@ def find(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     if model.score and model.thresholds:
         rows = with_candidates(rows)
         limit = "CASE c.kind " + " ".join(f"WHEN {KINDS.index(k)} THEN {t!r}D" for k, t in model.thresholds.items()) + " ELSE 2D END"
-        chosen = F.expr(f"filter(_wide, c -> NOT c.covered AND {model.score} >= {limit})")
+        chosen = F.expr(f"filter(_wide, c -> c.open AND {model.score} >= {limit})")
         added = F.transform(chosen, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     else:
         added = F.slice(base, 1, 0)

@@ -93,3 +93,16 @@ def test_empty_table_and_redaction(llm):
     docs = llm.createDataFrame([(1, "mail a@b.co or 1.2.3.4!"), (2, None)], "doc_id long, text string")
     texts = {r["doc_id"]: r["text"] for r in pii.redact(docs, pii.Model()).collect()}
     assert texts == {1: "mail <email> or <ip>!", 2: ""}
+
+
+def test_a_third_of_the_numbers_without_country_code(llm):
+    sure = [(i, f"Call now +1 (269) 555-{1000 + i} please") for i in range(300)]
+    wide = [(2000 + i, f"Call now (269) 555-{2000 + i} please") for i in range(150)]
+    decoys = [(4000 + i, f"order 623.455.{1000 + i}x") for i in range(300)]
+    mails = [(6000 + i, f"mail to ann{100 + i}@host.org now") for i in range(200)]
+    spelled = [(7000 + i, f"mail to ann{100 + i} (at) host (dot) org now") for i in range(100)]
+    docs = llm.createDataFrame(sure + wide + decoys + mails + spelled, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert all(found[i].startswith("phone:9:") for i, _ in wide)
+    assert all(found[i].startswith("email:8:") for i, _ in spelled)
+    assert all(found[i] == "" for i, _ in decoys)
