@@ -1,11 +1,10 @@
-"""Line dedup: winnowing over line hashes.
+"""Line dedup: windows of whole lines, compared by their hashes.
 
 A window is the shortest run of whole, non-blank lines with at least
-``min_words`` words that starts, or that ends, at a line. Its fingerprint is the
-smallest line hash in it. Equal runs of lines have equal windows, so any run of
-``min_words`` words or more that occurs twice shares fingerprints: positions are
-joined on them, checked by the hash of the whole window, and every occurrence
-after the first is marked. Windows that start at a line carry a match on to the
+``min_words`` words that starts, or that ends, at a line. Equal runs of lines have
+equal windows, so any run of ``min_words`` words or more that occurs twice shares
+windows: they are grouped by the hash of the whole window (the smallest line hash
+beside it selects nothing), and every occurrence after the first is marked. Windows that start at a line carry a match on to the
 right and those that end at a line carry it to the left, so their union is the
 maximal run, which is deleted together with the blank lines inside it.
 
