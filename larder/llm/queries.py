@@ -5,12 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import ann, benchmark, jaccard, lines, mixing, pii, quality, substrings, toxicity, urls
+from larder.llm import (
+    ann,
+    benchmark,
+    jaccard,
+    lines,
+    mixing,
+    packing,
+    phrases,
+    pii,
+    quality,
+    substrings,
+    toxicity,
+    urls,
+    vectorcodes,
+)
 from larder.llm.registry import QUERIES, query
 from larder.sources.retail import read
 
 __all__ = ["QUERIES"]
 
+VOCABULARY = "word_bpe_49k.json"
+
 
 @query("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,3 +79,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(read(spark, sf_dir, "documents"))
     names = {"mix_topic": "topic", "mix_tokens": "tokens", "mix_probability": "probability", "mix_weight": "weight"}
     return drawn.select("doc_id", "source", "lang", *[F.col(old).alias(new) for old, new in names.items()])
+
+
+@query("op11_phrases", phrases.sql())
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(read(spark, sf_dir, "documents"))
+
+
+@query("op12_vector_codes", vectorcodes.sql())
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.encode(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    settings = packing.Settings(public_tokenizers.path(VOCABULARY))
+    return packing.pack_documents(read(spark, sf_dir, "documents"), settings)
