@@ -5,11 +5,12 @@
    far occur in a row. Its n-grams come sorted, so a level is appended at a time:
    the states of one level are the distinct pairs of a state above and a word, in
    order, and a state's arcs lie next to each other.
-2. The states of all shards, each with its prefix, weight and arcs, are dealt by
-   ranges of their prefix and sorted. One pass over a range unites them: weights
-   of the same prefix are added, and so are those of the same arc. Only the words
-   that follow one prefix are held at once. A part of a phrase occurs at least as
-   often as the phrase, so states below ``least`` are left out of the result
+2. A transducer is cut by ranges of its prefixes, in the order of their hashes, so
+   ranges are even without a look at the data; a state goes where its own prefix
+   belongs and takes its arcs along. The pieces, small blocks of whole numbers with
+   the words they use, are shuffled by range and united: weights of the same prefix
+   are added, and so are those of the same arc. Only one range is held at once. A part of a phrase occurs at
+   least as often as the phrase, so what is below ``least`` is left out of the result
    without loss.
 3. The candidates are composed with the united counts: a candidate's cut reads
    its first part on one side and the rest on the other, and both are looked up
@@ -48,16 +49,13 @@ class Settings:
     cover: int = 50  # percent of a phrase's occurrences inside one longer phrase that drop it
     top: int = 2000
     shard_bytes: int = 8 << 20
-    rows_at_once: int = 1 << 16
+    range_bytes: int = 4 << 20  # of text for each prefix range; blocks number shards x ranges, so raise both with the data
+    states_at_once: int = 1 << 20  # states and arcs of a range that are held before they are united
     buckets: int = 32  # first round of the ranking, per lang
 
 
-STATES = "lang string, phrase string, weight long, next array<string>, counts array<long>"
+BLOCKS = "range int, block binary"
 COUNTS = "lang string, phrase string, size int, f long"
-_ARROW_STATES = pa.schema([
-    ("lang", pa.string()), ("phrase", pa.string()), ("weight", pa.int64()),
-    ("next", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-])
 
 _CUTS = np.zeros(256, dtype=bool)
 _CUTS[[*b".,;:!?", *range(10, 14)]] = True
@@ -115,30 +113,112 @@ def automaton(lang: np.ndarray, word: np.ndarray, follows: np.ndarray, n_words:
     return levels
 
 
-def states(levels: list[Level], words: pa.Array, langs: pa.Array, rows: int) -> Iterator[pa.RecordBatch]:
-    """The states below the deepest level with their prefixes; the deepest states are the arcs of those above them."""
-    lang, phrase = langs.take(pa.array(levels[0].up)), words.take(pa.array(levels[0].label))
-    for d, level in enumerate(levels[:-1]):
-        if d:
-            up = pa.array(level.up)
-            lang = lang.take(up)
-            phrase = pc.binary_join_element_wise(phrase.take(up), words.take(pa.array(level.label)), " ")
-        count, below = len(level.weight), levels[d + 1]
-        if d + 2 == len(levels):
-            ends = pa.array(np.searchsorted(below.up, np.arange(count + 1)), pa.int32())
-            arcs = pa.ListArray.from_arrays(ends, words.take(pa.array(below.label)))
-            counts = pa.ListArray.from_arrays(ends, pa.array(below.weight))
-        else:
-            none = pa.array(np.zeros(count + 1, np.int32))
-            arcs = pa.ListArray.from_arrays(none, pa.array([], pa.string()))
-            counts = pa.ListArray.from_arrays(none, pa.array([], pa.int64()))
-        batch = pa.RecordBatch.from_arrays([lang, phrase, pa.array(level.weight), arcs, counts], schema=_ARROW_STATES)
-        for first in range(0, count, rows):
-            yield batch.slice(first, rows)
-
-
-def _shards(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """States of the transducers of consecutive rows of bounded size, a long text being cut between its pieces."""
+@dataclass
+class Block:
+    """Part of a transducer: states by size with the words that lead to them, and the arcs below the largest."""
+
+    langs: list[str]
+    words: pa.Array
+    lang: list[np.ndarray]  # of the states of 1, 2, ... words
+    path: list[list[np.ndarray]]  # words of the states of 1, 2, ... words
+    weight: list[np.ndarray]
+    owner: np.ndarray  # the state above each arc, in order
+    label: np.ndarray
+    count: np.ndarray
+
+    def size(self) -> int:
+        return sum(map(len, self.weight)) + len(self.label)
+
+
+def pack_arrays(arrays: list[np.ndarray]) -> bytes:
+    """Whole numbers from 0 in as few bytes as each array needs, compressed."""
+    narrow = [a.astype(np.min_scalar_type(int(a.max(initial=0)))) for a in arrays]
+    head = np.array([[len(a), a.dtype.itemsize] for a in narrow], dtype="<i8")
+    raw = b"".join([len(arrays).to_bytes(8, "little"), head.tobytes(), *[a.tobytes() for a in narrow]])
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_arrays(data: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    n = int.from_bytes(raw[:8], "little")
+    at, found = 8 + 16 * n, []
+    for length, width in np.frombuffer(raw, "<i8", 2 * n, 8).reshape(n, 2).tolist():
+        found.append(np.frombuffer(raw, f"<u{width}", length, at).astype(np.int64))
+        at += length * width
+    return found
+
+
+def dump(block: Block) -> bytes:
+    names = [pa.array(block.langs, pa.string()), block.words]
+    text = [np.frombuffer(b"".join(x.encode() for x in part.to_pylist()), np.uint8) for part in names]
+    lengths = [np.asarray(pc.binary_length(part)).astype(np.int64) for part in names]
+    arrays = [*text, *lengths, block.owner, block.label, block.count]
+    for lang, path, weight in zip(block.lang, block.path, block.weight, strict=True):
+        arrays += [lang, *path, weight]
+    return pack_arrays(arrays)
+
+
+def _strings(letters: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(at), pa.py_buffer(letters.astype(np.uint8))])
+
+
+def load(data: bytes) -> Block:
+    a = unpack_arrays(data)
+    lang, path, weight, at = [], [], [], 7
+    while at < len(a):
+        size = len(path) + 1
+        lang.append(a[at])
+        path.append(a[at + 1 : at + 1 + size])
+        weight.append(a[at + 1 + size])
+        at += size + 2
+    return Block(_strings(a[0], a[2]).to_pylist(), _strings(a[1], a[3]), lang, path, weight, a[4], a[5], a[6])
+
+
+def ranges(levels: list[Level], words: pa.Array, langs: pa.Array, n: int) -> list[np.ndarray]:
+    """The prefix range of every state but the deepest: its place among the hashes of prefixes, in n parts."""
+    spelled = [_hashes(langs), _hashes(words)]
+    found, above = [], spelled[0]
+    for level in levels[:-1]:
+        above = tx.mix(above[level.up] * np.uint64(0xD6E8FEB86659FD93) + spelled[1][level.label])
+        found.append(((above >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64))
+    return found
+
+
+def _hashes(strings: pa.Array) -> np.ndarray:
+    lengths = np.asarray(pc.binary_length(strings)).astype(np.int64)
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(x.encode() for x in strings.to_pylist()), np.uint8)
+    return tx.span_hashes(tx.prefix_sums(tx.BYTE_CODES[data]), ends - lengths, ends) if len(data) else np.zeros(len(strings), np.uint64)
+
+
+def cut_by_range(levels: list[Level], words: pa.Array, langs: pa.Array, n: int) -> Iterator[tuple[int, Block]]:
+    """The blocks of one transducer, by prefix range."""
+    place = ranges(levels, words, langs, n)
+    lang, path = [levels[0].up], [[levels[0].label]]
+    for level in levels[1:-1]:
+        lang.append(lang[-1][level.up])
+        path.append([*[column[level.up] for column in path[-1]], level.label])
+    sorted_by = [np.argsort(p, kind="stable") for p in place]
+    bounds = [np.searchsorted(p[o], np.arange(n + 1)) for p, o in zip(place, sorted_by, strict=True)]
+    last = levels[-1]
+    first = np.searchsorted(last.up, np.arange(len(levels[-2].weight) + 1))
+    for r in np.unique(np.concatenate(place)).tolist():
+        own = [o[b[r] : b[r + 1]] for o, b in zip(sorted_by, bounds, strict=True)]
+        arcs = first[own[-1] + 1] - first[own[-1]]
+        at = np.repeat(first[own[-1]] - (np.cumsum(arcs) - arcs), arcs) + np.arange(int(arcs.sum()))
+        columns = [[column[o] for column in labels] for labels, o in zip(path, own, strict=True)]
+        used = np.unique(np.concatenate([c for labels in columns for c in labels] + [last.label[at]]))
+        new = lambda label: np.searchsorted(used, label)  # noqa: E731, B023
+        yield r, Block(
+            langs.to_pylist(), words.take(pa.array(used)), [x[o] for x, o in zip(lang, own, strict=True)],
+            [[new(c) for c in labels] for labels in columns], [level.weight[o] for level, o in zip(levels, own, strict=False)],
+            np.repeat(np.arange(len(arcs)), arcs), new(last.label[at]), last.weight[at],
+        )
+
+
+def _shards(batches: Iterator[pa.RecordBatch], s: Settings, n: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of the transducers of consecutive rows of bounded size, a long text being cut between its pieces."""
     held: list[tuple[str, np.ndarray]] = []
     size = 0
 
@@ -149,7 +229,9 @@ def _shards(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Recor
         words, word, row, follows = spell(np.concatenate([part for _, part in held]), offsets)
         if len(word):
             lang = np.array([number[name] for name, _ in held], dtype=np.int64)[row]
-            yield from states(automaton(lang, word, follows, len(words), s.max_words), words, pa.array(names, pa.string()), s.rows_at_once)
+            levels = automaton(lang, word, follows, len(words), s.max_words)
+            for r, block in cut_by_range(levels, words, pa.array(names, pa.string()), n):
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([dump(block)], pa.binary())], names=["range", "block"])
 
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -178,95 +260,93 @@ def _between_pieces(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
     yield data
 
 
-def shard_states(docs: DataFrame, s: Settings) -> DataFrame:
-    lang = F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang")
-    return docs.select(lang, text_of(docs).alias("text")).mapInArrow(lambda batches: _shards(batches, s), STATES)
-
-
-def _merge(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """Sorted states with those of the same prefix united, as a table, and where each prefix begins."""
-    table = table.combine_chunks()
-    n = len(table)
-    lang, phrase = table["lang"].combine_chunks(), table["phrase"].combine_chunks()
-    new = np.ones(n, dtype=bool)
-    if n > 1:
-        same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(phrase[1:], phrase[:-1]))
-        new[1:] = ~np.asarray(same)
-    firsts = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    weight = np.add.reduceat(np.asarray(table["weight"]), firsts)
-    arcs, counts = table["next"].combine_chunks(), np.asarray(table["counts"].combine_chunks().flatten())
-    labels = arcs.flatten().dictionary_encode()
-    order = np.asarray(pc.sort_indices(labels.dictionary))
+def unite(blocks: list[Block]) -> Block:
+    """The union of blocks of the same range: each state and arc once, with the sum of its weights."""
+    langs = sorted({name for block in blocks for name in block.langs})
+    number = {name: k for k, name in enumerate(langs)}
+    coded = pa.concat_arrays([block.words for block in blocks]).dictionary_encode()
+    order = np.asarray(pc.sort_indices(coded.dictionary))
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    owner = np.repeat(group, np.asarray(pc.list_value_length(arcs)))
-    key = owner * max(len(order), 1) + rank[np.asarray(labels.indices)]
-    turn = np.argsort(key, kind="stable")
-    key, counts = key[turn], counts[turn]
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    total = np.add.reduceat(counts, heads) if len(heads) else np.zeros(0, np.int64)
-    owner, label = key[heads] // max(len(order), 1), order[key[heads] % max(len(order), 1)]
-    ends = pa.array(np.searchsorted(owner, np.arange(len(firsts) + 1)), pa.int32())
-    at = pa.array(firsts)
-    return pa.table([
-        lang.take(at), phrase.take(at), pa.array(weight),
-        pa.ListArray.from_arrays(ends, labels.dictionary.take(pa.array(label))), pa.ListArray.from_arrays(ends, pa.array(total)),
-    ], schema=_ARROW_STATES), firsts
-
-
-def _frequent(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
-    """Prefixes and arcs of at least ``least`` occurrences, and the words of each lang under the empty phrase."""
-    weight = np.asarray(table["weight"])
-    lang, phrase = table["lang"].combine_chunks(), table["phrase"].combine_chunks()
-    size = np.asarray(pc.count_substring(phrase, " ")).astype(np.int32) + 1
-    single = pa.array(size == 1)
-    totals = pa.table([lang.filter(single), pa.array(weight).filter(single)], names=["lang", "f"]).group_by("lang").aggregate([("f", "sum")])
-    arcs, counts = table["next"].combine_chunks(), table["counts"].combine_chunks()
-    owner = pa.array(np.repeat(np.arange(len(table)), np.asarray(pc.list_value_length(arcs))))
-    often = pc.greater_equal(counts.flatten(), least)
-    owner, label, count = owner.filter(often), arcs.flatten().filter(often), counts.flatten().filter(often)
-    keep = pa.array(weight >= least)
-    parts = [
-        (totals["lang"].combine_chunks(), pa.array([""] * len(totals), pa.string()), np.zeros(len(totals), np.int32), totals["f_sum"].combine_chunks()),
-        (lang.filter(keep), phrase.filter(keep), size[np.asarray(keep)], pa.array(weight).filter(keep)),
-        (lang.take(owner), pc.binary_join_element_wise(phrase.take(owner), label, " "), size[np.asarray(owner)] + np.int32(1), count),
-    ]
-    for a, b, c, d in parts:
-        if len(a):
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(c, pa.int32()), d], names=["lang", "phrase", "size", "f"])
+    index, width = rank[np.asarray(coded.indices)], max(len(order), 1)
+    start = np.concatenate([[0], np.cumsum([len(block.words) for block in blocks])])
+    word = lambda k, label: index[start[k] + label]
+    lang, path, weight = [], [], []
+    for d in range(len(blocks[0].path)):
+        columns = [np.concatenate([np.array([number[x] for x in b.langs], dtype=np.int64)[b.lang[d]] for b in blocks])]
+        columns += [np.concatenate([word(k, b.path[d][j]) for k, b in enumerate(blocks)]) for j in range(d + 1)]
+        # pairs are numbered word by word, so keys stay below states x words
+        key = columns[0]
+        for column in columns[1:]:
+            key = np.unique(key * width + column, return_inverse=True)[1]
+        _, first = np.unique(key, return_index=True)
+        total = np.zeros(len(first), dtype=np.int64)
+        np.add.at(total, key, np.concatenate([b.weight[d] for b in blocks]))
+        lang.append(columns[0][first])
+        path.append([column[first] for column in columns[1:]])
+        weight.append(total)
+    above = np.cumsum([0] + [len(b.weight[-1]) for b in blocks])
+    owner = np.concatenate([key[above[k] + b.owner] for k, b in enumerate(blocks)])
+    label = np.concatenate([word(k, b.label) for k, b in enumerate(blocks)])
+    arcs, at = np.unique(owner * width + label, return_inverse=True)
+    count = np.zeros(len(arcs), dtype=np.int64)
+    np.add.at(count, at, np.concatenate([b.count for b in blocks]))
+    return Block(langs, coded.dictionary.take(pa.array(order)), lang, path, weight, arcs // width, arcs % width, count)
+
+
+def frequent(block: Block, least: int) -> Iterator[pa.RecordBatch]:
+    """Phrases of at least ``least`` occurrences, and the words of each lang under the empty phrase."""
+    langs = pa.array(block.langs, pa.string())
+
+    def rows(lang: np.ndarray, phrase: pa.Array, size: int, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(f):
+            columns = [langs.take(pa.array(lang)), phrase, pa.array(np.full(len(f), size, np.int32)), pa.array(f)]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "f"])
+
+    def spelled(columns: list[np.ndarray]) -> pa.Array:
+        return pc.binary_join_element_wise(*[block.words.take(pa.array(c)) for c in columns], " ")
+
+    words = np.zeros(len(langs), dtype=np.int64)
+    np.add.at(words, block.lang[0], block.weight[0])
+    yield from rows(np.arange(len(langs)), pa.array([""] * len(langs), pa.string()), 0, words)
+    for d, (lang, path, weight) in enumerate(zip(block.lang, block.path, block.weight, strict=True)):
+        keep = np.flatnonzero(weight >= least)
+        yield from rows(lang[keep], spelled([c[keep] for c in path]), d + 1, weight[keep])
+    keep = np.flatnonzero(block.count >= least)
+    owner = block.owner[keep]
+    yield from rows(block.lang[-1][owner], spelled([*[c[owner] for c in block.path[-1]], block.label[keep]]), len(block.path) + 1, block.count[keep])
 
 
 def _unite(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
-    """The union of the states of one prefix range, which come sorted by prefix."""
-    held: list[pa.Table] = []
-    size = 0
-
-    def united(last: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal held, size
-        table, _ = _merge(pa.concat_tables(held))
-        # the next rows may still add to the last prefix
-        done = len(table) if last else len(table) - 1
-        held, size = [table.slice(done)], 0
-        if done:
-            yield from _frequent(table.slice(0, done), s.least)
-
+    """The frequent phrases of each prefix range, whose blocks come one after the other."""
+    held: list[Block] = []
+    place, size = None, 0
     for batch in batches:
-        if len(batch):
-            held.append(pa.Table.from_batches([batch]).cast(_ARROW_STATES))
-            size += len(batch)
-            if size >= s.rows_at_once:
-                yield from united(False)
+        for r, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if r != place and held:
+                yield from frequent(unite(held), s.least)
+                held, size = [], 0
+            place = r
+            held.append(load(data))
+            size += held[-1].size()
+            if size >= s.states_at_once and len(held) > 1:
+                held = [unite(held)]
+                # what does not shrink is not united again for every block
+                size = held[0].size() // 2
     if held:
-        yield from united(True)
+        yield from frequent(unite(held), s.least)
 
 
 def count_phrases(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """lang, phrase, size and f of all runs of 1 to ``max_words`` words with f >= ``least``; size 0 counts a lang's words."""
     if s.max_words < 2 or s.least < 1:
         raise ValueError("max_words is at least 2 and least at least 1")
-    shards = materialize(shard_states(docs, s), "shards")
-    ranged = shards.repartitionByRange("lang", "phrase").sortWithinPartitions("lang", "phrase")
+    lang = F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang")
+    texts = docs.select(lang, text_of(docs).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(1, -(-size // s.range_bytes))
+    blocks = texts.mapInArrow(lambda batches: _shards(batches, s, n), BLOCKS)
+    ranged = blocks.repartition("range").sortWithinPartitions("range")
     return materialize(ranged.mapInArrow(lambda batches: _unite(batches, s), COUNTS), "phrases")
 
 

@@ -54,7 +54,7 @@ ROWS = [
 
 @pytest.mark.parametrize("settings", [
     phrases.Settings(least=1), phrases.Settings(least=2, top=3), phrases.Settings(least=2, max_words=2), phrases.Settings(least=2, max_words=4),
-    phrases.Settings(least=2, shard_bytes=8, rows_at_once=1, buckets=2),
+    phrases.Settings(least=2, shard_bytes=8, range_bytes=5, states_at_once=1, buckets=2),
 ])
 def test_small_texts_equal_a_plain_count(llm, settings):
     df = llm.createDataFrame([(t, lang, 1, "x") for t, lang in ROWS], "text string, lang string, rank int, phrase string").repartition(3)
@@ -64,7 +64,7 @@ def test_small_texts_equal_a_plain_count(llm, settings):
 def test_given_documents_equal_the_sql(llm):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
-    got = found(llm.read.parquet(f"{SF}/documents.parquet"), phrases.Settings(shard_bytes=1 << 17, rows_at_once=5000))
+    got = found(llm.read.parquet(f"{SF}/documents.parquet"), phrases.Settings(shard_bytes=1 << 17, range_bytes=1 << 18, states_at_once=5000))
     assert got == sorted(c.execute(phrases.sql()).fetchall()) and len(got) > 1000
 
 
@@ -72,7 +72,7 @@ def test_empty_table_and_hot_phrase(llm):
     schema = "text string, lang string"
     assert found(llm.createDataFrame([], schema), phrases.Settings()) == []
     rows = [("the same words again", "en")] * 3000 + [(f"the same w{i}", "en") for i in range(500)]
-    s = phrases.Settings(rows_at_once=64, shard_bytes=1 << 12)
+    s = phrases.Settings(states_at_once=64, shard_bytes=1 << 12, range_bytes=1 << 12)
     assert found(llm.createDataFrame(rows, schema).repartition(8), s) == plain(rows, s)
 
 
@@ -86,15 +86,18 @@ def test_united_transducers_equal_the_transducer_of_all():
     rng = np.random.default_rng(1)
     lines = [" ".join(rng.choice(list("abcd"), 12)) for _ in range(40)]
 
-    def states(texts):
+    def blocks(texts):
         data = np.frombuffer("\n".join(texts).encode(), np.uint8)
         words, word, row, follows = phrases.spell(data, np.array([0, len(data)]))
         levels = phrases.automaton(np.zeros(len(word), np.int64), word, follows, len(words), 3)
         assert all((np.diff(level.up * len(words) + level.label) > 0).all() for level in levels)
-        return [pa.Table.from_batches([b]) for b in phrases.states(levels, words, pa.array(["en"]), 10**6)]
+        return dict(phrases.cut_by_range(levels, words, pa.array(["en"]), 7))
 
-    def united(tables):
-        merged, _ = phrases._merge(pa.concat_tables(tables).sort_by([("lang", "ascending"), ("phrase", "ascending")]))
-        return merged.to_pylist()
+    def spelled(block):
+        return [[r for batch in phrases.frequent(block, 1) for r in batch.to_pylist()]]
 
-    assert united(states(lines[:13]) + states(lines[13:])) == united(states(lines))
+    one, two, both = blocks(lines[:13]), blocks(lines[13:]), blocks(lines)
+    assert one.keys() | two.keys() == both.keys() and len(both) > 3
+    for r, block in both.items():
+        parts = [phrases.load(phrases.dump(x[r])) for x in (one, two) if r in x]
+        assert spelled(phrases.unite(parts)) == spelled(phrases.unite([block])) == spelled(block)
