@@ -1,11 +1,11 @@
-"""Level and root of every node of a self-referencing table."""
+"""Levels, closure and roll-up of a self-referencing table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.sources.scratch import materialize
+from larder.sources.scratch import fresh_path, materialize
 
 def levels(nodes: DataFrame, key: str, parent: str) -> DataFrame:
     """Add ``RootID`` and ``Level`` (0 at the root) to ``key`` and ``parent``.
@@ -52,3 +52,48 @@ def levels(nodes: DataFrame, key: str, parent: str) -> DataFrame:
         ),
         key,
     )
+
+
+def closure(nodes: DataFrame, key: str, parent: str) -> DataFrame:
+    """All pairs ``AncestorID``, ``DescendantID`` and ``Depth``, a node and itself (depth 0) included.
+
+    Round k joins the pairs that are exactly 2 ** k apart with all closer ones,
+    which gives every pair from 2 ** k to 2 ** (k + 1) - 1 apart once; finished
+    pairs are appended to one table and never rewritten. A parent that is not a
+    node ends its chain. Cycles raise ValueError.
+    """
+    spark = nodes.sparkSession
+    known = nodes.select(F.col(key).alias("AncestorID")).distinct()
+    edges = nodes.where(F.col(parent) != F.col(key)).select(F.col(parent).alias("AncestorID"), F.col(key).alias("DescendantID"))
+    apart = materialize(edges.join(known, "AncestorID", "left_semi").distinct(), "closure-step")
+    path = fresh_path(spark, "closure")
+    depth = F.lit(0).cast("bigint").alias("Depth")
+    known.select("AncestorID", F.col("AncestorID").alias("DescendantID"), depth).write.parquet(path)
+    reach = 1
+    for _ in range(known.count().bit_length() + 1):
+        done = spark.read.parquet(path)
+        if apart.isEmpty():
+            return done
+        above = apart.select("AncestorID", F.col("DescendantID").alias("_mid"))
+        below = lambda df: df.withColumnRenamed("AncestorID", "_mid")
+        longer = above.join(below(done), "_mid").select("AncestorID", "DescendantID", (F.col("Depth") + F.lit(reach)).alias("Depth"))
+        further = materialize(above.join(below(apart), "_mid").select("AncestorID", "DescendantID"), "closure-step")
+        longer.write.mode("append").parquet(path)
+        apart, reach = further, reach * 2
+    raise ValueError(f"{key} -> {parent} contains a cycle")
+
+
+def roll_up(pairs: DataFrame, measures: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """Per node: how many nodes are below it, how deep, its own measures and those of its whole tree."""
+    own = measures.select(F.col(key).alias("DescendantID"), *[F.col(n).alias(f"_{n}") for n in names])
+    below = F.col("Depth") > 0
+    return (
+        pairs.join(own, "DescendantID", "left")
+        .groupBy(F.col("AncestorID").alias(key))
+        .agg(
+            F.count_if(below).alias("Below"),
+            F.max("Depth").alias("Levels"),
+            *[F.coalesce(F.sum(F.when(~below, F.col(f"_{n}"))), F.lit(0)).alias(f"Own{n}") for n in names],
+            *[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"Tree{n}") for n in names],
+        )
+    )

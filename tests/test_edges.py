@@ -14,6 +14,7 @@ NAMES = [
     "promo_interval_join", "promo_applicability", "daily_labor", "store_pnl", "schedule_grid", "feedback_by_store",
     "points_running_balance", "dq_foreign_keys", "dq_not_null", "dq_checks", "range_facts", "inventory_running_stock",
     "inventory_transactions", "promo_bridge", "line_price_lookup", "operating_hours_grid",
+    "points_expiry", "price_as_of", "net_hours", "stock_average_cost",
 ]
 
 
