@@ -85,12 +85,12 @@ def daily_labor(worked: DataFrame, employees: DataFrame) -> DataFrame:
     )
 
 
-def attendance(employees: DataFrame, worked: DataFrame, first_date_id: int, last_date_id: int) -> DataFrame:
+def attendance(employees: DataFrame, worked: DataFrame, first_date_id: int | None, last_date_id: int | None) -> DataFrame:
     """A row for every employee and day between two days, with the minutes worked.
 
-    The days are exploded inside each row: no cross join.
+    The days are exploded inside each row: no cross join. Without days there are no rows.
     """
-    day = F.explode(F.sequence(F.lit(first_date_id), F.lit(last_date_id)))
+    day = F.explode(F.sequence(F.lit(first_date_id).cast("int"), F.lit(last_date_id).cast("int")))
     planned = employees.select("EmployeeID", "LocationID", day.alias("ShiftDateID"))
     minutes = worked.select("EmployeeID", F.col("ClockInDateID").alias("ShiftDateID"), "TotalMinutes")
     return planned.join(minutes, ["EmployeeID", "ShiftDateID"], "left").select(

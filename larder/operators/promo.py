@@ -9,6 +9,7 @@ from larder.functions.dates import date_of_id, iso_weekday
 from larder.functions.money import amount
 from larder.operators.running import running_sum
 from larder.operators.sales import CHANNELS
+from larder.sources.scratch import materialize
 
 
 def promotion_days(promotions: DataFrame, last: int) -> DataFrame:
@@ -90,6 +91,7 @@ def applicable_promotions(
     purchase, and in its stores if it lists any, while it is active, for members
     where it demands that, and up to its limits of uses. It discounts the items
     its ``targets`` expand to if it has any, else the whole store order.
+    What applies is stored once, before uses are counted.
     """
     ids = ["OrderID", "LocationID", "PromotionID"]
     promotions = promotions.where(F.col("IsActive") == 1)
@@ -126,24 +128,33 @@ def applicable_promotions(
         .withColumn("_base", base.cast("decimal(22,2)"))
         .withColumn("Discount", discount)
         .where(F.col("Discount") > 0)
+        .select(*ids, "OrderDateID", "MemberID", "Discount", *LIMITS)
     )
     limited = F.col("MaxUsagePerCustomer").isNotNull() | F.col("MaxTotalUsage").isNotNull()
-    free = applied.where(~limited).select(*ids, "Discount")
-    return free.unionByName(_within_limits(applied.where(limited), ids).select(*ids, "Discount"))
+    stored = materialize(applied, "uses")
+    free = stored.where(~limited).select(*ids, "Discount")
+    return free.unionByName(within_limits(stored.where(limited)).select(*ids, "Discount"))
 
 
-def _within_limits(uses: DataFrame, ids: list[str]) -> DataFrame:
-    """The uses that come early enough, counted per promotion and per promotion and member.
+LIMITS = ["MaxUsagePerCustomer", "MaxTotalUsage"]
+_USE_ORDER = ["OrderDateID", "OrderID", "LocationID"]
 
-    Both counts are running totals over ranges, so no task holds all uses of a promotion.
+
+def within_limits(uses: DataFrame) -> DataFrame:
+    """The uses that come early enough, counted per promotion and member, then per promotion.
+
+    A use that the member's limit denies does not count against the promotion's
+    limit, and guests, who have no member, have no limit of their own. Both counts
+    are running totals over ranges, so no task holds all uses of a promotion.
     """
-    limits = ["MaxUsagePerCustomer", "MaxTotalUsage"]
-    order = ["OrderDateID", "OrderID", "LocationID"]
-    one = uses.select(*ids, "OrderDateID", "MemberID", "Discount", *limits, F.lit(1).cast("bigint").alias("_one"))
-    counted = running_sum(one, ["PromotionID"], order, "_one", "_nth")
-    counted = running_sum(counted, ["PromotionID", "MemberID"], order, "_one", "_own")
-    early = lambda count, limit: F.col(limit).isNull() | (F.col(count) <= F.col(limit))
-    return counted.where(early("_nth", "MaxTotalUsage") & early("_own", "MaxUsagePerCustomer"))
+    counted = ["_nth", "_own", "_one"]
+    one = uses.withColumn("_one", F.lit(1).cast("bigint"))
+    personal = F.col("MaxUsagePerCustomer").isNotNull() & F.col("MemberID").isNotNull()
+    own = running_sum(one.where(personal), ["PromotionID", "MemberID"], _USE_ORDER, "_one", "_own")
+    allowed = one.where(~personal).unionByName(own.where(F.col("_own") <= F.col("MaxUsagePerCustomer")).drop("_own"))
+    total = F.col("MaxTotalUsage").isNotNull()
+    nth = running_sum(allowed.where(total), ["PromotionID"], _USE_ORDER, "_one", "_nth")
+    return allowed.where(~total).unionByName(nth.where(F.col("_nth") <= F.col("MaxTotalUsage")).drop("_nth")).drop(*counted)
 
 
 def best_discount(applicable: DataFrame) -> DataFrame:

@@ -50,11 +50,10 @@ def assign_round_robin(
 
     Parents are numbered densely, so gaps in their keys do no harm; the join is
     left to the planner, which broadcasts the parents only where they are small.
+    Without parents, children get NULL.
     """
     numbered = dense_ids(parents.select(parent_key), [parent_key], "_position", first=0)
-    count = parents.count()
-    if count == 0:
-        raise ValueError("no parents to assign")
+    count = max(parents.count(), 1)
     return (
         children.withColumn("_position", (sequence % F.lit(count)).cast("bigint"))
         .join(numbered.withColumnRenamed(parent_key, name), "_position", "left")

@@ -508,16 +508,18 @@ def _promo_targets_expand(spark, sf_dir):
       SELECT OrderID, LocationID, PromotionID, OrderDateID, MemberID, PerMember, InTotal,
              CASE WHEN Pct IS NOT NULL THEN round(Base * Pct * CAST(0.01 AS DECIMAL(3,2)), 2)
                   ELSE least(Amt, Base) END AS Discount FROM based),
+    owned AS (
+      SELECT *, row_number() OVER (PARTITION BY PromotionID, MemberID
+                                   ORDER BY OrderDateID, OrderID, LocationID) AS own
+      FROM priced WHERE Discount > 0),
     used AS (
-      SELECT *, row_number() OVER (PARTITION BY PromotionID ORDER BY OrderDateID, OrderID, LocationID) AS nth,
-             row_number() OVER (PARTITION BY PromotionID, MemberID
-                                ORDER BY OrderDateID, OrderID, LocationID) AS own
-      FROM priced WHERE Discount > 0)
+      SELECT *, row_number() OVER (PARTITION BY PromotionID ORDER BY OrderDateID, OrderID, LocationID) AS nth
+      FROM owned WHERE PerMember IS NULL OR MemberID IS NULL OR own <= PerMember)
     SELECT OrderID, LocationID, PromotionID, CAST(Discount AS DOUBLE) AS Discount, Promotions
     FROM (SELECT *, count(*) OVER w AS Promotions,
                  row_number() OVER (PARTITION BY OrderID, LocationID
                                     ORDER BY Discount DESC, PromotionID) AS pick
-          FROM used WHERE (InTotal IS NULL OR nth <= InTotal) AND (PerMember IS NULL OR own <= PerMember)
+          FROM used WHERE InTotal IS NULL OR nth <= InTotal
           WINDOW w AS (PARTITION BY OrderID, LocationID))
     WHERE pick = 1""",
 )

@@ -140,6 +140,21 @@ def test_applicability_rules_one_by_one(spark):
     assert applied({"members": 1}) == {2: 4.0}
     assert applied({"total": 1}) == {1: 10.0}
     assert applied({"own": 1}) == {1: 10.0, 2: 4.0}
-    assert applied({"own": 0}) == {}
+    # order 1 is a guest's, whom no member's limit binds
+    assert applied({"own": 0}) == {1: 10.0}
     assert applied({"total": 2, "own": 5}) == {1: 10.0, 2: 4.0}
     assert applied({}, targets=[(1, 7, None, None)]) == {1: 6.0}
+
+
+def test_limits_count_only_what_they_allow(spark):
+    """Member 1 may use a promotion twice; guests have no limit of their own; what is denied does not use up the total."""
+    uses = [(order, 1, 9, order, member) for order, member in enumerate([1, 1, 1, None, None, None, 1, 2, 2, 2, 3], 1)]
+    df = spark.createDataFrame(
+        [(*u, 1.0, 2, 6) for u in uses] + [(1, 1, 8, 1, 1, 1.0, None, 1), (2, 1, 8, 2, 2, 1.0, None, 1), (1, 1, 7, 1, 1, 1.0, 1, None), (2, 1, 7, 2, 1, 1.0, 1, None)],
+        "OrderID int, LocationID int, PromotionID int, OrderDateID int, MemberID int, Discount double, MaxUsagePerCustomer int, MaxTotalUsage int",
+    )
+    kept = promo.within_limits(df)
+    got = sorted((r.PromotionID, r.OrderID) for r in kept.collect())
+    # promotion 9: orders 3 and 7 are denied to member 1; then the first six of 1 2 4 5 6 8 9 11
+    assert got == [(7, 1), (8, 1), (9, 1), (9, 2), (9, 4), (9, 5), (9, 6), (9, 8)]
+    assert kept.columns == df.columns
