@@ -49,9 +49,15 @@ def rotation(dimension: int, bits: int, seed: int) -> np.ndarray:
     return np.linalg.qr(drawn)[0].T.copy()
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one; very large and very small components stay in range."""
+    level = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return level / np.linalg.norm(level, axis=1, keepdims=True)
+
+
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(packed signs, <rotated unit vector, its code>); codes have length one."""
-    turned = vectors / np.linalg.norm(vectors, axis=1, keepdims=True) @ turn
+    turned = unit(vectors) @ turn
     signs = turned > 0
     return np.packbits(signs, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1])
 
@@ -66,8 +72,16 @@ def estimate(codes: np.ndarray, scalars: np.ndarray, queries: np.ndarray, bound:
 
 
 def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Cosines in double precision of original vectors."""
-    return (vectors @ query) / (np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum()))
+    """Cosines in double precision of original vectors.
+
+    Every row is summed by itself, so a pair has one score wherever it is computed,
+    and equal vectors tie. Vectors are first scaled by a power of two, which changes
+    no digit but keeps squares of very large and very small components in range.
+    """
+    level = lambda v: np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+    v, q = level(np.ascontiguousarray(vectors)), level(query[None, :])
+    norms = np.sqrt((v * v).sum(axis=1)) * np.sqrt((q * q).sum(axis=1))
+    return (v * q).sum(axis=1) / norms
 
 
 def search_block(rows: pd.DataFrame, queries: pd.DataFrame, s: Settings) -> pd.DataFrame:
@@ -81,7 +95,7 @@ def search_block(rows: pd.DataFrame, queries: pd.DataFrame, s: Settings) -> pd.D
         codes = np.frombuffer(b"".join(rows["code"]), dtype=np.uint8).reshape(len(rows), -1)
         scalars = rows["scalar"].to_numpy()
         ids, names = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-        turned = asked / np.linalg.norm(asked, axis=1, keepdims=True) @ turn
+        turned = unit(asked) @ turn
         for first in range(0, len(asked), 128):
             part = slice(first, first + 128)
             guess, error = estimate(codes, scalars, turned[part], s.bound)

@@ -68,3 +68,27 @@ def test_estimates_keep_their_bounds():
     guess, error = ann.estimate(codes, scalars, unit @ turn, 3.0)
     exact = unit @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T
     assert (np.abs(guess - exact) <= error).mean() > 0.99
+
+
+def test_equal_vectors_tie_wherever_they_lie(llm):
+    """One vector under 120 ids over blocks of uneven size: the smallest ids win."""
+    rng = np.random.default_rng(8)
+    one, other = rng.standard_normal(48).astype(np.float32).tolist(), rng.standard_normal(48).astype(np.float32).tolist()
+    rows = [(i, one) for i in range(1, 121)] + [(i, rng.standard_normal(48).tolist()) for i in range(1001, 1400)] + [(0, other), (2000, one)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for size in (7, 33, 4096):
+        got = found(ann.nearest(df, ann.Settings(rows_per_block=size, queries_per_block=1)))
+        # the query's own row, 50, does not count
+        assert [i for i, _ in got[50]] == [1, 2, 3, 4, 5] and [i for i, _ in got[2000]] == [1, 2, 3, 4, 5]
+        assert len({score for _, score in got[2000]}) == 1
+        want = brute(rows, k=400)[0]
+        tied = [i for i, _ in got[0]]
+        assert tied == sorted(tied, key=lambda i: (-round(dict(want)[i], 12), i))
+
+
+def test_components_of_any_size():
+    q = np.array([1e200, 2e200, 0.0])
+    v = np.array([[1e200, 2e200, 0.0], [1e-200, 2e-200, 0.0], [0.0, 0.0, 5e-324], [-1e308, 1.0, 0.0]])
+    assert np.allclose(ann.cosines(q, v), [1, 1, 0, -1 / math.sqrt(5)])
+    codes, scalars = ann.encode(v, ann.rotation(3, 24, 1))
+    assert np.isfinite(scalars).all() and codes.shape == (4, 3)
