@@ -19,9 +19,10 @@
 A group holds the tokens of its documents, never those of long documents, and
 no window or group crosses tasks; equal documents are dealt apart.
 
-Tokens of words that occur again are looked up instead of computed. That needs a
-vocabulary whose tokens never cross white space, and in which one of ``.`` and
-``,`` before white space is a token by itself; for others set ``by_word`` false.
+Tokens of words that occur again are looked up instead of computed, and words of
+lower-case letters skip the steps that leave them as they are. That needs a byte-level
+vocabulary whose tokens never cross white space, that keeps runs of letters whole and
+takes runs of punctuation by themselves; for others set ``by_word`` false.
 
 Cases: a null text is empty and holds the end token alone; rows with the same or a
 null id are documents of their own; an empty table gives no rows; other columns are
@@ -57,7 +58,7 @@ class Settings:
     waste: float = 0.005
     by_word: bool = True
     lower_case: bool = True  # the vocabulary knows lower case only
-    kept_words: int = 200_000  # words whose tokens a task remembers
+    kept_words: int = 1_000_000  # words whose tokens a worker remembers
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -123,59 +124,119 @@ class Tokens:
 
     def __init__(self, s: Settings):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(s.vocabulary)
+        # words of lower-case letters need no normalizing and no splitting
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.s = s
-        self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _words(self, data: np.ndarray) -> np.ndarray:
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 and s.end < 1 << 16 else "<u4"
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool, self.filled = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Put the ids of new words into the pool: first those of letters only, then the others."""
+        texts = [word.decode() for word in words]
+        # lower case of these letters is one letter each
+        plain = [w.isalpha() and max(w) < "\u0250" and "\u0130" not in w for w in texts]
+        order = [k for k, easy in enumerate(plain) if easy]
+        easy = len(order)
+        order += [k for k, easy in enumerate(plain) if not easy]
+        counts, ids = [], []
+        for first in range(0, len(order), 4096):
+            part = [texts[k] for k in order[first : min(first + 4096, easy)]] if first < easy else []
+            if part:
+                found = self.letters.encode([w.lower() for w in part], is_pretokenized=True, add_special_tokens=False)
+                counts.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(part)))
+                ids.append(np.array(found.ids, dtype=np.uint32))
+            for found in self.tokenizer.encode_batch([texts[k] for k in order[max(first, easy) : first + 4096]], add_special_tokens=False):
+                counts.append(np.array([len(found.ids)]))
+                ids.append(np.array(found.ids, dtype=np.uint32))
+        count, flat = np.concatenate(counts), np.concatenate(ids)
+        n, total = len(self.known), self.filled + len(flat)
+        if total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(total, np.uint32)])
+        if n + len(words) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros(n + len(words), np.int64)])
+            self.count = np.concatenate([self.count, np.zeros(n + len(words), np.int64)])
+        self.pool[self.filled : total] = flat
+        self.start[n : n + len(words)] = self.filled + np.cumsum(count) - count
+        self.count[n : n + len(words)] = count
+        self.known.update(zip([words[k] for k in order], range(n, n + len(words)), strict=True))
+        self.filled = total
+
+    def _spelled(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """(words of all texts, first word of each text)."""
         blank = np.ones(len(data) + 2, dtype=bool)
         blank[1:-1] = (data == 32) | ((data >= 9) & (data <= 13))
         begins, stops = ~blank[1:] & blank[:-1], blank[1:] & ~blank[:-1]
-        mark = np.flatnonzero((data == 46) | (data == 44))
-        mark = mark[mark > 0]
-        before = data[mark - 1] | 32
-        plain = ((before >= 97) & (before <= 122)) & blank[mark + 2]
-        begins[mark[plain]] = stops[mark[plain]] = True
+        inner = offsets[1:-1]
+        inner = inner[(inner > 0) & (inner < len(data))]
+        edge = np.zeros(len(data) + 1, dtype=bool)
+        edge[inner] = edge[len(data)] = True
+        crossing = inner[~blank[inner] & ~blank[inner + 1]]
+        begins[crossing] = stops[crossing] = True
+        # punctuation from a letter to white space or to the end of its text is a word by itself
+        run = np.zeros(len(data) + 2, dtype=bool)
+        run[1:-1] = _PUNCTUATION[data]
+        heads = np.flatnonzero(run[1:-1] & ~(run[:-2] & ~edge[:-1]))
+        tails = np.flatnonzero(run[1:-1] & ~(run[2:] & ~edge[1:])) + 1
+        ends_word = (heads > 0) & ~edge[heads] & (blank[tails + 1] | edge[tails])
+        heads = heads[ends_word]
+        last, before = data[heads - 1], data[np.maximum(heads - 2, 0)]
+        latin = (heads > 1) & (before == 0xC3) & (last != 0x97) & (last != 0xB7)
+        split = heads[latin | (((last | 32) >= 97) & ((last | 32) <= 122))]
+        begins[split] = stops[split] = True
         starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-        if not len(starts):
-            return np.zeros(0, np.uint32)
         at = np.zeros(len(starts) + 1, dtype=np.int64)
         np.cumsum(ends - starts, out=at[1:])
         letters = data[~blank[1:-1]]
         if self.s.lower_case:
             letters = np.where((letters >= 65) & (letters <= 90), letters + 32, letters).astype(np.uint8)
-        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(letters)]).dictionary_encode()
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(letters)])
+        return words, np.searchsorted(starts, offsets)
+
+    def _by_word(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        words, firsts = self._spelled(data, offsets)
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.known) > self.s.kept_words:
-            self.known.clear()
-        new = [word for word in distinct if word not in self.known]
-        self.known.update(zip(new, self.encode([word.decode() for word in new]), strict=True))
-        ids = [self.known[word] for word in distinct]
-        count = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.array([x for found in ids for x in found], dtype=np.uint32)
-        index = np.asarray(coded.indices)
-        length = count[index]
-        first = (np.cumsum(count) - count)[index] - (np.cumsum(length) - length)
-        return flat[np.repeat(first, length) + np.arange(int(length.sum()))]
-
-    def of(self, data: np.ndarray) -> np.ndarray:
-        """The ids of one text, given as bytes, in parts of bounded size."""
+            self._forget()
+        place = np.array([self.known.get(word, -1) for word in distinct], dtype=np.int64)
+        new = np.flatnonzero(place < 0).tolist()
+        if new:
+            self._learn([distinct[k] for k in new])
+            place[new] = [self.known[distinct[k]] for k in new]
+        index = place[np.asarray(coded.indices)]
+        length = self.count[index]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        ids = self.pool[np.repeat(self.start[index] - ends[:-1], length) + np.arange(int(ends[-1]))]
+        return ids, ends[firsts]
+
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, first id of each text); one long text is taken in parts of bounded size."""
         if not self.s.by_word:
-            return np.array(self.encode([data.tobytes().decode()])[0], dtype=np.uint32)
+            texts = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            ids = [found.ids for found in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.array([x for found in ids for x in found], np.uint32), np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+        if len(offsets) > 2:
+            return self._by_word(data, offsets)
         found = []
         while len(data) > tx.CHUNK_BYTES:
             gaps = np.flatnonzero(data[: tx.CHUNK_BYTES] == 32)
             if not len(gaps):
                 break
-            found.append(self._words(data[: gaps[-1]]))
+            found.append(self._by_word(data[: gaps[-1]], np.array([0, gaps[-1]]))[0])
             data = data[gaps[-1] :]
-        found.append(self._words(data))
-        return np.concatenate(found)
+        ids = np.concatenate([*found, self._by_word(data, np.array([0, len(data)]))[0]])
+        return ids, np.array([0, len(ids)])
 
 
 PIECES = "n long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
@@ -186,30 +247,38 @@ _PIECES = pa.schema([
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 _PACKED = pa.schema([(name.split()[0], pa.binary() if name.endswith("binary") else pa.int64()) for name in PACKED.split(", ")])
 WINDOW_BITS = 24
+# ASCII punctuation but for what the names of special tokens are made of
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[[*b"!#$%&()*+,-./:;=?@[]^_`{}~", 34, 39, 92]] = True
+CHUNK = 4 << 20
+_shared: dict[Settings, Tokens] = {}
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     """Full windows of every document, and what is left of it; the number of a piece is unique."""
-    tokens = Tokens(s)
+    if s not in _shared:
+        _shared[s] = Tokens(s)  # words stay known to the next task of the same worker
+    tokens = _shared[s]
     number = TaskContext.get().partitionId() << 40
     for batch in batches:
         ids = batch.column(0)
-        for first, last, data, offsets in tx.chunks(batch.column(1)):
+        for first, last, data, offsets in tx.chunks(batch.column(1), CHUNK):
             columns: list[list] = [[] for _ in _PIECES.names]
             names = ids.slice(first, last - first).to_pylist()
+            flat, firsts = tokens.of(data, offsets)
             for k, name in enumerate(names):
-                own = np.append(tokens.of(data[offsets[k] : offsets[k + 1]]), np.uint32(s.end)).astype("<u4")
+                own = np.append(flat[firsts[k] : firsts[k + 1]], np.uint32(s.end)).astype("<u4")
                 for start in range(0, len(own), s.capacity):
-                    part = own[start : start + s.capacity].tobytes()
-                    row = (number, name, start, len(part) // 4, zlib.crc32(part), len(own), part)
+                    part = own[start : start + s.capacity]
+                    row = (number, name, start, len(part), zlib.crc32(part), len(own), part.astype(tokens.width).tobytes())
                     number += 1
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES, strict=True)], schema=_PIECES)
 
 
-def _group(key: tuple, table: pa.Table, s: Settings) -> pa.Table:
-    """The pieces of one group with their windows and places."""
+def _group(key: tuple, table: pa.Table, s: Settings, with_ids: bool) -> pa.Table:
+    """The pieces of one group with their windows and places, and their ids if asked for."""
     table = table.combine_chunks().sort_by("n")
     length = np.asarray(table["length"])
     full = length == s.capacity
@@ -231,20 +300,23 @@ def _group(key: tuple, table: pa.Table, s: Settings) -> pa.Table:
     head = np.concatenate([[True], window[1:] != window[:-1]])
     offset = ends - size - np.repeat((ends - size)[head], np.diff(np.append(np.flatnonzero(head), len(window))))
     at = pa.array(doc)
-    texts, crc = table["ids"].take(at).to_pylist(), np.asarray(table["ids_crc32"].take(at)).copy()
+    texts, crc = table["ids"].take(at), np.asarray(table["ids_crc32"].take(at)).copy()
     base = np.asarray(table["start"].take(at))
-    for k in np.flatnonzero(size < length[doc]):
-        texts[k] = texts[k][4 * start[k] : 4 * (start[k] + size[k])]
-        crc[k] = zlib.crc32(texts[k])
+    ids: list[bytes | None] = [None] * len(doc)
+    for k in range(len(doc)) if with_ids else np.flatnonzero(size < length[doc]):
+        raw = texts[k].as_buffer()
+        part = np.frombuffer(raw, f"<u{len(raw) // length[doc[k]]}")[start[k] : start[k] + size[k]].astype("<u4")
+        crc[k] = zlib.crc32(part)
+        ids[k] = part.tobytes() if with_ids else None
     sequence = (int(key[0].as_py()) << WINDOW_BITS) + window
     return pa.table([
         table["doc_id"].take(at), pa.array(base + start), pa.array(size), pa.array(crc), table["doc_tokens"].take(at),
-        pa.array(sequence), pa.array(offset), pa.array(texts, pa.binary()),
+        pa.array(sequence), pa.array(offset), pa.array(ids, pa.binary()),
     ], schema=_PACKED)
 
 
-def packed(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Pieces with their ids (little-endian unsigned 32 bits), window by window: ``sequence_id`` and ``offset``."""
+def packed(docs: DataFrame, settings: Settings, with_ids: bool = True) -> DataFrame:
+    """Pieces with their ids (little-endian unsigned 32 bits) if asked for, window by window: ``sequence_id`` and ``offset``."""
     s = settings
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     pieces = materialize(texts.mapInArrow(lambda batches: _tokenize(batches, s), PIECES), "tokens")
@@ -252,9 +324,9 @@ def packed(docs: DataFrame, settings: Settings) -> DataFrame:
     groups = max(1, round(total["tokens"] / s.group_tokens), -(-total["rows"] // s.group_rows))
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("n"), F.lit(groups)))
     # the columns of the group are those of the pieces and its number
-    return dealt.groupBy("_group").applyInArrow(lambda key, table: _group(key, table, s), PACKED)
+    return dealt.groupBy("_group").applyInArrow(lambda key, table: _group(key, table, s, with_ids), PACKED)
 
 
 def pack_documents(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece."""
-    return packed(docs, settings).drop("ids")
+    return packed(docs, settings, with_ids=False).drop("ids")

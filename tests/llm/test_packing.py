@@ -62,7 +62,8 @@ def test_given_documents(llm):
 CASES = [
     (1, "Hello world. It's 1,234.5 (o.k.), isn't it?"), (2, None), (3, ""), (4, "   \n\t "), (None, "x y z."), (None, None),
     (5, "Ångstrom İstanbul café café 你好　世界."), (6, "a.b, c,. d. .e , . ,"), (7, "word " * 3000),
-    (8, "Word.́ x. y. "), (9, "<|endoftext|> <|endoftext|>."), (10, "e." * 50), (11, "UPPER lower Upper."), (12, "nowhite" * 200),
+    (8, "Word.́ x. y. "), (9, "<|endoftext|> <|endoftext|>."), (10, "e." * 50), (11, "UPPER lower Upper."), (12, "nowhite" * 200), (13, "é. È,*** x÷. y×, 's. it's'. a$$$ ß!! é̂. word<|endoftext|> |>."),
+    (14, "end."), (15, ".start"), (16, "a"), (17, "-"), (18, "İx. ŉy, K. ª."),
 ]
 
 
