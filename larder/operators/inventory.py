@@ -47,27 +47,42 @@ def recipe_explosion(lines: DataFrame, recipes: DataFrame) -> DataFrame:
     )
 
 
-def daily_usage(lines: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Ingredient use per store, day and ingredient.
+def _recipe_columns(items: DataFrame) -> DataFrame:
+    """Whole hundredths of every ingredient in one unit of an item, one column each; NULL where it has none."""
+    chosen = items.select("ItemID", recipe(F.col("ItemID")).alias("_recipe"))
+    quantity = lambda k: F.get(F.filter("_recipe", _uses(k)), F.lit(0))["Quantity"]
+    return chosen.select("ItemID", *[(quantity(k) * 100).cast("bigint").alias(f"_q{k}") for k in INGREDIENT_IDS])
+
+
+def _used(lines: DataFrame, recipes: DataFrame, by: list[str]) -> DataFrame:
+    """Use per ``by`` and ingredient.
 
     The ingredients are fixed, so a recipe is a column of quantities per
-    ingredient: lines are summed as they are, one sum per ingredient, and only
-    the sums of a store day become rows.
+    ingredient: lines are summed as they are, one sum of whole numbers per
+    ingredient, and only the sums become rows.
     """
-    chosen = recipe(F.col("ItemID"))
-    quantities = {f"_q{k}": F.get(F.filter(chosen, _uses(k)), F.lit(0))["Quantity"] for k in INGREDIENT_IDS}
-    recipes = items.select("ItemID", *[q.alias(name) for name, q in quantities.items()])
     sums = (
-        lines.select("OrderID", "LocationID", "ItemID", F.col("Quantity").alias("Units"))
-        .join(orders.select("OrderID", "OrderDateID"), "OrderID")
-        .join(recipes, "ItemID")
-        .groupBy("LocationID", "OrderDateID")
-        .agg(*[F.sum(F.col("Units") * F.col(name)).alias(name) for name in quantities])
-    )
-    rows = F.array(*[
-        F.struct(F.lit(k).alias("IngredientID"), F.col(f"_q{k}").alias("UsedQuantity")) for k in INGREDIENT_IDS
-    ])
-    return sums.select("LocationID", "OrderDateID", F.inline(rows)).where(F.col("UsedQuantity").isNotNull())
+        lines.join(recipes, "ItemID")
+        .groupBy(*by)
+        .agg(*[F.sum(F.col("_units") * F.col(f"_q{k}")).alias(f"_q{k}") for k in INGREDIENT_IDS])
+    )
+    quantity = lambda k: F.col(f"_q{k}").cast("decimal(20,0)") * F.lit(Decimal("0.0001"))
+    rows = F.array(*[F.struct(F.lit(k).alias("IngredientID"), quantity(k).alias("UsedQuantity")) for k in INGREDIENT_IDS])
+    return sums.select(*by, F.inline(rows)).where(F.col("UsedQuantity").isNotNull())
+
+
+def daily_usage(lines: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Ingredient use per store, day and ingredient."""
+    dated = lines.select("OrderID", "LocationID", "ItemID", (F.col("Quantity") * 100).cast("bigint").alias("_units")).join(
+        orders.select("OrderID", "OrderDateID"), "OrderID"
+    )
+    return _used(dated, _recipe_columns(items), ["LocationID", "OrderDateID"])
+
+
+def total_usage(lines: DataFrame, items: DataFrame) -> DataFrame:
+    """Ingredient use per store and ingredient, of all lines: summed per store and item before the recipe is looked up."""
+    sold = lines.groupBy("LocationID", "ItemID").agg((F.sum("Quantity") * 100).cast("bigint").alias("_units"))
+    return _used(sold, _recipe_columns(items), ["LocationID"])
 
 
 def _uses(ingredient: int) -> Callable[[Column], Column]:

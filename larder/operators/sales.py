@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,12 +109,17 @@ def payment_columns() -> list[Column]:
 
 
 def daily_channel_pivot(dated: DataFrame) -> DataFrame:
-    """Sales by channel and by payment method as columns, per store and day."""
-    return (
-        channel_sales(dated)
-        .groupBy(*STORE_DAY)
-        .agg(*channel_columns(), *payment_columns())
-    )
+    """Sales by channel and by payment method as columns, per store and day.
+
+    Sums are of whole hundredths, which an aggregation keeps in place, and become
+    DECIMAL again at the end.
+    """
+    cents = channel_sales(dated).withColumn("_cents", (F.col("Gross") * 100).cast("bigint"))
+    where = {name: F.col("ChannelColumn") == name for name in CHANNEL_COLUMNS}
+    where |= {name: F.col("PaymentMethod") == method for name, method in PAYMENT_COLUMNS.items()}
+    sums = [F.sum(F.when(condition, F.col("_cents")).otherwise(0)).alias(name) for name, condition in where.items()]
+    back = [(F.col(name).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).alias(name) for name in where]
+    return cents.groupBy(*STORE_DAY).agg(*sums).select(*STORE_DAY, *back)
 
 
 def daily_net_sales(dated: DataFrame) -> DataFrame:

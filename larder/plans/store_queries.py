@@ -268,6 +268,14 @@ def daily_usage(spark, sf_dir):
     )
 
 
+def total_usage(spark, sf_dir):
+    return inventory.total_usage(retail.order_lines(spark, sf_dir), retail.items(spark, sf_dir))
+
+
+_TOTALS = f"""{o.LINES}, {o.RECIPES}, usage AS (
+  SELECT l.LocationID, r.IngredientID, sum(l.Quantity * r.RecipeQuantity) AS Used
+  FROM lines l JOIN recipes r USING (ItemID) GROUP BY ALL)"""
+
 _USAGE = f"""{o.ORDERS}, {o.LINES}, {o.RECIPES}, usage AS (
   SELECT l.LocationID, r.IngredientID, o.OrderDateID, sum(l.Quantity * r.RecipeQuantity) AS Used
   FROM lines l JOIN ord o USING (OrderID) JOIN recipes r USING (ItemID) GROUP BY ALL)"""
@@ -351,7 +359,7 @@ def _store_inventory_grid(spark, sf_dir):
     return inventory.store_stock(retail.locations(spark, sf_dir), daily_usage(spark, sf_dir))
 
 
-_PURCHASES = f"""{_USAGE}, poi AS (
+_PURCHASES = f"""{_TOTALS}, poi AS (
   SELECT LocationID AS PurchaseOrderID, printf('PO-%06d', LocationID) AS PurchaseOrderNumber,
          LocationID, IngredientID AS InventoryItemID, sum(Used) AS UsedQuantity,
          CAST(ceil(sum(Used)) AS BIGINT) AS QuantityOrdered
@@ -367,7 +375,7 @@ _PURCHASES = f"""{_USAGE}, poi AS (
     FROM poi""",
 )
 def _purchase_orders(spark, sf_dir):
-    return inventory.purchase_order_items(daily_usage(spark, sf_dir))
+    return inventory.purchase_order_items(total_usage(spark, sf_dir))
 
 
 @query(
@@ -379,12 +387,12 @@ def _purchase_orders(spark, sf_dir):
     FROM poi GROUP BY PurchaseOrderID""",
 )
 def _po_totals(spark, sf_dir):
-    return inventory.purchase_totals(inventory.purchase_order_items(daily_usage(spark, sf_dir)))
+    return inventory.purchase_totals(inventory.purchase_order_items(total_usage(spark, sf_dir)))
 
 
 @query(
     "reorder_report",
-    f"""WITH {_USAGE}, stock AS (
+    f"""WITH {_TOTALS}, stock AS (
       SELECT s_suppkey AS LocationID, k AS IngredientID, name AS ItemName
       FROM supplier, (VALUES {_INGREDIENT_VALUES}) AS i(k, name)),
     used AS (SELECT LocationID, IngredientID, sum(Used) AS Used FROM usage GROUP BY ALL),
@@ -400,7 +408,7 @@ def _reorder_report(spark, sf_dir):
         (F.col("LocationID") * 37 + F.col("InventoryItemID") * 101) % 4000 + 5000, 14, 4
     )
     stock = inventory.store_items(retail.locations(spark, sf_dir)).withColumn("QuantityOnHand", opening)
-    return inventory.reorder_report(stock, daily_usage(spark, sf_dir)).drop("StoreInventoryID")
+    return inventory.reorder_report(stock, total_usage(spark, sf_dir)).drop("StoreInventoryID")
 
 
 # --- finance ------------------------------------------------------------------
