@@ -85,7 +85,7 @@ def applicable_promotions(
     promotion_stores: DataFrame,
     last: int | None = None,
 ) -> DataFrame:
-    """Store orders with each promotion that applies to them and its discount.
+    """Store orders with each promotion that applies to them, their gross amount and the discount.
 
     A promotion applies by date, channel, weekday class, time of day and minimum
     purchase, and in its stores if it lists any, while it is active, for members
@@ -128,12 +128,12 @@ def applicable_promotions(
         .withColumn("_base", base.cast("decimal(22,2)"))
         .withColumn("Discount", discount)
         .where(F.col("Discount") > 0)
-        .select(*ids, "OrderDateID", "MemberID", "Discount", *LIMITS)
+        .select(*ids, "OrderDateID", "MemberID", "Gross", "Discount", *LIMITS)
     )
     limited = F.col("MaxUsagePerCustomer").isNotNull() | F.col("MaxTotalUsage").isNotNull()
     stored = materialize(applied, "uses")
-    free = stored.where(~limited).select(*ids, "Discount")
-    return free.unionByName(within_limits(stored.where(limited)).select(*ids, "Discount"))
+    free = stored.where(~limited).select(*ids, "Gross", "Discount")
+    return free.unionByName(within_limits(stored.where(limited)).select(*ids, "Gross", "Discount"))
 
 
 LIMITS = ["MaxUsagePerCustomer", "MaxTotalUsage"]
@@ -176,6 +176,37 @@ def best_discount(applicable: DataFrame) -> DataFrame:
     )
 
 
+def best_stack(applicable: DataFrame, promotions: DataFrame) -> DataFrame:
+    """The best set of promotions that a store order may combine, and its discount.
+
+    A promotion that is not stackable stands alone. Stackable ones add up, but of
+    those that take a percentage only one counts, the best. The set is the larger of
+    both, never more than the order's gross amount; a single promotion wins a tie, and
+    the lowest id among equals. The choice is made from sums and maxima per
+    order, which combine before the shuffle; the sets themselves hold at most the
+    promotions that run at the same time.
+    """
+    kinds = promotions.select("PromotionID", F.col("IsStackable") == 1, F.col("DiscountPercentage").isNotNull()).toDF("PromotionID", "_stacks", "_percent")
+    entry = F.struct("Discount", (-F.col("PromotionID")).alias("_rank"))
+    stacks, percent = F.col("_stacks"), F.col("_percent")
+    sums = applicable.join(kinds, "PromotionID").groupBy("OrderID", "LocationID").agg(
+        F.max(entry).alias("_single"),
+        F.max(F.when(stacks & percent, entry)).alias("_best"),
+        F.coalesce(F.sum(F.when(stacks & ~percent, F.col("Discount"))), F.lit(0)).alias("_amounts"),
+        F.collect_list(F.when(stacks & ~percent, F.col("PromotionID"))).alias("_ids"),
+        F.max("Gross").alias("_gross"),
+    )
+    single = F.col("_single.Discount")
+    together = F.least(F.coalesce(F.col("_best.Discount"), F.lit(0)) + F.col("_amounts"), F.col("_gross")).cast("decimal(22,2)")
+    alone = single >= together
+    ids = F.when(F.col("_best").isNotNull(), F.concat(F.array(-F.col("_best._rank")), "_ids")).otherwise(F.col("_ids"))
+    chosen = F.when(alone, F.array(-F.col("_single._rank"))).otherwise(F.array_sort(ids))
+    return sums.select(
+        "OrderID", "LocationID", F.array_join(chosen.cast("array<string>"), ",").alias("PromotionIDs"),
+        F.size(chosen).alias("Promotions"), F.when(alone, single).otherwise(together).alias("Discount"),
+    )
+
+
 def promotion_bridge(parents: DataFrame, promotions: DataFrame, key: str) -> DataFrame:
     """Attach the first promotion to every row of ``parents``."""
     first = promotions.agg(F.min("PromotionID")).first()[0]

@@ -28,6 +28,8 @@ CAMPAIGNS = [
     (7, "ITEM-25", "25.00", None, _day(1999, 1, 1), _day(2000, 12, 31), "All", "All", None, None, None, 1, 0, None, None),
     (8, "WITHDRAWN", "90.00", None, _day(1995, 1, 1), None, "All", "All", None, None, None, 0, 0, None, None),
 ]
+# the campaigns that may be combined with others
+STACKABLE = (2, 3, 4, 5, 6, 7)
 CAMPAIGN_TYPES = (
     "PromotionID bigint, PromotionCode string, DiscountPercentage decimal(5,2),"
     " DiscountAmount decimal(8,2), StartDateID int, EndDateID int, ApplicableChannels string,"
@@ -57,6 +59,10 @@ def campaigns(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, CAMPAIGNS, CAMPAIGN_TYPES)
 
 
+def stackable_campaigns(spark: SparkSession) -> DataFrame:
+    return campaigns(spark).withColumn("IsStackable", F.col("PromotionID").isin(*STACKABLE).cast("int"))
+
+
 def targets(spark: SparkSession) -> DataFrame:
     return inline_rows(spark, TARGETS, TARGET_TYPES)
 

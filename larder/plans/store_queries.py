@@ -485,9 +485,7 @@ def _promo_targets_expand(spark, sf_dir):
     return targeted_items(spark, sf_dir)
 
 
-@query(
-    "promo_applicability",
-    f"""WITH {o.STORE_ORDERS}, {CAMPAIGN_VALUES}, {TARGET_ITEMS},
+APPLICABLE = f"""{o.STORE_ORDERS}, {CAMPAIGN_VALUES}, {TARGET_ITEMS},
     eligible AS (SELECT OrderID, LocationID, PromotionID, sum(Gross) AS Eligible
                  FROM lines JOIN target_items USING (ItemID) GROUP BY ALL),
     clock AS (SELECT *, strftime(TIMESTAMP '1970-01-01' + to_seconds(OrderID * 37 % 86400),
@@ -496,7 +494,7 @@ def _promo_targets_expand(spark, sf_dir):
                 WHEN 4 THEN 'WEB' WHEN 5 THEN 'KIOSK' ELSE 'THIRDPARTY' END AS Channel
               FROM store_orders),
     based AS (
-      SELECT s.OrderID, s.LocationID, s.OrderDateID, s.MemberID, p.PromotionID, p.Pct, p.Amt,
+      SELECT s.OrderID, s.LocationID, s.OrderDateID, s.MemberID, s.Gross, p.PromotionID, p.Pct, p.Amt,
              p.PerMember, p.InTotal,
              CASE WHEN p.PromotionID IN (SELECT PromotionID FROM targets) THEN coalesce(Eligible, 0)
                   ELSE s.Gross END AS Base
@@ -513,7 +511,7 @@ def _promo_targets_expand(spark, sf_dir):
         AND (p.PromotionID NOT IN ({', '.join(map(str, c.LOCAL_CAMPAIGNS))})
              OR s.LocationID % 2 = 1)),
     priced AS (
-      SELECT OrderID, LocationID, PromotionID, OrderDateID, MemberID, PerMember, InTotal,
+      SELECT OrderID, LocationID, PromotionID, OrderDateID, MemberID, Gross, Pct, PerMember, InTotal,
              CASE WHEN Pct IS NOT NULL THEN round(Base * Pct * CAST(0.01 AS DECIMAL(3,2)), 2)
                   ELSE least(Amt, Base) END AS Discount FROM based),
     owned AS (
@@ -522,7 +520,12 @@ def _promo_targets_expand(spark, sf_dir):
       FROM priced WHERE Discount > 0),
     used AS (
       SELECT *, row_number() OVER (PARTITION BY PromotionID ORDER BY OrderDateID, OrderID, LocationID) AS nth
-      FROM owned WHERE PerMember IS NULL OR MemberID IS NULL OR own <= PerMember)
+      FROM owned WHERE PerMember IS NULL OR MemberID IS NULL OR own <= PerMember)"""
+
+
+@query(
+    "promo_applicability",
+    f"""WITH {APPLICABLE}
     SELECT OrderID, LocationID, PromotionID, CAST(Discount AS DOUBLE) AS Discount, Promotions
     FROM (SELECT *, count(*) OVER w AS Promotions,
                  row_number() OVER (PARTITION BY OrderID, LocationID
@@ -532,7 +535,11 @@ def _promo_targets_expand(spark, sf_dir):
     WHERE pick = 1""",
 )
 def _promo_applicability(spark, sf_dir):
-    applicable = promo.applicable_promotions(
+    return promo.best_discount(applicable_promotions(spark, sf_dir))
+
+
+def applicable_promotions(spark, sf_dir):
+    return promo.applicable_promotions(
         store_orders(spark, sf_dir, "ChannelID", "OrderSecond", "MemberID"),
         retail.order_lines(spark, sf_dir),
         c.campaigns(spark),
@@ -541,7 +548,29 @@ def _promo_applicability(spark, sf_dir):
         c.campaign_stores(retail.locations(spark, sf_dir)),
         retail.orders(spark, sf_dir).agg(F.max("OrderDateID")).first()[0],
     )
-    return promo.best_discount(applicable)
+
+
+@query(
+    "promo_stacking",
+    f"""WITH {APPLICABLE}, valid AS (
+      SELECT *, PromotionID IN ({', '.join(map(str, c.STACKABLE))}) AS stacks FROM used WHERE InTotal IS NULL OR nth <= InTotal),
+    sums AS (
+      SELECT OrderID, LocationID, max(struct_pack(d := Discount, r := -PromotionID)) AS single,
+             max(CASE WHEN stacks AND Pct IS NOT NULL THEN struct_pack(d := Discount, r := -PromotionID) END) AS best,
+             coalesce(sum(CASE WHEN stacks AND Pct IS NULL THEN Discount END), 0) AS amounts,
+             list(PromotionID) FILTER (WHERE stacks AND Pct IS NULL) AS ids, max(Gross) AS gross
+      FROM valid GROUP BY ALL),
+    options AS (SELECT *, least(coalesce(best.d, 0) + amounts, gross) AS together FROM sums),
+    picked AS (
+      SELECT OrderID, LocationID, CASE WHEN single.d >= together THEN [-single.r]
+               ELSE list_sort(list_concat(CASE WHEN best IS NULL THEN [] ELSE [-best.r] END, coalesce(ids, []))) END AS chosen,
+             CAST(greatest(single.d, together) AS DOUBLE) AS Discount
+      FROM options)
+    SELECT OrderID, LocationID, array_to_string(chosen, ',') AS PromotionIDs, CAST(len(chosen) AS INTEGER) AS Promotions, Discount
+    FROM picked""",
+)
+def _promo_stacking(spark, sf_dir):
+    return promo.best_stack(applicable_promotions(spark, sf_dir), c.stackable_campaigns(spark))
 
 
 @query(

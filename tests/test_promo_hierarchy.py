@@ -158,3 +158,21 @@ def test_limits_count_only_what_they_allow(spark):
     # promotion 9: orders 3 and 7 are denied to member 1; then the first six of 1 2 4 5 6 8 9 11
     assert got == [(7, 1), (8, 1), (9, 1), (9, 2), (9, 4), (9, 5), (9, 6), (9, 8)]
     assert kept.columns == df.columns
+
+
+def test_best_stack_of_each_order(spark):
+    """Promotions 1 and 2 stand alone, 3 and 4 take percentages, 5 and 6 amounts."""
+    kinds = spark.createDataFrame([(i, int(i > 2), 10.0 if i in (1, 3, 4) else None) for i in range(1, 7)], "PromotionID bigint, IsStackable int, DiscountPercentage double")
+    given = {
+        1: [(1, 50), (3, 20), (4, 20), (5, 10)],  # alone 50 beats 20 + 10
+        2: [(1, 30), (3, 20), (4, 25), (5, 10), (6, 5)],  # 25 + 10 + 5 beats 30; only one percentage
+        3: [(2, 40), (3, 20), (5, 20)],  # a tie goes to the single promotion
+        4: [(5, 80), (6, 70)],  # no more than the order's 100
+        5: [(3, 20), (4, 20)],  # the lower id of equals
+    }
+    rows = [(order, 1, p, 100.0, float(d)) for order, listed in given.items() for p, d in listed]
+    df = spark.createDataFrame(rows, "OrderID int, LocationID int, PromotionID bigint, Gross double, Discount double")
+    money = df.withColumns({"Gross": df["Gross"].cast("decimal(22,2)"), "Discount": df["Discount"].cast("decimal(22,2)")})
+    got = {r.OrderID: (r.PromotionIDs, r.Promotions, float(r.Discount)) for r in promo.best_stack(money, kinds).collect()}
+    assert got == {1: ("1", 1, 50), 2: ("4,5,6", 3, 40), 3: ("2", 1, 40), 4: ("5,6", 2, 100), 5: ("3", 1, 20)}
+    assert promo.best_stack(money.limit(0), kinds).count() == 0
