@@ -41,7 +41,7 @@ def member_lifetime(members: DataFrame, orders: DataFrame) -> DataFrame:
         members.select("MemberID")
         .join(spent, "MemberID", "left")
         .withColumn("Orders", F.coalesce("Orders", F.lit(0).cast("bigint")))
-        .withColumn("TotalSpent", F.coalesce("TotalSpent", F.lit(0)).cast("decimal(22,2)"))
+        .withColumn("TotalSpent", F.coalesce("TotalSpent", F.lit(0)).cast("decimal(28,2)"))
         .withColumn("LifetimePoints", F.coalesce("LifetimePoints", F.lit(0).cast("bigint")))
         .withColumn("MembershipTier", tier)
     )

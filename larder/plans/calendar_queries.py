@@ -22,13 +22,13 @@ def _order_dates(spark, sf_dir):
         F.col("o_orderkey").alias("OrderID"),
         F.col("o_custkey").alias("MemberID"),
         F.to_date("o_orderdate").alias("OrderDate"),
-        amount("o_totalprice").alias("TotalAmount"),
+        amount("o_totalprice", 18).alias("TotalAmount"),
     )
 
 
 _ORDER_COLUMNS = """o_orderkey AS OrderID, o_custkey AS MemberID,
     CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS OrderDate,
-    CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS TotalAmount"""
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS TotalAmount"""
 
 
 @query("scan_project", f"SELECT {_ORDER_COLUMNS} FROM orders")
@@ -314,7 +314,7 @@ def _distinct_keys(spark, sf_dir):
     f"""SELECT count(*) AS Orders, count(DISTINCT o_custkey) AS Members,
            min({o.date_id('o_orderdate')}) AS FirstDateID,
            max({o.date_id('o_orderdate')}) AS LastDateID,
-           CAST(max(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS LargestTotal FROM orders""",
+           CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS LargestTotal FROM orders""",
 )
 def _global_minmax(spark, sf_dir):
     return retail.orders(spark, sf_dir).agg(

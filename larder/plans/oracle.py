@@ -22,7 +22,7 @@ ORDERS = f"""ord AS (
          CASE o_orderkey % 3 WHEN 0 THEN 'Cash' WHEN 1 THEN 'CreditCard'
               ELSE 'MobileWallet' END AS PaymentMethod,
          o_orderkey * 37 % 86400 AS OrderSecond,
-         CAST(o_totalprice AS DECIMAL(12,2)) AS StatedTotal
+         CAST(o_totalprice AS DECIMAL(18,2)) AS StatedTotal
   FROM orders)"""
 
 LINES = f"""lines AS (

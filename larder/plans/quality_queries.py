@@ -77,7 +77,7 @@ _CHECK_SOURCES = {
     "ord.OrderItems": "SELECT Quantity, ItemID, NULL AS ComboID FROM lines",
     "ord.PaymentTransactions": "SELECT TotalAmount AS Amount FROM totals",
     "ord.OrderFeedback": "SELECT OverallRating FROM feedback",
-    "finance.StoreExpenses": "SELECT CAST(s_acctbal AS DECIMAL(12,2)) AS Amount FROM supplier",
+    "finance.StoreExpenses": "SELECT CAST(s_acctbal AS DECIMAL(18,2)) AS Amount FROM supplier",
     "ord.StoreOrders": "SELECT *, isodow(OrderDate) AS DayOfWeek FROM store_orders",
 }
 
@@ -431,7 +431,7 @@ def earlier_orders(orders):
     "audit_diff",
     f"""WITH ord AS (
       SELECT o_orderkey AS OrderID, o_custkey AS MemberID, {o.date_id('o_orderdate')} AS OrderDateID, o_orderstatus AS OrderStatus,
-             CAST(o_totalprice AS DECIMAL(12,2)) AS StatedTotal FROM orders),
+             CAST(o_totalprice AS DECIMAL(18,2)) AS StatedTotal FROM orders),
     given AS (SELECT *, {_CHANCE} AS chance FROM ord),
     earlier AS (
       SELECT g.id AS OrderID, CASE WHEN chance <> 2 THEN g.MemberID END AS MemberID, g.OrderDateID,

@@ -422,7 +422,7 @@ def _reorder_report(spark, sf_dir):
     goods AS (SELECT LocationID, sum(CostOfGoodsSold) AS g FROM cogs GROUP BY LocationID),
     staff AS (SELECT LocationID, CAST(sum((CostSeconds + 1800) // 3600) AS DECIMAL(18,2))
                 * CAST(0.01 AS DECIMAL(3,2)) AS s FROM labor GROUP BY LocationID),
-    owed AS (SELECT s_suppkey AS LocationID, greatest(CAST(s_acctbal AS DECIMAL(12,2)), 0) AS x FROM supplier)
+    owed AS (SELECT s_suppkey AS LocationID, greatest(CAST(s_acctbal AS DECIMAL(18,2)), 0) AS x FROM supplier)
     SELECT LocationID, CAST(n AS DOUBLE) AS NetSales, CAST(coalesce(g, 0) AS DOUBLE)
            AS CostOfGoodsSold, CAST(coalesce(s, 0) AS DOUBLE) AS TotalLaborCost,
            CAST(coalesce(x, 0) AS DOUBLE) AS Expenses,

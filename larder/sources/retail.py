@@ -58,7 +58,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         payment_method(key).alias("PaymentMethod"),
         F.col("o_orderstatus").alias("OrderStatus"),
         (key * 37 % 86400).cast("int").alias("OrderSecond"),
-        amount("o_totalprice").alias("StatedTotal"),
+        amount("o_totalprice", 18).alias("StatedTotal"),
     )
 
 
@@ -85,7 +85,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("LocationID"),
         F.col("s_name").alias("StoreName"),
         F.col("s_nationkey").alias("NationID"),
-        amount("s_acctbal").alias("Balance"),
+        amount("s_acctbal", 18).alias("Balance"),
     )
 
 
@@ -95,7 +95,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("MemberName"),
         F.col("c_nationkey").alias("NationID"),
         F.col("c_mktsegment").alias("Segment"),
-        amount("c_acctbal").alias("Balance"),
+        amount("c_acctbal", 18).alias("Balance"),
     )
 
 

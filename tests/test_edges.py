@@ -14,6 +14,7 @@ NAMES = [
     "promo_interval_join", "promo_applicability", "daily_labor", "store_pnl", "schedule_grid", "feedback_by_store",
     "points_running_balance", "dq_foreign_keys", "dq_not_null", "dq_checks", "range_facts", "inventory_running_stock",
     "inventory_transactions", "promo_bridge", "line_price_lookup", "operating_hours_grid",
+    "scan_project", "member_lifetime", "order_type_case", "global_minmax", "audit_diff", "promo_stacking",
     "points_expiry", "price_as_of", "net_hours", "stock_average_cost",
 ]
 
@@ -26,13 +27,15 @@ def odd_dir(tmp_path_factory):
         shutil.copy(f"{SF_DIR}/{table}.parquet", folder / f"{table}.parquet")
     con = duckdb.connect()
     store = "{0} * 10 + 3"
-    con.execute(f"""COPY (SELECT * REPLACE ({store.format('s_suppkey')} AS s_suppkey) FROM '{SF_DIR}/supplier.parquet')
+    con.execute(f"""COPY (SELECT * REPLACE ({store.format('s_suppkey')} AS s_suppkey,
+        CASE WHEN s_suppkey = 1 THEN 3e12 ELSE s_acctbal END AS s_acctbal) FROM '{SF_DIR}/supplier.parquet')
         TO '{folder}/supplier.parquet'""")
     con.execute(f"""COPY (SELECT * REPLACE ({store.format('l_suppkey')} AS l_suppkey,
         CASE WHEN l_partkey % 50 = 3 THEN l_shipdate - INTERVAL 20 YEAR ELSE l_shipdate END AS l_shipdate)
         FROM '{SF_DIR}/lineitem.parquet') TO '{folder}/lineitem.parquet'""")
     con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN o_orderkey % 50 = 0 THEN TIMESTAMP '1979-03-04'
-        WHEN o_orderkey % 50 = 1 THEN TIMESTAMP '2081-05-06' ELSE o_orderdate END AS o_orderdate)
+        WHEN o_orderkey % 50 = 1 THEN TIMESTAMP '2081-05-06' ELSE o_orderdate END AS o_orderdate,
+        CASE WHEN o_orderkey = 20 THEN 2e10 ELSE o_totalprice END AS o_totalprice)
         FROM '{SF_DIR}/orders.parquet' WHERE o_orderkey % 13 <> 5) TO '{folder}/orders.parquet'""")
     con.execute(f"""COPY (SELECT * REPLACE (CASE WHEN event_id = 7 THEN 1e11 ELSE value END AS value)
         FROM '{SF_DIR}/events.parquet') TO '{folder}/events.parquet'""")
