@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from larder.operators import points
+from pyspark.sql import functions as F
+
+from larder.functions.dates import date_of_id
+from larder.operators import customers, points
 from larder.plans import oracle as o
 from larder.plans.registry import query
+from larder.plans.sales_queries import store_orders
 from larder.sources import retail
+from larder.sources.scratch import materialize
 
 # Points of the given month lapse after this many days.
 POINTS_LIFE_DAYS = 10
@@ -45,3 +50,27 @@ STATEMENT = f"""moves AS (
 )
 def _points_expiry(spark, sf_dir):
     return points.points_expiry(retail.points_transactions(spark, sf_dir), POINTS_LIFE_DAYS)
+
+
+@query(
+    "customers_rollup",
+    f"""WITH {o.STORE_ORDERS}, visits AS (
+      SELECT LocationID, OrderDateID, MemberID, CAST(year(OrderDate) AS VARCHAR) AS y, r_name AS r
+      FROM store_orders LEFT JOIN supplier ON s_suppkey = LocationID LEFT JOIN nation ON n_nationkey = s_nationkey
+      LEFT JOIN region ON r_regionkey = n_regionkey)
+    SELECT 'Year' AS Level, y AS Span, count(DISTINCT MemberID) AS Customers,
+           count(DISTINCT (LocationID, OrderDateID)) AS StoreDays, TRUE AS WithinError
+    FROM visits WHERE y IS NOT NULL GROUP BY y
+    UNION ALL SELECT 'Region', r, count(DISTINCT MemberID), count(DISTINCT (LocationID, OrderDateID)), TRUE
+    FROM visits WHERE r IS NOT NULL GROUP BY r""",
+)
+def _customers_rollup(spark, sf_dir):
+    visits = store_orders(spark, sf_dir, "MemberID").select("LocationID", "OrderDateID", "MemberID")
+    sketches = materialize(customers.store_day_sketches(visits), "customers")
+    years = sketches.select("OrderDateID").distinct().select("OrderDateID", F.year(date_of_id(F.col("OrderDateID"))).cast("string").alias("Span"))
+    nations = retail.read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("NationID"), F.col("n_regionkey").alias("RegionID"))
+    regions = retail.read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("RegionID"), F.col("r_name").alias("Span"))
+    places = retail.locations(spark, sf_dir).join(nations, "NationID").join(regions, "RegionID").select("LocationID", "Span")
+    by_year = customers.rollup(visits, sketches, years, "OrderDateID", "Span").withColumn("Level", F.lit("Year"))
+    by_region = customers.rollup(visits, sketches, places, "LocationID", "Span").withColumn("Level", F.lit("Region"))
+    return by_year.unionByName(by_region).where(F.col("Span").isNotNull()).select("Level", "Span", "Customers", "StoreDays", "WithinError")
