@@ -11,6 +11,12 @@ def text_of(docs: DataFrame, name: str = "text") -> Column:
     return F.coalesce(docs[f"`{name}`"].cast("string"), F.lit(""))
 
 
+def others(docs: DataFrame, made: tuple[str, ...]) -> list[str]:
+    """The columns of ``docs`` whose names no column made by an operator takes; names are alike in any case of letters."""
+    taken = {name.lower() for name in made}
+    return [name for name in docs.columns if name.lower() not in taken]
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text modulo ``folds``; -1 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1))

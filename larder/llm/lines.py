@@ -13,8 +13,9 @@ Words of a line are its spaces plus one. Occurrences are ordered by document id
 
 Cases: rows equal in id and text are one document repeated, and lose the same
 lines; a null text has nothing to lose and stays null; a text whose lines all
-go becomes empty; blank lines alone are never deleted; all other columns,
-whatever their names, are passed on.
+go becomes empty; blank lines alone are never deleted; a run that repeats inside one document, even
+overlapping itself, loses its later occurrences there; all other columns are
+passed on, but those with the names of the two counts, which are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.columns import content_key, same_key, text_of
+from larder.llm.columns import content_key, others, same_key, text_of
 
 MIN_WORDS = 50
 
@@ -76,10 +77,8 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def line_dedup(
-    docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_removed")
-) -> DataFrame:
-    """All columns of ``docs``, later repeated runs deleted from ``text``, and two counts of lines: before, and deleted."""
+def deduped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_row, _text, _n, _lost): each row of ``docs`` whole, its new text, and its counts of lines: before, and deleted."""
     text = text_of(docs)
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *content_key(docs, text), text.alias("_text"))
     gone = repeated(docs, min_words)
@@ -88,8 +87,18 @@ def line_dedup(
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i))
     new_text = F.when(F.col("_gone").isNull(), F.col("_row")["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[(new_text if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns],
-        F.size(lines).cast("long").alias(counts[0]), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(counts[1]),
+        "_row", new_text.alias("_text"),
+        F.size(lines).cast("long").alias("_n"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_lost"),
+    )
+
+
+def line_dedup(
+    docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
+    """All columns of ``docs``, later repeated runs deleted from ``text``, and two counts of lines: before, and deleted."""
+    return deduped(docs, min_words).select(
+        *[(F.col("_text") if c == "text" else F.col("_row")[c]).alias(c) for c in others(docs, counts)],
+        F.col("_n").alias(counts[0]), F.col("_lost").alias(counts[1]),
     )
 
 
