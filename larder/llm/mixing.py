@@ -14,29 +14,38 @@ the same on every run and whatever the partitions.
 
 Cases: null source, language or topic is the value ``unknown``; null text has no
 tokens; a margin value without tokens leaves its cells as they are; a table
-without tokens is kept whole; rows with the same id share their draw.
+without tokens is kept whole; rows with the same id share their draw; a column of the
+documents with the name of a column made here is replaced.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.columns import text_of
+from larder.llm.columns import others, text_of
 from larder.sources.scratch import materialize
 
 MARGINS = ("source", "lang", "topic")
+#: A scale that grows by no more than this part has settled.
+SETTLED = 1e-12
+MADE = ("mix_topic", "mix_tokens", "mix_probability", "mix_weight")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """targets: for a margin, the wanted share of each value; otherwise powers apply."""
+    """targets: for a margin, the wanted share of each value; otherwise powers apply.
+
+    Raking ends with the first round whose factors are all within ``tolerance`` of one;
+    ``rounds`` only bounds margins that contradict each other, which ``margins`` shows.
+    """
 
     powers: dict[str, float] = field(default_factory=lambda: {"source": 0.7, "lang": 0.5, "topic": 0.7})
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
-    rounds: int = 6
+    tolerance: float = 1e-6
+    rounds: int = 100
     keep: float = 0.6
 
 
@@ -70,39 +79,60 @@ def _natural(cells: DataFrame, margin: str, settings: Settings) -> DataFrame:
 
 
 def rake(cells: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The cells with ``weight``: the factor of their tokens that meets the margins."""
+    """The cells with the wanted share of each of their values and ``weight``: the factor of their tokens that meets the margins.
+
+    One number comes to the driver each round. A margin's sums are taken over the
+    cells, of which there is one for each combination of values, whatever the number of documents.
+    """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    shares = {m: materialize(_natural(cells, m, settings), "share") for m in MARGINS}
-    weighted = cells.withColumn("weight", F.lit(1.0))
+    shared = cells
+    for m in MARGINS:
+        shared = shared.join(_natural(cells, m, settings).withColumnRenamed("_share", f"_{m}"), m, "left")
+    weighted = materialize(shared.withColumn("weight", F.lit(1.0)), "shares")
     for _ in range(settings.rounds):
-        for margin in MARGINS:
-            now = weighted.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("_now"))
-            factor = now.join(shares[margin], margin).select(
-                margin, F.when(F.col("_now") > 0, F.col("_share") * total / F.col("_now")).otherwise(1.0).alias("_factor")
-            )
-            weighted = weighted.join(factor, margin, "left").select(
-                *MARGINS, "tokens", (F.col("weight") * F.coalesce("_factor", F.lit(1.0))).alias("weight")
-            )
-        weighted = materialize(weighted, "raked")
+        step = weighted.withColumn("_moved", F.lit(0.0))
+        for m in MARGINS:
+            now = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(m))
+            step = step.withColumn("_factor", F.when(now > 0, F.col(f"_{m}") * total / now)).withColumn("_factor", F.coalesce("_factor", F.lit(1.0)))
+            step = step.withColumn("weight", F.col("weight") * F.col("_factor"))
+            step = step.withColumn("_moved", F.greatest("_moved", F.abs(F.col("_factor") - 1)))
+        step = materialize(step.drop("_factor"), "raked")
+        weighted = step.drop("_moved")
+        if (step.agg(F.max("_moved")).first()[0] or 0.0) <= settings.tolerance:
+            break
     return weighted
 
 
-def scale_of(raked: DataFrame, keep: float, rounds: int = 8) -> float:
-    """c such that min(1, c w) keeps the part ``keep`` of all tokens; one row comes to the driver each round."""
-    c = None
+def margins(raked: DataFrame) -> DataFrame:
+    """(margin, value, wanted, got): the share of the weighted tokens that each value was to have, and has."""
+    whole = raked.agg(F.sum(F.col("tokens") * F.col("weight"))).first()[0] or 1.0
+    each = F.inline(F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("value"), F.col(f"_{m}").alias("wanted")) for m in MARGINS]))
+    return (
+        raked.select(each, (F.col("tokens") * F.col("weight") / whole).alias("_part"))
+        .groupBy("margin", "value").agg(F.coalesce(F.max("wanted"), F.lit(0.0)).alias("wanted"), F.sum("_part").alias("got"))
+    )
+
+
+def scale_of(raked: DataFrame, keep: float) -> float:
+    """c such that min(1, c w) keeps the part ``keep`` of all tokens; one row comes to the driver each round.
+
+    Each round caps at least one more cell or is the last.
+    """
     total = float(raked.agg(F.sum("tokens")).first()[0] or 0)
     if not total:
         return float("inf")
-    for _ in range(rounds):
-        capped = F.col("weight") * F.lit(c or 0.0) >= 1
+    c = 0.0
+    while True:
+        capped = F.col("weight") * F.lit(c) >= 1
         row = raked.agg(
             F.sum(F.when(capped, F.col("tokens")).otherwise(0)).cast("double").alias("full"),
             F.sum(F.when(capped, 0.0).otherwise(F.col("tokens") * F.col("weight"))).alias("rest"),
         ).first()
         if not row["rest"]:
-            break
-        c = (keep * total - row["full"]) / row["rest"]
-    return c
+            return c
+        before, c = c, (keep * total - row["full"]) / row["rest"]
+        if c <= before * (1 + SETTLED):
+            return c
 
 
 def cells_of(docs: DataFrame, topic: str | None = None) -> DataFrame:
@@ -127,12 +157,12 @@ def mix(docs: DataFrame, settings: Settings = Settings(), topic: str | None = No
     plan = raked.select(*MARGINS, F.least(odds, F.lit(1.0)).alias("_p"), F.greatest(odds, F.lit(1.0)).alias("_over"))
     chosen = rows.join(plan, list(MARGINS)).where("_draw < _p")
     return chosen.select(
-        *[F.col("_row")[name].alias(name) for name in docs.columns], F.col("topic").alias("mix_topic"),
+        *[F.col("_row")[name].alias(name) for name in others(docs, MADE)], F.col("topic").alias("mix_topic"),
         F.col("tokens").alias("mix_tokens"), F.round("_p", 6).alias("mix_probability"), F.round("_over", 6).alias("mix_weight"),
     )
 
 
-def mix_sql(documents: str = "documents", settings: Settings = Settings(), scale_rounds: int = 8) -> str:
+def mix_sql(documents: str = "documents", settings: Settings = Settings()) -> str:
     """The same as SQL, without the other columns; fit for the default targets."""
     steps = [f"""rows AS MATERIALIZED (
   SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang,
@@ -143,27 +173,37 @@ def mix_sql(documents: str = "documents", settings: Settings = Settings(), scale
          CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS DOUBLE) / {16**13}.0 AS draw
   FROM (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM {documents}))""",
         "total AS MATERIALIZED (SELECT CAST(sum(tokens) AS DOUBLE) AS t FROM rows)",
-        """w0 AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens, CAST(1 AS DOUBLE) AS weight
+        """cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens, CAST(1 AS DOUBLE) AS weight
   FROM rows GROUP BY ALL)"""]
     for m in MARGINS:
         steps.append(f"""{m}_share AS MATERIALIZED (
   SELECT {m}, pow(s, {settings.powers[m]}) / sum(pow(s, {settings.powers[m]})) OVER () AS share
-  FROM (SELECT {m}, sum(tokens) AS s FROM w0 GROUP BY {m}) WHERE s > 0)""")
-    n = 0
-    for _ in range(settings.rounds):
-        for m in MARGINS:
-            steps.append(f"""w{n + 1} AS MATERIALIZED (
-  SELECT w.source, w.lang, w.topic, tokens, weight * coalesce(CASE WHEN now > 0 THEN share * t / now ELSE 1 END, 1) AS weight
-  FROM (SELECT *, sum(tokens * weight) OVER (PARTITION BY {m}) AS now FROM w{n}) w LEFT JOIN {m}_share USING ({m}), total)""")
-            n += 1
-    steps.append("c0 AS (SELECT CAST(0 AS DOUBLE) AS c)")
-    for k in range(scale_rounds):
-        steps.append(f"""c{k + 1} AS MATERIALIZED (
-  SELECT CASE WHEN rest > 0 THEN ({settings.keep} * t - total_full) / rest ELSE c END AS c FROM (
-    SELECT sum(CASE WHEN weight * c >= 1 THEN tokens ELSE 0 END) AS total_full,
-           sum(CASE WHEN weight * c >= 1 THEN 0 ELSE tokens * weight END) AS rest, any_value(c) AS c
-    FROM w{n}, c{k}), total)""")
-    return "WITH " + ",\n".join(steps) + f"""
+  FROM (SELECT {m}, sum(tokens) AS s FROM cells GROUP BY {m}) WHERE s > 0)""")
+    shares = ", ".join(f"{m}_share.share AS {m}_share" for m in MARGINS)
+    joins = " ".join(f"LEFT JOIN {m}_share USING ({m})" for m in MARGINS)
+    steps.append(f"""w0 AS MATERIALIZED (
+  SELECT w.source, w.lang, w.topic, tokens, t, {shares}, weight, CAST(1 AS DOUBLE) AS moved, 0 AS n FROM total, cells w {joins})""")
+    inner = "(SELECT *, CAST(0 AS DOUBLE) AS worst FROM raking)"
+    for m in MARGINS:
+        inner = f"""(
+    SELECT * EXCLUDE (factor, now) REPLACE (weight * factor AS weight, greatest(worst, abs(factor - 1)) AS worst) FROM (
+      SELECT *, coalesce(CASE WHEN now > 0 THEN {m}_share * t / now END, 1) AS factor FROM (
+        SELECT *, sum(tokens * weight) OVER (PARTITION BY {m}) AS now FROM {inner})))"""
+    steps.append(f"""raking AS (
+  SELECT * FROM w0
+  UNION ALL
+  SELECT source, lang, topic, tokens, t, source_share, lang_share, topic_share, weight, max(worst) OVER () AS moved, n + 1 AS n
+  FROM {inner} WHERE moved > {settings.tolerance} AND n < {settings.rounds})""")
+    steps.append("raked AS MATERIALIZED (SELECT * FROM raking WHERE n = (SELECT max(n) FROM raking))")
+    steps.append(f"""scaling AS (
+  SELECT CAST(0 AS DOUBLE) AS c, CAST(-1 AS DOUBLE) AS before
+  UNION ALL
+  SELECT ({settings.keep} * any_value(t) - sum(CASE WHEN weight * c >= 1 THEN tokens ELSE 0 END))
+           / sum(CASE WHEN weight * c >= 1 THEN 0 ELSE tokens * weight END), any_value(c)
+  FROM scaling, raked WHERE before < 0 OR c > before * (1 + {SETTLED})
+  HAVING sum(CASE WHEN weight * c >= 1 THEN 0 ELSE tokens * weight END) > 0)""")
+    steps.append("scale AS MATERIALIZED (SELECT max_by(c, before) AS c FROM scaling)")
+    return "WITH RECURSIVE " + ",\n".join(steps) + f"""
 SELECT doc_id, source, lang, topic, tokens, round(least(weight * c, 1), 6) AS probability, round(greatest(weight * c, 1), 6) AS weight
-FROM (SELECT r.*, w.weight FROM rows r JOIN w{n} w USING (source, lang, topic)), c{scale_rounds}
+FROM (SELECT r.*, w.weight FROM rows r JOIN raked w USING (source, lang, topic)), scale
 WHERE draw < least(weight * c, 1)"""

@@ -83,17 +83,50 @@ def test_raked_weights_meet_the_targets(llm):
         [(f"s{a}", f"l{b}", f"t{c}", draw.randint(1, 5000) * (1 + 30 * (a == 0))) for a in range(5) for b in range(3) for c in range(4)],
         "source string, lang string, topic string, tokens long",
     )
-    settings = mixing.Settings(rounds=12, targets={"lang": {"l0": 0.2, "l1": 0.3, "l2": 0.5}})
+    settings = mixing.Settings(targets={"lang": {"l0": 0.2, "l1": 0.3, "l2": 0.5}})
     raked = mixing.rake(cells, settings)
     rows = raked.collect()
     total = sum(r["tokens"] for r in rows)
-    for value, share in settings.targets["lang"].items():
-        assert abs(sum(r["tokens"] * r["weight"] for r in rows if r["lang"] == value) / total - share) < 1e-3
-    natural = {s: sum(r["tokens"] for r in rows if r["source"] == s) ** 0.7 for s in {r["source"] for r in rows}}
-    for s, want in natural.items():
-        assert abs(sum(r["tokens"] * r["weight"] for r in rows if r["source"] == s) / total - want / sum(natural.values())) < 1e-3
+    want = {"lang": settings.targets["lang"]}
+    for m in ("source", "topic"):
+        natural = {v: sum(r["tokens"] for r in rows if r[m] == v) ** 0.7 for v in {r[m] for r in rows}}
+        want[m] = {v: n / sum(natural.values()) for v, n in natural.items()}
+    found = mixing.margins(raked).collect()
+    assert len(found) == 12
+    for r in found:
+        share = want[r["margin"]][r["value"]]
+        got = sum(x["tokens"] * x["weight"] for x in rows if x[r["margin"]] == r["value"]) / total
+        assert abs(got - share) < 1e-5 * share and abs(r["got"] - got) < 1e-9 and abs(r["wanted"] - share) < 1e-9
     c = mixing.scale_of(raked, 0.6)
-    assert abs(sum(r["tokens"] * min(1, c * r["weight"]) for r in rows) / total - 0.6) < 0.01
+    assert abs(sum(r["tokens"] * min(1, c * r["weight"]) for r in rows) / total - 0.6) < 1e-9
+
+
+def test_raking_goes_on_until_skewed_margins_are_met_or_shows_that_they_cannot_be(llm):
+    rows = [("a", "x", "t", 10_000_000), ("a", "y", "t", 10), ("b", "x", "t", 10), ("b", "y", "t", 1000), ("c", "x", "t", 1), ("c", "y", "t", 1)]
+    cells = llm.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    for r in mixing.margins(mixing.rake(cells)).collect():
+        assert abs(r["got"] - r["wanted"]) < 1e-4 * r["wanted"]
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.2, "y": 0.8}}
+    tied = cells.where("source || lang in ('ax', 'by')")
+    met = {(r["margin"], r["value"]): (r["wanted"], r["got"]) for r in mixing.margins(mixing.rake(tied, mixing.Settings(targets=targets, rounds=5))).collect()}
+    assert abs(met["lang", "x"][1] - 0.2) < 1e-9 and met["source", "a"][0] == 0.5 and abs(met["source", "a"][1] - 0.2) < 1e-9
+
+
+CLASHING = ["n_lines", "N_Removed", "leaked", "leaked_items", "mix_topic", "mix_weight", "_toxicity", "_gone", "_lines", "_row", "_text", "_n", "_lost", "score", "row", "topic", "_p"]
+
+
+def test_columns_with_the_names_of_results(llm):
+    from larder.llm import benchmark
+
+    rows = [(1, "a b c\n" * 30, "en", "s"), (2, "a b c\n" * 30, "en", "s"), (3, None, None, None)]
+    docs = llm.createDataFrame([(*r, *range(len(CLASHING))) for r in rows], ["doc_id", "text", "lang", "source", *CLASHING])
+    bench = llm.createDataFrame([(1, "one two three four five six seven eight nine", 0)], "item_id long, text string, leaked int")
+    for made, out in [
+        (("n_lines", "n_removed"), lines.line_dedup(docs)), (benchmark.MADE, benchmark.decontaminate(docs, bench)), (mixing.MADE, mixing.mix(docs, mixing.Settings(keep=1.0))),
+    ]:
+        names = [c.lower() for c in out.columns]
+        assert len(set(names)) == len(names) and set(names) == {c.lower() for c in docs.columns} | set(made)
+        assert all(r["score"] == CLASHING.index("score") for r in out.collect())
 
 
 def test_mix_edges(llm):
