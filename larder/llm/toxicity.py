@@ -150,8 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), hel
 
 def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` and the score as ``name``, one row for each row of ``docs``."""
-    kept = docs.select(*[docs[f"`{name}`"] for name in keep], F.lower(text_of(docs)).alias("_lowered"))
-    fields = kept.select(*[F.col(f"`{name}`") for name in keep], F.lit(0.0).alias(name))
+    fields = docs.select(*[docs[f"`{column}`"] for column in keep], F.lit(0.0).alias(name))
+    kept = docs.select(*[docs[f"`{column}`"] for column in keep], F.lower(text_of(docs)))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
