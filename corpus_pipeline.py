@@ -22,18 +22,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     prepare(spark)
     settings = toxicity.Settings()
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), settings)
-    scored = toxicity.score(docs, model, docs.columns, "_toxicity")
-    return scored.where(F.col("_toxicity") < settings.threshold).drop("_toxicity")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), text_of(docs).alias("text"))
+    scored = toxicity.score(rows, model, ["row"], "score")
+    return scored.where(F.col("score") < settings.threshold).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated runs of lines go; so does a document of which nothing is left."""
     prepare(spark)
-    found = lines.line_dedup(docs, counts=("_lines", "_gone"))
-    left = found.where((F.col("_gone") == 0) | F.col("text").rlike(r"\S")).drop("_lines")
+    left = lines.deduped(docs).where((F.col("_lost") == 0) | F.col("_text").rlike(r"\S"))
+    row = F.col("_row")
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("_gone") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return left.select(*[f"`{c}`" for c in docs.columns])
+        new["n_chars"] = F.when(F.col("_lost") > 0, F.length("_text")).otherwise(row["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return left.select(*[new.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
