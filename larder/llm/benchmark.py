@@ -30,7 +30,8 @@ of their word sequence among the grams of that length in all texts.
 Cases: null and empty texts are clean; items without words are not searched; of several items in a
 document the one with the largest share counts, ties to the smaller id; rows of
 an item id that repeats are items of their own; an empty benchmark leaves all
-documents clean; repeated rows each get their result.
+documents clean; repeated rows each get their result; a column of the documents with the
+name of a column made here is replaced.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import text as tx
-from larder.llm.columns import content_key, same_key, text_of
+from larder.llm.columns import content_key, others, same_key, text_of
 from larder.sources.scratch import materialize
 
 
@@ -88,17 +89,14 @@ def passages(
     """
     begin, row = segments(firsts, s.segment)
     end = np.minimum(begin + s.segment, firsts[row + 1])
-    known = (table != 0).any(axis=1)
     squares = weights[columns] ** 2
-    live = np.flatnonzero(known[columns])
-    low, high = np.searchsorted(live, begin), np.searchsorted(live, end)
-    filled = np.flatnonzero(high > low)
+    known = (table != 0).any(axis=1)[columns]
+    padded = np.concatenate([table, np.zeros((1, table.shape[1]), table.dtype)])
     sums = np.zeros((len(begin), table.shape[1]), table.dtype)
-    found = np.zeros(len(begin))
-    if len(filled):
-        sums[filled] = np.add.reduceat(table[columns[live]], low[filled], axis=0)
-        found[filled] = np.add.reduceat(squares[live], low[filled])
-    total = np.add.reduceat(squares, begin) if len(begin) else np.zeros(0)
+    for k in range(s.segment if len(begin) else 0):
+        at = begin + k
+        sums += padded[np.where(at < end, columns[np.minimum(at, end - 1)], len(table))]
+    total, found = (np.add.reduceat(x, begin) if len(begin) else np.zeros(0) for x in (squares, squares * known))
     paired = np.zeros(len(row), dtype=bool)
     paired[:-1] = row[1:] == row[:-1]
     alone = ~paired & np.concatenate([[True], ~paired[:-1]])[: len(row)]
@@ -350,6 +348,54 @@ def common_subsequence(item: np.ndarray, region: np.ndarray) -> list[int]:
     return places[::-1]
 
 
+class Coverage:
+    """Which (passage, item) pairs have enough of the item's words around the passage, counted for many pairs at a time.
+
+    No item has more of its words in its own region than in that of the widest item, which is the one looked at.
+    """
+
+    def __init__(self, held: list[np.ndarray], vocabulary: np.ndarray, s: Settings, room: int = 1 << 23) -> None:
+        self.lengths = np.array([len(w) for w in held], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.spots = np.searchsorted(vocabulary, np.concatenate([np.zeros(0, np.uint64), *held]))
+        self.none = len(vocabulary)
+        self.widest = int(self.lengths.max(initial=0))
+        self.least = s.overlap * self.lengths - 1e-6
+        self.room = room
+
+    def __call__(
+        self, passage: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray, row: np.ndarray, firsts: np.ndarray, spot: np.ndarray
+    ) -> Iterator[tuple[int, int]]:
+        """The pairs that stay, in their order; ``passage`` ascends, and ``spot`` has the vocabulary's place of each word."""
+        most_pairs, most_passages = max(1, self.room // max(self.widest, 1)), max(1, self.room // (self.none + 1))
+        new = np.flatnonzero(np.diff(passage, prepend=-1))
+        number = np.cumsum(np.diff(passage, prepend=-1) != 0) - 1
+        done = 0
+        while done < len(passage):
+            upto = number[done] + most_passages
+            last = min(done + most_pairs, int(new[upto]) if upto < len(new) else len(passage))
+            pairs = slice(done, last)
+            own, local = np.unique(passage[pairs], return_inverse=True)
+            low = np.maximum(begin[own] - self.widest, firsts[row[own]])
+            high = np.minimum(end[own] + self.widest, firsts[row[own] + 1])
+            present = np.zeros((len(own), self.none + 1), dtype=bool)
+            present[np.repeat(np.arange(len(own)), high - low), spot[_ranges(low, high)]] = True
+            present[:, -1] = False
+            k = item[pairs]
+            n = self.lengths[k]
+            words = self.spots[_ranges(self.starts[k], self.starts[k] + n)]
+            found = np.add.reduceat(present[np.repeat(local, n), words], np.cumsum(n) - n, dtype=np.int64)
+            fits = np.flatnonzero(found >= self.least[k])
+            yield from zip(own[local[fits]].tolist(), k[fits].tolist(), strict=True)
+            done = last
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers from each low up to its high, one range after the other."""
+    n = high - low
+    return np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)
+
+
 def confirm(item: np.ndarray, region: np.ndarray, weight: np.ndarray, s: Settings) -> float:
     """The share of the item found in order in the region, 0 if a check fails."""
     if np.isin(item, region).mean() < s.overlap:
@@ -398,9 +444,7 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
         lengths = np.array([len(w) for w in items.words], dtype=np.int64)
         held = items.words[: len(items.vectors)]
         vocabulary = np.unique(np.concatenate([np.zeros(1, np.uint64), *held]))
-        spots = [np.searchsorted(vocabulary, w) for w in held]
-        widest = max((len(w) for w in held), default=0)
-        present = np.zeros(len(vocabulary) + 1, dtype=bool)
+        covered = Coverage(held, vocabulary, s)
         lowest = replace(s, cosine=float(items.cosines.min(initial=np.inf)))
         for batch in batches:
             out: dict[tuple[int, int], float] = {}
@@ -429,25 +473,16 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
                 spot[vocabulary[spot] != hashes] = len(vocabulary)
                 for low in range(0, len(vectors), 4096):
                     near = vectors[low : low + 4096] @ items.vectors.T >= items.cosines
-                    for p in np.flatnonzero(near.any(axis=1)).tolist():
-                        picked = np.flatnonzero(near[p])
-                        p = p + low
+                    passage, picked = np.nonzero(near)
+                    for p, k in covered(passage + low, picked, begin, end, row, firsts, spot):
                         r = int(row[p])
-                        # no item has more of its words in its own region than in the widest one
-                        around = spot[max(begin[p] - widest, firsts[r]) : min(end[p] + widest, firsts[r + 1])]
-                        present[around] = True
-                        present[-1] = False
-                        parts = [spots[k] for k in picked]
-                        found = np.add.reduceat(present[np.concatenate(parts)], np.cumsum(lengths[picked]) - lengths[picked], dtype=np.int64)
-                        present[around] = False
-                        for k in picked[found >= s.overlap * lengths[picked] - 1e-6].tolist():
-                            if (first + r, k) in out:
-                                continue
-                            item = items.words[k]
-                            a, b = max(begin[p] - len(item), firsts[r]), min(end[p] + len(item), firsts[r + 1])
-                            share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
-                            if share:
-                                out[first + r, k] = share
+                        if (first + r, k) in out:
+                            continue
+                        item = items.words[k]
+                        a, b = max(begin[p] - len(item), firsts[r]), min(end[p] + len(item), firsts[r + 1])
+                        share = confirm(item, hashes[a:b], weights[_columns(item, s)], s)
+                        if share:
+                            out[first + r, k] = share
             where = pa.array([r for r, _ in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -460,6 +495,9 @@ def _search(texts: DataFrame, items: Items, table: np.ndarray, weights: np.ndarr
     return texts.mapInArrow(run, "_id long, _content long, item_id long, overlap double")
 
 
+MADE = ("leaked", "leaked_item", "leaked_overlap", "leaked_items")
+
+
 def decontaminate(docs: DataFrame, bench: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """All columns of ``docs``, and the item found in each document with its share: null and 0 for clean ones."""
     text = text_of(docs)
@@ -468,7 +506,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, settings: Settings = Settin
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *content_key(docs, text))
     joined = rows.join(found, same_key(rows, found), "left")
     return joined.select(
-        *[F.col("_row")[c].alias(c) for c in docs.columns], F.col("_best").isNotNull().alias("leaked"),
+        *[F.col("_row")[c].alias(c) for c in others(docs, MADE)], F.col("_best").isNotNull().alias("leaked"),
         (-F.col("_best.item")).alias("leaked_item"), F.coalesce("_best.overlap", F.lit(0.0)).alias("leaked_overlap"),
         F.coalesce("_n", F.lit(0)).cast("long").alias("leaked_items"),
     )
