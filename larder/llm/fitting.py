@@ -10,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.columns import fold, text_of
+from larder.llm.columns import content_key, fold, text_of
 from larder.sources.scratch import materialize
 
 WEIGHTS = "spot int, weight double, mass double"
@@ -22,9 +22,11 @@ def labelled_sample(
     """(shard, doc_id, text, label): at most ``per_class`` labelled documents of each class.
 
     Rows of the held-out fold never enter. An id with several labels takes the
-    largest. The sample is the rows with the smallest hashes of the id, so it is
-    the same on every run; its two id lists are bounded by ``per_class`` rows and
-    therefore safe to broadcast.
+    largest; rows equal in id and text are one document and train once, an id with
+    several texts has as many documents. The sample is the documents with the
+    smallest hashes of the id and then of the text, so it is the same on every run.
+    The ids and the documents picked are at most ``per_class`` rows of each class
+    and therefore safe to broadcast, and so no shard has more than these.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("_label"))
@@ -36,8 +38,15 @@ def labelled_sample(
     for kind in (0, 1):
         part = known.where(F.col("_label") == kind).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select(docs["doc_id"].cast("long").alias("_id"), text_of(docs).alias("_text"))
-    joined = texts.join(F.broadcast(picked), "_id").select(
+    text = text_of(docs)
+    texts = docs.select(*content_key(docs, text), text.alias("_text"))
+    keys = materialize(texts.join(F.broadcast(picked), "_id").select("_id", "_content", "_label").distinct(), "sampled")
+    kept = None
+    for kind in (0, 1):
+        part = keys.where(F.col("_label") == kind).orderBy(F.xxhash64("_id"), "_id", "_content").limit(per_class)
+        kept = part if kept is None else kept.unionByName(part)
+    joined = texts.join(F.broadcast(kept), ["_id", "_content"]).groupBy("_id", "_content", "_label").agg(F.first("_text").alias("_text"))
+    joined = joined.select(
         F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(shards)).cast("int").alias("shard"),
         F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_label").alias("label"),
     )

@@ -125,3 +125,18 @@ def test_lines_and_words_by_hand():
     assert first.tolist() == [0, 3, 3, 4, 5] and len(set(hashes.tolist())) == 5
     joined = tx.words(np.frombuffer(b"abcabc", dtype=np.uint8), np.array([0, 3, 6]))
     assert joined[2][0] == joined[2][1] and joined[3].tolist() == [0, 1, 2]
+
+
+def test_the_sample_is_bounded_by_documents(llm):
+    from larder.llm.fitting import labelled_sample
+
+    rows = [(7, "same")] * 3000 + [(7, f"text {k % 400}") for k in range(800)] + [(i, "t") for i in range(8, 60)] + [(None, "t")]
+    docs = llm.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, label string")
+    labels = llm.createDataFrame([(i, int(i % 2), 0) for i in range(60)] + [(7, 0, 0)], "doc_id long, toxic int, text int")
+    got = labelled_sample(docs, labels, "toxic", 4, 2, 100, 4).collect()
+    outside = [i for i in range(7, 60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    by = {kind: [(r["doc_id"], r["text"]) for r in got if r["label"] == kind] for kind in (0, 1)}
+    assert all(len(set(x)) == len(x) <= 100 for x in by.values())
+    assert {i for i, _ in by[0]} <= set(outside) and sorted({i for i, _ in by[1]} - {7}) == [i for i in outside if i % 2 and i != 7]
+    if 7 in outside:
+        assert len(by[1]) == 100 or len([i for i, _ in by[1] if i == 7]) == 401
