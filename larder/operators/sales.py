@@ -13,6 +13,8 @@ from larder.operators.calendar import with_calendar
 from larder.operators.surrogate import dense_ids
 from larder.sources.inline import inline_rows
 
+#: More than any store number.
+LOCATIONS = 10**10
 STORE_DAY = ["LocationID", "OrderDateID"]
 LINE_AMOUNTS = ["Quantity", "Gross", "Discount", "LineTax", "Refund", "Cost"]
 
@@ -194,6 +196,18 @@ def daily_summary(by_store: DataFrame, labor: DataFrame) -> DataFrame:
     return with_calendar(joined, "OrderDateID", "", "CalendarDate", "Year").drop("Items")
 
 
+def summary_rows(daily: DataFrame) -> DataFrame:
+    """Daily sums of stores as rows of the stored summary, with its names and its key.
+
+    The key is the day's number before the store's, so it needs no shuffle, is unique as
+    the pair is, and a refreshed day gets its old keys again. Day and store are ``int``.
+    """
+    day = F.col("OrderDateID")
+    return daily.withColumns({"SummaryID": day.cast("long") * LOCATIONS + F.col("LocationID"), "SalesDateID": day}).drop(
+        "OrderDateID", "CalendarDate", "Year"
+    )
+
+
 def order_pricing(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Header amounts of every order from its lines.
 

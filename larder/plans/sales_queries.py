@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from larder.operators import inventory, labor, sales
+from larder.catalog.constraints import UNIQUE_PAIRS
+from larder.operators import inventory, labor, quality, sales
 from larder.operators.surrogate import assign_round_robin
 from larder.plans import oracle as o
 from larder.plans.registry import query
@@ -154,29 +155,56 @@ def _daily_cogs(spark, sf_dir):
     return sales.daily_cogs(dated_lines(spark, sf_dir, cost=True))
 
 
-@query(
-    "daily_sales_summary",
-    f"""WITH {o.STORE_ORDERS}, {o.RECIPES}, {o.COGS}, {o.LABOR}, daily AS (
-      SELECT LocationID, OrderDateID, OrderDate, count(*) AS TotalOrders,
-             count(DISTINCT MemberID) AS TotalCustomers, sum(Gross) AS Gross,
-             sum(Discount) AS Discounts, sum(Refund) AS Refunds, sum(Quantity) AS Items, {_PIVOT}
-      FROM store_orders GROUP BY LocationID, OrderDateID, OrderDate)
-    SELECT LocationID, OrderDateID, CAST(OrderDate AS VARCHAR) AS CalendarDate,
-           CAST(year(OrderDate) AS INTEGER) AS Year, TotalOrders, TotalCustomers,
-           CAST(Gross AS DOUBLE) AS GrossSales, CAST(Discounts AS DOUBLE) AS Discounts,
-           CAST(Refunds AS DOUBLE) AS Refunds,
-           CAST(Gross - Discounts - Refunds AS DOUBLE) AS NetSales,
-           CAST(round(Gross * CAST(0.07 AS DECIMAL(3,2)), 2) AS DOUBLE) AS TaxCollected,
-           InStoreSales, DriveThruSales, OnlineSales, DeliverySales, CashPayments, CardPayments,
-           MobilePayments, {_LABOR_JOIN},
-           CAST(coalesce(c.CostOfGoodsSold, 0) AS DOUBLE) AS CostOfGoodsSold,
-           CAST(Gross AS DOUBLE) / TotalOrders AS AverageOrderValue,
-           CAST(Items AS DOUBLE) / TotalOrders AS AverageItemsPerOrder, 0 AS IsReconciled
-    FROM daily LEFT JOIN labor b USING (LocationID, OrderDateID)
-    LEFT JOIN cogs c USING (LocationID, OrderDateID)""",
-)
+_SUMMARY = f"""WITH {o.STORE_ORDERS}, {o.RECIPES}, {o.COGS}, {o.LABOR}, daily AS (
+  SELECT LocationID, OrderDateID, OrderDate, count(*) AS TotalOrders,
+         count(DISTINCT MemberID) AS TotalCustomers, sum(Gross) AS Gross,
+         sum(Discount) AS Discounts, sum(Refund) AS Refunds, sum(Quantity) AS Items, {_PIVOT}
+  FROM store_orders GROUP BY LocationID, OrderDateID, OrderDate)
+SELECT LocationID, OrderDateID, CAST(OrderDate AS VARCHAR) AS CalendarDate,
+       CAST(year(OrderDate) AS INTEGER) AS Year, TotalOrders, TotalCustomers,
+       CAST(Gross AS DOUBLE) AS GrossSales, CAST(Discounts AS DOUBLE) AS Discounts,
+       CAST(Refunds AS DOUBLE) AS Refunds,
+       CAST(Gross - Discounts - Refunds AS DOUBLE) AS NetSales,
+       CAST(round(Gross * CAST(0.07 AS DECIMAL(3,2)), 2) AS DOUBLE) AS TaxCollected,
+       InStoreSales, DriveThruSales, OnlineSales, DeliverySales, CashPayments, CardPayments,
+       MobilePayments, {_LABOR_JOIN},
+       CAST(coalesce(c.CostOfGoodsSold, 0) AS DOUBLE) AS CostOfGoodsSold,
+       CAST(Gross AS DOUBLE) / TotalOrders AS AverageOrderValue,
+       CAST(Items AS DOUBLE) / TotalOrders AS AverageItemsPerOrder, 0 AS IsReconciled
+FROM daily LEFT JOIN labor b USING (LocationID, OrderDateID)
+LEFT JOIN cogs c USING (LocationID, OrderDateID)"""
+
+
+@query("daily_sales_summary", _SUMMARY)
 def daily_sales_summary(spark, sf_dir):
     orders = _dated_orders(spark, sf_dir, ("MemberID", "ChannelID", "PaymentMethod"))
     return sales.daily_summary(
         sales.store_orders(costed_lines(spark, sf_dir), orders), daily_labor(spark, sf_dir)
     )
+
+
+@query(
+    "daily_summary_table",
+    f"""SELECT CAST(OrderDateID AS BIGINT) * {sales.LOCATIONS} + LocationID AS SummaryID, OrderDateID AS SalesDateID,
+      * EXCLUDE (OrderDateID, CalendarDate, Year) FROM ({_SUMMARY})""",
+)
+def _daily_summary_table(spark, sf_dir):
+    return sales.summary_rows(daily_sales_summary(spark, sf_dir))
+
+
+@query(
+    "daily_summary_keys",
+    f"""WITH summary AS (SELECT LocationID, OrderDateID FROM ({_SUMMARY}))
+    SELECT 'finance.DailySalesSummary' AS TableName, KeyColumns, count(Key) AS CheckedRows, count(DISTINCT Key) AS DistinctKeys,
+           count(DISTINCT CASE WHEN Copies > 1 THEN Key END) AS DuplicatedKeys
+    FROM (VALUES ('LocationID,SalesDateID'), ('SummaryID')) k(KeyColumns) LEFT JOIN (
+      SELECT KeyColumns, Key, count(*) OVER (PARTITION BY KeyColumns, Key) AS Copies FROM (
+        SELECT 'LocationID,SalesDateID' AS KeyColumns, concat(LocationID, ' ', OrderDateID) AS Key FROM summary
+        UNION ALL SELECT 'SummaryID', CAST(CAST(OrderDateID AS BIGINT) * {sales.LOCATIONS} + LocationID AS VARCHAR) FROM summary)) USING (KeyColumns)
+    GROUP BY KeyColumns""",
+)
+def _daily_summary_keys(spark, sf_dir):
+    """Whether the stored summary keeps its declared keys, from the rows it is made of."""
+    table = "finance.DailySalesSummary"
+    rows = sales.summary_rows(daily_sales_summary(spark, sf_dir))
+    return quality.union_all([quality.check_unique(rows, table, key) for key in (list(UNIQUE_PAIRS[table]), ["SummaryID"])])

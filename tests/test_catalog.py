@@ -79,3 +79,12 @@ def test_references_by_table():
     assert pairs["loyalty.Members", "FavoriteLocationID"] == "store.Locations"
     assert pairs["finance.DailySalesSummary", "SalesDateID"] == "dim.Calendar"
     assert pairs["emp.Employees", "SupervisorEmployeeID"] == "emp.Employees"
+
+
+def test_summary_rows_are_those_of_the_stored_table(spark):
+    from larder.operators import sales
+
+    daily = spark.sql("SELECT 7 AS LocationID, 19970301 AS OrderDateID, '1997-03-01' AS CalendarDate, 1997 AS Year, 5L AS TotalOrders")
+    row = sales.summary_rows(daily).first()
+    assert row.asDict() == {"LocationID": 7, "TotalOrders": 5, "SummaryID": 199703010000000007, "SalesDateID": 19970301}
+    assert set(row.asDict()) <= set(schemas.struct_type("finance.DailySalesSummary").names)

@@ -10,7 +10,7 @@ from oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 NAMES = [
-    "daily_sales", "daily_sales_summary", "daily_net_sales", "calendar_role_join", "calendar_dim", "calendar_iso_fiscal",
+    "daily_sales", "daily_sales_summary", "daily_summary_table", "daily_summary_keys", "daily_net_sales", "calendar_role_join", "calendar_dim", "calendar_iso_fiscal",
     "promo_interval_join", "promo_applicability", "daily_labor", "store_pnl", "schedule_grid", "feedback_by_store",
     "points_running_balance", "dq_foreign_keys", "dq_not_null", "dq_checks", "range_facts", "inventory_running_stock",
     "inventory_transactions", "promo_bridge", "line_price_lookup", "operating_hours_grid",
