@@ -1,16 +1,23 @@
 """URL filter: rules first, then the ratio of two character language models.
 
 The URLs that a rule allows and those that a rule blocks train one Markov model
-each: order two, with the weight of an order growing with how often its context
-was seen (a rarely seen context leaves the say to the shorter one). A URL
-without a rule is judged by the difference of its two log-likelihoods per
-character against a threshold that separates the rule-labelled URLs of a fold
-the models have not seen as evenly as possible.
+each, of variable order: a context grows by one more character to the left, up to
+``ORDER``, as long as a model saw it ``GROWTH`` times, and leaves the say to the
+shorter context where it did not. A context gives its own counts the weight of
+their number and what the shorter context says the weight of the number of
+different characters seen after it. A URL without a rule is judged by the
+difference of its two log-likelihoods per character against a threshold that
+separates the rule-labelled URLs of a fold the models have not seen as evenly as
+possible.
 
 Characters are lower-cased, digits become one symbol, and what is outside the
-alphabet another, so a model has at most ``len(ALPHABET) ** 3`` entries: it is
-broadcast with that bound. Counting and scoring run over distinct URLs, so a URL
-that holds many rows costs one.
+alphabet another. A context holds one number per character of the alphabet; how
+many contexts there are grows with the labelled URLs, so they are joined, not
+broadcast. Each different run of characters is looked up once; the runs that make
+up more than one in ``HOT`` of all characters are fewer than ``HOT``, and broadcast
+with that bound. Scores are sums of whole numbers, alike in any order of rows.
+Counting and scoring run over distinct URLs, so a URL that holds many rows costs
+one.
 
 Cases: a null URL, or one without ``://``, has empty host and path and no rule;
 the models score it like any other text (null as empty). When either model has
@@ -33,6 +40,10 @@ RULES = (
     ("com", "/de/", "block"),
 )
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0-._/:?&=#%~+*^$"
+ORDER = 5
+GROWTH = 8
+HOT = 10_000
+UNIT = 1e9
 CALIBRATION_FOLDS = 5
 BIN = 0.01
 
@@ -59,52 +70,81 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
 
 
 def _symbols(url: Column) -> Column:
-    """The URL in the alphabet, between two start signs and an end sign, as an array."""
+    """The URL in the alphabet, between ``ORDER`` start signs and an end sign, as an array."""
     plain = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), "[0-9]", "0")
     known = F.regexp_replace(plain, r"(?s)[^a-z0\-._/:?&=#%~+]", "*")
-    return F.split(F.concat(F.lit("^^"), known, F.lit("$")), "")
+    return F.split(F.concat(F.lit("^" * ORDER), known, F.lit("$")), "")
 
 
-def trigrams(urls: DataFrame, *keep: str) -> DataFrame:
-    """A row for each character of each URL, with the two before it."""
+def grams(urls: DataFrame, *keep: str) -> DataFrame:
+    """A row for each character of each URL, with the ``ORDER`` before it."""
     listed = urls.select(*keep, _symbols(F.col("url")).alias("_s"))
-    places = F.sequence(F.lit(0), F.size("_s") - 3)
-    triple = F.transform(places, lambda i: F.concat(F.get("_s", i), F.get("_s", i + 1), F.get("_s", i + 2)))
-    return listed.where(F.size("_s") >= 3).select(*keep, F.explode(triple).alias("gram"))
+    places = F.sequence(F.lit(0), F.size("_s") - ORDER - 1)
+    run = F.transform(places, lambda i: F.concat(*[F.get("_s", i + k) for k in range(ORDER + 1)]))
+    return listed.select(*keep, F.explode(run).alias("gram"))
 
 
-def log_ratios(labelled: DataFrame) -> DataFrame:
-    """(gram, ratio) for every possible trigram: log P(accepted) - log P(rejected) of its last character."""
-    spark, n = labelled.sparkSession, len(ALPHABET)
-    counts = materialize(
-        trigrams(labelled, "verdict").groupBy("gram").agg(
-            F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")
-        ),
-        "grams",
+def contexts(labelled: DataFrame) -> DataFrame:
+    """(context, allow, block): counts of each character of the alphabet after each context that one model saw ``GROWTH`` times."""
+    whole = grams(labelled, "verdict").groupBy("gram").agg(
+        F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")
+    )
+    ends = F.explode(F.array(*[F.substring("gram", ORDER + 1 - k, k + 1) for k in range(ORDER + 1)]))
+    counts = whole.select(ends.alias("gram"), "allow", "block").groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    last = F.substring("gram", -1, 1)
+    follow = lambda kind: F.map_from_entries(F.collect_list(F.struct(last, F.col(kind)))).alias(kind)
+    letters = F.split(F.lit(ALPHABET), "")
+    dense = lambda kind: F.transform(letters, lambda c: F.coalesce(F.col(kind)[c], F.lit(0)).cast("double")).alias(kind)
+    sums = counts.groupBy(F.expr("left(gram, length(gram) - 1)").alias("context")).agg(
+        follow("allow"), follow("block"), F.greatest(F.sum("allow"), F.sum("block")).alias("_n")
     )
-    letter = lambda k: F.substring(F.lit(ALPHABET), k.cast("int") + 1, 1)
-    number = F.col("id")
-    table = spark.range(0, n**3, 1, 8).select(F.concat(letter(number / n**2), letter(number / n % n), letter(number % n)).alias("gram"))
-    parts = {"abc": F.col("gram"), "ab": F.substring("gram", 1, 2), "bc": F.substring("gram", 2, 2), "b": F.substring("gram", 2, 1), "c": F.substring("gram", 3, 1)}
-    for part, own in parts.items():
-        sums = counts.groupBy(own.alias("_part")).agg(F.sum("allow").alias(f"allow_{part}"), F.sum("block").alias(f"block_{part}"))
-        table = table.join(F.broadcast(sums), own == F.col("_part"), "left").drop("_part")
-    totals = counts.agg(F.sum("allow").alias("allow_all"), F.sum("block").alias("block_all")).first()
-
-    def log_p(kind: str) -> Column:
-        seen = lambda part: F.coalesce(F.col(f"{kind}_{part}"), F.lit(0)).cast("double")
-        p = (seen("c") + 1) / float((totals[f"{kind}_all"] or 0) + n)
-        for whole, context in (("bc", "b"), ("abc", "ab")):
-            trust = F.lit(4.0)
-            p = (seen(whole) + trust * p) / (seen(context) + trust)
-        return F.log(p)
-
-    return materialize(table.select("gram", (log_p("allow") - log_p("block")).alias("ratio")), "ratios")
+    return sums.where((F.col("_n") >= GROWTH) | (F.col("context") == "")).select("context", dense("allow"), dense("block"))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+
+
+def log_ratios(labelled: DataFrame) -> DataFrame:
+    """(context, ratio): log P(accepted) - log P(rejected) of each character of the alphabet after each context."""
+    kept = materialize(contexts(labelled), "contexts")
+
+    def smoothed(kind: str) -> Column:
+        counts, shorter = F.col(kind), F.col(f"shorter_{kind}")
+        n, kinds = _sum(counts), F.size(F.filter(counts, lambda x: x > 0))
+        own = F.zip_with(counts, shorter, lambda c, p: (c + kinds * p) / (n + kinds))
+        return F.when(n >= GROWTH, own).otherwise(shorter).alias(kind)
+
+    flat = lambda kind: F.transform(kind, lambda c: (c + 1) / (_sum(F.col(kind)) + len(ALPHABET))).alias(kind)
+    grown = [materialize(kept.where("context = ''").select("context", flat("allow"), flat("block")), "order")]
+    for k in range(1, ORDER + 1):
+        shorter = grown[-1].select(F.col("context").alias("_shorter"), *[F.col(c).alias(f"shorter_{c}") for c in ("allow", "block")])
+        longer = kept.where(F.length("context") == k).join(shorter, F.substring("context", 2, k) == F.col("_shorter"))
+        grown.append(materialize(longer.select("context", smoothed("allow"), smoothed("block")), "order"))
+    table = grown[0]
+    for order in grown[1:]:
+        table = table.unionAll(order)
+    return table.select("context", F.zip_with("allow", "block", lambda a, b: F.log(a) - F.log(b)).alias("ratio"))
+
+
+def gram_values(urls: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(gram, value, n): the log ratio, in whole ``UNIT``ths, of each different gram's last character after its longest known context, and its number."""
+    counted = grams(urls).groupBy("gram").agg(F.count("*").alias("n"))
+    tails = F.posexplode(F.array(*[F.substring("gram", ORDER + 1 - k, k) for k in range(ORDER + 1)])).alias("_k", "context")
+    value = F.get("ratio", F.call_function("locate", F.substring("gram", -1, 1), F.lit(ALPHABET)) - 1)
+    known = counted.select("gram", "n", tails).join(ratios, "context").select("gram", "n", "_k", F.round(value * UNIT).cast("long").alias("value"))
+    return known.groupBy("gram").agg(F.max_by("value", "_k").alias("value"), F.first("n").alias("n"))
 
 
 def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(url, score): the mean log ratio of the characters of each distinct URL."""
-    return trigrams(urls, "url").join(F.broadcast(ratios), "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
+    """(_a, _b, score): the mean log ratio of the characters of each distinct URL, which its two hashes stand for."""
+    values = materialize(gram_values(urls, ratios), "values")
+    total = values.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(values.where(F.col("n") * HOT > total).select("gram", "value"))
+    rest = values.where(F.col("n") * HOT <= total).select("gram", "value")
+    places = grams(urls, "_a", "_b")
+    valued = places.join(hot, "gram").unionAll(places.join(hot, "gram", "left_anti").join(rest, "gram"))
+    return valued.groupBy("_a", "_b").agg((F.sum("value") / F.count("*") / UNIT).alias("score"))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -134,13 +174,14 @@ def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     rule, verdict = rule_of(host, path, rules)
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"))
     distinct = rows.select(F.coalesce("url", F.lit("")).alias("url")).distinct()
-    judged = materialize(distinct.withColumn("verdict", verdict), "urls")
+    hashes = F.xxhash64("url").alias("_a"), F.xxhash64(F.lit(1), "url").alias("_b")
+    judged = materialize(distinct.select("url", verdict.alias("verdict"), *hashes), "urls")
     held = F.pmod(F.xxhash64("url", F.lit(6)), F.lit(CALIBRATION_FOLDS)) == 0
     labelled = judged.where("verdict is not null")
     sizes = dict(labelled.where(~held).groupBy("verdict").count().collect())
     if len(sizes) == 2:
         ratios = log_ratios(labelled.where(~held))
-        scored = materialize(judged.join(scores(judged, ratios), "url"), "scores")
+        scored = materialize(judged.join(scores(judged, ratios), ["_a", "_b"]), "scores")
         cut = threshold(scored.where(held & F.col("verdict").isNotNull()))
     else:
         scored, cut = judged.withColumn("score", F.lit(None).cast("double")), 0.0

@@ -47,24 +47,43 @@ def test_hosts_paths_and_rules(llm):
     assert urls.judge(df.limit(0)).collect() == []
 
 
-def test_log_ratios_by_hand(llm):
-    rows = [("http://ab.org/", "allow"), ("http://ab.org/b", "allow"), ("http://cc.com/de/", "block")]
-    got = dict(urls.log_ratios(llm.createDataFrame(rows, "url string, verdict string")).collect())
-    assert len(got) == len(urls.ALPHABET) ** 3
-    grams = {"allow": Counter(), "block": Counter()}
-    for url, kind in rows:
-        s = "^^" + url + "$"
-        grams[kind].update(s[i : i + 3] for i in range(len(s) - 2))
-
-    def log_p(kind, g):
-        n = grams[kind]
-        seen = lambda test: sum(v for x, v in n.items() if test(x))
-        p = (seen(lambda x: x[2] == g[2]) + 1) / (sum(n.values()) + len(urls.ALPHABET))
-        p = (seen(lambda x: x[1:] == g[1:]) + 4 * p) / (seen(lambda x: x[1] == g[1]) + 4)
-        return math.log((n[g] + 4 * p) / (seen(lambda x: x[:2] == g[:2]) + 4))
-
-    for g in ["htt", "^ht", "org", "/de", "zzz", "b.o", "/b$", "cc."]:
-        assert abs(got[g] - (log_p("allow", g) - log_p("block", g))) < 1e-9
+def plain_ratio(rows, gram):
+    """The log ratio of the last character of ``gram``, counted over whole URLs."""
+    size = len(urls.ALPHABET)
+
+    def p(kind, context, c):
+        texts = ["^" * urls.ORDER + url + "$" for url, verdict in rows if verdict == kind]
+        after = Counter(t[i] for t in texts for i in range(urls.ORDER, len(t)) if t[i - len(context) : i] == context)
+        n = sum(after.values())
+        if not context:
+            return (after[c] + 1) / (n + size)
+        shorter = p(kind, context[1:], c)
+        return (after[c] + len(after) * shorter) / (n + len(after)) if n >= urls.GROWTH else shorter
+
+    return math.log(p("allow", gram[:-1], gram[-1])) - math.log(p("block", gram[:-1], gram[-1]))
+
+
+def test_ratios_of_variable_order_by_hand(llm):
+    draw = random.Random(3)
+    name = lambda k: "".join(draw.choice("abc") for _ in range(k))
+    rows = [(f"http://{name(2)}.org/{name(9)}", "allow") for _ in range(30)] + [(f"http://{name(3)}.com/de/{name(5)}", "block") for _ in range(20)]
+    labelled = llm.createDataFrame(rows, "url string, verdict string")
+    ratios = urls.log_ratios(labelled)
+    lengths = Counter(len(r["context"]) for r in ratios.collect())
+    padded = ["^" * urls.ORDER + url for url, _ in rows]
+    whole = {t[i - urls.ORDER : i] for t in padded for i in range(urls.ORDER, len(t) + 1)}
+    assert lengths[0] == 1 and 0 < lengths[urls.ORDER] < len(whole)
+    seen = llm.createDataFrame([(u,) for u, _ in rows[::5]] + [("http://zz.net/de/abcabc",), ("",)], "url string")
+    got = {r["gram"]: r["value"] / urls.UNIT for r in urls.gram_values(seen, ratios).collect()}
+    texts = ["^" * urls.ORDER + r["url"] + "$" for r in seen.collect()]
+    assert set(got) == {t[i : i + urls.ORDER + 1] for t in texts for i in range(len(t) - urls.ORDER)}
+    for gram, value in got.items():
+        assert abs(value - plain_ratio(rows, gram)) < 1e-8
+    keyed = seen.select("url", F.xxhash64("url").alias("_a"), F.lit(0).alias("_b"))
+    score = {r["url"]: r["score"] for r in keyed.join(urls.scores(keyed, ratios), ["_a", "_b"]).collect()}
+    for t in texts:
+        every = [plain_ratio(rows, t[i : i + urls.ORDER + 1]) for i in range(len(t) - urls.ORDER)]
+        assert abs(score[t[urls.ORDER : -1]] - sum(every) / len(every)) < 1e-8
 
 
 def test_urls_without_rules_follow_their_likes(llm):
