@@ -1,12 +1,20 @@
-"""Line dedup: windows of whole lines, compared by their hashes.
+"""Line dedup: winnowing over the hashes of whole lines.
 
 A window is the shortest run of whole, non-blank lines with at least
-``min_words`` words that starts, or that ends, at a line. Equal runs of lines have
-equal windows, so any run of ``min_words`` words or more that occurs twice shares
-windows: they are grouped by the hash of the whole window (the smallest line hash
-beside it selects nothing), and every occurrence after the first is marked. Windows that start at a line carry a match on to the
-right and those that end at a line carry it to the left, so their union is the
-maximal run, which is deleted together with the blank lines inside it.
+``min_words`` words that starts, or that ends, at a line. Of each window the line
+with the smallest hash (the first of equals) is selected: neighbouring windows
+mostly select the same line, so a few positions of a document are fingerprints.
+Equal windows select the same line of themselves, so a run of ``min_words`` words
+or more that occurs twice has equal fingerprints at two positions at least, and a
+fingerprint found at one position only proves that no window that selected it
+occurs again. Those windows go before windows are compared.
+
+Positions that share a fingerprint are joined with the first position around
+which the same window lies, and the match is extended both ways: windows that
+start at a line carry it on to the right and those that end at a line carry it to
+the left, each with its own first position, as the rest of a run can have been seen
+elsewhere. Together they are the maximal run, of which every occurrence but the first is deleted,
+with the blank lines inside it.
 
 Words of a line are its spaces plus one. Occurrences are ordered by document id
 (null last), content and line. A line is known by two 64-bit hashes.
@@ -44,37 +52,51 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
 
 def windows(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_id, _content, _from, _to, _mark, _a, _b): all complete windows, their fingerprints and hashes."""
+    """(_id, _content, _from, _to, _mark, _at, _a, _b): all complete windows, their fingerprints, the positions of these, and hashes of the windows."""
     document = Window.partitionBy("_id", "_content")
     sized = lines.withColumn("_end", F.sum("_w").over(document.orderBy("_i")))
     sized = sized.withColumn("_start", F.col("_end") - F.col("_w"))
     right = document.orderBy("_start").rangeBetween(Window.currentRow, min_words - 1)
     left = document.orderBy("_end").rangeBetween(1 - min_words, Window.currentRow)
-    both = sized.select(
-        "_id", "_content", "_i",
-        F.max("_i").over(right).alias("_last"), F.collect_list("_h").over(right).alias("_right"), F.sum("_w").over(right).alias("_right_words"),
-        F.min("_i").over(left).alias("_first"), F.collect_list("_h").over(left).alias("_left"), F.sum("_w").over(left).alias("_left_words"),
-    )
-    runs = F.array(
-        F.struct(F.col("_i").alias("from"), F.col("_last").alias("to"), F.col("_right").alias("run"), F.col("_right_words").alias("words")),
-        F.struct(F.col("_first").alias("from"), F.col("_i").alias("to"), F.col("_left").alias("run"), F.col("_left_words").alias("words")),
-    )
-    return both.select("_id", "_content", F.inline(runs)).where(F.col("words") >= min_words).select(
-        "_id", "_content", F.col("from").alias("_from"), F.col("to").alias("_to"),
-        F.array_min(F.col("run")["a"]).alias("_mark"), F.xxhash64("run").alias("_a"), F.xxhash64(F.lit(1), "run").alias("_b"),
+    lowest = F.min(F.struct(F.col("_h.a").alias("mark"), F.col("_i").alias("at")))
+
+    def run(side, start: Column, end: Column) -> Column:
+        of = lambda value, name: value.over(side).alias(name)
+        return F.struct(
+            start.alias("from"), end.alias("to"), of(F.collect_list("_h"), "run"), of(F.sum("_w"), "words"), of(lowest, "low")
+        )
+
+    both = F.array(run(right, F.col("_i"), F.max("_i").over(right)), run(left, F.min("_i").over(left), F.col("_i")))
+    return sized.select("_id", "_content", both.alias("_both")).select("_id", "_content", F.inline("_both")).where(F.col("words") >= min_words).select(
+        "_id", "_content", F.col("from").alias("_from"), F.col("to").alias("_to"), F.col("low.mark").alias("_mark"), F.col("low.at").alias("_at"),
+        F.xxhash64("run").alias("_a"), F.xxhash64(F.lit(1), "run").alias("_b"),
     )
 
 
+def shared_fingerprints(found: DataFrame) -> DataFrame:
+    """(_mark): the fingerprints selected at more than one position."""
+    position = F.xxhash64("_id", "_content", "_at")
+    ends = found.groupBy("_mark").agg(F.min(position).alias("_low"), F.max(position).alias("_high"))
+    return ends.where("_low < _high").select("_mark")
+
+
+def extended(spans: Column) -> Column:
+    """The lines of sorted windows, each once: a window goes on behind the end of the one before (both ends only grow)."""
+    behind = lambda s, k: F.greatest(s["from"], F.coalesce(F.get(spans, k - 1)["to"] + 1, F.lit(0)))
+    none = F.array().cast("array<int>")
+    return F.flatten(F.transform(spans, lambda s, k: F.when(behind(s, k) <= s["to"], F.sequence(behind(s, k), s["to"])).otherwise(none)))
+
+
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(_id, _content, _gone): the places of the lines to delete, for documents that have any."""
     found = windows(hashed_lines(docs), min_words)
+    shared = found.join(shared_fingerprints(found), "_mark", "left_semi")
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_content").alias("content"), F.col("_from").alias("at"))
-    first = found.groupBy("_mark", "_a", "_b").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    later = found.join(first, ["_mark", "_a", "_b"]).where(place > F.col("_first"))
-    return (
-        later.select("_id", "_content", F.explode(F.sequence("_from", "_to")).alias("_i"))
-        .groupBy("_id", "_content").agg(F.collect_set("_i").alias("_gone"))
-    )
+    first = shared.groupBy("_mark", "_a", "_b").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    later = shared.join(first, ["_mark", "_a", "_b"]).where(place > F.col("_first"))
+    spans = F.sort_array(F.collect_set(F.struct(F.col("_from").alias("from"), F.col("_to").alias("to"))))
+    matched = later.groupBy("_id", "_content").agg(spans.alias("_spans"))
+    return matched.select("_id", "_content", extended(F.col("_spans")).alias("_gone"))
 
 
 def deduped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

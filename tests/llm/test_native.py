@@ -27,6 +27,25 @@ def test_lines_against_all_windows(llm):
     assert lines.line_dedup(docs.limit(0)).collect() == []
 
 
+def test_fingerprints_are_window_minima_and_few(llm):
+    draw = random.Random(9)
+    pool = [" ".join(draw.choice("abcdefgh") * 3 for _ in range(5)) for _ in range(400)]
+    texts = ["\n".join(pool[:200]), "\n".join(pool[200:300] + pool[50:70] + pool[300:]), "\n".join(pool[50:60] + pool[:9])]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lines.windows(lines.hashed_lines(docs))
+    rows = found.collect()
+    hashes = {(r["_id"], r["_i"]): r["_h"]["a"] for r in lines.hashed_lines(docs).collect()}
+    for r in rows:
+        run = [(hashes[r["_id"], i], i) for i in range(r["_from"], r["_to"] + 1)]
+        assert min(run) == (r["_mark"], r["_at"])
+    positions = {(r["_id"], r["_at"]) for r in rows}
+    assert len(positions) < 0.35 * len(hashes)
+    at = Counter(hashes[p] for p in positions)
+    assert {r["_mark"] for r in lines.shared_fingerprints(found).collect()} == {h for h, n in at.items() if n > 1}
+    lost = {r["doc_id"]: r["n_removed"] for r in lines.line_dedup(docs).collect()}
+    assert lost == {0: 0, 1: 20, 2: 10}
+
+
 CASES = [
     (None, "", "", None), ("", "", "", None), ("no scheme", "", "", None), ("http://A.Example.ORG", "a.example.org", "", None),
     ("http://x.org/a?b#c", "x.org", "/a", "org/"), ("https://example.org/es/1", "example.org", "/es/1", "example.org/es/"),
