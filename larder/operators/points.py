@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +65,36 @@ def points_expiry(transactions: DataFrame, life_days: int) -> DataFrame:
     """The statement without lapses of lots that were used up before."""
     statement = points_statement(transactions, life_days)
     return statement.where((F.col("_kind") == 1) | (F.col("Points") != 0)).drop("_kind", "TransactionTime")
+
+
+def redeemable(statement: DataFrame, rewards: Sequence[tuple[int, str, int]], start_date_id: int) -> DataFrame:
+    """One row per member and reward that the points left after the member's last step can pay for.
+
+    ``rewards`` holds (RewardID, RewardCode, PointsCost), costs above zero. ``OnOffer`` says whether
+    they are on offer, from ``start_date_id`` on, by the day of that step (not if it has none). ``Times`` says how often the reward could be taken and ``PointsLeft`` what taking it
+    once leaves; ``PointsToNext`` is what is missing for the next dearer reward, NULL
+    behind the dearest. The last step of a member is found by a combining aggregate, and the rewards are
+    held by each row, so a hot member is no hot task. NULL is a member like any other.
+    """
+    order = F.struct(*ORDER)
+    last = statement.groupBy("MemberID").agg(
+        F.max_by(F.struct("BalanceAfter", "TransactionDateID"), order).alias("_last")
+    ).select("MemberID", F.col("_last.BalanceAfter").alias("Balance"), F.col("_last.TransactionDateID").alias("LastDateID"))
+    costs = sorted({cost for _, _, cost in rewards})
+    following = dict(zip(costs, costs[1:], strict=False))
+    offers = [
+        F.struct(
+            F.lit(key).cast("bigint").alias("RewardID"), F.lit(code).alias("RewardCode"), F.lit(cost).cast("bigint").alias("PointsCost"),
+            F.lit(following.get(cost)).cast("bigint").alias("_next"),
+        )
+        for key, code, cost in rewards
+    ]
+    if not offers:
+        raise ValueError("no rewards")
+    paid = F.filter(F.array(*offers), lambda r: r["PointsCost"] <= F.col("Balance"))
+    on_offer = F.coalesce(F.col("LastDateID") >= start_date_id, F.lit(False)).alias("OnOffer")
+    return last.select("MemberID", "Balance", on_offer, F.inline(paid)).select(
+        "MemberID", "Balance", "RewardID", "RewardCode", "PointsCost", F.expr("Balance div PointsCost").alias("Times"),
+        (F.col("Balance") - F.col("PointsCost")).alias("PointsLeft"),
+        F.greatest(F.col("_next") - F.col("Balance"), F.when(F.col("_next").isNotNull(), F.lit(0))).cast("bigint").alias("PointsToNext"), "OnOffer",
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.dates import date_of_id
 from larder.operators import customers, points
+from larder.operators.dimensions import REWARD_START_DATE_ID, REWARDS
 from larder.plans import oracle as o
 from larder.plans.registry import query
 from larder.plans.sales_queries import store_orders
@@ -52,6 +53,27 @@ def _points_expiry(spark, sf_dir):
     return points.points_expiry(retail.points_transactions(spark, sf_dir), POINTS_LIFE_DAYS)
 
 
+@query(
+    "rewards_redeemable",
+    f"""WITH {STATEMENT},
+    lasts AS (
+      SELECT p.MemberID, after AS Balance, {o.date_id('ts')} AS LastDateID
+      FROM placed p JOIN balances b ON b.MemberID IS NOT DISTINCT FROM p.MemberID AND b.nth = p.nth
+      QUALIFY row_number() OVER (PARTITION BY p.MemberID ORDER BY p.nth DESC) = 1),
+    rewards(RewardID, RewardCode, PointsCost) AS (
+      VALUES {o.values([(key, code, cost) for key, (code, _, cost) in enumerate(REWARDS, 1)], ['BIGINT', 'VARCHAR', 'BIGINT'])}),
+    dearer AS (SELECT r.*, (SELECT min(x.PointsCost) FROM rewards x WHERE x.PointsCost > r.PointsCost) AS following FROM rewards r)
+    SELECT MemberID, Balance, RewardID, RewardCode, PointsCost, Balance // PointsCost AS Times, Balance - PointsCost AS PointsLeft,
+           CASE WHEN following IS NOT NULL THEN greatest(following - Balance, 0) END AS PointsToNext,
+           coalesce(LastDateID >= {REWARD_START_DATE_ID}, FALSE) AS OnOffer
+    FROM lasts JOIN dearer ON PointsCost <= Balance""",
+)
+def _rewards_redeemable(spark, sf_dir):
+    statement = points.points_statement(retail.points_transactions(spark, sf_dir), POINTS_LIFE_DAYS)
+    offers = [(key, code, cost) for key, (code, _, cost) in enumerate(REWARDS, 1)]
+    return points.redeemable(statement, offers, REWARD_START_DATE_ID)
+
+
 @query(
     "customers_rollup",
     f"""WITH {o.STORE_ORDERS}, visits AS (

@@ -15,7 +15,7 @@ NAMES = [
     "points_running_balance", "dq_foreign_keys", "dq_not_null", "dq_checks", "range_facts", "inventory_running_stock",
     "inventory_transactions", "promo_bridge", "line_price_lookup", "operating_hours_grid",
     "scan_project", "member_lifetime", "order_type_case", "global_minmax", "audit_diff", "promo_stacking",
-    "points_expiry", "price_as_of", "net_hours", "stock_average_cost",
+    "points_expiry", "rewards_redeemable", "price_as_of", "net_hours", "stock_average_cost",
 ]
 
 

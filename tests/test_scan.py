@@ -85,6 +85,28 @@ def test_points_lapse_first_in_first_out(spark):
     assert points.points_expiry(df.limit(0), 5).count() == 0
 
 
+def test_rewards_a_member_can_redeem(spark):
+    rows = [
+        (1, 7, day(0), "Earned", 450), (2, 7, day(1), "Redeemed", -30), (3, 8, day(0), "Earned", 150), (4, 8, day(0), "Redeemed", -20),
+        (5, 9, day(0), "Earned", 99), (6, None, day(2), "Earned", 200), (7, 10, None, "Earned", 500), (8, 11, day(0), "Earned", 900), (9, 11, day(9), "Earned", 0),
+    ]
+    df = spark.createDataFrame(rows, "TransactionID int, MemberID int, TransactionTime timestamp_ntz, TransactionType string, Points int")
+    statement = points.points_statement(df, 9)
+    offers = [(1, "taco", 100), (2, "off", 200)]
+    got = {tuple(r) for r in points.redeemable(statement, offers, 0).collect()}
+    # the points of member 11 lapse on day 9, before the last step; those of member 10 have no time and never do
+    never = {(10, 500, 1, "taco", 100, 5, 400, 0, False), (10, 500, 2, "off", 200, 2, 300, None, False)}
+    left = {(None, 200, 1, "taco", 100, 2, 100, 0, True), (None, 200, 2, "off", 200, 1, 0, None, True)}
+    assert got == never | left
+    kept = {tuple(r) for r in points.redeemable(points.points_statement(df, 30), offers, 0).collect()}
+    assert kept == got | {
+        (7, 420, 1, "taco", 100, 4, 320, 0, True), (7, 420, 2, "off", 200, 2, 220, None, True), (8, 130, 1, "taco", 100, 1, 30, 70, True),
+        (11, 900, 1, "taco", 100, 9, 800, 0, True), (11, 900, 2, "off", 200, 4, 700, None, True),
+    }
+    assert {r["OnOffer"] for r in points.redeemable(statement, offers, 10**9).collect()} == {False}
+    assert points.redeemable(statement.limit(0), offers, 0).count() == 0
+
+
 def test_points_against_lots(spark):
     """Every lot followed by itself."""
     rng = random.Random(4)

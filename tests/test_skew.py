@@ -25,7 +25,7 @@ NAMES = [
     "promo_applicability", "points_running_balance", "payroll", "member_lifetime",
     "feedback_by_store", "dq_foreign_keys", "dq_unique", "calendar_role_join", "surrogate_key",
     "payment_transactions", "store_pnl", "distinct_keys", "ledger_unpivot", "region_counts",
-    "points_expiry", "price_as_of", "net_hours", "hierarchy_rollup", "audit_diff", "promo_stacking", "customers_rollup",
+    "points_expiry", "rewards_redeemable", "price_as_of", "net_hours", "hierarchy_rollup", "audit_diff", "promo_stacking", "customers_rollup",
 ]
 
 
