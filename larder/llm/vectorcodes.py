@@ -209,7 +209,7 @@ def _next(books: list[Codebook], sums: DataFrame) -> list[Codebook]:
     )
     found: list[np.ndarray] = [book.entries.copy() for book in books]
     radius = [np.zeros(len(book.entries), dtype=object) for book in books]
-    for row in added.toLocalIterator():  # at most parts x entries x width rows
+    for row in added.collect():  # at most parts x entries x width rows; an iterator would run a job for each partition
         found[row["part"]][row["entry"], row["pos"]] = int(row["total"]) // row["n"]
         radius[row["part"]][row["entry"]] = row["radius"]
     return [_movement(book.entries, new, r) for book, new, r in zip(books, found, radius, strict=True)]

@@ -88,3 +88,26 @@ def test_a_ball_skips_what_its_bounds_allow():
     still = vc.Codebook(np.array([[0], [10]]), np.zeros(2, bool), np.array([20, 20], dtype=object))
     code, error = vc.assign(np.array([[9]]), np.array([0]), np.array([81]), still)
     assert code.tolist() == [0] and error.tolist() == [81]
+
+
+def test_a_round_takes_as_many_jobs_for_any_number_of_partitions(llm):
+    rng = np.random.default_rng(3)
+    df = llm.createDataFrame([(i, rng.normal(size=8).tolist(), 0, "x", 1) for i in range(60)], SCHEMA).repartition(3).localCheckpoint()
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = {name: llm.conf.get(name) for name in names}
+    context, jobs = llm.sparkContext, []
+    try:
+        llm.conf.set(names[1], "false")
+        for partitions in (4, 48):
+            llm.conf.set(names[0], str(partitions))
+            group = f"vector codes, {partitions}"
+            context.setJobGroup(group, group)
+            vc.train(df, vc.Settings(parts=2, entries=4, rounds=3))
+            context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+            jobs.append(len(context.statusTracker().getJobIdsForGroup(group)))
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            context.setLocalProperty(name, None)
+        for name, value in before.items():
+            llm.conf.set(name, value)
+    assert jobs[0] == jobs[1] > 0
