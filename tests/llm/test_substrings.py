@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 
 from larder.llm import substrings
@@ -72,6 +73,50 @@ def test_hot_anchors_and_small_batches(llm, monkeypatch):
     check(llm, samples())
 
 
+def test_a_frequent_class_is_split_over_tasks(llm):
+    soon = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        # a skewed partition is split by the tasks that wrote it, so there must be several
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    draw = random.Random(3)
+    passage = prose(draw, 150)
+    texts = [f"{k} {passage}" for k in range(2000)] + [prose(draw, 150) for _ in range(50)]
+    before = {name: llm.conf.get(name, None) for name in soon}
+    for name, value in soon.items():
+        llm.conf.set(name, value)
+    try:
+        docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(16)
+        df = substrings.substring_dedup(docs)
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            llm.conf.unset(name) if value is None else llm.conf.set(name, value)
+    assert got == dict(enumerate(brute([t.encode() for t in texts])))
+    assert "skew=true" in plan
+
+
+def test_a_text_that_repeats_itself_has_few_marks(llm):
+    draw = random.Random(4)
+    periodic = ["on at " * 300, "on at " * 300 + "x" + "on at " * 200, "é" * 700, prose(draw, 30) + "-" * 900 + prose(draw, 90)]
+    periodic += ["on at " * 66 + "on a", "on at " * 66 + "on at", "xy" * 200 + "x"]
+    whole = b"".join(t.encode() for t in periodic)
+    offsets = [0]
+    for t in periodic:
+        offsets.append(offsets[-1] + len(t.encode()))
+    row, *_ = substrings.marks_of(np.frombuffer(whole, np.uint8), np.array(offsets))
+    assert max(Counter(row.tolist()).values()) < 20
+    check(llm, periodic)
+    check(llm, ["on at " * 66 + "on at"])
+    check(llm, ["on at " * 66 + "on at on"])
+
+
 def test_repeated_rows_and_null_ids(llm):
     draw = random.Random(9)
     a, b = prose(draw, 200), prose(draw, 200)
