@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from larder.functions.dates import date_of_id, iso_weekday
 from larder.functions.money import DELIVERY_FEE, amount, ratio, sales_tax, total
 from larder.operators.calendar import with_calendar
+from larder.operators.ranges import same_keys
 from larder.operators.surrogate import dense_ids
 from larder.sources.inline import inline_rows
+from larder.sources.scratch import materialize
 
 #: More than any store number.
 LOCATIONS = 10**10
@@ -44,18 +46,20 @@ def dated_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders, "OrderID")
 
 
-def store_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def store_orders(lines: DataFrame, orders: DataFrame, cost: Column | None = None) -> DataFrame:
     """One row per order and store, with the sums of its lines there.
 
     For results that count orders. The columns of ``orders`` are kept; select the needed ones beforehand, as
     grouping columns are not pruned. The lines are shuffled once, on the order:
     the grouping reuses the partitioning of the join. Sums nobody reads are
-    pruned.
+    pruned. A ``cost`` is worked out after that shuffle, as it is wider than what it is made of.
     """
-    sums = [name for name in LINE_AMOUNTS if name in lines.columns]
+    dated = lines.join(orders, "OrderID")
+    if cost is not None:
+        dated = dated.withColumn("Cost", cost)
+    sums = [name for name in LINE_AMOUNTS if name in dated.columns]
     return (
-        lines.join(orders, "OrderID")
-        .groupBy(*dict.fromkeys([*orders.columns, "LocationID"]))
+        dated.groupBy(*dict.fromkeys([*orders.columns, "LocationID"]))
         .agg(*total(*sums), F.count("*").alias("Lines"))
     )
 
@@ -145,11 +149,18 @@ def daily_basket_size(by_store: DataFrame) -> DataFrame:
     )
 
 
+def with_unit_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
+    return lines.join(costs.select("ItemID", "UnitCost"), "ItemID", "left")
+
+
+def line_cost() -> Column:
+    """Ingredient cost of a line with its unit cost; an item without a recipe costs nothing."""
+    return F.coalesce(F.col("Quantity") * F.col("UnitCost"), F.lit(0))
+
+
 def with_cost(lines: DataFrame, costs: DataFrame) -> DataFrame:
-    """Add the ingredient cost of each line; an item without a recipe costs nothing."""
-    return lines.join(costs.select("ItemID", "UnitCost"), "ItemID", "left").withColumn(
-        "Cost", F.coalesce(F.col("Quantity") * F.col("UnitCost"), F.lit(0))
-    )
+    """Add the ingredient cost of each line."""
+    return with_unit_cost(lines, costs).withColumn("Cost", line_cost())
 
 
 def daily_cogs(dated: DataFrame) -> DataFrame:
@@ -157,29 +168,68 @@ def daily_cogs(dated: DataFrame) -> DataFrame:
     return dated.groupBy(*STORE_DAY).agg(F.sum("Cost").alias("CostOfGoodsSold"))
 
 
-def daily_summary(by_store: DataFrame, labor: DataFrame) -> DataFrame:
+#: A store day is hot from about so many lines, as rows of their sample.
+HOT_SAMPLES = 20
+
+
+def hot_store_days(sample: DataFrame, orders: DataFrame) -> DataFrame | None:
+    """Store days with a large part of the lines, by a sample of them (``sample_of``); None if there are none."""
+    dated = orders.select("OrderID", "OrderDateID").join(F.broadcast(sample.select("OrderID", "LocationID")), "OrderID")
+    counted = dated.groupBy(*STORE_DAY).agg(F.count("*").alias("_lines")).where(F.col("_lines") >= HOT_SAMPLES)
+    hot = materialize(counted.select(*[F.col(c).alias(f"_of_{c}") for c in STORE_DAY]), "hot-days", files=1)
+    return None if hot.isEmpty() else hot
+
+
+def _narrow(rows: DataFrame, amounts: list[str]) -> list[Column]:
+    """Amounts as 18 digits, which a row holds in eight bytes each, and all in full only where those are not enough."""
+    few = {name: F.col(name).try_cast(f"decimal(18,{rows.schema[name].dataType.scale})") for name in amounts}
+    wide = F.lit(False)
+    for name in amounts:
+        wide = wide | (few[name].isNull() & F.col(name).isNotNull())
+    return [*[few[name].alias(f"_few_{name}") for name in amounts], F.when(wide, F.struct(*amounts)).alias("_wide")]
+
+
+def daily_summary(by_store: DataFrame, labor: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """The whole daily store summary, from store orders that carry their cost and member.
 
     Lines meet orders once, and the sums of a store order use the partitioning
-    of that join. They are summed per member of a store day first, so counting
-    orders, counting distinct members and all sums are one pass.
+    of that join. Store orders are then shuffled once, on store and day, as few bytes each:
+    they are summed per member of a store day and then per store day where they lie, so
+    counting orders, counting distinct members and all sums are one pass. Those of
+    the ``hot`` store days are dealt by member, too, and summed before each shuffle.
     """
     sums = ["Gross", "Discount", "Refund", "Quantity", "Cost"]
     split = [*CHANNEL_COLUMNS, *PAYMENT_COLUMNS]
-    per_member = (
-        channel_sales(by_store)
-        .groupBy(*STORE_DAY, "MemberID")
-        .agg(F.count("*").alias("_orders"), *total(*sums), *channel_columns(), *payment_columns())
-    )
-    daily = per_member.groupBy(*STORE_DAY).agg(
-        F.sum("_orders").alias("TotalOrders"),
-        F.count("MemberID").alias("TotalCustomers"),
-        *total(*sums, *split),
-    )
+    methods = F.array(*[F.lit(method) for method in PAYMENT_COLUMNS.values()])
+    paid = F.array_position(methods, F.col("PaymentMethod")).cast("tinyint")
+    full = lambda name: F.coalesce(f"_wide.{name}", f"_few_{name}").alias(name)
+
+    def daily(rows: DataFrame, together: bool) -> DataFrame:
+        if together:
+            rows = rows.select(*STORE_DAY, "MemberID", "ChannelID", paid.alias("_paid"), *_narrow(rows, sums)).repartition(*STORE_DAY)
+            rows = rows.select(*STORE_DAY, "MemberID", "ChannelID", F.get(methods, F.col("_paid") - 1).alias("PaymentMethod"), *[full(name) for name in sums])
+        per_member = (
+            channel_sales(rows)
+            .groupBy(*STORE_DAY, "MemberID")
+            .agg(F.count("*").alias("_orders"), *total(*sums), *channel_columns(), *payment_columns())
+        )
+        return per_member.groupBy(*STORE_DAY).agg(
+            F.sum("_orders").alias("TotalOrders"),
+            F.count("MemberID").alias("TotalCustomers"),
+            *total(*sums, *split),
+        )
+
+    if hot is None:
+        days = daily(by_store, True)
+    else:
+        same = same_keys(STORE_DAY)
+        days = daily(by_store.join(F.broadcast(hot), same, "left_anti"), True).unionByName(
+            daily(by_store.join(F.broadcast(hot), same, "left_semi"), False)
+        )
     names = {"Gross": "GrossSales", "Discount": "Discounts", "Refund": "Refunds", "Quantity": "Items", "Cost": "CostOfGoodsSold"}
     gross = F.col("GrossSales")
     joined = (
-        daily.withColumnsRenamed(names)
+        days.withColumnsRenamed(names)
         .join(labor, STORE_DAY, "left")
         .withColumns(
             {

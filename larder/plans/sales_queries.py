@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.catalog.constraints import UNIQUE_PAIRS
 from larder.operators import inventory, labor, quality, sales
+from larder.operators.ranges import sample_of
 from larder.operators.surrogate import assign_round_robin
 from larder.plans import oracle as o
 from larder.plans.registry import query
@@ -178,9 +179,9 @@ LEFT JOIN cogs c USING (LocationID, OrderDateID)"""
 @query("daily_sales_summary", _SUMMARY)
 def daily_sales_summary(spark, sf_dir):
     orders = _dated_orders(spark, sf_dir, ("MemberID", "ChannelID", "PaymentMethod"))
-    return sales.daily_summary(
-        sales.store_orders(costed_lines(spark, sf_dir), orders), daily_labor(spark, sf_dir)
-    )
+    hot = sales.hot_store_days(sample_of(retail.order_lines(spark, sf_dir).select("OrderID", "LocationID")), orders)
+    lines = sales.with_unit_cost(retail.order_lines(spark, sf_dir), inventory.item_costs(retail.items(spark, sf_dir)))
+    return sales.daily_summary(sales.store_orders(lines, orders, sales.line_cost()), daily_labor(spark, sf_dir), hot)
 
 
 @query(
